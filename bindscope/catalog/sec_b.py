@@ -135,7 +135,8 @@ def b9(c):
 def b10(c):
     d = c.v_candidates.withColumn("d", S.decode_metrics("design_metrics_json", "candidate_id"))
     cdr = F.from_json(F.try_element_at("d", F.lit("cdr_sequences")), S.JSON_MAP)
-    cols = G.cdr_columns(cdr, G.binder_type("d"))
+    d = d.withColumn("cdr", cdr).withColumn("kind", G.binder_type("d"))
+    cols = G.cdr_columns(F.col("cdr"), F.col("kind"))
     return d.select("candidate_id", *[v.alias(k) for k, v in cols.items()])
 
 

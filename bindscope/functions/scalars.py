@@ -24,25 +24,34 @@ def _col(c: Column | str) -> Column:
 
 
 # ---------------------------------------------------------------- identifiers
+# Each helper names its argument once: a repeated argument is evaluated again, and
+# nesting such helpers multiplies the expression tree.
+def nonblank(*cols: Column | str) -> Column:
+    """First text that is neither NULL nor empty."""
+    held = F.filter(F.array(*[_col(c).cast("string") for c in cols]), lambda v: v != "")
+    return F.get(held, F.lit(0))
+
+
+def or_else(c: Column, fallback: str) -> Column:
+    """``fallback`` for NULL and empty text."""
+    return F.regexp_replace(F.coalesce(c, F.lit("")), "^$", fallback)
+
+
 def slug(c: Column | str, fallback: str) -> Column:
     """Runs of non-alphanumerics become ``_``; trimmed, lower-cased, with a fallback."""
-    text = F.regexp_replace(F.trim(_col(c)), "[^A-Za-z0-9]+", "_")
-    text = F.lower(F.regexp_replace(text, "^_+|_+$", ""))
-    return F.coalesce(F.nullif(text, F.lit("")), F.lit(fallback))
+    text = F.regexp_replace(F.lower(_col(c)), "[^a-z0-9]+", "_")
+    return or_else(F.trim(text, F.lit("_")), fallback)
 
 
 def safe_token(c: Column | str, fallback: str = "artifact") -> Column:
     text = F.regexp_replace(F.trim(_col(c)), "[^A-Za-z0-9._-]+", "_")
-    text = F.regexp_replace(text, "^[._-]+|[._-]+$", "")
-    return F.coalesce(F.nullif(text, F.lit("")), F.lit(fallback))
+    return or_else(F.trim(text, F.lit("._-")), fallback)
 
 
 def safe_identifier(c: Column | str, max_len: int, fallback: str = "candidate") -> Column:
-    text = F.lower(F.regexp_replace(F.trim(_col(c)), "[^A-Za-z0-9]+", "_"))
-    text = F.regexp_replace(text, "^_+|_+$", "")
-    text = F.coalesce(F.nullif(text, F.lit("")), F.lit(fallback))
-    text = F.regexp_replace(F.substring(text, 1, max_len), "^_+|_+$", "")
-    return F.coalesce(F.nullif(text, F.lit("")), F.lit(fallback))
+    text = F.trim(F.regexp_replace(F.lower(_col(c)), "[^a-z0-9]+", "_"), F.lit("_"))
+    cut = F.trim(F.substring(or_else(text, fallback), 1, max_len), F.lit("_"))
+    return or_else(cut, fallback)
 
 
 def zero_pad(c: Column | str, width: int | Column) -> Column:
@@ -68,12 +77,8 @@ def artifact_stem(batch: Column, seed: Column, candidate: Column, widths: Sequen
 
 
 def binder_code(c: Column | str) -> Column:
-    value = slug(c, "binder")
-    return (
-        F.when(value.isin("miniprotein", "minibinder", "mini_binder"), "mp")
-        .when(value.isin("scfv", "sc_fv"), "scfv")
-        .otherwise(value)
-    )
+    value = F.regexp_replace(slug(c, "binder"), "^(miniprotein|minibinder|mini_binder)$", "mp")
+    return F.regexp_replace(value, "^sc_fv$", "scfv")
 
 
 def semantic_id(target: Column | str, scaffold: Column | str, seed: Column | str, k: Column | str) -> Column:
@@ -175,7 +180,7 @@ def hotspot_flag(c: Column | str) -> Column:
 
 
 def first_nonempty(*cols: Column | str) -> Column:
-    return F.coalesce(*[F.nullif(_col(c).cast("string"), F.lit("")) for c in cols])
+    return nonblank(*cols)
 
 
 def first_present(doc1: Column | str, doc2: Column | str | None, keys: Sequence[str]) -> Column:
@@ -195,12 +200,11 @@ def first_present(doc1: Column | str, doc2: Column | str | None, keys: Sequence[
 def decode_metrics(c: Column | str, row_id: Column | str, lenient: bool = False) -> Column:
     """JSON object text to map; strict decoding fails naming the row."""
     text = _col(c)
-    empty = F.create_map().cast(JSON_MAP)
-    parsed = F.from_json(text, JSON_MAP)
     if lenient:
-        return F.coalesce(parsed, empty)
+        return F.coalesce(F.from_json(text, JSON_MAP), F.create_map().cast(JSON_MAP))
+    parsed = F.from_json(or_else(text, "{}"), JSON_MAP)
     failure = F.raise_error(F.concat(F.lit("invalid metrics JSON for "), _col(row_id))).cast(JSON_MAP)
-    return F.when(text.isNull() | (text == ""), empty).when(parsed.isNotNull(), parsed).otherwise(failure)
+    return F.coalesce(parsed, failure)
 
 
 def decode_list(c: Column | str) -> Column:
@@ -223,36 +227,19 @@ def merge_metadata(a: Column | str, b: Column | str, prefer: str) -> Column:
 
 # ------------------------------------------------------------------ rendering
 def fixed_text(c: Column | str, places: int) -> Column:
-    """``places`` decimals, rounded from the exact binary value, halves to even.
+    """``places`` decimals, rounded half to even from the exact binary value.
 
-    ``format_string`` rounds the shortest decimal text half up, which differs from
-    printf-style output. The product with 10**places is formed with its exact
-    rounding error, so ties are seen as they are.
+    ``format_string`` would round the shortest decimal text half up instead.
     """
-    x = F.abs(_col(c).cast("double"))
-    scale = 10.0**places
-    prod = x * F.lit(scale)
-    split = x * F.lit(134217729.0)
-    high = split - (split - x)
-    err = (high * scale - prod) + (x - high) * scale
-    base = F.floor(prod)
-    gap = prod - base - F.lit(0.5)
-    up = (gap > 0) | ((gap == 0) & ((err > 0) | ((err == 0) & (base % 2 == 1))))
-    # A product rounded up onto an integer belongs to the integer below when err < 0.
-    n = base + F.when(up, 1).otherwise(0)
-    whole = F.floor(n / F.lit(int(scale))).cast("bigint")
-    rest = (n - whole * int(scale)).cast("bigint")
-    sign = F.when(_col(c) < 0, "-").otherwise("")
-    tail = F.concat(F.lit("."), F.lpad(rest.cast("string"), places, "0")) if places else F.lit("")
-    exact = F.concat(sign, whole.cast("string"), tail)
-    return F.when(x < 1e12, exact).otherwise(F.format_string(f"%.{places}f", _col(c).cast("double")))
+    pattern = "0." + "0" * places if places else "0"
+    return F.call_function("format_number", _col(c).cast("double"), F.lit(pattern))
 
 
 def render_number(c: Column | str) -> Column:
     """Three decimals without trailing zeros; non-finite becomes empty."""
     x = _col(c).cast("double")
-    finite = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
-    return F.when(finite, F.regexp_replace(fixed_text(x, 3), r"\.?0+$", "")).otherwise("")
+    finite = F.abs(x) < F.lit(float("inf"))
+    return F.when(finite, F.call_function("format_number", x, F.lit("0.###"))).otherwise("")
 
 
 def repair_quoted_number(c: Column | str) -> Column:

@@ -44,34 +44,27 @@ PAIRED_CDR_KEYS = {
 
 # ------------------------------------------------------------------ projection
 def binder_type(doc: Column | str) -> Column:
-    held = lambda key: F.nullif(F.try_element_at(_c(doc), F.lit(key)), F.lit(""))
-    return F.coalesce(
-        held("binder_type"),
-        F.when(held("binder_scaffold").isNotNull(), S.binder_code(held("binder_scaffold"))),
-        F.when(held("binder_name").isNotNull(), S.binder_code(held("binder_name"))),
-        F.lit("binder"),
-    )
+    get = lambda key: F.try_element_at(_c(doc), F.lit(key))
+    code = lambda key: F.when(get(key) != "", S.binder_code(get(key)))
+    return S.nonblank(get("binder_type"), code("binder_scaffold"), code("binder_name"), F.lit("binder"))
 
 
 def binder_scaffold(doc: Column | str, kind: Column) -> Column:
-    value = F.nullif(F.try_element_at(_c(doc), F.lit("binder_scaffold")), F.lit(""))
-    norm = F.lower(F.trim(kind))
-    return F.coalesce(
-        F.lower(F.trim(value)),
-        F.when(norm.isin("mp", "miniprotein", "minibinder"), "miniprotein"),
-        F.nullif(norm, F.lit("")),
-        F.lit("binder"),
-    )
+    value = F.lower(F.trim(F.try_element_at(_c(doc), F.lit("binder_scaffold"))))
+    plain = F.regexp_replace(F.lower(F.trim(kind)), "^(mp|minibinder)$", "miniprotein")
+    return S.nonblank(value, plain, F.lit("binder"))
 
 
 def cdr_columns(cdr: Column, kind: Column) -> dict[str, Column]:
-    """Three columns for single-domain binders, six for paired ones; blanks are NULL."""
-    get = lambda key: F.nullif(F.try_element_at(cdr, F.lit(key)), F.lit(""))
+    """Three columns for single-domain binders, six for paired ones; blanks are NULL.
+
+    ``cdr`` and ``kind`` should be plain columns: they are read once per output.
+    """
     out = {}
-    for name, keys in VHH_CDR_KEYS.items():
-        out[name] = F.when(kind == "vhh", F.coalesce(*[get(k) for k in keys]))
-    for name, keys in PAIRED_CDR_KEYS.items():
-        out[name] = F.when(kind != "vhh", F.coalesce(*[get(k) for k in keys]))
+    for single, table in ((True, VHH_CDR_KEYS), (False, PAIRED_CDR_KEYS)):
+        for name, keys in table.items():
+            wanted = (kind == "vhh") if single else (kind != "vhh")
+            out[name] = F.when(wanted, S.nonblank(*[F.try_element_at(cdr, F.lit(k)) for k in keys]))
     return out
 
 
@@ -83,14 +76,12 @@ def metric_rows(joined: DataFrame) -> DataFrame:
     d, c = F.col("__d"), F.col("__c")
     get = lambda doc, key: F.try_element_at(doc, F.lit(key))
     held = lambda key: F.coalesce(F.map_contains_key(c, key), F.lit(False))
-    typed = docs.withColumn("binder_type", binder_type("__d"))
-    kind = F.col("binder_type")
-    cdr = F.from_json(get(d, "cdr_sequences"), S.JSON_MAP)
-    satisfaction = S.first_present(c, None, SATISFACTION_KEYS)
-    satisfaction = F.when(
-        F.exists(F.array(*[F.lit(k) for k in SATISFACTION_KEYS]), lambda k: F.coalesce(F.map_contains_key(c, k), F.lit(False))),
-        satisfaction,
-    ).otherwise(F.col("hotspot_satisfaction").cast("string"))
+    typed = docs.withColumn("binder_type", binder_type("__d")).withColumn(
+        "__cdr", F.from_json(get(d, "cdr_sequences"), S.JSON_MAP)
+    )
+    kind, cdr = F.col("binder_type"), F.col("__cdr")
+    ledger = F.create_map(F.lit("hotspot_satisfaction"), F.col("hotspot_satisfaction").cast("string"))
+    satisfaction = S.first_present(c, ledger, SATISFACTION_KEYS)
     return typed.select(
         "candidate_id",
         get(d, "target_name").alias("target_name"),
@@ -102,7 +93,7 @@ def metric_rows(joined: DataFrame) -> DataFrame:
         "designed_sequence",
         *[v.alias(k) for k, v in cdr_columns(cdr, kind).items()],
         F.length("designed_sequence").alias("binder_length"),
-        F.coalesce(F.nullif(F.col("binder_chain_id"), F.lit("")), get(d, "binder_chain_id")).alias("binder_chain_id"),
+        S.nonblank("binder_chain_id", get(d, "binder_chain_id")).alias("binder_chain_id"),
         "sequence_path",
         "critic_name",
         "structure_path",
@@ -189,12 +180,13 @@ def validator_gate(df: DataFrame, min_iptm: float | None, min_ipsae: float | Non
         if floor is not None:
             text = F.concat(F.lit(f"{name} "), S.fixed_text(col, 4), F.lit(f" below threshold {floor:.4f}"))
             reasons.append(F.when(col < floor, text))
-    listed = F.array_compact(F.array(*reasons))
+    df = df.withColumn("__reasons", F.array_compact(F.array(*reasons)))
+    listed = F.col("__reasons")
     ipsae_pass = F.lit(None).cast("boolean") if min_ipsae is None else F.coalesce(ipsae >= min_ipsae, F.lit(False))
     return df.select(
-        "*",
+        *[c for c in df.columns if c != "__reasons"],
         (F.size(listed) == 0).alias("gate_passed"),
-        F.nullif(F.array_join(listed, "; "), F.lit("")).alias("fail_reason"),
+        F.when(F.size(listed) > 0, F.array_join(listed, "; ")).alias("fail_reason"),
         ipsae_pass.alias("ipsae_pass"),
     )
 
@@ -254,11 +246,12 @@ def ranking_eligibility(df: DataFrame, cfg: RankingConfig) -> DataFrame:
     if gate is not None:
         text = F.concat(F.lit("binder CA RMSD "), S.fixed_text(rmsd, 3), F.lit(f" exceeds {gate:.3f} angstrom"))
         reasons.append(F.when(rmsd > gate, text))
-    listed = F.array_compact(F.array(*reasons))
+    df = df.withColumn("__reasons", F.array_compact(F.array(*reasons)))
+    listed = F.col("__reasons")
     return df.select(
-        "*",
+        *[c for c in df.columns if c != "__reasons"],
         (F.size(listed) == 0).alias("ranking_eligible"),
-        F.nullif(F.array_join(listed, "; "), F.lit("")).alias("ranking_exclusion_reason"),
+        F.when(F.size(listed) > 0, F.array_join(listed, "; ")).alias("ranking_exclusion_reason"),
         rmsd_pass.alias("rmsd_pass"),
     )
 

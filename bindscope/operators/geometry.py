@@ -47,7 +47,11 @@ def match_chains(src: DataFrame, dst: DataFrame, by: str) -> DataFrame:
     """Pair target chains in source order: the first unused equal sequence, else the
     smallest length difference (the first on ties). One structure's chains per group."""
 
+    names = [by, "chain", "chain_order", "sequence"]
+
     def pair_up(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        # A chain column folded to a constant arrives without its name.
+        left, right = (df.set_axis(names, axis=1) for df in (left, right))
         unused = list(right.sort_values("chain_order")[["chain", "sequence"]].itertuples(index=False))
         rows = []
         for row in left.sort_values("chain_order").itertuples(index=False):

@@ -1,11 +1,272 @@
-"""Registers, chains and residue selections."""
+"""Registers, chains, residue selections and index runs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import string
+from collections.abc import Sequence
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+CHAIN_ALPHABET = string.ascii_uppercase + string.ascii_lowercase + string.digits
+
 
 def heavy_atoms(atoms: DataFrame, element: str = "element", name: str = "atom_name") -> DataFrame:
     hydrogen = F.upper(F.col(element)).isin("H", "D") | F.upper(F.col(name)).startswith("H")
     return atoms.filter(~F.coalesce(hydrogen, F.lit(False)))
+
+
+# ----------------------------------------------------------------- selections
+def _matches(residues: DataFrame, selectors: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Residue hits per selector under both numberings. Exact texts and ranges are two
+    joins on the structure keys; a range compares numbers only inside its own chain."""
+    text = F.trim("selector")
+    ranged = text.contains("-") & ~text.startswith("-")
+    bounds = F.split(text, "-", 2)
+    sel = selectors.select(
+        *by, "selector_id", text.alias("__text"), ranged.alias("__ranged"),
+        F.when(ranged, F.trim(F.get(bounds, F.lit(0))).try_cast("int")).alias("__lo"),
+        F.when(ranged, F.trim(F.get(bounds, F.lit(1))).try_cast("int")).alias("__hi"),
+    )
+    res = residues.select(
+        *by, "index", F.concat("auth_seq_id", F.coalesce("ins_code", F.lit(""))).alias("__auth"),
+        F.col("auth_seq_id").try_cast("int").alias("__auth_n"), F.col("label_seq_id").alias("__label"),
+        F.col("label_seq_id").try_cast("int").alias("__label_n"),
+    )
+    names = [*by, "selector_id", "index", "numbering"]
+    pick = lambda df, kind: df.withColumn("numbering", F.lit(kind)).select(*names)
+    exact, span = sel.filter(~F.col("__ranged")), sel.filter("__ranged")
+    out = pick(exact.join(res, [*by]).filter(F.col("__auth") == F.col("__text")), "auth")
+    out = out.unionByName(pick(exact.join(res, [*by]).filter(F.col("__label") == F.col("__text")), "label"))
+    inside = span.join(res, [*by])
+    out = out.unionByName(pick(inside.filter("__auth_n between __lo and __hi"), "auth"))
+    return out.unionByName(pick(inside.filter("__label_n between __lo and __hi"), "label"))
+
+
+def select_residues(residues: DataFrame, selectors: DataFrame, indexing: str = "auto", by: Sequence[str] = ("structure_id", "chain")) -> DataFrame:
+    """One row per selector and matched residue; ``status`` is ``ok``, ``ambiguous``
+    (both numberings match different residues under ``auto``) or ``unmatched``.
+
+    ``residues`` needs index, auth_seq_id, ins_code, label_seq_id; ``selectors`` needs
+    selector_id and selector.
+    """
+    if indexing not in ("auto", "auth_seq_id", "label_seq_id"):
+        raise ValueError("indexing must be auto, auth_seq_id or label_seq_id")
+    hits = _matches(residues, selectors, by)
+    if indexing != "auto":
+        hits = hits.filter(F.col("numbering") == indexing.split("_")[0])
+    keys = [*by, "selector_id"]
+    sets = hits.groupBy(*keys).agg(
+        F.array_sort(F.collect_set(F.when(F.col("numbering") == "auth", F.col("index")))).alias("a"),
+        F.array_sort(F.collect_set(F.when(F.col("numbering") == "label", F.col("index")))).alias("l"),
+    )
+    both = (F.size("a") > 0) & (F.size("l") > 0) & (F.col("a") != F.col("l"))
+    chosen = F.when(F.size("a") > 0, F.col("a")).otherwise(F.col("l"))
+    verdict = selectors.select(*keys).join(sets, keys, "left").select(
+        *keys, F.when(F.col("a").isNull(), "unmatched").when(both, "ambiguous").otherwise("ok").alias("status"),
+        F.when(F.col("a").isNotNull() & ~both, chosen).alias("indices"),
+    )
+    return verdict.select(*keys, "status", F.explode_outer("indices").alias("index"))
+
+
+def require_selected(selected: DataFrame) -> DataFrame:
+    """Fail on selectors that are ambiguous or match nothing."""
+    text = F.concat(F.lit("selector "), F.col("selector_id").cast("string"), F.lit(": "), F.col("status"))
+    checked = F.when(F.col("status") == "ok", F.col("index")).otherwise(F.raise_error(text).cast("bigint"))
+    return selected.withColumn("index", checked)
+
+
+def select_chains(chains: DataFrame, requested: DataFrame, by: Sequence[str] = ("structure_id",)) -> DataFrame:
+    """Chain per request by canonical, author or label id, with the number of matches."""
+    names = F.array_distinct(F.array("chain_id", "auth_asym_id", "label_asym_id"))
+    held = chains.select(*by, "chain_id", F.explode(names).alias("requested"))
+    hits = requested.join(held, [*by, "requested"], "left")
+    agg = hits.groupBy(*by, "requested").agg(F.count("chain_id").alias("matches"), F.min("chain_id").alias("chain_id"))
+    status = F.when(F.col("matches") == 1, "ok").when(F.col("matches") == 0, "unknown").otherwise("ambiguous")
+    return agg.select(*by, "requested", status.alias("status"), F.when(F.col("matches") == 1, F.col("chain_id")).alias("chain_id"))
+
+
+# -------------------------------------------------------------------- registers
+def overlay_observed(register: DataFrame, observed: DataFrame, by: str = "structure_id") -> DataFrame:
+    """Full register with observed residues laid over it: by label key, else author key.
+    A different letter at a matched position is an error row (``status``)."""
+    cols = ["auth_asym_id", "auth_seq_id", "ins_code", "letter", "x", "y", "z"]
+    packed = F.struct(*cols)
+    label = observed.filter("label_seq_id is not null and label_seq_id <> ''").groupBy(by, "label_asym_id", "label_seq_id").agg(
+        F.max_by(packed, "position").alias("by_label")
+    )
+    auth = observed.filter("auth_seq_id is not null and auth_seq_id <> ''").groupBy(by, "auth_asym_id", "auth_seq_id", "ins_code").agg(
+        F.max_by(packed, "position").alias("by_auth")
+    )
+    out = register.join(label, [by, "label_asym_id", "label_seq_id"], "left").join(
+        auth, [by, "auth_asym_id", "auth_seq_id", "ins_code"], "left"
+    )
+    hit = F.coalesce("by_label", "by_auth")
+    out = out.withColumn("o", hit)
+    status = F.when(F.col("o").isNull(), "unresolved").when(F.col("o.letter") == F.col("letter"), "observed").otherwise("mismatch")
+    return out.select(
+        by, "label_asym_id", "label_seq_id", F.coalesce("o.auth_seq_id", "auth_seq_id").alias("auth_seq_id"), "letter",
+        status.alias("status"), F.col("o.x").alias("x"), F.col("o.y").alias("y"), F.col("o.z").alias("z"),
+    )
+
+
+def require_overlay(overlay: DataFrame) -> DataFrame:
+    text = F.concat(F.lit("observed residue does not match sequence metadata at "), "label_asym_id", F.lit(":"), "label_seq_id")
+    return overlay.withColumn("status", F.when(F.col("status") != "mismatch", F.col("status")).otherwise(F.raise_error(text).cast("string")))
+
+
+def embed_uniquely(observed: str, full: str) -> list[int] | None:
+    """Positions of the only embedding of ``observed`` as a subsequence of ``full``.
+
+    The leftmost and the rightmost embedding coincide exactly when there is one.
+    """
+    left, start = [], 0
+    for ch in observed:
+        at = full.find(ch, start)
+        if at < 0:
+            return None
+        left.append(at)
+        start = at + 1
+    end = len(full)
+    for k in range(len(observed) - 1, -1, -1):
+        end = full.rfind(observed[k], 0, end)
+        if end != left[k]:
+            return None
+    return left
+
+
+def align_register(residues: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Position of each observed residue in the chain's full sequence, one chain per group.
+
+    Author numbers are used as they are when all of them fit; else the embedding must be
+    unique. ``status`` is ``direct``, ``aligned`` or ``ambiguous``. Needs ordinal,
+    auth_seq_id, letter, full_sequence.
+    """
+    keys = list(by)
+
+    def place(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("ordinal")
+        full = pdf["full_sequence"].iloc[0]
+        numbers = pd.to_numeric(pdf["auth_seq_id"], errors="coerce")
+        status = "direct"
+        pos = None
+        if numbers.notna().all():
+            at = (numbers - 1).astype(int)
+            fits = at.between(0, len(full) - 1).all() and at.is_unique
+            if fits and all(full[p] == ch for p, ch in zip(at, pdf["letter"])):
+                pos = at.tolist()
+        if pos is None:
+            pos, status = embed_uniquely("".join(pdf["letter"]), full), "aligned"
+        out = pdf[[*keys, "ordinal"]].copy()
+        out["position"] = pd.array(pos if pos is not None else [None] * len(pdf), dtype="Int64")
+        out["status"] = status if pos is not None else "ambiguous"
+        return out
+
+    types = dict(residues.dtypes)
+    schema = ", ".join(f"{k} {types[k]}" for k in (*keys, "ordinal")) + ", position bigint, status string"
+    return residues.select(*keys, "ordinal", "auth_seq_id", "letter", "full_sequence").groupBy(*keys).applyInPandas(place, schema)
+
+
+def index_residues(atoms: DataFrame, by: Sequence[str], residue: Sequence[str], position: str = "position", carry: Sequence[str] = ("x", "y", "z")) -> DataFrame:
+    """0-based residue index per chain in file order; the first atom wins on duplicates."""
+    first = atoms.groupBy(*by, *residue, "atom_name").agg(F.min_by(F.struct(position, *carry), position).alias("a"))
+    opened = Window.partitionBy(*by, *residue)
+    ranked = first.withColumn("__start", F.min(f"a.{position}").over(opened))
+    order = Window.partitionBy(*by).orderBy("__start")
+    return ranked.select(
+        *by, *residue, "atom_name", (F.dense_rank().over(order) - 1).cast("bigint").alias("residue_index"),
+        *[F.col(f"a.{c}").alias(c) for c in carry],
+    )
+
+
+def canonical_chain_ids(chains: DataFrame, by: Sequence[str], source: str = "input_id", order: str = "chain_order") -> DataFrame:
+    """Second and later repeats of an id get ``_2``, ``_3``; an empty id becomes ``chain``."""
+    base = F.regexp_replace(F.coalesce(F.col(source), F.lit("")), "^$", "chain")
+    w = Window.partitionBy(*by, "__base").orderBy(order)
+    n = F.row_number().over(w)
+    out = chains.withColumn("__base", base).withColumn("__n", n)
+    name = F.when(F.col("__n") == 1, F.col("__base")).otherwise(F.concat_ws("_", "__base", F.col("__n").cast("string")))
+    return out.withColumn("canonical_chain_id", name).drop("__base", "__n")
+
+
+def chain_spans(chains: DataFrame, by: Sequence[str], order: str = "chain_order", length: str = "length") -> DataFrame:
+    """Start and end offset of each chain in the concatenated residues."""
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(length).over(w), F.lit(0))
+    return chains.withColumn("start", start.cast("bigint")).withColumn("end", (F.col("start") + F.col(length)).cast("bigint"))
+
+
+def free_chain_id(chains: DataFrame, by: str, alphabet: str = CHAIN_ALPHABET) -> DataFrame:
+    """First unused id of the 62-letter alphabet per structure."""
+    used = F.array_distinct(F.collect_list("chain"))
+    free = F.array_except(F.array(*[F.lit(ch) for ch in alphabet]), F.col("used"))
+    # At most 62 single-letter ids can matter, so only those are gathered.
+    held = chains.filter(F.col("chain").isin(*alphabet)).select(by, "chain").distinct()
+    seen = held.groupBy(by).agg(used.alias("used"))
+    ids = chains.select(by).distinct().join(seen, by, "left").withColumn("used", F.coalesce("used", F.array().cast("array<string>")))
+    return ids.select(by, F.get(free, F.lit(0)).alias("free_chain"))
+
+
+def assign_round_robin(designs: DataFrame, dim: DataFrame, index: str = "design_index", name: str = "canonical") -> DataFrame:
+    """Framework ``index mod n`` for every design. The dimension is small by contract
+    (one row per framework) and is numbered once."""
+    numbered = dim.withColumn("__slot", F.row_number().over(Window.orderBy(name)) - 1).select("__slot", F.col(name).alias("framework"))
+    n = dim.agg(F.count(F.lit(1))).scalar()
+    return designs.withColumn("__slot", F.pmod(F.col(index), n).cast("int")).join(numbered, "__slot").drop("__slot")
+
+
+# ------------------------------------------------------------------------- runs
+def index_runs(df: DataFrame, by: Sequence[str], index: str) -> DataFrame:
+    """Half-open runs [start, end) of contiguous indices."""
+    w = Window.partitionBy(*by).orderBy(index)
+    held = df.select(*by, index).distinct().withColumn("__g", F.col(index) - F.row_number().over(w))
+    runs = held.groupBy(*by, "__g").agg(F.min(index).alias("start"), (F.max(index) + 1).alias("end"))
+    return runs.select(*by, F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"))
+
+
+def runs_text(runs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Runs as ``a-b+c`` with inclusive ends."""
+    text = F.when(F.col("end") - F.col("start") == 1, F.col("start").cast("string")).otherwise(
+        F.concat_ws("-", F.col("start").cast("string"), (F.col("end") - 1).cast("string"))
+    )
+    items = F.array_sort(F.collect_list(F.struct("start", text.alias("t"))))
+    return runs.groupBy(*by).agg(F.array_join(F.transform(items, lambda x: x["t"]), "+").alias("runs"))
+
+
+def mask_runs(mask: Column | str) -> Column:
+    """Lengths of the runs of ``#`` in order."""
+    return F.transform(F.regexp_extract_all(mask, F.lit("(#+)"), F.lit(1)), lambda r: F.length(r))
+
+
+def mask_positions(sequence: Column | str, positions: Column | str) -> Column:
+    """Replace the given 0-based positions by ``#``."""
+    seq = F.col(sequence) if isinstance(sequence, str) else sequence
+    pos = F.col(positions) if isinstance(positions, str) else positions
+    chars = F.transform(F.split(seq, ""), lambda ch, i: F.when(F.array_contains(pos, i.cast("bigint")), "#").otherwise(ch))
+    return F.array_join(chars, "")
+
+
+# ------------------------------------------------------------------- report rows
+RESIDUE_MAP_FIELDS = ("structure_id", "chain", "residue_index", "residue_number", "letter", "resolved", "x", "y", "z")
+
+
+def residue_map(residues: DataFrame) -> DataFrame:
+    """Audit table as text: unresolved coordinates are empty, others have three decimals."""
+    from bindscope.functions.scalars import fixed_text
+
+    resolved = F.col("x").isNotNull()
+    coords = [F.when(resolved, fixed_text(c, 3)).otherwise("").alias(c) for c in ("x", "y", "z")]
+    return residues.select(
+        F.col("structure_id").cast("string").alias("structure_id"), "chain", F.col("residue_index").cast("string").alias("residue_index"),
+        (F.col("residue_index") + 1).cast("string").alias("residue_number"), "letter",
+        F.when(resolved, "true").otherwise("false").alias("resolved"), *coords,
+    )
+
+
+def conditioning_summary(pairs: DataFrame) -> DataFrame:
+    """Per structure and chain pair: index spans, pair count and resolved pair count."""
+    return pairs.groupBy("structure_id", "chain_i", "chain_j").agg(
+        F.min("i").alias("start_i"), (F.max("i") + 1).alias("end_i"), F.min("j").alias("start_j"), (F.max("j") + 1).alias("end_j"),
+        F.count(F.lit(1)).alias("pair_count"), F.count_if("mask").alias("resolved_pairs"),
+    )

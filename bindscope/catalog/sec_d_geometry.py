@@ -69,7 +69,10 @@ def c13(c):
     return G.pick_binder(chains, ["structure_id"], "wid", "wseq").select("structure_id", "chain")
 
 
-@query("c12_match_chains")
+@query(
+    "c12_match_chains",
+    """SELECT structure_id // 2 AS pair_id, chain AS src_chain, chain AS dst_chain FROM v_atoms WHERE structure_id % 2 = 0 GROUP BY 1, 2""",
+)
 def c12(c):
     return G.match_chains(sequences(c, False), sequences(c, True), "pair_id")
 

@@ -61,7 +61,7 @@ def h7(c):
     return c.orders.select("o_orderkey", S.canonical_hash(fields).alias("compact"), S.canonical_hash(spaced, True, 16).alias("spaced"))
 
 
-@query("h8_normalize_sequence", r"""SELECT doc_id, upper(regexp_replace(text, '[ \t\n\r\f\x0B]+', '', 'g')) AS sequence, regexp_matches(upper(regexp_replace(substr(text, 1, 4), '[ \t\n\r\f\x0B]+', '', 'g')), '^[ACDEFGHIKLMNPQRSTVWYX]+$') AS head_is_protein FROM documents""")
+@query("h8_normalize_sequence", r"""SELECT doc_id, upper(regexp_replace(replace(text, 'ß', 'ss'), '[ \t\n\r\f\x0B]+', '', 'g')) AS sequence, regexp_matches(upper(regexp_replace(substr(text, 1, 4), '[ \t\n\r\f\x0B]+', '', 'g')), '^[ACDEFGHIKLMNPQRSTVWYX]+$') AS head_is_protein FROM documents""")
 def h8(c):
     return c.documents.select("doc_id", S.normalize_sequence("text").alias("sequence"), S.is_protein(S.normalize_sequence(F.substring("text", 1, 4))).alias("head_is_protein"))
 

@@ -290,14 +290,8 @@ def ptm_kernel(pae: Column, scale: Column) -> Column:
 
 def bin_midpoints() -> Column:
     """128 bin centres: 127 boundaries from 2 to 52, closed by 1 and 57."""
-    edges = F.concat(
-        F.array(F.lit(1.0)),
-        F.transform(F.sequence(F.lit(0), F.lit(126)), lambda k: F.lit(2.0) + k * F.lit(50.0) / F.lit(126.0)),
-        F.array(F.lit(57.0)),
-    )
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(127)), lambda k: (F.get(edges, k) + F.get(edges, k + 1)) / 2.0
-    )
+    inner = lambda k: F.lit(2.0) + F.lit(50.0 / 126.0) * (k - F.lit(0.5))
+    return F.transform(F.sequence(F.lit(0), F.lit(127)), lambda k: F.when(k == 0, 1.5).when(k == 127, 54.5).otherwise(inner(k)))
 
 
 def distance_bin(c: Column | str) -> Column:

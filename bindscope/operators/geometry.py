@@ -6,7 +6,7 @@ id) and pair rows are aggregated where they are produced, never shuffled again.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -45,29 +45,30 @@ def pick_binder(chains: DataFrame, by: Sequence[str], wanted_id: str, wanted_seq
 
 def match_chains(src: DataFrame, dst: DataFrame, by: str) -> DataFrame:
     """Pair target chains in source order: the first unused equal sequence, else the
-    smallest length difference (the first on ties). One structure's chains per group."""
-
-    names = [by, "chain", "chain_order", "sequence"]
-
-    def pair_up(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        # A chain column folded to a constant arrives without its name.
-        left, right = (df.set_axis(names, axis=1) for df in (left, right))
-        unused = list(right.sort_values("chain_order")[["chain", "sequence"]].itertuples(index=False))
-        rows = []
-        for row in left.sort_values("chain_order").itertuples(index=False):
-            if not unused:
-                break
-            costs = [
-                -1 if row.sequence and cand.sequence == row.sequence else abs(len(row.sequence) - len(cand.sequence))
-                for cand in unused
-            ]
-            best = unused.pop(int(np.argmin(costs)))
-            rows.append((getattr(row, by), row.chain, best.chain))
-        return pd.DataFrame(rows, columns=[by, "src_chain", "dst_chain"])
-
-    norm = lambda df: df.select(by, "chain", "chain_order", S.alpha_sequence("sequence").alias("sequence"))
-    kind = dict(src.dtypes)[by]
-    return norm(src).groupBy(by).cogroup(norm(dst).groupBy(by)).applyInPandas(pair_up, f"{by} {kind}, src_chain string, dst_chain string")
+    smallest length difference (the first on ties).
+
+    The few chains of one structure are folded as arrays; nothing leaves the JVM.
+    """
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        item = F.struct("chain_order", "chain", S.alpha_sequence("sequence").alias("sequence"))
+        return df.groupBy(by).agg(F.array_sort(F.collect_list(item)).alias(name))
+
+    both = packed(src, "s").join(packed(dst, "d"), by)
+    start = F.struct(F.col("d").alias("unused"), F.array().cast("array<struct<src_chain:string,dst_chain:string>>").alias("pairs"))
+
+    def step(acc: Column, item: Column) -> Column:
+        gap = lambda c: F.abs(F.length(item["sequence"]) - F.length(c["sequence"]))
+        same = lambda c: (item["sequence"] != "") & (c["sequence"] == item["sequence"])
+        costs = F.transform(acc["unused"], lambda c: F.when(same(c), -1).otherwise(gap(c)))
+        at = (F.array_position(costs, F.array_min(costs)) - 1).cast("int")
+        pair = F.struct(item["chain"].alias("src_chain"), F.get(acc["unused"], at)["chain"].alias("dst_chain"))
+        taken = F.struct(
+            F.filter(acc["unused"], lambda c, i: i != at).alias("unused"), F.concat(acc["pairs"], F.array(pair)).alias("pairs")
+        )
+        return F.when(F.size(acc["unused"]) > 0, taken).otherwise(acc)
+
+    matched = both.select(by, F.aggregate("s", start, step)["pairs"].alias("pairs"))
+    return matched.select(by, F.inline("pairs"))
 
 
 def zip_atoms(a: DataFrame, b: DataFrame, by: Sequence[str], order: str) -> DataFrame:

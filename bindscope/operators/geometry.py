@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bindscope.functions import scalars as S
 
@@ -206,7 +207,7 @@ def contact_recovery(pairs: DataFrame, by: Sequence[str], cutoffs: Sequence[floa
     return pairs.groupBy(*by).agg(*aggs)
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def kabsch3(cov: pd.Series) -> pd.Series:
     """Proper rotation, row-major, from a row-major 3x3 moving-by-fixed covariance."""
     m = np.stack([np.asarray(v, dtype=float).reshape(3, 3) for v in cov])

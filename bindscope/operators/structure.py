@@ -248,20 +248,32 @@ def mask_positions(sequence: Column | str, positions: Column | str) -> Column:
 
 
 # ------------------------------------------------------------------- report rows
-RESIDUE_MAP_FIELDS = ("structure_id", "chain", "residue_index", "residue_number", "letter", "resolved", "x", "y", "z")
+# Columns of the residue audit table.
+RESIDUE_MAP_FIELDS = (
+    "canonical_chain_id", "model_residue_index_0", "sequence_1letter", "res_name", "input_chain", "input_residue",
+    "input_insertion_code", "auth_asym_id", "auth_seq_id", "pdbx_PDB_ins_code", "label_asym_id", "label_seq_id",
+    "is_observed", "sequence_source", "representative_atom", "resolved_representative_coord", "rep_x", "rep_y", "rep_z",
+)
 
 
 def residue_map(residues: DataFrame) -> DataFrame:
-    """Audit table as text: unresolved coordinates are empty, others have three decimals."""
-    from bindscope.functions.scalars import fixed_text
-
-    resolved = F.col("x").isNotNull()
-    coords = [F.when(resolved, fixed_text(c, 3)).otherwise("").alias(c) for c in ("x", "y", "z")]
-    return residues.select(
-        F.col("structure_id").cast("string").alias("structure_id"), "chain", F.col("residue_index").cast("string").alias("residue_index"),
-        (F.col("residue_index") + 1).cast("string").alias("residue_number"), "letter",
-        F.when(resolved, "true").otherwise("false").alias("resolved"), *coords,
-    )
+    """Audit table as text: missing values are empty, coordinates have three decimals."""
+    from bindscope.functions.scalars import fixed_text, render_value
+
+    held = {f.name: f.dataType for f in residues.schema.fields}
+    resolved = F.col("rep_x").isNotNull()
+    out = []
+    for name in RESIDUE_MAP_FIELDS:
+        if name.startswith("rep_"):
+            value = F.coalesce(fixed_text(name, 3), F.lit(""))
+        elif name == "resolved_representative_coord":
+            value = resolved.cast("string")
+        elif name in held:
+            value = render_value(name, held[name])
+        else:
+            value = F.lit("")
+        out.append(value.alias(name))
+    return residues.select(*out)
 
 
 def conditioning_summary(pairs: DataFrame) -> DataFrame:

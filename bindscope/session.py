@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +46,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and drop its lineage."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path inside the shared checkpoint folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/bindscope/{name}-{uuid.uuid4().hex[:12]}"

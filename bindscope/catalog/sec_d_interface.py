@@ -104,8 +104,8 @@ def d32(c):
     round(avg(lis), 6) AS lis, round(max(pdockq), 6) AS pdockq FROM asy JOIN pq USING (structure_id, chain_i, chain_j) JOIN pq2 USING (structure_id, chain_i, chain_j)
     JOIN ls USING (structure_id, chain_i, chain_j) GROUP BY 1, 2, 3""")
 def d33(c):
-    near, keys = contacts(c), list(I.PAIR)
-    full = asym(c).join(I.lis(c.v_pae), keys).join(I.pdockq(near, c.v_residues), keys).join(I.pdockq2(near, c.v_pae, c.v_residues), keys)
+    keys = list(I.PAIR)
+    full = asym(c).join(I.lis(c.v_pae), keys).join(I.contact_scores(contacts(c), c.v_residues, c.v_pae), keys)
     return I.pair_summary(full).select(
         "structure_id", "chain_a", "chain_b", *r6("ipsae", "ipsae_d0chn", "ipsae_d0dom", "iptm_d0chn", "pdockq2", "lis", "pdockq")
     )

@@ -126,4 +126,4 @@ def f4(c):
 def f5(c):
     issues = L.reconcile(c.v_candidates, c.v_critic, c.v_tasks, c.v_samples, c.v_inventory)
     keys = [F.col("kind"), F.col("path"), R.text_first("row_id")]
-    return R.add_rank(issues, keys, "position").select("kind", "path", F.coalesce("row_id", F.lit("")).alias("row_id"), "position")
+    return R.add_rank(issues, keys, "position", materialize=True).select("kind", "path", F.coalesce("row_id", F.lit("")).alias("row_id"), "position")

@@ -124,14 +124,6 @@ def symmetric_mean(df: DataFrame, value: str) -> DataFrame:
     return df.groupBy("structure_id", a, b).agg(F.avg(value).alias(value))
 
 
-def _interface_plddt(contacts: DataFrame, residues: DataFrame) -> DataFrame:
-    """Mean confidence of the distinct residues that take part in a contact, either side."""
-    ends = F.array(F.col("i"), F.col("j"))
-    touched = contacts.select(*PAIR, F.explode(ends).alias("residue")).distinct()
-    conf = residues.select("structure_id", "residue", "plddt")
-    return touched.join(conf, ["structure_id", "residue"]).groupBy(*PAIR).agg(F.avg("plddt").alias("mean_plddt"))
-
-
 def _logistic(x: Column, consts: Sequence[float]) -> Column:
     top, slope, mid, base = consts
     return F.lit(top) / (F.lit(1.0) + F.exp(F.lit(-slope) * (x - mid))) + base
@@ -143,20 +135,38 @@ def all_pairs_of_chains(residues: DataFrame) -> DataFrame:
     return chains.withColumnRenamed("chain", "chain_i").join(other, "structure_id").filter("chain_i <> chain_j")
 
 
-def pdockq(contacts: DataFrame, residues: DataFrame) -> DataFrame:
-    n = contacts.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n_pairs"))
-    scored = n.join(_interface_plddt(contacts, residues), list(PAIR))
-    scored = scored.select(*PAIR, "n_pairs", _logistic(F.col("mean_plddt") * F.log10("n_pairs"), PDOCKQ).alias("pdockq"))
+def contact_scores(contacts: DataFrame, residues: DataFrame, pae: DataFrame | None = None) -> DataFrame:
+    """Contact count, interface confidence and both docking scores per directed pair.
+
+    Contacts come in both directions, so a pair's partner side is the own side of the
+    reversed pair: one row per touched residue is enough for every figure.
+    """
+    near = contacts.select(*PAIR, "i", "j")
+    kernel = F.lit(None).cast("double")
+    if pae is not None:
+        near = near.join(pae.select("structure_id", "i", "j", "pae"), ["structure_id", "i", "j"], "left")
+        kernel = S.ptm_kernel(F.col("pae"), F.lit(10.0))
+    touched = near.groupBy(*PAIR, "i").agg(F.count(F.lit(1)).alias("n"), F.sum(kernel).alias("k"), F.count(kernel).alias("nk"))
+    conf = residues.select("structure_id", F.col("residue").alias("i"), "plddt")
+    own = touched.join(conf, ["structure_id", "i"]).groupBy(*PAIR).agg(
+        F.sum("n").alias("n_pairs"), F.try_divide(F.sum("k"), F.sum("nk")).alias("mean_ptm"), F.sum("plddt").alias("p"), F.count("plddt").alias("np")
+    )
+    both = Window.partitionBy("structure_id", F.least("chain_i", "chain_j"), F.greatest("chain_i", "chain_j"))
+    own = own.withColumn("mean_plddt", F.sum("p").over(both) / F.sum("np").over(both))
+    scored = own.select(
+        *PAIR, "n_pairs", _logistic(F.col("mean_plddt") * F.log10("n_pairs"), PDOCKQ).alias("pdockq"),
+        _logistic(F.col("mean_plddt") * F.col("mean_ptm"), PDOCKQ2).alias("pdockq2"),
+    )
     out = all_pairs_of_chains(residues).join(scored, list(PAIR), "left")
-    return out.na.fill({"n_pairs": 0, "pdockq": 0.0})
+    return out.na.fill({"n_pairs": 0, "pdockq": 0.0, "pdockq2": 0.0})
+
+
+def pdockq(contacts: DataFrame, residues: DataFrame) -> DataFrame:
+    return contact_scores(contacts, residues).select(*PAIR, "n_pairs", "pdockq")
 
 
 def pdockq2(contacts: DataFrame, pae: DataFrame, residues: DataFrame) -> DataFrame:
-    near = contacts.select(*PAIR, "i", "j").join(pae.select(*PAIR, "i", "j", "pae"), [*PAIR, "i", "j"])
-    mean = near.groupBy(*PAIR).agg(F.avg(S.ptm_kernel(F.col("pae"), F.lit(10.0))).alias("mean_ptm"))
-    scored = mean.join(_interface_plddt(contacts, residues), list(PAIR))
-    scored = scored.select(*PAIR, _logistic(F.col("mean_plddt") * F.col("mean_ptm"), PDOCKQ2).alias("pdockq2"))
-    return all_pairs_of_chains(residues).join(scored, list(PAIR), "left").na.fill({"pdockq2": 0.0})
+    return contact_scores(contacts, residues, pae).select(*PAIR, "pdockq2")
 
 
 def interface_counts(pae: DataFrame, cutoff: float, contacts: DataFrame | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,15 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is evaluated exactly once per row.
+
+    A plain projection is copied into every later filter that mentions it, so a parsed
+    document would be parsed once per mention. A one-element generator is not.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 # ---------------------------------------------------------------- identifiers
 # Each helper names its argument once: a repeated argument is evaluated again, and
 # nesting such helpers multiplies the expression tree.

@@ -70,9 +70,8 @@ def cdr_columns(cdr: Column, kind: Column) -> dict[str, Column]:
 
 def metric_rows(joined: DataFrame) -> DataFrame:
     """Report rows from completed (candidate, critic) pairs and their two JSON documents."""
-    docs = joined.withColumn("__d", S.decode_metrics("design_metrics_json", "candidate_id")).withColumn(
-        "__c", S.decode_metrics("metrics_json", F.concat_ws(":", "candidate_id", "critic_name"))
-    )
+    docs = S.once(joined, "__d", S.decode_metrics("design_metrics_json", "candidate_id"))
+    docs = S.once(docs, "__c", S.decode_metrics("metrics_json", F.concat_ws(":", "candidate_id", "critic_name")))
     d, c = F.col("__d"), F.col("__c")
     get = lambda doc, key: F.try_element_at(doc, F.lit(key))
     held = lambda key: F.coalesce(F.map_contains_key(c, key), F.lit(False))

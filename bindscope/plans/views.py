@@ -197,7 +197,7 @@ PAIRED: dict[str, tuple[str, str]] = {
         f"""SELECT {_RESIDUE},
                cast(embedding[3 * r] as double) * 20 AS x, cast(embedding[3 * r + 1] as double) * 20 AS y,
                cast(embedding[3 * r + 2] as double) * 20 AS z
-            FROM {{embeddings}} LATERAL VIEW explode(sequence(0L, 20L)) t AS r""",
+            FROM {{spread}} LATERAL VIEW explode(sequence(0L, 20L)) t AS r""",
         f"""SELECT {_RESIDUE},
                cast(embedding[3 * r + 1] as double) * 20 AS x, cast(embedding[3 * r + 2] as double) * 20 AS y,
                cast(embedding[3 * r + 3] as double) * 20 AS z
@@ -205,7 +205,7 @@ PAIRED: dict[str, tuple[str, str]] = {
     ),
     "v_residues": (
         f"""SELECT {_RESIDUE}, least(cast(100 as double), 50 + 100 * abs(cast(embedding[3 * r + 2] as double))) AS plddt
-            FROM {{embeddings}} LATERAL VIEW explode(sequence(0L, 20L)) t AS r""",
+            FROM {{spread}} LATERAL VIEW explode(sequence(0L, 20L)) t AS r""",
         f"""SELECT {_RESIDUE}, least(cast(100 as double), 50 + 100 * abs(cast(embedding[3 * r + 3] as double))) AS plddt
             FROM (SELECT vec_id, embedding, label, unnest(range(0, 21)) AS r FROM {{embeddings}}) t""",
     ),
@@ -213,7 +213,7 @@ PAIRED: dict[str, tuple[str, str]] = {
         """SELECT vec_id AS structure_id, i, j, CASE WHEN i < 11 THEN 'A' ELSE 'B' END AS chain_i,
                   CASE WHEN j < 11 THEN 'A' ELSE 'B' END AS chain_j,
                   40 * abs(cast(embedding[3 * i] as double) - cast(embedding[3 * j + 1] as double)) AS pae
-           FROM {embeddings} LATERAL VIEW explode(sequence(0L, 20L)) t AS i
+           FROM {spread} LATERAL VIEW explode(sequence(0L, 20L)) t AS i
            LATERAL VIEW explode(sequence(0L, 20L)) u AS j WHERE (i < 11) <> (j < 11)""",
         """SELECT vec_id AS structure_id, i, j, CASE WHEN i < 11 THEN 'A' ELSE 'B' END AS chain_i,
                   CASE WHEN j < 11 THEN 'A' ELSE 'B' END AS chain_j,
@@ -226,7 +226,7 @@ PAIRED: dict[str, tuple[str, str]] = {
         """SELECT vec_id AS structure_id, substr('ABCD', cast(a as int) + 1, 1) AS chain_a, substr('ABCD', cast(b as int) + 1, 1) AS chain_b,
                   CASE WHEN (vec_id + a + b) % 9 = 0 THEN NULL
                        ELSE least(cast(1 as double), 4 * abs(cast(embedding[8 * a + b] as double))) END AS value
-           FROM {embeddings} LATERAL VIEW explode(sequence(0L, 3L)) t AS a
+           FROM {spread} LATERAL VIEW explode(sequence(0L, 3L)) t AS a
            LATERAL VIEW explode(sequence(0L, 3L)) u AS b WHERE a <> b""",
         """SELECT vec_id AS structure_id, substr('ABCD', cast(a as int) + 1, 1) AS chain_a, substr('ABCD', cast(b as int) + 1, 1) AS chain_b,
                   CASE WHEN (vec_id + a + b) % 9 = 0 THEN NULL
@@ -237,7 +237,7 @@ PAIRED: dict[str, tuple[str, str]] = {
     "v_logits": (
         """SELECT vec_id AS candidate_id, i, j,
                   transform(sequence(0L, 15L), b -> 10 * cast(embedding[cast((i + j + b) % 64 as int)] as double)) AS logits
-           FROM {embeddings} LATERAL VIEW explode(sequence(0L, 20L)) t AS i
+           FROM {spread} LATERAL VIEW explode(sequence(0L, 20L)) t AS i
            LATERAL VIEW explode(sequence(0L, 20L)) u AS j""",
         """SELECT vec_id AS candidate_id, i, j,
                   list_transform(range(0, 16), lambda b: 10 * cast(embedding[(i + j + b) % 64 + 1] as double)) AS logits
@@ -276,6 +276,11 @@ class Campaign:
     def _load(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name == "spread":
+            # One row becomes hundreds: spread the small rows first, so few input files do
+            # not mean few tasks.
+            n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            return self.embeddings.repartition(n, "vec_id")
         view = name if name.startswith("v_") else f"v_{name}"
         text = SHARED[view] if view in SHARED else PAIRED[view][0]
         return self.spark.sql(_dialect(text, True), **{r: getattr(self, r) for r in _refs(text)})

@@ -18,6 +18,9 @@ def local_session(cores: str = "8", app: str = "bindscope", memory: str = "20g")
         .config("spark.sql.shuffle.partitions", str(threads))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Broadcast by measured size only: estimates of derived tables are unreliable.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

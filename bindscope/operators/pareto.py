@@ -93,7 +93,7 @@ def pareto_fronts(df: DataFrame, x: str, y: str, by: Sequence[str] = (), eligibl
     usable = F.col(x).isNotNull() & F.col(y).isNotNull()
     if eligible is not None:
         usable = usable & F.coalesce(F.col(eligible), F.lit(False))
-    points = base.filter(usable).select(*keys, F.col(x).alias("x"), F.col(y).alias("y")).distinct()
+    points = cut_lineage(base.filter(usable).select(*keys, F.col(x).alias("x"), F.col(y).alias("y")).distinct())
     sizes = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     large = sizes.filter(F.col("n") > group_limit)
     if large.isEmpty():

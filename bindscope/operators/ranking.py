@@ -76,16 +76,19 @@ def add_rank(
     rank: str,
     by: Sequence[str] = (),
     buckets: int | None = None,
-    materialize: bool = False,
+    materialize: bool = True,
 ) -> DataFrame:
     """Exact ``row_number`` for few, arbitrarily large groups.
 
     Rows are cut into ordered buckets along (group, sort key). Splitters come from a
     bounded bottom-k hash sample; the rank is the row number inside the bucket plus the
     group's row count in the buckets before it. No task sees a whole group. ``keys``
-    must end in a unique tie-break. The input is read three times: with
-    ``materialize`` it is first written to the checkpoint folder, which also pins keys
-    that come from floating sums and could differ in the last bit between readings.
+    must end in a unique tie-break.
+
+    The input is read three times, so it is first written to the checkpoint folder. This
+    also pins keys that come from floating sums, which could differ in the last bit
+    between two evaluations. Pass ``materialize=False`` for an input that is a stored
+    table already.
     """
     spark = df.sparkSession
     if materialize:

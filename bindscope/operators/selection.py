@@ -122,14 +122,16 @@ def score_correlation(df: DataFrame, x: str, y: str, tie: str) -> DataFrame:
     pts = df.select(F.col(x).alias("x"), F.col(y).alias("y"), F.col(tie).alias("tie")).filter(
         "x is not null and y is not null"
     )
+    # Each rank reads its input several times, so both inputs are written first.
     ranked = R.add_rank(pts, [F.col("x"), F.col("tie")], "rx")
     ranked = R.add_rank(ranked, [F.col("y"), F.col("tie")], "ry")
     agg = ranked.agg(
-        F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("p"), F.corr("rx", "ry").alias("s"),
-        F.stddev_pop("x").alias("sx"), F.stddev_pop("y").alias("sy"),
+        F.count(F.lit(1)).alias("n"), F.covar_pop("x", "y").alias("cxy"), F.covar_pop("rx", "ry").alias("crr"),
+        *[F.stddev_pop(c).alias(f"s_{c}") for c in ("x", "y", "rx", "ry")],
     )
-    ok = (F.col("n") >= 2) & (F.col("sx") > 0) & (F.col("sy") > 0)
-    return agg.select("n", F.when(ok, F.col("p")).alias("pearson"), F.when(ok, F.col("s")).alias("spearman"))
+    ok = (F.col("n") >= 2) & (F.col("s_x") > 0) & (F.col("s_y") > 0)
+    ratio = lambda c, a, b: F.when(ok, F.try_divide(F.col(c), F.col(a) * F.col(b)))
+    return agg.select("n", ratio("cxy", "s_x", "s_y").alias("pearson"), ratio("crr", "s_rx", "s_ry").alias("spearman"))
 
 
 def scatter_points(df: DataFrame, x: str, y: str, color: str, cap: float = 20.0) -> DataFrame:

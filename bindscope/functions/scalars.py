@@ -235,20 +235,29 @@ def merge_metadata(a: Column | str, b: Column | str, prefer: str) -> Column:
 
 
 # ------------------------------------------------------------------ rendering
-def fixed_text(c: Column | str, places: int) -> Column:
-    """``places`` decimals, rounded half to even from the exact binary value.
+def _formatted(x: Column, places: int, pattern: str, strip: bool) -> Column:
+    """Number text, rounded half to even from the exact binary value.
 
-    ``format_string`` would round the shortest decimal text half up instead.
+    ``format_string`` would round the shortest decimal text half up instead. The pattern
+    formatter is exact but for one number, half a unit of the last place, which is
+    written out here.
     """
-    pattern = "0." + "0" * places if places else "0"
-    return F.call_function("format_number", _col(c).cast("double"), F.lit(pattern))
+    half = 5.0 * 10.0 ** -(places + 1)
+    text = f"{half:.{places}f}"
+    text = text.rstrip("0").rstrip(".") if strip else text
+    tiny = F.when(x < 0, f"-{text}").otherwise(text)
+    return F.when(F.abs(x) == half, tiny).otherwise(F.call_function("format_number", x, F.lit(pattern)))
+
+
+def fixed_text(c: Column | str, places: int) -> Column:
+    """Exactly ``places`` decimals."""
+    return _formatted(_col(c).cast("double"), places, "0." + "0" * places if places else "0", False)
 
 
 def render_number(c: Column | str) -> Column:
-    """Three decimals without trailing zeros; non-finite becomes empty."""
+    """At most three decimals without trailing zeros; non-finite becomes empty."""
     x = _col(c).cast("double")
-    finite = F.abs(x) < F.lit(float("inf"))
-    return F.when(finite, F.call_function("format_number", x, F.lit("0.###"))).otherwise("")
+    return F.when(F.abs(x) < F.lit(float("inf")), _formatted(x, 3, "0.###", True)).otherwise("")
 
 
 def repair_quoted_number(c: Column | str) -> Column:

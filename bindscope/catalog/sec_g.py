@@ -252,7 +252,7 @@ def k5(c):
     return Q.check_contiguous(rows, ["l_orderkey"], "l_linenumber", "num")
 
 
-@query("k6_check_hotspots_resolved", """SELECT vec_id AS structure_id, 'A' AS chain, 30 AS residue FROM embeddings""")
+@query("k6_check_hotspots_resolved", """SELECT vec_id AS structure_id, 'A' AS chain, cast(30 AS bigint) AS residue FROM embeddings""")
 def k6(c):
     from bindscope.catalog.sec_d_geometry import hotspots
 

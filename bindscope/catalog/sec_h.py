@@ -81,7 +81,7 @@ def h9(c):
 
 
 @query("h10_extract_by_template", """SELECT o_orderkey, regexp_extract(s, 'A([A-Z]{2,5})D([A-Z]{1,9})F', 1) AS cdr1, regexp_extract(s, 'A([A-Z]{2,5})D([A-Z]{1,9})F', 2) AS cdr2, 3 AS retained_length,
-    instr(s, regexp_extract(s, 'A([A-Z]{2,5})D([A-Z]{1,9})F', 0)) AS match_start FROM (SELECT o_orderkey, translate(md5(o_orderkey::varchar), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS s FROM orders) WHERE regexp_matches(s, 'A([A-Z]{2,5})D([A-Z]{1,9})F')""")
+    cast(instr(s, regexp_extract(s, 'A([A-Z]{2,5})D([A-Z]{1,9})F', 0)) AS int) AS match_start FROM (SELECT o_orderkey, translate(md5(o_orderkey::varchar), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS s FROM orders) WHERE regexp_matches(s, 'A([A-Z]{2,5})D([A-Z]{1,9})F')""")
 def h10(c):
     seqs = c.orders.select("o_orderkey", F.translate(F.md5(F.col("o_orderkey").cast("string")), "0123456789abcdef", "ACDEFGHIKLMNPQRS").alias("sequence"))
     return A.extract_by_template(seqs, "A{cdr1}D{cdr2}F", {"cdr1": (2, 5), "cdr2": (1, 9)}).select("o_orderkey", "cdr1", "cdr2", "retained_length", "match_start")

@@ -85,10 +85,17 @@ def blocked_counts(tasks: DataFrame, deps: DataFrame, jobs: DataFrame) -> DataFr
 
 def job_failures(jobs: DataFrame, deps: DataFrame) -> DataFrame:
     """Failed jobs with their dependent candidates, one row per pair: a job shared by a
-    large part of the campaign never becomes one row."""
-    failed = jobs.filter("status = 'failed'").select("msa_job_id", "scope", "error_message", "completed_at")
-    out = failed.join(deps.select("msa_job_id", "candidate_id"), "msa_job_id", "left")
-    return out.withColumn("error_message", F.coalesce("error_message", F.lit("")))
+    large part of the campaign never becomes one row.
+
+    Pairs come from an inner join, whose crowded side can be split at run time; jobs
+    without dependents are added by an anti join.
+    """
+    failed = jobs.filter("status = 'failed'").select(
+        "msa_job_id", "scope", F.coalesce("error_message", F.lit("")).alias("error_message"), "completed_at"
+    )
+    pairs = failed.join(deps.select("msa_job_id", "candidate_id"), "msa_job_id")
+    lonely = failed.join(deps.select("msa_job_id").distinct(), "msa_job_id", "left_anti")
+    return pairs.unionByName(lonely.withColumn("candidate_id", F.lit(None).cast("string")))
 
 
 def _refs(df: DataFrame, table: str, row_id: Column, path: str, kind: str) -> DataFrame:

@@ -208,12 +208,18 @@ def free_chain_id(chains: DataFrame, by: str, alphabet: str = CHAIN_ALPHABET) ->
     return ids.select(by, F.get(free, F.lit(0)).alias("free_chain"))
 
 
-def assign_round_robin(designs: DataFrame, dim: DataFrame, index: str = "design_index", name: str = "canonical") -> DataFrame:
-    """Framework ``index mod n`` for every design. The dimension is small by contract
-    (one row per framework) and is numbered once."""
-    numbered = dim.withColumn("__slot", F.row_number().over(Window.orderBy(name)) - 1).select("__slot", F.col(name).alias("framework"))
-    n = dim.agg(F.count(F.lit(1))).scalar()
-    return designs.withColumn("__slot", F.pmod(F.col(index), n).cast("int")).join(numbered, "__slot").drop("__slot")
+def assign_round_robin(designs: DataFrame, dim: DataFrame, index: str = "design_index", name: str = "canonical", limit: int = 10_000) -> DataFrame:
+    """Framework ``index mod n`` for every design.
+
+    The panel becomes one array, looked up by position: a join on so few slots would pile
+    the designs up in as many tasks. A panel above ``limit`` names is refused.
+    """
+    listed = dim.select(name).distinct().limit(limit + 1).agg(F.array_sort(F.collect_list(name)).alias("names"))
+    too_many = F.raise_error(F.lit(f"more than {limit} frameworks")).cast("array<string>")
+    names = listed.select(F.when(F.size("names") <= limit, F.col("names")).otherwise(too_many)).scalar()
+    out = designs.withColumn("__names", names)
+    slot = F.pmod(F.col(index), F.size("__names")).cast("int")
+    return out.withColumn("framework", F.get("__names", slot)).drop("__names")
 
 
 # ------------------------------------------------------------------------- runs

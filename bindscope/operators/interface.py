@@ -217,10 +217,14 @@ MATRIX_KEYS = ("chain_pair_iptm", "chain_pair_ipTM", "chain_pair_interface_iptm"
 def normalise_matrix(df: DataFrame, row_id: str, json_col: str, keys: Sequence[str] = MATRIX_KEYS) -> DataFrame:
     """Long (row, column, value) table from the first usable key; rows may be lists or
     objects with numeric names."""
-    doc = F.from_json(F.col(json_col), S.JSON_MAP)
-    picked = S.nonblank(*[F.try_element_at("__doc", F.lit(k)) for k in keys])
-    source = F.array_compact(F.array(*[F.when(F.try_element_at("__doc", F.lit(k)).isNotNull(), F.lit(k)) for k in keys]))
-    base = df.select(row_id, doc.alias("__doc")).select(row_id, picked.alias("m"), F.get(source, F.lit(0)).alias("source_key"))
+    # Usable: a list of lists, or an object with a numeric name.
+    def usable(key: str) -> Column:
+        value = F.try_element_at("__doc", F.lit(key))
+        return F.when(value.rlike(r"^\s*\[\s*(\[|\])") | value.rlike(r'^\s*\{(.*,)?\s*"\d+"\s*:'), F.struct(F.lit(key).alias("k"), value.alias("m")))
+
+    docs = df.select(row_id, F.from_json(F.col(json_col), S.JSON_MAP).alias("__doc"))
+    base = docs.select(row_id, F.coalesce(*[usable(k) for k in keys]).alias("u"))
+    base = base.select(row_id, F.col("u.m").alias("m"), F.col("u.k").alias("source_key"))
     # Objects and lists both become (index, text) entries.
     def entries(c: Column) -> Column:
         listed = F.from_json(c, "array<string>")

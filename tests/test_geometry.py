@@ -148,3 +148,26 @@ def test_contact_loss_counts_rows_without_columns(spark):
     w = np.exp([0.0, 1.0, 1.0])
     px, lp = w[:2] / w[:2].sum(), np.log(w / w.sum())[:2]
     assert out.v == pytest.approx(-(px * lp).sum() / (1 + 1e-8) / (2 + 1e-8))
+
+
+def test_matrix_takes_the_first_usable_key(spark):
+    docs = [
+        (1, '{"chain_pair_iptm": 0.5, "chain_pair_ipTM": [[0, 0.7], [0.6, null]]}'),
+        (2, '{"chain_pair_iptm": {"x": 1}, "chain_pair_interface_iptm": {"0": {"1": 0.4}, "1": [0.3, 0.2]}}'),
+        (3, '{"other": [[1]]}'),
+    ]
+    df = spark.createDataFrame(docs, "id int, doc string")
+    got = sorted((r.id, r.source_key, r.i, r.j, r.value) for r in I.normalise_matrix(df, "id", "doc").filter("value is not null").collect())
+    assert got == [
+        (1, "chain_pair_ipTM", 0, 0, 0.0), (1, "chain_pair_ipTM", 0, 1, 0.7), (1, "chain_pair_ipTM", 1, 0, 0.6),
+        (2, "chain_pair_interface_iptm", 0, 1, 0.4), (2, "chain_pair_interface_iptm", 1, 0, 0.3), (2, "chain_pair_interface_iptm", 1, 1, 0.2),
+    ]
+
+
+def test_weighted_binder_target_score(spark):
+    matrix = spark.createDataFrame([(1, "D", "A", 0.8), (1, "A", "D", 0.6), (1, "D", "B", 0.2), (1, "B", "D", None)], "structure_id bigint, chain_a string, chain_b string, value double")
+    roles = spark.createDataFrame([(1, "A", "target", 30), (1, "B", "target", 10), (1, "D", "binder", 5)], "structure_id bigint, chain string, role string, length int")
+    whole = spark.createDataFrame([(1, 0.5), (2, 0.4)], "structure_id bigint, complex_iptm double")
+    out = {r.structure_id: r for r in I.binder_target_iptm(matrix, roles, whole).collect()}
+    assert out[1].binder_target_iptm == pytest.approx((0.7 * 30 + 0.2 * 10) / 40) and out[1].binder_target_iptm_unweighted == pytest.approx(0.45)
+    assert (out[2].iptm, out[2].iptm_scope) == (0.4, "complex")

@@ -151,7 +151,7 @@ def c18(c):
 @query(
     "c19_template_available",
     """WITH t AS (SELECT l_orderkey AS k, l_linenumber AS o, CASE WHEN l_orderkey % 4 = 0 THEN '' ELSE ' ' || lower(min(l_returnflag)) END AS s FROM lineitem GROUP BY 1, 2),
-       w AS (SELECT l_orderkey AS k, l_linenumber AS o, max(l_returnflag) AS s FROM lineitem WHERE l_orderkey % 9 <> 0 OR l_linenumber < 3 GROUP BY 1, 2)
+       w AS (SELECT l_orderkey AS k, l_linenumber AS o, max(l_returnflag) AS s FROM lineitem WHERE l_linestatus = 'O' OR l_linenumber < 3 GROUP BY 1, 2)
        SELECT coalesce(t.k, w.k) AS target, bool_and(t.k IS NOT NULL AND w.k IS NOT NULL AND (t.s = '' OR upper(trim(t.s)) = w.s)) AS available
        FROM t FULL JOIN w ON t.k = w.k AND t.o = w.o GROUP BY 1""",
 )
@@ -161,7 +161,7 @@ def c19(c):
     t = li.groupBy(*key).agg(F.min("l_returnflag").alias("s")).select(
         "target", "ordinal", F.when(F.col("target") % 4 == 0, "").otherwise(F.concat(F.lit(" "), F.lower("s"))).alias("sequence")
     )
-    w = li.filter("l_orderkey % 9 <> 0 or l_linenumber < 3").groupBy(*key).agg(F.max("l_returnflag").alias("sequence"))
+    w = li.filter("l_linestatus = 'O' or l_linenumber < 3").groupBy(*key).agg(F.max("l_returnflag").alias("sequence"))
     return L.template_available(t, w, ["target"])
 
 

@@ -118,12 +118,12 @@ def d20(c):
 
 
 @query("d21_representative_atoms", """WITH a AS (SELECT structure_id, residue // 2 AS residue, CASE WHEN residue % 2 = 0 THEN 'CA' ELSE 'CB' END AS atom_name,
-      CASE WHEN (structure_id + residue // 2) % 4 = 0 THEN 'GLY' ELSE 'LEU' END AS res_name, x FROM v_atoms WHERE residue < 20),
+      CASE WHEN (structure_id + residue // 2) % 4 = 0 THEN 'GLY' ELSE 'LEU' END AS res_name, x FROM v_atoms),
     k AS (SELECT *, row_number() OVER (PARTITION BY structure_id, residue ORDER BY CASE WHEN atom_name = 'CB' AND res_name <> 'GLY' THEN 0 WHEN atom_name = 'CA' THEN 1 ELSE 9 END) AS rn FROM a)
     SELECT structure_id, residue, atom_name, x FROM k WHERE rn = 1""")
 def d21(c):
     half = F.floor(F.col("residue") / 2).cast("bigint")
-    atoms = c.v_atoms.filter("residue < 20").select(
+    atoms = c.v_atoms.select(
         "structure_id", half.alias("residue"), F.when(F.col("residue") % 2 == 0, "CA").otherwise("CB").alias("atom_name"),
         F.when((F.col("structure_id") + half) % 4 == 0, "GLY").otherwise("LEU").alias("res_name"), "x", "y", "z",
     )

@@ -143,14 +143,21 @@ def b18(c):
     return T.select_chains(chains, req)
 
 
+ALPHABET = "ACDEFGHIKLMNPQRSTVWYX"
+
+
 def _letters(c):
-    letter = F.substring(F.lit("ACDEFGHIKLMNPQRSTVWY"), (F.col("residue") + 1).cast("int"), F.lit(1))
-    return c.v_atoms.filter("residue < 20").withColumn("letter", letter)
+    letter = F.substring(F.lit(ALPHABET), (F.col("residue") + 1).cast("int"), F.lit(1))
+    return c.v_atoms.withColumn("letter", letter)
+
+
+# A residue counts as observed when it lies below this height.
+OBSERVED = "z < 2"
 
 
-@query("c11_overlay_observed", """WITH r AS (SELECT structure_id, 'A' AS la, residue + 1 AS ls, substr('ACDEFGHIKLMNPQRSTVWY', (residue + 1)::int, 1) AS letter, x FROM v_atoms WHERE residue < 20)
-    SELECT structure_id, cast(ls AS varchar) AS label_seq_id, letter, CASE WHEN ls % 4 = 0 THEN 'unresolved' WHEN ls % 9 = 0 THEN 'mismatch' ELSE 'observed' END AS status,
-    CASE WHEN ls % 4 <> 0 THEN x END AS x FROM r""")
+@query("c11_overlay_observed", """WITH r AS (SELECT structure_id, 'A' AS la, residue + 1 AS ls, substr('ACDEFGHIKLMNPQRSTVWYX', (residue + 1)::int, 1) AS letter, x, z FROM v_atoms)
+    SELECT structure_id, cast(ls AS varchar) AS label_seq_id, letter, CASE WHEN NOT z < 2 THEN 'unresolved' WHEN ls % 9 = 0 THEN 'mismatch' ELSE 'observed' END AS status,
+    CASE WHEN z < 2 THEN x END AS x FROM r""")
 def c11(c):
     base = _letters(c).withColumn("n", F.col("residue") + 1)
     register = base.select(
@@ -158,19 +165,19 @@ def c11(c):
         (F.col("n") + 500).cast("string").alias("auth_seq_id"), F.lit("").alias("ins_code"), "letter",
     )
     by_label = F.col("n") % 2 == 1
-    observed = base.filter("n % 4 <> 0").select(
+    observed = base.filter(OBSERVED).select(
         "structure_id", F.lit("A").alias("label_asym_id"), F.when(by_label, F.col("n").cast("string")).otherwise("").alias("label_seq_id"),
         F.lit("H").alias("auth_asym_id"), F.when(~by_label, (F.col("n") + 500).cast("string")).otherwise("").alias("auth_seq_id"),
-        F.lit("").alias("ins_code"), F.when(F.col("n") % 9 == 0, "X").otherwise(F.col("letter")).alias("letter"), F.col("n").alias("position"), "x", "y", "z",
+        F.lit("").alias("ins_code"), F.when(F.col("n") % 9 == 0, "Z").otherwise(F.col("letter")).alias("letter"), F.col("n").alias("position"), "x", "y", "z",
     )
     return T.overlay_observed(register, observed).select("structure_id", "label_seq_id", "letter", "status", "x")
 
 
 @query("j3_align_register", """SELECT structure_id, residue AS ordinal, cast(residue AS bigint) AS position, CASE WHEN structure_id % 2 = 0 THEN 'direct' ELSE 'aligned' END AS status
-    FROM v_atoms WHERE residue < 20 AND (structure_id + residue) % 4 <> 0""")
+    FROM v_atoms WHERE z < 2""")
 def j3(c):
-    rows = _letters(c).filter("(structure_id + residue) % 4 <> 0").select(
-        "structure_id", F.col("residue").alias("ordinal"), "letter", F.lit("ACDEFGHIKLMNPQRSTVWY").alias("full_sequence"),
+    rows = _letters(c).filter(OBSERVED).select(
+        "structure_id", F.col("residue").alias("ordinal"), "letter", F.lit(ALPHABET).alias("full_sequence"),
         F.when(F.col("structure_id") % 2 == 0, (F.col("residue") + 1).cast("string")).otherwise("?").alias("auth_seq_id"),
     )
     return T.align_register(rows, ["structure_id"])

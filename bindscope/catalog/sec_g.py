@@ -20,22 +20,22 @@ def now():
     return F.expr("timestamp_ntz '2024-06-01 00:00:00'")
 
 
-@query("g1_insert_new", """WITH t AS (SELECT candidate_id, status FROM v_candidates WHERE candidate_index % 3 <> 0), r AS (SELECT candidate_id, 'planned' AS status FROM v_candidates)
+@query("g1_insert_new", """WITH t AS (SELECT candidate_id, status FROM v_candidates WHERE status = 'completed'), r AS (SELECT candidate_id, 'planned' AS status FROM v_candidates)
     SELECT * FROM t UNION ALL SELECT * FROM r WHERE candidate_id NOT IN (SELECT candidate_id FROM t)""")
 def g1(c):
-    target = c.v_candidates.filter("candidate_index % 3 <> 0").select("candidate_id", "status")
+    target = c.v_candidates.filter("status = 'completed'").select("candidate_id", "status")
     return M.insert_new(target, c.v_candidates.select("candidate_id", F.lit("planned").alias("status")), ["candidate_id"])
 
 
-@query("g2_upsert_candidates", """WITH t AS (SELECT candidate_id, candidate_index, status, created_at AS started_at, 'old' AS error_message FROM v_candidates WHERE candidate_index % 3 <> 0),
-    r AS (SELECT candidate_id, -1 AS candidate_index, 'completed' AS status FROM v_candidates WHERE candidate_index % 2 = 0)
+@query("g2_upsert_candidates", """WITH t AS (SELECT candidate_id, candidate_index, status, created_at AS started_at, 'old' AS error_message FROM v_candidates WHERE framework IS NOT NULL),
+    r AS (SELECT candidate_id, -1 AS candidate_index, 'completed' AS status FROM v_candidates WHERE status = 'pending')
     SELECT candidate_id, coalesce(t.candidate_index, r.candidate_index) AS candidate_index, coalesce(r.status, t.status) AS status,
     CASE WHEN r.candidate_id IS NULL THEN t.error_message END AS error_message, strftime(t.started_at, '%Y-%m-%d') AS started FROM t FULL JOIN r USING (candidate_id)""")
 def g2(c):
-    target = c.v_candidates.filter("candidate_index % 3 <> 0").select(
+    target = c.v_candidates.filter("framework is not null").select(
         "candidate_id", "candidate_index", "status", F.col("created_at").alias("started_at"), F.lit("old").alias("error_message")
     )
-    rows = c.v_candidates.filter("candidate_index % 2 = 0").select(
+    rows = c.v_candidates.filter("status = 'pending'").select(
         "candidate_id", F.lit(-1).cast("bigint").alias("candidate_index"), F.lit("completed").alias("status"),
         F.lit(None).cast("timestamp_ntz").alias("started_at"), F.lit(None).cast("string").alias("error_message"),
     )
@@ -43,23 +43,23 @@ def g2(c):
     return out.select("candidate_id", "candidate_index", "status", "error_message", F.date_format("started_at", "yyyy-MM-dd").alias("started"))
 
 
-@query("g3_upsert_critics", """WITH t AS (SELECT candidate_id, critic_name, status, iptm, attempt_count FROM v_critic WHERE k % 3 <> 0),
-    r AS (SELECT candidate_id, critic_name, 'completed' AS status, 0.5::double AS iptm FROM v_critic WHERE k % 2 = 0)
+@query("g3_upsert_critics", """WITH t AS (SELECT candidate_id, critic_name, status, iptm, attempt_count FROM v_critic WHERE status <> 'failed'),
+    r AS (SELECT candidate_id, critic_name, 'completed' AS status, 0.5::double AS iptm FROM v_critic WHERE iptm IS NULL OR iptm < 0.4)
     SELECT candidate_id, critic_name, coalesce(r.status, t.status) AS status, CASE WHEN r.status IS NULL THEN t.iptm ELSE r.iptm END AS iptm,
     CASE WHEN r.status IS NULL THEN t.attempt_count ELSE coalesce(t.attempt_count + 1, 1) END AS attempt_count FROM t FULL JOIN r USING (candidate_id, critic_name)""")
 def g3(c):
     cols = ["candidate_id", "critic_name", "status", "iptm", "attempt_count"]
-    target = c.v_critic.filter("k % 3 <> 0").select(*cols)
-    rows = c.v_critic.filter("k % 2 = 0").select("candidate_id", "critic_name", F.lit("completed").alias("status"), F.lit(0.5).alias("iptm"))
+    target = c.v_critic.filter("status <> 'failed'").select(*cols)
+    rows = c.v_critic.filter("iptm is null or iptm < 0.4").select("candidate_id", "critic_name", F.lit("completed").alias("status"), F.lit(0.5).alias("iptm"))
     return M.upsert_critics(target, rows)
 
 
-@query("g4_upsert_samples", """WITH t AS (SELECT validation_id, structure_id, status, scoped_iptm FROM v_samples WHERE k % 3 <> 0),
-    r AS (SELECT validation_id, structure_id, 'passing' AS status, try_cast(metrics_json ->> '$.validation_iptm' AS double) AS scoped_iptm FROM v_samples WHERE k % 2 = 0)
+@query("g4_upsert_samples", """WITH t AS (SELECT validation_id, structure_id, status, scoped_iptm FROM v_samples WHERE status = 'rejected'),
+    r AS (SELECT validation_id, structure_id, 'passing' AS status, try_cast(metrics_json ->> '$.validation_iptm' AS double) AS scoped_iptm FROM v_samples WHERE ranking_score < 0.5)
     SELECT validation_id, structure_id, coalesce(r.status, t.status) AS status, CASE WHEN r.status IS NULL THEN t.scoped_iptm ELSE r.scoped_iptm END AS scoped_iptm FROM t FULL JOIN r USING (validation_id, structure_id)""")
 def g4(c):
-    target = c.v_samples.filter("k % 3 <> 0").select("validation_id", "structure_id", "status", "scoped_iptm")
-    rows = c.v_samples.filter("k % 2 = 0").select("validation_id", "structure_id", F.lit("passing").alias("status"), "metrics_json")
+    target = c.v_samples.filter("status = 'rejected'").select("validation_id", "structure_id", "status", "scoped_iptm")
+    rows = c.v_samples.filter("ranking_score < 0.5").select("validation_id", "structure_id", F.lit("passing").alias("status"), "metrics_json")
     return M.upsert_samples(target, rows, "metrics_json", {"scoped_iptm": ("scoped_iptm", "validation_iptm", "iptm")})
 
 
@@ -99,13 +99,13 @@ def g9(c):
 
 
 # ------------------------------------------------------------------ ledger state
-@query("i1_apply_failures", f"""WITH f AS (SELECT validation_id, 'boom ' || k AS m FROM v_tasks WHERE status = 'running' AND k % 4 <> 1)
+@query("i1_apply_failures", f"""WITH f AS (SELECT validation_id, 'boom ' || k AS m FROM v_tasks WHERE status = 'running' AND model_name = 'model_o')
     SELECT t.validation_id, CASE WHEN m IS NULL THEN status WHEN attempt_count < max_attempts THEN 'pending' ELSE 'failed' END AS status,
     CASE WHEN m IS NULL THEN claim_worker_id END AS claim_worker_id, CASE WHEN m IS NOT NULL AND attempt_count >= max_attempts THEN m END AS error_message,
     strftime(CASE WHEN m IS NOT NULL AND attempt_count >= max_attempts THEN {NOW_SQL} ELSE completed_at END, '%Y-%m-%d') AS completed FROM v_tasks t LEFT JOIN f USING (validation_id)""")
 def i1(c):
     tasks = c.v_tasks.withColumn("error_message", F.lit(None).cast("string"))
-    failures = c.v_tasks.filter("status = 'running' and k % 4 <> 1").select("validation_id", F.concat(F.lit("boom "), F.col("k").cast("string")).alias("failed_message"))
+    failures = c.v_tasks.filter("status = 'running' and model_name = 'model_o'").select("validation_id", F.concat(F.lit("boom "), F.col("k").cast("string")).alias("failed_message"))
     out = ST.apply_failures(tasks, failures, "validation_id", now())
     return out.select("validation_id", "status", "claim_worker_id", "error_message", F.date_format("completed_at", "yyyy-MM-dd").alias("completed"))
 
@@ -143,39 +143,39 @@ def i4(c):
     return ST.reopen_missing(c.v_jobs, c.v_inventory).select("msa_job_id", "status", "attempt_count", "error_message")
 
 
-@query("i5_retry_failed", """WITH n AS (SELECT DISTINCT d.msa_job_id FROM v_deps d JOIN v_candidates c USING (candidate_id) WHERE c.candidate_index % 100 = 7)
+@query("i5_retry_failed", """WITH n AS (SELECT DISTINCT d.msa_job_id FROM v_deps d JOIN v_candidates c USING (candidate_id) WHERE c.framework = 'fw_3' AND c.status = 'pending')
     SELECT msa_job_id, CASE WHEN status = 'failed' AND msa_job_id IN (SELECT msa_job_id FROM n) THEN 'pending' ELSE status END AS status,
     CASE WHEN status = 'failed' AND msa_job_id IN (SELECT msa_job_id FROM n) THEN 0 ELSE attempt_count END AS attempt_count FROM v_jobs""")
 def i5(c):
-    named = c.v_candidates.filter("candidate_index % 100 = 7").select("candidate_id")
+    named = c.v_candidates.filter("framework = 'fw_3' and status = 'pending'").select("candidate_id")
     return ST.retry_failed(c.v_jobs, c.v_deps, candidate_ids=named).select("msa_job_id", "status", "attempt_count")
 
 
-_MEMBERS = "SELECT 'job_' || lpad((o_custkey % 100)::varchar, 6, '0') AS msa_job_id, translate(md5((o_orderkey % 400)::varchar), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS m, o_orderkey FROM orders"
+_MEMBERS = "SELECT 'job_' || lpad((o_custkey % 100)::varchar, 6, '0') AS msa_job_id, translate(md5((o_orderkey % 400)::varchar), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS m, o_orderkey, o_orderstatus FROM orders"
 
 
 def _members(c):
     return c.orders.select(
         F.concat(F.lit("job_"), F.lpad((F.col("o_custkey") % 100).cast("string"), 6, "0")).alias("msa_job_id"),
-        F.translate(F.md5((F.col("o_orderkey") % 400).cast("string")), "0123456789abcdef", "ACDEFGHIKLMNPQRS").alias("member_sequence"), "o_orderkey",
+        F.translate(F.md5((F.col("o_orderkey") % 400).cast("string")), "0123456789abcdef", "ACDEFGHIKLMNPQRS").alias("member_sequence"), "o_orderstatus",
     )
 
 
-@query("i6_reopen_with_members", f"""WITH m AS ({_MEMBERS}), old AS (SELECT DISTINCT msa_job_id, m FROM m WHERE o_orderkey % 2 = 0 OR msa_job_id < 'job_000050'), new AS (SELECT DISTINCT msa_job_id, m FROM m),
+@query("i6_reopen_with_members", f"""WITH m AS ({_MEMBERS}), old AS (SELECT DISTINCT msa_job_id, m FROM m WHERE o_orderstatus = 'O' OR msa_job_id < 'job_000050'), new AS (SELECT DISTINCT msa_job_id, m FROM m),
     f AS (SELECT DISTINCT msa_job_id FROM (SELECT * FROM new EXCEPT SELECT * FROM old))
     SELECT msa_job_id, CASE WHEN status = 'ready' AND msa_job_id IN (SELECT msa_job_id FROM f) THEN 'pending' ELSE status END AS status FROM v_jobs""")
 def i6(c):
     m = _members(c)
-    return A.reopen_with_members(c.v_jobs, m.filter("o_orderkey % 2 = 0 or msa_job_id < 'job_000050'"), m).select("msa_job_id", "status")
+    return A.reopen_with_members(c.v_jobs, m.filter("o_orderstatus = 'O' or msa_job_id < 'job_000050'"), m).select("msa_job_id", "status")
 
 
-@query("i7_check_completion", """SELECT validation_id, output_structure_path FROM v_tasks t WHERE status = 'completed' AND k % 31 = 0""")
+@query("i7_check_completion", """SELECT validation_id, output_structure_path FROM v_tasks t WHERE status = 'completed' AND (validator_passed IS NULL OR validator_passed <> 'true')""")
 def i7(c):
     # Chosen structure: the task's own path is recorded as a sample except where dropped.
-    recorded = c.v_tasks.filter("k % 31 <> 0").select(
+    recorded = c.v_tasks.filter("validator_passed = 'true'").select(
         "validation_id", F.col("output_structure_path").alias("structure_path"), F.lit("passing").alias("status"), F.lit('{"iptm":1}').alias("metrics_json")
     )
-    empty = c.v_tasks.filter("k % 31 = 0").select(
+    empty = c.v_tasks.filter("validator_passed is null or validator_passed <> 'true'").select(
         "validation_id", F.col("output_structure_path").alias("structure_path"), F.lit("rejected").alias("status"), F.lit("{}").alias("metrics_json")
     )
     return ST.check_completion(c.v_tasks, recorded.unionByName(empty))

@@ -6,15 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bindscope.llm import ngram_join
+from bindscope.llm import decontaminate, ngram_join, packing, quality, secrets
 from bindscope.llm.shared import table
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, folder, "documents"), n=3, threshold=90)
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(table(spark, folder, "documents"))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("items")
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), with_ids=False)
+
+
+def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op8_packing": op8_packing,
+    "op9_secret_scans": op9_secret_scans,
 }
 ORACLES: dict[str, str] = {}

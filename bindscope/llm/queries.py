@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bindscope.llm import decontaminate, ngram_join, packing, quality, secrets
+from bindscope.llm import decontaminate, ngram_join, packing, quality, repeats, secrets, suffix_tree, token_files, toxicity, warc
 from bindscope.llm.shared import table
+from bindscope.session import scratch
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,6 +21,14 @@ def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, folder, "documents"), n=3, threshold=90)
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.dedup_substrings(table(spark, folder, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(table(spark, folder, "documents"))
 
@@ -28,6 +37,18 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("items")
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), path, min_bytes=0)
+    return warc.read_archives(spark, path)
+
+
+def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch(spark, "token-files")
+    token_files.write_ids(table(spark, folder, "documents"), path, tokenizer_path("word_bpe_49k.json"), end=2)
+    return token_files.read_ids(spark, path, with_ids=False)
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), with_ids=False)
 
@@ -36,11 +57,20 @@ def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(table(spark, folder, "documents"))
 
 
+def op10_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree.suffix_tree_scores(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_toxicity": op2_toxicity,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_warc": op6_warc,
+    "op7_token_files": op7_token_files,
     "op8_packing": op8_packing,
     "op9_secret_scans": op9_secret_scans,
+    "op10_suffix_tree_scores": op10_suffix_tree_scores,
 }
 ORACLES: dict[str, str] = {}

@@ -26,9 +26,10 @@ def by_id(docs: DataFrame, ids: DataFrame, how: str = "left", key: str = "doc_id
     return docs.join(ids, key, how)
 
 
-def buckets(spark: SparkSession, each: int = 8) -> int:
-    """Buckets of a packed exchange: several for each shuffle partition."""
-    return each * partitions(spark)
+def buckets(spark: SparkSession) -> int:
+    """Buckets of a packed exchange: one for each shuffle partition, so that packed rows
+    number tasks times partitions at most."""
+    return partitions(spark)
 
 
 def split_by_bucket(bucket: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -38,10 +39,8 @@ def split_by_bucket(bucket: np.ndarray, count: int) -> tuple[np.ndarray, np.ndar
 
 
 def exchange(blobs: DataFrame) -> DataFrame:
-    """Deals packed rows out by ``bucket`` and brings each bucket's rows together in a
-    task, so a consumer holds one bucket at a time."""
-    n = partitions(blobs.sparkSession)
-    return blobs.repartition(n, "bucket").sortWithinPartitions("bucket")
+    """Deals each bucket's packed rows to a partition of its own."""
+    return blobs.repartitionById(buckets(blobs.sparkSession), F.col("bucket")).sortWithinPartitions("bucket")
 
 
 def grouped_rows(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.Table]]:

@@ -10,11 +10,15 @@ holds all overlaps. It is never formed whole:
    unmultiplied. Sizes are grouped in levels, and a row is cut for each level in which a
    partner may lie. Where a row leaves too many blocks empty to prove the agreement, it is
    cut again, finer (``Cuts``). Block hashes travel packed, one shuffle for all of them.
-2. *Row blocks.* Documents that agree in a block form a group; a group's rows are cut into
+2. *Rarest columns.* Short blocks may lie in a passage that many documents share. So the rows
+   left are ordered by column weight (a sketch of ``SKETCH`` counters, whatever the input), and
+   only their first |A| - need + 1 columns count: a linked pair has one of them in common.
+   The order may be any; a coarse sketch costs time, not links. Columns of one row are left out.
+3. *Row blocks.* Documents that share such a column form a group; a group's rows are cut into
    blocks of bounded size, and one task multiplies two row blocks. It adds up overlaps over
    column tiles and drops a pair as soon as its overlap and what is left of its rows can't
    reach the bound. It returns a spanning forest of the links, not the pairs.
-3. Groups of several row blocks first meet pivots (a few rows of the group) only; then the
+4. Groups of several row blocks first meet pivots (a few rows of the group) only; then the
    rows that did not join the largest component meet all rows.
 
 Rows with equal sets collapse before the product. Every linked pair is found or joined by
@@ -43,6 +47,7 @@ ROW_BLOCK = 256
 BLOCK_GRAMS = 1 << 20
 TILE = 2048
 FLUSH = 1 << 20
+SKETCH = 1 << 22
 #: Kinds of exchanged and returned rows.
 SIZE, SAME, CANDIDATE = 0, 1, 2
 BLOBS = "bucket int, kind int, keys binary, ids binary"
@@ -291,21 +296,87 @@ def jaccard_components(docs: DataFrame, n: int = 3, threshold: int = 90, doc: st
     )
     sizes = met.filter(F.col("kind") == SIZE).select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"))
     same = met.filter(F.col("kind") == SAME).select("a", "b")
-    pairs = met.filter(F.col("kind") != SIZE).select("a", "b")
+    pairs = met.filter(F.col("kind") == CANDIDATE).select("a", "b")
     links = same
-    if not met.filter(F.col("kind") == CANDIDATE).isEmpty():
-        links = same.unionAll(block_links(input_rows, shared.components(pairs), same, sizes, n, threshold))
+    if not pairs.isEmpty():
+        links = same.unionAll(block_links(input_rows, pairs, same, sizes, n, threshold))
     reached = shared.components(links).select(F.col("node").alias("doc_id"), "component")
     return sizes.join(reached, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
 
 
-def block_links(docs: DataFrame, groups: DataFrame, same: DataFrame, sizes: DataFrame, n: int, threshold: int) -> DataFrame:
-    """Links of the candidate groups, by row blocks."""
+def weigh(n: int, count: int):
+    """A task's column weights, packed by counter range: counter numbers and counts."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = np.zeros(SKETCH, np.uint32)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for grams in gram_sets(part.column(1), n)[0]:
+                    np.add.at(weight, (grams & U(SKETCH - 1)).astype(np.int64), 1)
+        used = np.flatnonzero(weight)
+        at = np.searchsorted(used, np.arange(count + 1) * SKETCH // count)
+        full = np.flatnonzero(np.diff(at))
+        yield pa.record_batch(
+            [pa.array(full, pa.int32()), pa.array(np.zeros(len(full)), pa.int32()),
+             pa.array([packed(used[at[b] : at[b + 1]].astype(np.uint32)) for b in full], pa.binary()),
+             pa.array([packed(weight[used[at[b] : at[b + 1]]]) for b in full], pa.binary())],
+            names=["bucket", "kind", "keys", "ids"],
+        )
+
+    return rows
+
+
+def add_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the counters of each range, at most 255 each."""
+    for _, part in shared.grouped_rows(batches, "bucket"):
+        keys, counts = shared.joined(part.column("keys"), np.uint32), shared.joined(part.column("ids"), np.uint32)
+        low = int(keys.min())
+        total = np.bincount(keys - low, counts)
+        yield pa.record_batch([pa.array([low], pa.int64()), pa.array([packed(np.minimum(total, 255).astype(np.uint8))], pa.binary())], names=["low", "weights"])
+
+
+def rarest(n: int, threshold: int, count: int, weight):
+    """Each row's rarest columns that it may share, packed by column."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: dict[int, list] = {SIZE: [], SAME: [], CANDIDATE: []}
+            for part in slices(batch, "text"):
+                for i, grams in zip(part.column(0).to_numpy(), gram_sets(part.column(1), n)[0]):
+                    w = weight.value[(grams & U(SKETCH - 1)).astype(np.int64)]
+                    first = np.lexsort((grams, w))[: len(grams) + threshold * len(grams) // -100 + 1]
+                    keys = grams[first[w[first] > 1]]
+                    held[CANDIDATE].append((keys, np.full(len(keys), i)))
+            yield from blobs(held, count)
+
+    return rows
+
+
+def shared_columns(rows: DataFrame, n: int, threshold: int) -> DataFrame:
+    """Stars (a, b) of the rows that share one of their rarest columns."""
+    spark = rows.sparkSession
+    count = shared.buckets(spark)
+    weight = np.zeros(SKETCH, np.uint8)
+    # The driver gets and broadcasts SKETCH bytes, whatever the input.
+    for r in shared.exchange(rows.mapInArrow(weigh(n, count), BLOBS)).mapInArrow(add_weights, "low long, weights binary").toLocalIterator():
+        part = np.frombuffer(r.weights, np.uint8)
+        weight[r.low : r.low + len(part)] = part
+    found = rows.mapInArrow(rarest(n, threshold, count, spark.sparkContext.broadcast(weight)), BLOBS)
+    return shared.cut_lineage(shared.exchange(found).mapInArrow(meet, "kind int, a long, b long").select("a", "b"))
+
+
+def block_links(docs: DataFrame, pairs: DataFrame, same: DataFrame, sizes: DataFrame, n: int, threshold: int) -> DataFrame:
+    """Links among the documents that agree with another in a block."""
     spark = docs.sparkSession
+    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
+    chosen = nodes.join(same.select(F.col("a").alias("node"), "b").distinct(), "node", "left").select(F.coalesce("b", "node").alias("doc_id")).distinct()
+    texts = scratch(spark, "ngram-rows")
+    chosen.join(docs, "doc_id").select("doc_id", "text").write.parquet(texts)
+    docs = spark.read.parquet(texts)
+    groups = shared.components(shared_columns(docs, n, threshold))
     members = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
-    members = members.join(same.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_anti")
     volume = members.join(sizes, "doc_id").groupBy("group").agg(
         F.count(F.lit(1)).alias("rows"),
         F.greatest(F.ceil(F.count(F.lit(1)) / ROW_BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_GRAMS)).cast("long").alias("blocks"),
@@ -319,10 +390,10 @@ def block_links(docs: DataFrame, groups: DataFrame, same: DataFrame, sizes: Data
     if many.isEmpty():
         return links
     # Pivots: about 16 rows a group, chosen by hash, and the group's smallest id.
-    chosen = (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("rows")) < 16) | (F.col("doc_id") == F.col("group"))
+    picked = (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("rows")) < 16) | (F.col("doc_id") == F.col("group"))
     task = F.xxhash64("group", "i", "j")
     placed = many.withColumn("i", block("doc_id", "blocks")).withColumn("j", F.lit(-1)).withColumn("side", F.lit(2))
-    pivots = many.filter(chosen).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("j", F.lit(-1)).withColumn("side", F.lit(1))
+    pivots = many.filter(picked).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("j", F.lit(-1)).withColumn("side", F.lit(1))
     first = shared.cut_lineage(multiplied(placed.unionByName(pivots).withColumn("task", task), n, threshold))
     label = shared.components(first).select(F.col("node").alias("doc_id"), F.col("component").alias("label"))
     ids = many.select("doc_id", "group").join(label, "doc_id", "left").select("doc_id", "group", F.coalesce("label", "doc_id").alias("label"))

@@ -169,8 +169,14 @@ def blobs(held: dict[int, list], count: int) -> Iterator[pa.RecordBatch]:
         ids = np.concatenate([i for _, i in held[CANDIDATE]])
         order, at = shared.split_by_bucket((keys % U(count)).astype(np.int64), count)
         keys, ids = keys[order], ids[order]
+        # 32 bits of a key are enough within its bucket: false candidates cost time only. Ids
+        # of one row share their high bits.
+        short = ((keys // U(count)) & U(0xFFFFFFFF)).astype(np.uint32)
         for b in np.flatnonzero(np.diff(at)):
-            out.append((int(b), CANDIDATE, packed(keys[at[b] : at[b + 1]]), packed(ids[at[b] : at[b + 1]])))
+            k, i = short[at[b] : at[b + 1]], ids[at[b] : at[b + 1]]
+            for high in np.unique(i >> 31):
+                own = i >> 31 == high
+                out.append((int(b), CANDIDATE, packed(k[own]), packed(high) + packed((i[own] & (2**31 - 1)).astype(np.uint32))))
     if out:
         bucket, kind, k, i = zip(*out)
         yield pa.record_batch(
@@ -198,7 +204,13 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = rows.column("kind").to_numpy()
         for kind in np.unique(kinds):
             part = rows.filter(pa.array(kinds == kind))
-            ids, keys = shared.joined(part.column("ids"), np.int64), shared.joined(part.column("keys"), np.uint64)
+            if kind == CANDIDATE:
+                keys = shared.joined(part.column("keys"), np.uint32)
+                ids = np.concatenate([
+                    (np.frombuffer(x, np.int64, 1)[0] << 31) + np.frombuffer(x, np.uint32, offset=8).astype(np.int64) for x in part.column("ids").to_pylist()
+                ])
+            else:
+                ids, keys = shared.joined(part.column("ids"), np.int64), shared.joined(part.column("keys"), np.uint64)
             if kind == SIZE:
                 a, b = keys.view(np.int64), ids
             else:
@@ -321,7 +333,7 @@ def weigh(n: int, count: int):
         yield pa.record_batch(
             [pa.array(full, pa.int32()), pa.array(np.zeros(len(full)), pa.int32()),
              pa.array([packed(used[at[b] : at[b + 1]].astype(np.uint32)) for b in full], pa.binary()),
-             pa.array([packed(weight[used[at[b] : at[b + 1]]]) for b in full], pa.binary())],
+             pa.array([packed(np.minimum(weight[used[at[b] : at[b + 1]]], 255).astype(np.uint8)) for b in full], pa.binary())],
             names=["bucket", "kind", "keys", "ids"],
         )
 
@@ -331,7 +343,7 @@ def weigh(n: int, count: int):
 def add_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the counters of each range, at most 255 each."""
     for _, part in shared.grouped_rows(batches, "bucket"):
-        keys, counts = shared.joined(part.column("keys"), np.uint32), shared.joined(part.column("ids"), np.uint32)
+        keys, counts = shared.joined(part.column("keys"), np.uint32), shared.joined(part.column("ids"), np.uint8)
         low = int(keys.min())
         total = np.bincount(keys - low, counts)
         yield pa.record_batch([pa.array([low], pa.int64()), pa.array([packed(np.minimum(total, 255).astype(np.uint8))], pa.binary())], names=["low", "weights"])
@@ -381,14 +393,13 @@ def block_links(docs: DataFrame, pairs: DataFrame, same: DataFrame, sizes: DataF
         F.count(F.lit(1)).alias("rows"),
         F.greatest(F.ceil(F.count(F.lit(1)) / ROW_BLOCK), F.ceil(F.sum("n_shingles") / BLOCK_GRAMS)).cast("long").alias("blocks"),
     ).filter("rows > 1")
-    path = scratch(spark, "ngram-groups")
-    members.join(volume, "group").join(docs, "doc_id").write.parquet(path)
-    rows = spark.read.parquet(path)
+    members = shared.cut_lineage(members.join(volume, "group"))
+    rows = members.join(docs, "doc_id")
     one = rows.filter("blocks = 1").select(F.col("group").alias("task"), F.lit(3).alias("side"), "doc_id", "text")
     links = shared.cut_lineage(multiplied(one, n, threshold))
-    many = rows.filter("blocks > 1")
-    if many.isEmpty():
+    if members.filter("blocks > 1").isEmpty():
         return links
+    many = rows.filter("blocks > 1")
     # Pivots: about 16 rows a group, chosen by hash, and the group's smallest id.
     picked = (F.pmod(F.xxhash64("doc_id", F.lit(11)), F.col("rows")) < 16) | (F.col("doc_id") == F.col("group"))
     task = F.xxhash64("group", "i", "j")

@@ -11,7 +11,9 @@ import re
 
 import numpy as np
 
-CACHE = 400_000
+#: Pieces in each of the cache's two generations; the older one goes when the newer is full.
+CACHE = 300_000
+_ENCODERS: dict[str, Encoder] = {}
 #: A space with a visible ASCII character or Latin letter on either side.
 CUT = re.compile("(?<=[\x21-\x7e\u00c0-\u024f]) (?=[\x21-\x7e\u00c0-\u024f])")
 
@@ -22,27 +24,34 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache: dict[str, list[int]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        """The worker's encoder of this file: its cache serves later tasks too."""
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
+        return _ENCODERS[path]
 
     def encode(self, texts: list[str | None], end: int) -> list[np.ndarray]:
         """Ids of each text (null: none), then ``end``."""
         cut = [self.pieces(t) for t in texts]
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
-        fresh = list({p for pieces in cut for p in pieces if p not in cache})
+        if len(self.young) > CACHE:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        fresh = []
+        for piece in set().union(*cut).difference(young):
+            if piece in old:
+                young[piece] = old[piece]
+            else:
+                fresh.append(piece)
         for at in range(0, len(fresh), 20_000):
             some = fresh[at : at + 20_000]
             for piece, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                cache[piece] = got.ids
-        out = []
-        for pieces in cut:
-            ids: list[int] = []
-            for p in pieces:
-                ids += cache[p]
-            ids.append(end)
-            out.append(np.array(ids, np.uint32))
-        return out
+                young[piece] = np.array(got.ids, "<u4").tobytes()
+        last = np.array([end], "<u4").tobytes()
+        return [np.frombuffer(b"".join([*map(young.__getitem__, pieces), last]), "<u4") for pieces in cut]
 
     @staticmethod
     def pieces(text: str | None) -> list[str]:

@@ -86,7 +86,7 @@ def padded(length: int, capacity: int) -> int:
 
 def packer(path: str, end: int, capacity: int, with_ids: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = Encoder.of(path)
         sequence = TaskContext.get().partitionId() << 40
         out: list[tuple] = []
         pool: list[tuple] = []

@@ -76,7 +76,7 @@ def decode_page(index: bytes, blocks: bytes) -> np.ndarray:
 
 def writer(path: str, end: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, page = Encoder(path), TaskContext.get().partitionId(), 0
+        encoder, shard, page = Encoder.of(path), TaskContext.get().partitionId(), 0
         docs: list[int] = []
         held: list[np.ndarray] = []
         size = 0

@@ -12,7 +12,7 @@ import re
 import numpy as np
 
 #: Pieces in each of the cache's two generations; the older one goes when the newer is full.
-CACHE = 300_000
+CACHE = 600_000
 _ENCODERS: dict[str, Encoder] = {}
 #: A space with a visible ASCII character or Latin letter on either side.
 CUT = re.compile("(?<=[\x21-\x7e\u00c0-\u024f]) (?=[\x21-\x7e\u00c0-\u024f])")

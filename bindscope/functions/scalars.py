@@ -262,7 +262,7 @@ def render_number(c: Column | str) -> Column:
 
 def repair_quoted_number(c: Column | str) -> Column:
     text = F.trim(_col(c))
-    inner = F.substring(text, 2, 1 << 20)
+    inner = F.substring(text, F.lit(2), F.length(text))
     number = F.when(text.startswith("'"), inner.try_cast("double"))
     return F.when(number.isNotNull(), render_number(number)).otherwise(_col(c))
 

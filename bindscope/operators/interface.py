@@ -247,7 +247,7 @@ def chain_pair_values(matrix: DataFrame, roles: DataFrame) -> DataFrame:
     binder = roles.filter("role = 'binder'").select("structure_id", F.col("chain").alias("binder_chain"))
     target = roles.filter("role = 'target'").select("structure_id", F.col("chain").alias("target_chain"))
     pairs = binder.join(target, "structure_id")
-    both = matrix.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    both = matrix.filter(F.abs("value") < float("inf"))  # finite: neither NULL, NaN nor infinite
     fwd = both.select("structure_id", F.col("chain_a").alias("binder_chain"), F.col("chain_b").alias("target_chain"), "value", F.lit("forward").alias("direction"))
     rev = both.select("structure_id", F.col("chain_b").alias("binder_chain"), F.col("chain_a").alias("target_chain"), "value", F.lit("reverse").alias("direction"))
     return fwd.unionByName(rev).join(pairs, ["structure_id", "binder_chain", "target_chain"])

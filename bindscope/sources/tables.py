@@ -80,7 +80,7 @@ def read_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Relative path and size of every artifact; file contents are never read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.col("length").alias("size"))
     base = root.rstrip("/").split("://")[-1]
-    rel = F.substring(F.col("path"), F.instr("path", F.lit(base)) + F.lit(len(base) + 1), F.lit(1 << 20))
+    rel = F.substring(F.col("path"), F.instr("path", F.lit(base)) + F.lit(len(base) + 1), F.length("path"))
     return files.select(rel.alias("path"), "size").filter(is_artifact("path"))
 
 

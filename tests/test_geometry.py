@@ -171,3 +171,12 @@ def test_weighted_binder_target_score(spark):
     out = {r.structure_id: r for r in I.binder_target_iptm(matrix, roles, whole).collect()}
     assert out[1].binder_target_iptm == pytest.approx((0.7 * 30 + 0.2 * 10) / 40) and out[1].binder_target_iptm_unweighted == pytest.approx(0.45)
     assert (out[2].iptm, out[2].iptm_scope) == (0.4, "complex")
+
+
+def test_chain_pair_values_are_finite(spark):
+    from bindscope.operators.interface import chain_pair_values
+
+    values = [float("inf"), float("-inf"), float("nan"), None, 0.5]
+    matrix = spark.createDataFrame([(str(i), "A", "B", v) for i, v in enumerate(values)], "structure_id string, chain_a string, chain_b string, value double")
+    roles = spark.createDataFrame([(str(i), c, r) for i in range(5) for c, r in (("A", "binder"), ("B", "target"))], "structure_id string, chain string, role string")
+    assert [r.value for r in chain_pair_values(matrix, roles).collect()] == [0.5]

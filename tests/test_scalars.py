@@ -79,3 +79,11 @@ def test_bins(spark):
 
 def test_stale_cutoff():
     assert S.stale_seconds(10) == 90.0 and S.stale_seconds(40) == 120.0
+
+
+def test_quoted_number_of_any_length(spark):
+    from bindscope.functions.scalars import repair_quoted_number
+
+    text = "'" + "0" * (1 << 20) + "7"
+    got = spark.createDataFrame([(text,), ("'2.50",)], "x string").select(repair_quoted_number("x").alias("y")).collect()
+    assert [r.y for r in got] == ["7", "2.5"]

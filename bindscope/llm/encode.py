@@ -2,11 +2,14 @@
 
 A tokenizer splits a text into parts and encodes each part alone. Texts are cut where both
 tokenizers always split, before a single space between two visible characters; the pieces
-repeat, so most ids come from a cache. Pieces that aren't cached are encoded by the library.
+repeat, so most ids come from a cache. Pieces that aren't cached are encoded by the library,
+many in one text: a mark between them, which no piece contains and both tokenizers keep
+apart, shows where the ids of each end.
 """
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -16,16 +19,23 @@ CACHE = 600_000
 _ENCODERS: dict[str, Encoder] = {}
 #: A space with a visible ASCII character or Latin letter on either side.
 CUT = re.compile("(?<=[\x21-\x7e\u00c0-\u024f]) (?=[\x21-\x7e\u00c0-\u024f])")
+#: Stands between pieces of one text. Its last character is one id and in no such piece.
+MARK = "\n~"
+PLAIN = re.compile(" [\x21-\x7d\u00c0-\u024f](?:[^~]*[\x21-\x7d\u00c0-\u024f])?")
+JOINED = 500
 
 
 class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # A task has one core; the library's own threads only add to its time.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.mark = self.tokenizer.encode(" a" + MARK, add_special_tokens=False).ids[1:]
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -46,13 +56,32 @@ class Encoder:
                 young[piece] = old[piece]
             else:
                 fresh.append(piece)
-        for at in range(0, len(fresh), 20_000):
-            some = fresh[at : at + 20_000]
-            for piece, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                young[piece] = np.array(got.ids, "<u4").tobytes()
+        self.learn(fresh)
         last = np.array([end], "<u4").tobytes()
         return [np.frombuffer(b"".join([*map(young.__getitem__, pieces), last]), "<u4") for pieces in cut]
 
+    def learn(self, fresh: list[str]) -> None:
+        """Puts the ids of pieces into the cache."""
+        young = self.young
+        plain = [p for p in fresh if PLAIN.fullmatch(p)]
+        other = list(set(fresh).difference(plain))
+        texts = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
+        for at in range(0, len(texts), 40):
+            some = texts[at : at + 40]
+            whole = [MARK.join([*t, ""]) for t in some]
+            for names, got in zip(some, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+                ids = np.array(got.ids, "<u4")
+                ends = np.flatnonzero(ids == self.mark[-1]) + 1
+                raw, skip = ids.tobytes(), 4 * len(self.mark)
+                start = 0
+                for piece, stop in zip(names, (4 * ends).tolist(), strict=True):
+                    young[piece] = raw[start : stop - skip]
+                    start = stop
+        for at in range(0, len(other), 20_000):
+            some = other[at : at + 20_000]
+            for piece, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                young[piece] = np.array(got.ids, "<u4").tobytes()
+
     @staticmethod
     def pieces(text: str | None) -> list[str]:
         if not text:

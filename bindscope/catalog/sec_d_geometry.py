@@ -134,9 +134,9 @@ def d21(c):
     round(sqrt(avg(pow(dp - dr, 2)) FILTER (i < j)), 6) AS upper_rmse FROM pd GROUP BY 1""")
 def d22(c):
     pairs = G.paired_distances(*sides(c), "pair_id")
-    full = G.distance_rmse(pairs, ["pair_id"]).withColumnRenamed("distance_rmse", "full_rmse")
-    upper = G.distance_rmse(pairs, ["pair_id"], "upper").withColumnRenamed("distance_rmse", "upper_rmse")
-    return full.join(upper, "pair_id").select("pair_id", F.round("full_rmse", 6).alias("full_rmse"), F.round("upper_rmse", 6).alias("upper_rmse"))
+    return pairs.groupBy("pair_id").agg(
+        F.round(G.rmse_of_pairs("full"), 6).alias("full_rmse"), F.round(G.rmse_of_pairs("upper"), 6).alias("upper_rmse")
+    )
 
 
 @query("d23_aligned_rmsd")

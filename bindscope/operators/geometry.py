@@ -193,10 +193,17 @@ def paired_distances(pred: DataFrame, ref: DataFrame, by: str, index: str = "res
     return left.join(right, by).select(by, "chain_i", "chain_j", "i", "j", d("p").alias("dp"), d("r").alias("dr"))
 
 
+def rmse_of_pairs(mode: str = "full") -> Column:
+    """``full`` keeps the zero diagonal, ``upper`` uses each pair once without it. A single
+    residue has no value. Pairs are told apart by chain and number, as numbers may begin
+    anew in each chain."""
+    square = F.pow(F.col("dp") - F.col("dr"), 2)
+    used = square if mode == "full" else F.when(F.struct("chain_i", "i") < F.struct("chain_j", "j"), square)
+    return F.when(F.count(F.lit(1)) > 1, F.sqrt(F.avg(used)))
+
+
 def distance_rmse(pairs: DataFrame, by: Sequence[str], mode: str = "full") -> DataFrame:
-    """``full`` keeps the zero diagonal, ``upper`` uses each pair once without it."""
-    used = pairs if mode == "full" else pairs.filter("i < j")
-    return used.groupBy(*by).agg(F.sqrt(F.avg(F.pow(F.col("dp") - F.col("dr"), 2))).alias("distance_rmse"))
+    return pairs.groupBy(*by).agg(rmse_of_pairs(mode).alias("distance_rmse"))
 
 
 def contact_recovery(pairs: DataFrame, by: Sequence[str], cutoffs: Sequence[float] = (8.0, 12.0)) -> DataFrame:

@@ -138,17 +138,18 @@ def all_pairs_of_chains(residues: DataFrame) -> DataFrame:
 def contact_scores(contacts: DataFrame, residues: DataFrame, pae: DataFrame | None = None) -> DataFrame:
     """Contact count, interface confidence and both docking scores per directed pair.
 
+    Residue numbers may begin anew in each chain: every join carries the chain.
     Contacts come in both directions, so a pair's partner side is the own side of the
     reversed pair: one row per touched residue is enough for every figure.
     """
     near = contacts.select(*PAIR, "i", "j")
     kernel = F.lit(None).cast("double")
     if pae is not None:
-        near = near.join(pae.select("structure_id", "i", "j", "pae"), ["structure_id", "i", "j"], "left")
+        near = near.join(pae.select(*PAIR, "i", "j", "pae"), [*PAIR, "i", "j"], "left")
         kernel = S.ptm_kernel(F.col("pae"), F.lit(10.0))
     touched = near.groupBy(*PAIR, "i").agg(F.count(F.lit(1)).alias("n"), F.sum(kernel).alias("k"), F.count(kernel).alias("nk"))
-    conf = residues.select("structure_id", F.col("residue").alias("i"), "plddt")
-    own = touched.join(conf, ["structure_id", "i"]).groupBy(*PAIR).agg(
+    conf = residues.select("structure_id", F.col("chain").alias("chain_i"), F.col("residue").alias("i"), "plddt")
+    own = touched.join(conf, ["structure_id", "chain_i", "i"]).groupBy(*PAIR).agg(
         F.sum("n").alias("n_pairs"), F.try_divide(F.sum("k"), F.sum("nk")).alias("mean_ptm"), F.sum("plddt").alias("p"), F.count("plddt").alias("np")
     )
     both = Window.partitionBy("structure_id", F.least("chain_i", "chain_j"), F.greatest("chain_i", "chain_j"))

@@ -118,16 +118,14 @@ def referenced_paths(candidates: DataFrame, critics: DataFrame, tasks: DataFrame
 
 
 def reconcile(candidates: DataFrame, critics: DataFrame, tasks: DataFrame, samples: DataFrame, inventory: DataFrame, tracked_root: str = "shards/") -> DataFrame:
-    """Rows without files and files without rows. Both anti joins share the path exchange."""
+    """Rows without files and files without rows, by one full join on the path."""
     refs = referenced_paths(candidates, critics, tasks, samples)
-    paths = inventory.select("path")
-    missing = refs.join(paths, "path", "left_anti")
-    stray = paths.filter(F.col("path").startswith(tracked_root)).join(refs.select("path"), "path", "left_anti")
-    untracked = stray.select(
-        F.lit("untracked_artifact").alias("kind"), "path",
-        F.lit(None).cast("string").alias("table_name"), F.lit(None).cast("string").alias("row_id"),
+    both = refs.join(inventory.select("path", F.lit(True).alias("__stored")), "path", "full_outer")
+    missing = F.col("__stored").isNull()
+    stray = F.col("kind").isNull() & F.col("path").startswith(tracked_root)
+    return both.filter(missing | stray).select(
+        F.coalesce("kind", F.lit("untracked_artifact")).alias("kind"), "path", "table_name", "row_id"
     )
-    return missing.select("kind", "path", "table_name", "row_id").unionByName(untracked)
 
 
 def resolve_alias(df: DataFrame, name: str, aliases: DataFrame) -> DataFrame:

@@ -180,3 +180,26 @@ def test_chain_pair_values_are_finite(spark):
     matrix = spark.createDataFrame([(str(i), "A", "B", v) for i, v in enumerate(values)], "structure_id string, chain_a string, chain_b string, value double")
     roles = spark.createDataFrame([(str(i), c, r) for i in range(5) for c, r in (("A", "binder"), ("B", "target"))], "structure_id string, chain string, role string")
     assert [r.value for r in chain_pair_values(matrix, roles).collect()] == [0.5]
+
+
+def test_docking_scores_with_numbers_per_chain(spark):
+    """Residue 0 of chain A is not residue 0 of chain B."""
+    rows = [("s", 0, 0, "A", "B", 3.0), ("s", 0, 0, "B", "A", 3.0)]
+    contacts = spark.createDataFrame(rows, "structure_id string, i long, j long, chain_i string, chain_j string, distance double")
+    pae = contacts.withColumnRenamed("distance", "pae")
+    residues = spark.createDataFrame([("s", "A", 0, 90.0), ("s", "B", 0, 10.0)], "structure_id string, chain string, residue long, plddt double")
+    got = I.contact_scores(contacts, residues, pae).collect()
+    assert [(r.n_pairs, round(r.pdockq, 4)) for r in got] == [(1, 0.0183)] * 2
+    top, slope, mid, base = I.PDOCKQ2
+    want = top / (1 + math.exp(-slope * (50 / (1 + (3 / 10) ** 2) - mid))) + base
+    assert all(abs(r.pdockq2 - want) < 1e-12 for r in got)
+
+
+def test_distance_rmse_with_numbers_per_chain(spark):
+    schema = "id string, chain string, residue long, x double, y double, z double"
+    pred = spark.createDataFrame([("p", "A", 0, 0.0, 0.0, 0.0), ("p", "B", 0, 3.0, 0.0, 0.0), ("q", "A", 0, 1.0, 0.0, 0.0)], schema)
+    ref = spark.createDataFrame([("p", "A", 0, 0.0, 0.0, 0.0), ("p", "B", 0, 5.0, 0.0, 0.0), ("q", "A", 0, 1.0, 0.0, 0.0)], schema)
+    pairs = G.paired_distances(pred, ref, "id")
+    assert {r.id: r.distance_rmse for r in G.distance_rmse(pairs, ["id"], "upper").collect()} == {"p": 2.0, "q": None}
+    full = {r.id: r.distance_rmse for r in G.distance_rmse(pairs, ["id"]).collect()}
+    assert full["q"] is None and abs(full["p"] - math.sqrt(2)) < 1e-12

@@ -81,6 +81,9 @@ def metric_rows(joined: DataFrame) -> DataFrame:
     kind, cdr = F.col("binder_type"), F.col("__cdr")
     ledger = F.create_map(F.lit("hotspot_satisfaction"), F.col("hotspot_satisfaction").cast("string"))
     satisfaction = S.first_present(c, ledger, SATISFACTION_KEYS)
+    proxies = [get(c, "cdr_distogram_iptm_proxy").try_cast("double")]
+    if "cdr_distogram_iptm_proxy" in joined.columns:  # the ledger keeps it in the document only
+        proxies.append(F.col("cdr_distogram_iptm_proxy"))
     return typed.select(
         "candidate_id",
         get(d, "target_name").alias("target_name"),
@@ -106,9 +109,7 @@ def metric_rows(joined: DataFrame) -> DataFrame:
         .alias("plddt_complex"),
         get(c, "plddt_binder").alias("plddt_binder"),
         get(c, "plddt_target").alias("plddt_target"),
-        F.coalesce(get(c, "cdr_distogram_iptm_proxy").try_cast("double"), F.col("cdr_distogram_iptm_proxy")).alias(
-            "cdr_distogram_iptm_proxy"
-        ),
+        F.coalesce(*proxies).alias("cdr_distogram_iptm_proxy"),
         "distogram_iptm_proxy",
         S.hotspot_flag(satisfaction).alias("hotspot_pass"),
         S.first_present(c, None, DISTANCE_KEYS).try_cast("double").alias("hotspot_distance_angstrom"),

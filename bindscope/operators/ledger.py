@@ -39,8 +39,37 @@ def _with_source(df: DataFrame, critics: DataFrame) -> DataFrame:
     return df.join(src, "candidate_id", "left")
 
 
-def task_rows(tasks: DataFrame, candidates: DataFrame, shards: DataFrame, critics: DataFrame) -> DataFrame:
-    """One report row per validation task with candidate, seed and source critic."""
+def with_verdict(tasks: DataFrame) -> DataFrame:
+    """Adds ``validator_passed`` from the metrics document where the table has no such column."""
+    if "validator_passed" in tasks.columns:
+        return tasks
+    docs = S.once(tasks, "__v", S.decode_metrics("metrics_json", "validation_id"))
+    return docs.withColumn("validator_passed", F.try_element_at("__v", F.lit("validation_passed"))).drop("__v")
+
+
+def with_framework(candidates: DataFrame) -> DataFrame:
+    """Adds ``framework`` and ``binder_scaffold`` from the design document where the table has
+    no such columns."""
+    if {"framework", "binder_scaffold"} <= set(candidates.columns):
+        return candidates
+    docs = S.once(candidates, "__d", S.decode_metrics("design_metrics_json", "candidate_id"))
+    get = lambda key: F.try_element_at("__d", F.lit(key))
+    return docs.withColumn("framework", S.nonblank(get("framework"), get("framework_name"))).withColumn(
+        "binder_scaffold", F.lower(F.trim(get("binder_scaffold")))
+    ).drop("__d")
+
+
+def task_rows(tasks: DataFrame, candidates: DataFrame, shards: DataFrame, critics: DataFrame, poses: DataFrame | None = None) -> DataFrame:
+    """One report row per validation task with candidate, seed and source critic.
+
+    ``poses`` has ``validation_id`` and ``rmsd``; without it and without a column ``rmsd`` of
+    the tasks, ``rmsd`` is NULL.
+    """
+    tasks = with_verdict(tasks)
+    if poses is not None:
+        tasks = tasks.drop("rmsd").join(poses.select("validation_id", "rmsd"), "validation_id", "left")
+    elif "rmsd" not in tasks.columns:
+        tasks = tasks.withColumn("rmsd", F.lit(None).cast("double"))
     base = tasks.select(
         "validation_id", "candidate_id", "model_name", "validation_config_hash", "selection_rank",
         F.col("status").alias("validator_status"), "validator_passed",
@@ -48,7 +77,7 @@ def task_rows(tasks: DataFrame, candidates: DataFrame, shards: DataFrame, critic
         F.col("ranking_score").alias("validator_ranking_score"), "rmsd",
         F.col("output_structure_path").alias("validated_structure_path"),
     )
-    cand = candidates.select("candidate_id", "shard_id", "designed_sequence", "framework", "binder_scaffold")
+    cand = with_framework(candidates).select("candidate_id", "shard_id", "designed_sequence", "framework", "binder_scaffold")
     joined = base.join(cand, "candidate_id").join(shards.select("shard_id", "seed"), "shard_id")
     return _with_source(joined, critics)
 
@@ -291,7 +320,7 @@ def worker_completions(attempts: DataFrame, stage: str) -> DataFrame:
 def validation_summary(tasks: DataFrame, samples: DataFrame, issues: DataFrame) -> DataFrame:
     status, passed = F.col("status"), S.opt_bool("validator_passed")
     path_pass = F.instr(F.concat(F.lit("/"), F.coalesce("output_structure_path", F.lit(""))), "/passing/") > 0
-    t = tasks.agg(
+    t = with_verdict(tasks).agg(
         F.count(F.lit(1)).alias("planned_validation_count"),
         *[F.count_if(status == s).alias(f"{s}_count") for s in ("completed", "failed", "skipped", "pending", "running")],
         F.count_if((status == "completed") & F.coalesce(passed, path_pass)).alias("completed_task_pass_count"),

@@ -61,9 +61,15 @@ def h7(c):
     return c.orders.select("o_orderkey", S.canonical_hash(fields).alias("compact"), S.canonical_hash(spaced, True, 16).alias("spaced"))
 
 
-@query("h8_normalize_sequence", r"""SELECT doc_id, upper(regexp_replace(replace(text, 'ß', 'ss'), '[ \t\n\r\f\x0B]+', '', 'g')) AS sequence, regexp_matches(upper(regexp_replace(substr(text, 1, 4), '[ \t\n\r\f\x0B]+', '', 'g')), '^[ACDEFGHIKLMNPQRSTVWYX]+$') AS head_is_protein FROM documents""")
+@query("h8_normalize_sequence", r"""SELECT doc_id, upper(regexp_replace(replace(text, 'ß', 'ss'), '[ \t\n\r\f\x0B]+', '', 'g')) AS sequence, regexp_matches(upper(regexp_replace(replace(text, 'ß', 'ss'), '[ \t\n\r\f\x0B]+', '', 'g')), '^[ACDEFGHIKLMNPQRSTVWYX]+$') AS is_protein FROM documents""")
 def h8(c):
-    return c.documents.select("doc_id", S.normalize_sequence("text").alias("sequence"), S.is_protein(S.normalize_sequence(F.substring("text", 1, 4))).alias("head_is_protein"))
+    return c.documents.select("doc_id", S.normalize_sequence("text").alias("sequence"), S.is_protein(S.normalize_sequence("text")).alias("is_protein"))
+
+
+@query("h8_candidate_sequence", r"""SELECT candidate_id, upper(regexp_replace(designed_sequence, '[ \t\n\r\f\x0B]+', '', 'g')) AS sequence, regexp_matches(upper(regexp_replace(designed_sequence, '[ \t\n\r\f\x0B]+', '', 'g')), '^[ACDEFGHIKLMNPQRSTVWYX]+$') AS is_protein FROM v_candidates""")
+def h8_candidates(c):
+    rows = c.v_candidates
+    return rows.select("candidate_id", S.normalize_sequence("designed_sequence").alias("sequence"), S.is_protein(S.normalize_sequence("designed_sequence")).alias("is_protein"))
 
 
 @query("h9_template_key", """SELECT o_orderkey, sha256(substr(s, 1, 8) || '|' || substr(s, 9, 6) || '|' || substr(s, 15, 10) || '|' || substr(s, 25)) AS framework_hash,

@@ -4,8 +4,9 @@ Three fixed kinds (``assign``, ``access``, ``hex``) by pattern, and ``entropy``:
 at least ``WINDOW`` token characters in which some window of ``WINDOW`` characters has a
 Shannon entropy of at least the limit of the string's character class. The sum of
 c*log2(c) over a window's character counts is carried from window to window: leaving and
-entering characters change it by one term each. Strings on the allow-list and those that
-overlap a fixed kind's span add nothing.
+entering characters change it by one term each. Strings on the allow-list add nothing. Of a
+string that overlaps spans of fixed kinds, each part outside them is tested as a string of
+its own; parts of fewer than ``WINDOW`` characters have no window.
 
 A span is (start, end) in code points, end exclusive; that of ``assign`` covers the whole
 match, keyword included. Nulls and odd rows: a null or empty text has no spans; repeated
@@ -28,10 +29,18 @@ HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 #: Bits for each character class: hexadecimal digits, letters and digits, token characters.
 LIMITS = {"hex": 3.0, "alnum": 3.75, "token": 3.85}
+C, V = "b-df-hj-np-tv-xz", "B-DF-HJ-NP-TV-XZ"  # consonants, of either case
+#: What letters and separators have if they are not words: more than 18 letters of one case
+#: on end, case that changes inside a word, a capitalised word of consonants beside another,
+#: six consonants on end, two neighbouring words of consonants.
+NOT_WORDS = "|".join([
+    "[a-z]{19}", "[A-Z]{19}", "[A-Z]{2}[a-z]", "[a-z][A-Z](?![a-z])", f"[a-z][{V}][{C}]+(?![a-z])", f"[{V}][{C}]+[A-Z]",
+    f"[{C}{V}]{{6}}", f"(?<![A-Za-z])[{C}{V}]+[/=_-]+[{C}{V}]+(?![A-Za-z])",
+])
 #: Allowed: UUIDs, words joined by separators, paths of words, runs of one character, ISO dates.
 ALLOWED = [
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^[/=_-]*[A-Za-z]*[a-z]*([/=_-]+[A-Za-z]*)*$",
+    rf"^(?!.*(?:{NOT_WORDS}))[A-Za-z/=_-]+$",
     r"^(.)\1+$",
     r"^[0-9/_=-]+$",
 ]
@@ -91,6 +100,24 @@ def is_secret(value: Column) -> Column:
     return F.when(allowed, False).otherwise(F.round(entropy(value), 9) >= limit)
 
 
+def outside(m: Column, base: Column) -> Column:
+    """The parts of ``m`` of WINDOW characters or more that no span of ``base`` covers."""
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+
+    def part(start: Column, end: Column) -> Column:
+        value = F.substring(m["value"], start - m["start"] + 1, end - start)
+        one = F.array(F.struct(start.alias("start"), end.alias("end"), value.alias("value")))
+        return F.when(end - start >= WINDOW, one).otherwise(none)
+
+    def add(acc: Column, s: Column) -> Column:
+        found = F.concat(acc["out"], part(acc["at"], s["start"]))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), found.alias("out"))
+
+    met = F.array_sort(F.filter(base, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])))
+    zero = F.struct(m["start"].alias("at"), none.alias("out"))
+    return F.aggregate(met, zero, add, lambda acc: F.concat(acc["out"], part(acc["at"], m["end"])))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, text, and the spans of each kind as (start, end) arrays."""
     rows = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -103,10 +130,10 @@ def scan(docs: DataFrame) -> DataFrame:
         found(text, CANDIDATE, text.rlike(CANDIDATE)).alias("candidates"),
     )
     base = F.concat("assign", "access", "hex")
-    apart = lambda m: ~F.exists(base, lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"]))
+    parts = F.flatten(F.transform("candidates", lambda m: outside(m, base)))
     return rows.select(
         "doc_id", "text", "assign", "access", "hex",
-        F.filter("candidates", lambda m: apart(m) & is_secret(m["value"])).alias("entropy"),
+        F.filter(parts, lambda m: is_secret(m["value"])).alias("entropy"),
     )
 
 

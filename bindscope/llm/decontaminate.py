@@ -11,9 +11,9 @@ length, matched directly for the (at most nine) lengths that occur.
 The fingerprints of the benchmark are broadcast while their measured number is at most
 ``BROADCAST_ROWS``; above it, Spark shuffles both sides.
 
-Nulls and odd rows: a null, empty or wordless text has no words and no hits; rows without
-id are left out; rows with one doc_id are one document and must be equal, each returns a
-row; repeated benchmark rows count once; other columns are ignored.
+Nulls and odd rows: a null, empty or wordless text has no words and no hits; every row is a
+document of its own, also without id or with one that repeats; repeated benchmark rows
+count once; items without id are searched, but add no name; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from bindscope.llm import shared
 
 K, WINDOW = 5, 10
+KEY = "__key"
 BROADCAST_ROWS = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -61,7 +62,7 @@ def bounded(df: DataFrame) -> DataFrame:
 def benchmark_windows(items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(item_id, n, a, b): windows of the items; (h): fingerprints of the full ones."""
     rows = items.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.filter("item_id is not null").select("item_id", words(F.col("text")).alias("w")).filter("size(w) > 0")
+    rows = rows.select("item_id", words(F.col("text")).alias("w")).filter("size(w) > 0")
     full = rows.filter(F.size("w") >= WINDOW).select("item_id", grams("w", K).alias("g"))
     spread = full.select("item_id", "g", F.explode(F.sequence(F.lit(0), F.size("g") - (WINDOW - K + 1))).alias("i"))
     full_windows = spread.select("item_id", F.lit(WINDOW).alias("n"), F.get("g", F.col("i")).alias("a"), F.get("g", F.col("i") + K).alias("b"))
@@ -109,10 +110,10 @@ def scanned(docs: DataFrame, prints: DataFrame) -> DataFrame:
     return read.select("doc_id", "n_words", F.when(F.size("m") > 0, window).alias("windows"))
 
 
-def matched(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_words) of all documents; per hit document its window places
-    ``spans`` (start from 1, n) and the ids of the items found, as strings."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
+def matched(rows: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_words) of all keyed rows, doc_id being the key; per hit row its window
+    places ``spans`` (start from 1, n) and the ids of the items found, as strings."""
+    docs = rows.select(F.col(KEY).alias("doc_id"), F.col("text").cast("string").alias("text"))
     windows, prints = benchmark_windows(items)
     read = shared.cut_lineage(scanned(docs, prints))
     known = windows.select("n", "a", "b").distinct()
@@ -142,8 +143,10 @@ def covered(spans: Column) -> Column:
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items (array)."""
-    everyone, hit = matched(docs, items)
-    out = everyone.join(hit, "doc_id", "left")
+    rows = shared.keyed(docs, KEY)
+    everyone, hit = matched(rows, items)
+    out = everyone.join(hit, "doc_id", "left").withColumnRenamed("doc_id", KEY)
+    out = out.join(rows.select(KEY, F.col("doc_id").cast("long").alias("doc_id")), KEY)
     names = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce(covered(F.col("spans")), F.lit(0)).cast("long")
     return out.select(
@@ -153,6 +156,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that share no window with an item; rows without id stay."""
-    _, hit = matched(docs, items)
-    return docs.join(hit.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` that share no window with an item."""
+    rows = shared.keyed(docs, KEY)
+    _, hit = matched(rows, items)
+    return rows.join(hit.select(F.col("doc_id").alias(KEY)), KEY, "left_anti").select(docs.columns)

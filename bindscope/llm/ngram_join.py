@@ -50,6 +50,7 @@ FLUSH = 1 << 20
 SKETCH = 1 << 22
 #: Kinds of exchanged and returned rows.
 SIZE, SAME, CANDIDATE = 0, 1, 2
+KEY = "__key"
 BLOBS = "bucket int, kind int, keys binary, ids binary"
 
 
@@ -426,8 +427,15 @@ def block_links(docs: DataFrame, pairs: DataFrame, same: DataFrame, sizes: DataF
 
 
 def keep_one(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component; of rows with equal
-    id, all stay; rows without id stay."""
-    found = jaccard_components(docs, n, threshold)
-    drop = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti")
+    """One row of ``docs`` for each component: that with the smallest id, rows without id
+    last. Of rows without words, one for each (doc_id, text). Rows are told apart by a key of
+    their own, so rows without id and rows that repeat an id are compared like all others."""
+    rows = shared.keyed(docs, KEY)
+    found = jaccard_components(rows, n, threshold, doc=KEY).select(F.col("doc_id").alias(KEY), "n_shingles", "component_id")
+    text, own = F.col("text").cast("string"), F.col("doc_id").cast("long")
+    place = F.struct(own.isNull().alias("none"), own.alias("id"), F.col(KEY).alias("key"))
+    grouped = found.filter("n_shingles > 0").join(rows.select(KEY, "doc_id"), KEY)
+    one = grouped.groupBy("component_id").agg(F.min(place).alias("first")).select(F.col("first.key").alias(KEY))
+    wordless = rows.filter(~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    alone = wordless.groupBy("doc_id", text.alias("text")).agg(F.min(KEY).alias(KEY)).select(KEY)
+    return rows.join(one.unionByName(alone), KEY, "left_semi").select(docs.columns)

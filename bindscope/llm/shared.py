@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bindscope.session import cut_lineage
+from bindscope.session import cut_lineage, scratch
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -26,6 +26,18 @@ def by_id(docs: DataFrame, ids: DataFrame, how: str = "left", key: str = "doc_id
     return docs.join(ids, key, how)
 
 
+def keyed(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with a column ``key`` of its own for each row: doc_id where all rows have
+    one and none repeats; else a number, stored with the rows so that it stays the same."""
+    own = docs.withColumn(key, F.col("doc_id").cast("long"))
+    odd = own.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col(key).isNull() | (F.col("n") > 1))
+    if odd.isEmpty():
+        return own
+    path = scratch(docs.sparkSession, "keyed")
+    docs.withColumn(key, F.monotonically_increasing_id()).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
 def buckets(spark: SparkSession) -> int:
     """Buckets of a packed exchange: one for each shuffle partition, so that packed rows
     number tasks times partitions at most."""

@@ -21,7 +21,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import compress
 
@@ -197,11 +196,11 @@ def codes(rows: DataFrame) -> DataFrame:
 
 
 def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Leaves out the words under any listed run, and digests what is kept."""
+    """Leaves out the words under any listed run; what is kept, joined by spaces."""
     for batch in batches:
         for part in slices(batch, "text"):
             texts, lists = part.column(1).to_pylist(), part.column(2).to_pylist()
-            total, gone, digest = [], [], []
+            total, gone, left = [], [], []
             for text, runs in zip(texts, lists):
                 words = (text or "").encode().split()
                 dropped = 0
@@ -216,10 +215,10 @@ def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     dropped = len(words) - int(keep.sum())
                 total.append(len(words))
                 gone.append(dropped)
-                digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
+                left.append(b" ".join(kept).decode())
             yield pa.record_batch(
-                [part.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(digest, pa.string())],
-                names=["doc_id", "n_words", "n_removed", "kept_sha256"],
+                [part.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(left, pa.string())],
+                names=["doc_id", "n_words", "n_removed", "kept"],
             )
 
 
@@ -239,9 +238,14 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
     return met.filter(F.col("kind") == REPEAT).unionAll(single).drop("kind")
 
 
-def dedup_substrings(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256."""
+def kept_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_removed, kept (the text left)."""
     rows = document_rows(docs)
     runs = codes(repeated_runs(docs))
     joined = rows.join(runs, "doc_id", "left").select("doc_id", "text", "runs")
-    return joined.mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return joined.mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept string")
+
+
+def dedup_substrings(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256."""
+    return kept_texts(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bindscope.llm import decontaminate, ngram_join, packing, quality, repeats, secrets, suffix_tree, token_files, toxicity, warc
+from bindscope.llm import (
+    decontaminate, merkle, ngram_join, oracles, packing, quality, repeats, secrets, suffix_tree, token_files, topk_search, toxicity, warc, whitening,
+)
 from bindscope.llm.shared import table
 from bindscope.session import scratch
 
@@ -61,6 +64,21 @@ def op10_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_tree.suffix_tree_scores(table(spark, folder, "documents"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    proofs = merkle.manifest(table(spark, folder, "documents"))
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.concat_ws("", "proof").cast("binary"), 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+def op13_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.top_k(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_toxicity": op2_toxicity,
@@ -72,5 +90,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_secret_scans": op9_secret_scans,
     "op10_suffix_tree_scores": op10_suffix_tree_scores,
+    "op11_whitening": op11_whitening,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_exact_top_k": op13_exact_top_k,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_merkle_manifest": oracles.MERKLE, "op13_exact_top_k": oracles.TOP_K}

@@ -43,7 +43,7 @@ _STATUS = "CASE {0} WHEN 'completed' THEN 0 WHEN 'running' THEN 1 WHEN 'pending'
     validator_iptm DESC NULLS LAST, validator_ipsae DESC NULLS LAST, validator_ranking_score DESC NULLS LAST,
     coalesce(nullif(selection_rank, 0), 1000000000), validation_id) AS validation_rank FROM rr""")
 def e4(c):
-    return X.validation_rank(task_rows(c)).select("validation_id", "model_name", "validation_rank")
+    return X.validation_rank(task_rows(c), ["validation_id", "model_name"])
 
 
 @query("e5_order_samples", """SELECT structure_id, model_name, row_number() OVER (PARTITION BY model_name ORDER BY CASE WHEN status = 'passing' THEN 0 ELSE 1 END,
@@ -53,7 +53,7 @@ def e5(c):
         "structure_id", "model_name", F.col("status").alias("structure_status"), F.col("scoped_iptm").alias("validator_iptm"),
         F.col("scoped_ipsae").alias("validator_ipsae"), F.col("ranking_score").alias("validator_ranking_score"), "seed", "sample_rank",
     )
-    return X.order_samples(rows).select("structure_id", "model_name", "sample_order")
+    return X.order_samples(rows, ["structure_id", "model_name"])
 
 
 @query("e6_best_sample", """SELECT validation_id, structure_id, status, scoped_iptm FROM (SELECT *, row_number() OVER (PARTITION BY validation_id
@@ -77,7 +77,7 @@ def e7(c):
     validator_ipsae DESC NULLS LAST, candidate_id, validation_id) AS r FROM sc WHERE validator_status = 'completed' AND ev IS NOT NULL)
     SELECT sc.validation_id, k.r AS validator_rank FROM sc LEFT JOIN k USING (validation_id)""")
 def e8(c):
-    return X.validator_rank(scored_rows(c)).select("validation_id", "validator_rank")
+    return X.validator_rank(scored_rows(c), ["validation_id"])
 
 
 FINAL = f"""fin AS (SELECT *, CASE WHEN ranking_eligible THEN row_number() OVER (PARTITION BY ranking_eligible ORDER BY {_STATUS.format('validator_status')},
@@ -87,20 +87,21 @@ FINAL = f"""fin AS (SELECT *, CASE WHEN ranking_eligible THEN row_number() OVER
 
 @query("e9_final_rank", f"WITH {SCORED}, {FINAL} SELECT validation_id, ranking_eligible, final_rank FROM fin")
 def e9(c):
-    return X.final_rank(scored_rows(c)).select("validation_id", "ranking_eligible", "final_rank")
+    return X.final_rank(scored_rows(c), ["validation_id", "ranking_eligible"])
 
 
 @query("e11_compact_ranking", f"""WITH {SCORED}, {FINAL} SELECT final_rank AS rank, candidate_id AS design_name, designed_sequence AS sequence, framework,
     round(confidence_score, 6) AS consensus_score, selection_rank AS critic_rank, critic_iptm, validator_iptm, validator_ipsae, rmsd AS binder_rmsd_angstrom,
     source_structure_path AS critic_structure, validated_structure_path AS validator_structure FROM fin WHERE ranking_eligible""")
 def e11(c):
-    ranked = X.final_rank(scored_rows(c)).filter("ranking_eligible")
+    scored = scored_rows(c)
+    ranked = X.final_rank(scored, [*G.compact_sources(scored), "ranking_eligible"]).filter("ranking_eligible")
     return G.compact_ranking(ranked).withColumn("consensus_score", F.round("consensus_score", 6))
 
 
 @query("f1_multi_key_order", f"WITH {METRICS} SELECT candidate_id, critic_name, row_number() OVER (ORDER BY {_ORDER}) AS position FROM cm")
 def f1(c):
-    return R.add_rank(metric_rows(c), X.selection_keys(), "position").select("candidate_id", "critic_name", "position")
+    return R.add_rank(metric_rows(c), X.selection_keys(), "position", columns=["candidate_id", "critic_name"])
 
 
 @query("f2_top_n", """SELECT candidate_id, critic_name, iptm FROM v_critic ORDER BY iptm DESC NULLS LAST, candidate_id, critic_name LIMIT 250""")
@@ -112,8 +113,8 @@ def f2(c):
 @query("f3_top_summaries", f"""WITH {SCORED}, {FINAL} SELECT final_rank AS position, '{{"candidate_id":"' || candidate_id || '","model_name":"' || model_name || '"' ||
     CASE WHEN framework IS NULL THEN '' ELSE ',"framework":"' || framework || '"' END || '}}' AS summary FROM fin WHERE final_rank <= 10""")
 def f3(c):
-    ranked = X.final_rank(scored_rows(c)).filter("ranking_eligible")
-    return X.top_summaries(ranked, [F.col("final_rank")], ["candidate_id", "model_name", "framework"])
+    eligible = scored_rows(c).filter("ranking_eligible")
+    return X.top_summaries(eligible, X.final_keys(), ["candidate_id", "model_name", "framework"])
 
 
 @query("f4_next_batch", f"WITH {_READY} SELECT validation_id, selection_rank FROM ready ORDER BY selection_rank NULLS LAST, validation_id LIMIT 64")
@@ -126,4 +127,4 @@ def f4(c):
 def f5(c):
     issues = L.reconcile(c.v_candidates, c.v_critic, c.v_tasks, c.v_samples, c.v_inventory)
     keys = [F.col("kind"), F.col("path"), R.text_first("row_id")]
-    return R.add_rank(issues, keys, "position").select("kind", "path", F.coalesce("row_id", F.lit("")).alias("row_id"), "position")
+    return R.add_rank(issues.withColumn("row_id", F.coalesce("row_id", F.lit(""))), keys, "position", columns=["kind", "path", "row_id"])

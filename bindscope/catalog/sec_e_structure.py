@@ -34,7 +34,7 @@ def e10(c):
 )
 def j4(c):
     pts = c.lineitem.select(F.col("l_linenumber").alias("g"), F.col("l_discount").alias("x"), F.col("l_tax").alias("y")).distinct()
-    return P.pareto_group(pts, ["g"])
+    return P.pareto_fronts(pts, "x", "y", ["g"])
 
 
 RUNS = """i AS (SELECT DISTINCT l_orderkey, l_linenumber AS idx FROM lineitem), g AS (SELECT *, idx - row_number() OVER (PARTITION BY l_orderkey ORDER BY idx) AS g FROM i),

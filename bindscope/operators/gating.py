@@ -343,20 +343,25 @@ def valid_relpath(c: Column | str) -> Column:
     return (path != "") & ~path.startswith("/") & (walk["low"] >= 0)
 
 
-# Display copy of the report order; empty optional columns are pruned at the sink.
+# Names and order of the compact report. Empty optional columns are pruned at the sink.
 COMPACT_FIELDS = (
     "rank", "design_name", "sequence", "binder_type", "framework", "binder_length", "consensus_score",
     "critic_rank", "critic_iptm", "validator_rank", "validator_iptm", "validator_ipsae", "binder_rmsd_angstrom",
-    "critic_structure", "validator_structure",
+    "critic_hotspot_distance_angstrom", "validator_hotspot_distance_angstrom", "critic_structure", "validator_structure",
 )
+COMPACT_SOURCE = {
+    "rank": "final_rank", "design_name": "candidate_id", "sequence": "designed_sequence", "consensus_score": "final_score",
+    "critic_rank": "selection_rank", "binder_rmsd_angstrom": "rmsd", "critic_structure": "source_structure_path",
+    "validator_structure": "validated_structure_path",
+}
+
+
+def compact_sources(df: DataFrame) -> list[str]:
+    """Columns of ``df`` that the compact report shows."""
+    names = [COMPACT_SOURCE.get(name, name) for name in COMPACT_FIELDS]
+    return [c for c in names if c in df.columns]
 
 
 def compact_ranking(df: DataFrame) -> DataFrame:
     """Ranked rows under their short report names."""
-    source = {
-        "rank": "final_rank", "design_name": "candidate_id", "sequence": "designed_sequence",
-        "consensus_score": "final_score", "critic_rank": "selection_rank", "binder_rmsd_angstrom": "rmsd",
-        "critic_structure": "source_structure_path", "validator_structure": "validated_structure_path",
-    }
-    cols = [F.col(source.get(name, name)).alias(name) for name in COMPACT_FIELDS if source.get(name, name) in df.columns]
-    return df.select(*cols)
+    return df.select(*[F.col(COMPACT_SOURCE.get(n, n)).alias(n) for n in COMPACT_FIELDS if COMPACT_SOURCE.get(n, n) in df.columns])

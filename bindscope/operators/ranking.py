@@ -6,8 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from bindscope.session import cut_lineage
+from pyspark.sql import types as T
 
 INF = float("inf")
 
@@ -70,70 +69,76 @@ def top_n(df: DataFrame, keys: Sequence[Column], n: int, rank: str | None = None
     return head.withColumn(rank, F.row_number().over(Window.orderBy(*keys)).cast("bigint"))
 
 
-def add_rank(
-    df: DataFrame,
-    keys: Sequence[Column],
-    rank: str,
-    by: Sequence[str] = (),
-    buckets: int | None = None,
-    materialize: bool = True,
-) -> DataFrame:
-    """Exact ``row_number`` for few, arbitrarily large groups.
+def group_text(c: Column | str) -> Column:
+    """Text of a group value, never null, different for null and empty text."""
+    text = _col(c).cast("string")
+    return F.when(text.isNull(), "-").otherwise(F.concat(F.lit("="), text))
+
+
+def _touch(df: DataFrame) -> Column:
+    """A hash that reads every column, so that a plan over ``df`` can't drop one."""
+    def plain(name: str, kind: T.DataType) -> Column:
+        return F.map_entries(F.col(f"`{name}`")) if isinstance(kind, T.MapType) else F.col(f"`{name}`")
+
+    return F.hash(*[plain(f.name, f.dataType) for f in df.schema.fields])
 
-    Rows are cut into ordered buckets along (group, sort key). Splitters come from a
-    bounded bottom-k hash sample; the rank is the row number inside the bucket plus the
-    group's row count in the buckets before it. No task sees a whole group. ``keys``
-    must end in a unique tie-break.
 
-    The input is read three times, so it is first written to the checkpoint folder. This
-    also pins keys that come from floating sums, which could differ in the last bit
-    between two evaluations. Pass ``materialize=False`` for an input that is a stored
-    table already.
+def _splitters(points: DataFrame, n: int) -> Column:
+    """``n - 1`` increasing points from a bounded bottom-k hash sample of ``__point``."""
+    sample = points.select("__point", F.xxhash64("__point").alias("__h")).orderBy("__h").limit(32 * n)
+    ordered = sample.agg(F.array_sort(F.collect_list("__point")).alias("s"))
+    return ordered.select(
+        F.transform(F.sequence(F.lit(1), F.lit(n - 1)), lambda i: F.get(F.col("s"), (i * F.size("s") / n).cast("int")))
+    ).scalar()
+
+
+def add_rank(
+    df: DataFrame, keys: Sequence[Column], rank: str, by: Sequence[str] = (), buckets: int | None = None,
+    columns: Sequence[str] | None = None, sample: DataFrame | None = None,
+) -> DataFrame:
+    """Exact ``row_number`` within groups of any number and size, with one exchange of the rows.
+
+    Rows are dealt to ordered buckets along (group, sort key), cut by splitters from a
+    bounded sample. A bucket sends one summary row: its first group, its last group and how
+    many rows that has. A rank is the place in the bucket; only a bucket's first group can
+    have begun before it, so one number per bucket, the rows of that group in earlier
+    buckets, completes it. The summary reads the exchange that the ranking reads: it names
+    all columns, so that both are the same plan and Spark runs it once. Name the ``columns``
+    to return if they are fewer than all: a later projection would make the plans differ.
+    Splitters come from ``sample``, by default the rows themselves; name a cheaper frame of
+    like rows where ``df`` is costly to read twice. No task sees a whole group unless it fits a
+    bucket. ``keys`` must end in a unique tie-break.
     """
-    spark = df.sparkSession
-    if materialize:
-        df = cut_lineage(df)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = [F.coalesce(_col(c).cast("string"), F.lit("")) for c in by] + list(keys)
-    point = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
-    keyed = df.withColumn("__point", point)
+    names = df.columns if columns is None else list(columns)
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = F.concat_ws("\x1f", F.lit(""), *[group_text(c) for c in by])
+    point = F.struct(group.alias("g"), *[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    keyed = df.select(*[F.col(f"`{c}`") for c in names], point.alias("__point"))
+    slot = F.lit(0)
     if n > 1:
-        sample = (
-            keyed.select("__point", F.xxhash64("__point").alias("__h")).orderBy("__h").limit(32 * n)
-        )
-        ordered = sample.agg(F.array_sort(F.collect_list("__point")).alias("s"))
-        splits = ordered.select(
-            F.transform(
-                F.sequence(F.lit(1), F.lit(n - 1)),
-                lambda i: F.get(F.col("s"), (i * F.size("s") / n).cast("int")),
-            )
-        )
-        keyed = keyed.withColumn("__splits", splits.scalar())
-        steps = [1 << b for b in reversed(range((n - 1).bit_length()))]
-        keyed = keyed.withColumn("__slot", F.lit(0))
-        for step in steps:
-            probe = F.get(F.col("__splits"), F.col("__slot") + (step - 1))
-            keyed = keyed.withColumn(
-                "__slot", F.col("__slot") + F.when(probe <= F.col("__point"), step).otherwise(0)
-            )
-        keyed = keyed.drop("__splits")
-    else:
-        keyed = keyed.withColumn("__slot", F.lit(0))
-    group = list(by)
-    counts = keyed.groupBy(*group, "__slot").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*group).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *[F.col(g).alias(f"__g{i}") for i, g in enumerate(group)],
-        F.col("__slot").alias("__s"),
-        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"),
+        keyed = keyed.withColumn("__splits", _splitters((df if sample is None else sample).select(point.alias("__point")), n))
+        for step in (1 << b for b in reversed(range((n - 1).bit_length()))):
+            keyed = keyed.withColumn("__slot", slot)
+            slot = F.col("__slot") + F.when(F.get("__splits", F.col("__slot") + (step - 1)) <= F.col("__point"), step).otherwise(0)
+    dealt = keyed.withColumn("__slot", slot).drop("__splits").repartition(n, "__slot")
+    counts = dealt.withColumn("__g", F.col("__point.g")).groupBy("__slot", "__g").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(_touch(dealt)).alias("__all")
+    )
+    ends = counts.groupBy("__slot").agg(
+        F.min("__g").alias("first"), F.max(F.struct("__g", "n")).alias("last"), F.bit_xor("__all").alias("__all")
     )
-    inside = Window.partitionBy(*group, "__slot").orderBy("__point")
-    ranked = keyed.withColumn("__rn", F.row_number().over(inside))
-    cond = F.col("__slot") == F.col("__s")
-    for i, g in enumerate(group):
-        cond = cond & F.col(g).eqNullSafe(F.col(f"__g{i}"))
-    joined = ranked.join(offsets, cond, "left")
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        (F.col("__before") + F.col("__rn")).cast("bigint").alias(rank),
+    # Two rows a bucket: what its last group has, and what its first group asks for.
+    marks = ends.select("__slot", F.explode(F.array(
+        F.struct(F.col("first").alias("g"), F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("asks"), F.col("__all").alias("x")),
+        F.struct(F.col("last.__g").alias("g"), F.col("last.n").alias("n"), F.lit(False).alias("asks"), F.col("__all").alias("x")),
+    )).alias("m")).select("__slot", "m.*")
+    earlier = Window.partitionBy("g").orderBy("__slot", F.desc("asks")).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = marks.withColumn("ahead", F.coalesce(F.sum("n").over(earlier), F.lit(0))).filter("asks").select(
+        F.col("__slot").alias("__s"), F.col("g").alias("__first"), "ahead"
     )
+    inside = Window.partitionBy("__slot", F.col("__point.g")).orderBy("__point")
+    placed = dealt.withColumn("__rn", F.row_number().over(inside))
+    # At most one row per bucket: the bound that lets it be broadcast.
+    joined = placed.join(F.broadcast(ahead), F.col("__slot") == F.col("__s"))
+    before = F.when(F.col("__point.g") == F.col("__first"), F.col("ahead")).otherwise(0)
+    return joined.select(*[F.col(f"`{c}`") for c in names], (F.col("__rn") + before).cast("bigint").alias(rank))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ def plan_selection(
     if top_k is not None:
         ranked = R.top_n(pool, selection_keys(), top_k, "selection_rank")
     else:
-        ranked = R.add_rank(pool, selection_keys(), "selection_rank")
+        ranked = R.add_rank(pool, selection_keys(), "selection_rank", columns=["candidate_id"])
     return ranked.select(
         S.task_id("candidate_id", F.lit(model), F.lit(config_hash)).alias("validation_id"),
         "candidate_id", F.lit(model).alias("model_name"), F.lit(config_hash).alias("validation_config_hash"),
@@ -53,9 +55,9 @@ def task_keys() -> list[Column]:
     ]
 
 
-def validation_rank(rows: DataFrame) -> DataFrame:
+def validation_rank(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rank inside each model; a model may hold any share of the rows."""
-    return R.add_rank(rows, task_keys(), "validation_rank", by=["model_name"])
+    return R.add_rank(rows, task_keys(), "validation_rank", by=["model_name"], columns=columns)
 
 
 def sample_keys() -> list[Column]:
@@ -66,8 +68,8 @@ def sample_keys() -> list[Column]:
     ]
 
 
-def order_samples(rows: DataFrame) -> DataFrame:
-    return R.add_rank(rows, sample_keys(), "sample_order", by=["model_name"])
+def order_samples(rows: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    return R.add_rank(rows, sample_keys(), "sample_order", by=["model_name"], columns=columns)
 
 
 def best_sample(samples: DataFrame) -> DataFrame:
@@ -80,7 +82,7 @@ def best_sample(samples: DataFrame) -> DataFrame:
     return R.best_per_group(samples, ["validation_id"], keys)
 
 
-def validator_rank(scored: DataFrame) -> DataFrame:
+def validator_rank(scored: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rank over completed rows that have an evaluator score; others keep NULL."""
     rankable = (F.col("validator_status") == "completed") & F.col("evaluator_score").isNotNull()
     keys = [
@@ -89,7 +91,8 @@ def validator_rank(scored: DataFrame) -> DataFrame:
     ]
     # One pass: unrankable rows form their own group and lose the number afterwards.
     marked = scored.withColumn("__in", F.coalesce(rankable, F.lit(False)))
-    ranked = R.add_rank(marked, keys, "validator_rank", by=["__in"])
+    names = scored.columns if columns is None else columns
+    ranked = R.add_rank(marked, keys, "validator_rank", by=["__in"], columns=[*names, "__in"])
     return ranked.withColumn("validator_rank", F.when(F.col("__in"), F.col("validator_rank"))).drop("__in")
 
 
@@ -108,9 +111,10 @@ def final_keys() -> list[Column]:
     ]
 
 
-def final_rank(scored: DataFrame) -> DataFrame:
-    """Number eligible rows in final order; diagnostics keep every row."""
-    ranked = R.add_rank(scored, final_keys(), "final_rank", by=["ranking_eligible"])
+def final_rank(scored: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Number eligible rows in final order; diagnostics keep every row. ``columns``, if given,
+    must hold ranking_eligible."""
+    ranked = R.add_rank(scored, final_keys(), "final_rank", by=["ranking_eligible"], columns=columns)
     return ranked.withColumn("final_rank", F.when(F.col("ranking_eligible"), F.col("final_rank")))
 
 
@@ -122,9 +126,8 @@ def score_correlation(df: DataFrame, x: str, y: str, tie: str) -> DataFrame:
     pts = df.select(F.col(x).alias("x"), F.col(y).alias("y"), F.col(tie).alias("tie")).filter(
         "x is not null and y is not null"
     )
-    # Each rank reads its input several times, so both inputs are written first.
     ranked = R.add_rank(pts, [F.col("x"), F.col("tie")], "rx")
-    ranked = R.add_rank(ranked, [F.col("y"), F.col("tie")], "ry")
+    ranked = R.add_rank(ranked, [F.col("y"), F.col("tie")], "ry", columns=["x", "y", "rx"], sample=pts)
     agg = ranked.agg(
         F.count(F.lit(1)).alias("n"), F.covar_pop("x", "y").alias("cxy"), F.covar_pop("rx", "ry").alias("crr"),
         *[F.stddev_pop(c).alias(f"s_{c}") for c in ("x", "y", "rx", "ry")],

@@ -35,6 +35,36 @@ def test_dedup_limits_before_the_shuffle(spark):
     assert text.count("WindowGroupLimit") == 2
 
 
+def nodes(plan):
+    """All nodes that ran, those of stages and subqueries too."""
+    each = lambda s: [s.apply(i) for i in range(s.size())]
+    kind = plan.getClass().getSimpleName()
+    yield plan
+    below = each(plan.children()) + each(plan.subqueries())
+    below += [plan.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [plan.plan()] if kind.endswith("QueryStageExec") else []
+    for child in below:
+        yield from nodes(child)
+
+
+def exchanges(df, of=""):
+    """Exchanges that ran, without those that read the result of another."""
+    df.collect()
+    names = [n.simpleString(100) for n in nodes(df._jdf.queryExecution().executedPlan())]
+    return sum(n.startswith("Exchange ") and of in n for n in names)
+
+
+RANKED = {"e3_plan_selection": 1, "e4_validation_rank": 1, "e5_order_samples": 1, "e8_validator_rank": 1, "e9_final_rank": 1, "e11_compact_ranking": 1,
+          "f1_multi_key_order": 1, "f5_issue_order": 1, "f3_top_summaries": 0, "d36_score_correlation": 2}
+
+
+@pytest.mark.parametrize("name", RANKED)
+def test_ranked_rows_are_exchanged_once(spark, name):
+    """One exchange per rank, which its counts read too; nothing is stored before it."""
+    df = load()[0][name](spark, FOLDER)
+    assert exchanges(df, "(__slot#") == RANKED[name]
+    assert "Scan ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", ["e4_validation_rank", "e9_final_rank", "f1_multi_key_order"])
 def test_ranking_never_uses_one_partition(spark, name):
     text = plan(spark, name)

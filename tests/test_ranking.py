@@ -78,18 +78,60 @@ def test_pareto_matches_peeling_definition():
     rng = random.Random(7)
     for _ in range(200):
         pts = {(rng.randint(0, 6), rng.randint(0, 6)) for _ in range(rng.randint(1, 25))}
-        order = sorted(pts, key=lambda p: (-p[0], -p[1]))
-        got = P.layer_numbers(np.array([p[1] for p in order], dtype=float))
-        assert dict(zip(order, got.tolist())) == brute_fronts(pts)
+        order = np.array(sorted(pts, key=lambda p: (-p[0], -p[1])), dtype=float)
+        got = P.layer_numbers(order[:, 0], order[:, 1])
+        assert dict(zip(map(tuple, order.astype(int).tolist()), got.tolist())) == brute_fronts(pts)
+
+
+def in_grid(points, block, rng):
+    """Fronts by cells as the rounds build them, with plain lists."""
+    by_x, by_y = (sorted(points, key=k) for k in (lambda p: (-p[0], -p[1]), lambda p: (-p[1], -p[0])))
+    cells = {}
+    for p in points:
+        cells.setdefault((by_x.index(p) // block, by_y.index(p) // block), []).append(p)
+    rows, columns, tops, out = {}, {}, {}, {}
+    for i, j in sorted(cells, key=lambda c: (sum(c), rng.random())):
+        own = np.array(sorted(cells[i, j], key=lambda p: (-p[0], -p[1])), dtype=float)
+        row, column = rows.setdefault(j, P.Stairs([], [])), columns.setdefault(i, P.Stairs([], []))
+        corner = max((t for (a, b), t in tops.items() if a < i and b < j), default=0)
+        found = P.cell_fronts(own[:, 0], own[:, 1], row, column, corner)
+        columns[i] = P.Stairs(column.fronts + found.tolist(), [-v for v in column.negative] + own[:, 0].tolist())
+        tops[i, j] = int(found.max())
+        out.update(zip(map(tuple, own.astype(int).tolist()), found.tolist()))
+    return out
+
+
+def test_grid_of_cells_gives_the_same_fronts():
+    rng = random.Random(9)
+    for size in (3, 8, 40):
+        for _ in range(60):
+            pts = {(rng.randint(0, size), rng.randint(0, size)) for _ in range(rng.randint(1, 70))}
+            assert in_grid(pts, rng.choice([1, 2, 5, 13]), rng) == brute_fronts(pts)
 
 
-def test_large_group_is_peeled_to_the_same_fronts(spark):
+def test_large_group_is_layered_in_rounds(spark):
+    """Two groups beyond a cell, one within; ties, nulls, NaN and an ineligible row."""
     rng = random.Random(3)
-    pts = [(g, rng.randint(0, 9) / 10, rng.randint(0, 9) / 10) for g in ("m", "n") for _ in range(40)]
-    df = spark.createDataFrame(pts, "g string, x double, y double")
-    small = P.pareto_fronts(df, "x", "y", ["g"])
-    large = P.pareto_fronts(df, "x", "y", ["g"], group_limit=5)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+    pts = [(g, rng.randint(0, 12) / 10, rng.randint(0, 12) / 10, True) for g in ("m", None) for _ in range(60)]
+    pts += [("small", 0.1, 0.2, True), ("small", None, 0.2, True), ("small", 0.3, float("nan"), True), ("small", 9.0, 9.0, False), ("small", 9.0, 9.0, None)]
+    df = spark.createDataFrame(pts, "g string, x double, y double, ok boolean")
+    got = P.pareto_fronts(df, "x", "y", ["g"], eligible="ok", block=25)
+    assert got.columns == ["g", "x", "y", "ok", "pareto_front"]
+    want = {g: brute_fronts({p[1:3] for p in pts if p[0] == g}) for g in ("m", None)}
+    rows = got.collect()
+    assert len(rows) == len(pts)
+    assert all(r.pareto_front == want[r.g][r.x, r.y] for r in rows if r.g != "small")
+    assert [r.pareto_front for r in rows if r.g == "small" and r.x == 0.1] == [1]
+    assert all(r.pareto_front is None for r in rows if r.g == "small" and r.x != 0.1)
+    whole = P.pareto_fronts(df, "x", "y", ["g"], eligible="ok")
+    assert sorted(map(str, whole.collect())) == sorted(map(str, rows))
+
+
+def test_long_chain_takes_few_rounds(spark):
+    """A front per point: as many fronts as points, yet five rounds."""
+    df = spark.range(120_000).select(F.col("id"), (F.col("id") * 0.5).alias("x"), (F.col("id") * 0.25).alias("y"))
+    out = P.pareto_fronts(df, "x", "y", block=40_000)
+    assert out.filter(F.col("pareto_front") == 120_000 - F.col("id")).count() == 120_000
 
 
 def test_add_rank_equals_window_under_skew(spark):
@@ -106,6 +148,21 @@ def test_add_rank_equals_window_under_skew(spark):
         assert out.count() == 20000
 
 
+def test_add_rank_with_many_groups_nulls_and_maps(spark):
+    """Groups inside buckets, across buckets, null and empty names; a map column is kept."""
+    df = spark.range(5000).select(
+        "id", F.when(F.col("id") % 5 == 0, F.lit(None)).when(F.col("id") % 5 == 1, "").otherwise(F.concat(F.lit("g"), (F.col("id") % 700).cast("string"))).alias("g"),
+        (F.col("id") % 3 == 0).alias("h"), F.create_map(F.lit("a"), F.col("id")).alias("m"),
+    )
+    keys = [F.pmod(F.hash("id"), F.lit(11)), F.col("id")]
+    out = R.add_rank(df, keys, "rk", by=["g", "h"], buckets=16)
+    assert out.columns == ["id", "g", "h", "m", "rk"]
+    w = Window.partitionBy("g", "h").orderBy(*keys)
+    assert out.withColumn("want", F.row_number().over(w)).filter("rk = want and m['a'] = id").count() == 5000
+    assert R.add_rank(df.limit(0), keys, "rk", by=["g"]).count() == 0
+    assert [r.rk for r in R.add_rank(df.limit(1), keys, "rk").collect()] == [1]
+
+
 def test_dedup_is_idempotent(spark):
     df = spark.createDataFrame([("s1", 0.5, "b"), ("s1", 0.7, "a"), ("s2", None, "c")], "seq string, iptm double, name string")
     keys = [R.high_first("iptm"), R.text_first("name")]

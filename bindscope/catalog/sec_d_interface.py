@@ -54,18 +54,18 @@ def contacts(c):
 
 
 def asym(c):
-    return I.asym_scores(I.by_residue(c.v_pae, CUT))
+    return I.asym_scores(I.by_residue(c.v_pae_rows, CUT))
 
 
 @query("d27_iptm_d0chn", f"WITH {BYRES} SELECT structure_id, chain_i, chain_j, round(iptm_d0chn, 6) AS iptm_d0chn FROM asy")
 def d27(c):
-    return I.iptm_d0chn(c.v_pae).select(*I.PAIR, *r6("iptm_d0chn"))
+    return I.iptm_d0chn(c.v_pae_rows).select(*I.PAIR, *r6("iptm_d0chn"))
 
 
 @query("d28_ipsae_by_residue", f"""WITH {BYRES} SELECT structure_id, chain_i, chain_j, i, cast(n0res AS int) AS n0res, n0chn, n0dom, round(d0res, 6) AS d0res,
     round(iptm_d0chn, 6) AS iptm_d0chn, round(ipsae_d0chn, 6) AS ipsae_d0chn, round(ipsae_d0dom, 6) AS ipsae_d0dom, round(ipsae, 6) AS ipsae FROM br""")
 def d28r(c):
-    rows = I.by_residue(c.v_pae, CUT)
+    rows = I.by_residue(c.v_pae_rows, CUT)
     return rows.select(*I.PAIR, "i", "n0res", "n0chn", "n0dom", *r6("d0res", "iptm_d0chn", "ipsae_d0chn", "ipsae_d0dom", "ipsae"))
 
 
@@ -82,12 +82,12 @@ def d29(c):
 
 @query("d30_pdockq2", f"WITH {NEARBY} SELECT structure_id, chain_i, chain_j, round(pdockq2, 6) AS pdockq2 FROM pq2")
 def d30(c):
-    return I.pdockq2(contacts(c), c.v_pae, c.v_residues).select(*I.PAIR, *r6("pdockq2"))
+    return I.pdockq2(contacts(c), c.v_pae_rows, c.v_residues).select(*I.PAIR, *r6("pdockq2"))
 
 
 @query("d31_lis", f"""WITH {NEARBY} SELECT structure_id, least(chain_i, chain_j) AS chain_a, greatest(chain_i, chain_j) AS chain_b, round(avg(lis), 6) AS lis FROM ls GROUP BY 1, 2, 3""")
 def d31(c):
-    return I.symmetric_mean(I.lis(c.v_pae), "lis").select("structure_id", "chain_a", "chain_b", *r6("lis"))
+    return I.symmetric_mean(I.lis(c.v_pae_rows), "lis").select("structure_id", "chain_a", "chain_b", *r6("lis"))
 
 
 @query("d32_interface_counts", f"""WITH {NEARBY}, p AS (SELECT * FROM v_pae WHERE pae < 15),
@@ -95,8 +95,8 @@ def d31(c):
     b AS (SELECT structure_id, chain_i, chain_j, count(DISTINCT i) AS dist1, count(DISTINCT j) AS dist2 FROM p SEMI JOIN ct USING (structure_id, chain_i, chain_j, i, j) GROUP BY 1, 2, 3)
     SELECT structure_id, chain_i, chain_j, pair_count, nres1, nres2, coalesce(dist1, 0) AS dist1, coalesce(dist2, 0) AS dist2 FROM a LEFT JOIN b USING (structure_id, chain_i, chain_j)""")
 def d32(c):
-    near = I.interface_counts(c.v_pae, CUT, contacts(c)).select(*I.PAIR, F.col("nres1").alias("dist1"), F.col("nres2").alias("dist2"))
-    return I.interface_counts(c.v_pae, CUT).join(near, list(I.PAIR), "left").na.fill({"dist1": 0, "dist2": 0})
+    near = I.interface_counts(c.v_pae_rows, CUT, contacts(c)).select(*I.PAIR, F.col("nres1").alias("dist1"), F.col("nres2").alias("dist2"))
+    return I.interface_counts(c.v_pae_rows, CUT).join(near, list(I.PAIR), "left").na.fill({"dist1": 0, "dist2": 0})
 
 
 @query("d33_pair_summary", f"""WITH {BYRES}, {NEARBY} SELECT structure_id, least(chain_i, chain_j) AS chain_a, greatest(chain_i, chain_j) AS chain_b, round(max(ipsae), 6) AS ipsae,
@@ -104,9 +104,7 @@ def d32(c):
     round(avg(lis), 6) AS lis, round(max(pdockq), 6) AS pdockq FROM asy JOIN pq USING (structure_id, chain_i, chain_j) JOIN pq2 USING (structure_id, chain_i, chain_j)
     JOIN ls USING (structure_id, chain_i, chain_j) GROUP BY 1, 2, 3""")
 def d33(c):
-    keys = list(I.PAIR)
-    full = asym(c).join(I.lis(c.v_pae), keys).join(I.contact_scores(contacts(c), c.v_residues, c.v_pae), keys)
-    return I.pair_summary(full).select(
+    return I.pair_summary(I.full_scores(c.v_pae_rows, CUT, contacts(c), c.v_residues)).select(
         "structure_id", "chain_a", "chain_b", *r6("ipsae", "ipsae_d0chn", "ipsae_d0dom", "iptm_d0chn", "pdockq2", "lis", "pdockq")
     )
 
@@ -173,12 +171,9 @@ def d18(c):
 @query("d34_scope_ipsae", f"""WITH {BYRES} SELECT structure_id, round(max(ipsae), 6) AS value, 'A-B' AS best_pair, cast(1 AS bigint) AS pairs,
     round(min(ipsae), 6) AS ipsae_min, round(max(ipsae), 6) AS ipsae_max FROM asy GROUP BY 1""")
 def d34(c):
-    rows = asym(c)
-    a, b = F.least("chain_i", "chain_j").alias("chain_a"), F.greatest("chain_i", "chain_j").alias("chain_b")
-    pairs = rows.groupBy("structure_id", a, b).agg(F.max("ipsae").alias("ipsae"))
     role = F.when(F.col("chain") == "B", "binder").otherwise("target").alias("role")
     members = c.v_residues.select("structure_id", "chain").distinct().select("structure_id", "chain", role)
-    out = I.scope_ipsae(pairs, rows, members)
+    out = I.scope_ipsae(asym(c), members)
     return out.select("structure_id", *r6("value"), "best_pair", "pairs", *r6("ipsae_min", "ipsae_max"))
 
 

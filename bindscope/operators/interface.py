@@ -1,8 +1,15 @@
 """Interface scores from predicted aligned error, distances and confidence.
 
-The pair table is the large input. One shuffle groups it to one row per (structure,
-chain pair, aligned residue), holding that residue's errors towards the other chain
-(bounded by the chain length); every normalisation is then computed on those rows.
+The error matrix is kept as its rows: one per structure and residue, with the errors
+towards all residues of the complex and the spans of its chains. Blocks towards another
+chain are slices, so all that one residue needs is computed where its row is read. Only
+sums and bitmaps of touched partners are exchanged for the figures of a chain pair; pair
+rows never are.
+
+A row: ``structure_id``, ``chain``, ``i`` (the residue's number in its chain), ``errors``,
+``spans``: an array of (chain, start, length, first, residues), where ``start`` is the
+chain's offset in ``errors``, ``first`` the number of its first residue, ``length`` how many
+numbers it spans and ``residues`` how many of these exist. A missing error is null.
 """
 
 from __future__ import annotations
@@ -39,84 +46,164 @@ def pair_types(types: DataFrame) -> DataFrame:
     )
 
 
+SPANS = "array<struct<chain:string,start:int,length:int,first:bigint,residues:int>>"
+
+
+def rows_of_pairs(pae: DataFrame) -> DataFrame:
+    """Matrix rows of a table of inter-chain pairs (structure_id, chain_i, chain_j, i, j, pae),
+    for sources that come in that form. Gaps in the numbering become null errors."""
+    ends = pae.groupBy("structure_id", F.col("chain_j").alias("chain")).agg(
+        F.min("j").alias("first"), F.max("j").alias("last"), F.count_distinct("j").cast("int").alias("residues")
+    )
+    listed = ends.groupBy("structure_id").agg(F.array_sort(F.collect_list(F.struct("chain", "first", "last", "residues"))).alias("c"))
+    width = lambda e: (e["last"] - e["first"] + 1).cast("int")
+    spans = F.transform("c", lambda e, k: F.struct(
+        e["chain"].alias("chain"), F.aggregate(F.slice("c", F.lit(1), k), F.lit(0), lambda acc, x: acc + width(x)).alias("start"),
+        width(e).alias("length"), e["first"].alias("first"), e["residues"].alias("residues"),
+    ))
+    cells = pae.groupBy("structure_id", F.col("chain_i").alias("chain"), "i").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.struct("chain_j", "j").alias("k"), F.col("pae").alias("v")))).alias("m")
+    )
+    rows = cells.join(listed.select("structure_id", spans.cast(SPANS).alias("spans")), "structure_id")
+    errors = F.flatten(F.transform("spans", lambda e: F.transform(
+        F.sequence(e["first"], e["first"] + e["length"] - 1), lambda j: F.try_element_at("m", F.struct(e["chain"].alias("chain_j"), j.alias("j")))
+    )))
+    return rows.select("structure_id", "chain", "i", errors.alias("errors"), "spans")
+
+
+def pae_blocks(rows: DataFrame) -> DataFrame:
+    """A row per residue and other chain: the errors ``paes`` towards it, numbered from ``first_j``."""
+    own = F.filter("spans", lambda s: s["chain"] == F.col("chain"))[0]
+    others = F.filter("spans", lambda s: s["chain"] != F.col("chain"))
+    out = rows.select("structure_id", F.col("chain").alias("chain_i"), "i", "errors", own["residues"].alias("len_i"), F.explode(others).alias("s"))
+    return out.select(
+        "structure_id", "chain_i", F.col("s.chain").alias("chain_j"), "i", "len_i", F.col("s.residues").alias("len_j"),
+        F.col("s.first").alias("first_j"), F.slice("errors", F.col("s.start") + 1, F.col("s.length")).alias("paes"),
+    )
+
+
+def _sum(values: Column, term) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + term(x))
+
+
 def _kernel_mean(values: Column, scale: Column) -> Column:
     """Mean of 1/(1+(x/d0)^2); 0 for no values."""
-    total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + F.lit(1.0) / (F.lit(1.0) + (x / scale) * (x / scale)))
+    total = _sum(values, lambda x: F.lit(1.0) / (F.lit(1.0) + (x / scale) * (x / scale)))
     return F.when(F.size(values) > 0, total / F.size(values)).otherwise(0.0)
 
 
-def by_residue(pae: DataFrame, cutoff: float, nucleic: DataFrame | None = None) -> DataFrame:
-    """Per aligned residue: counts, scales and the four means.
+def _bitmap(flags: Column) -> Column:
+    """Flags as 64-bit words."""
+    def word(w: Column) -> Column:
+        bits = F.slice(flags, w * 64 + 1, F.lit(64))
+        start = F.struct(F.lit(0).cast("long").alias("word"), F.lit(0).alias("at"))
+        add = lambda acc, x: F.struct(
+            F.when(x, acc["word"].bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), acc["at"]))).otherwise(acc["word"]).alias("word"),
+            (acc["at"] + 1).alias("at"),
+        )
+        return F.aggregate(bits, start, add, lambda acc: acc["word"])
+
+    return F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.size(flags), F.lit(1)) - 1) / 64).cast("int")), word)
 
-    ``pae`` holds the full inter-chain block of every chain pair. Errors are sorted
-    before they are added, so results do not depend on arrival order.
-    """
-    rows = pae.groupBy(*PAIR, "i").agg(F.array_sort(F.collect_list("pae")).alias("paes"))
-    rows = rows.withColumn("valid", F.filter("paes", lambda x: x < cutoff)).withColumn("n0res", F.size("valid"))
-    # Chain pair totals: own length, partner length, residues of this side in the interface.
-    w = Window.partitionBy(*PAIR)
-    rows = rows.withColumn("len_i", F.count(F.lit(1)).over(w)).withColumn(
-        "touch_i", F.sum(F.when(F.col("n0res") > 0, 1).otherwise(0)).over(w)
+
+def touched(blocks: DataFrame, flags: Column) -> DataFrame:
+    """Per chain pair: pairs flagged, residues of this side with one, residues of the other
+    side touched by any (the bits of all bitmaps together)."""
+    one = blocks.select(*PAIR, F.size(F.filter(flags, lambda x: x)).alias("hits"), F.posexplode(_bitmap(flags)).alias("w", "bits"))
+    words = one.groupBy(*PAIR, "w").agg(
+        F.bit_or("bits").alias("bits"), F.count_if(F.col("hits") > 0).alias("touch_i"), F.sum("hits").alias("pair_count")
     )
-    partners = pae.filter(F.col("pae") < cutoff).select(*PAIR, "j").distinct().groupBy(*PAIR).agg(F.count(F.lit(1)).alias("touch_j"))
-    rows = rows.join(partners, list(PAIR), "left").na.fill({"touch_j": 0})
+    return words.groupBy(*PAIR).agg(
+        F.max("pair_count").alias("pair_count"), F.max("touch_i").alias("touch_i"), F.sum(F.bit_count("bits")).alias("touch_j")
+    )
+
+
+def _below(cutoff: float) -> Column:
+    return F.transform("paes", lambda x: F.coalesce(x < cutoff, F.lit(False)))
+
+
+def _near(blocks: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Adds ``near``: offsets in ``paes`` of the residues in contact."""
+    near = contacts.groupBy(*PAIR, "i").agg(F.array_sort(F.collect_list("j")).alias("js"))
+    out = blocks.join(near, [*PAIR, "i"], "left")
+    at = F.transform("js", lambda j: (j - F.col("first_j")).cast("int"))
+    return out.withColumn("near", F.coalesce(at, F.array().cast("array<int>"))).drop("js")
+
+
+def by_residue(rows: DataFrame, cutoff: float, nucleic: DataFrame | None = None, contacts: DataFrame | None = None) -> DataFrame:
+    """Per residue and other chain: counts, scales, the four means and the sums of the local
+    interaction score; with ``contacts`` also the number of contacts and the sums of their
+    kernel. Reads the matrix twice: for the touched partners of a pair, and for the means."""
+    blocks = pae_blocks(rows)
+    sides = touched(blocks, _below(cutoff)).select(*PAIR, F.col("touch_i").cast("long"), F.col("touch_j").cast("long"))
+    if contacts is not None:
+        blocks = _near(blocks, contacts)
+    res = blocks.join(sides, list(PAIR))
     if nucleic is not None:
-        rows = rows.join(nucleic, list(PAIR), "left")
+        res = res.join(nucleic, list(PAIR), "left")
         na = F.coalesce(F.col("pair_type") == "nucleic_acid", F.lit(False))
     else:
         na = F.lit(False)
-    rows = (
-        rows.withColumn("n0chn", F.col("len_i") + F.size("paes"))
+    res = (
+        res.withColumn("known", F.filter("paes", F.isnotnull)).withColumn("valid", F.filter("paes", lambda x: x < cutoff))
+        .withColumn("n0res", F.size("valid")).withColumn("n0chn", (F.col("len_i") + F.col("len_j")).cast("long"))
         .withColumn("n0dom", F.col("touch_i") + F.col("touch_j"))
-        .withColumn("d0chn", S.d0(F.col("n0chn"), na))
-        .withColumn("d0dom", S.d0(F.col("n0dom"), na))
-        .withColumn("d0res", S.d0(F.col("n0res"), na))
+        .withColumn("d0chn", S.d0(F.col("n0chn"), na)).withColumn("d0dom", S.d0(F.col("n0dom"), na)).withColumn("d0res", S.d0(F.col("n0res"), na))
     )
-    return rows.select(
+    extra = []
+    if contacts is not None:
+        found = F.filter(F.transform("near", lambda k: F.get("paes", k)), F.isnotnull)
+        extra = [F.size("near").alias("n_near"), F.size(found).alias("n_kernel"),
+                 _sum(found, lambda x: F.lit(1.0) / (F.lit(1.0) + (x / 10.0) * (x / 10.0))).alias("kernel")]
+    return res.select(
         *PAIR, "i", "n0res", "n0chn", "n0dom", "d0res", "d0chn", "d0dom", "touch_i", "touch_j",
-        _kernel_mean(F.col("paes"), F.col("d0chn")).alias("iptm_d0chn"),
-        _kernel_mean(F.col("valid"), F.col("d0chn")).alias("ipsae_d0chn"),
-        _kernel_mean(F.col("valid"), F.col("d0dom")).alias("ipsae_d0dom"),
-        _kernel_mean(F.col("valid"), F.col("d0res")).alias("ipsae"),
+        _kernel_mean(F.col("known"), F.col("d0chn")).alias("iptm_d0chn"), _kernel_mean(F.col("valid"), F.col("d0chn")).alias("ipsae_d0chn"),
+        _kernel_mean(F.col("valid"), F.col("d0dom")).alias("ipsae_d0dom"), _kernel_mean(F.col("valid"), F.col("d0res")).alias("ipsae"),
+        *_lis_sums(), *extra,
     )
 
 
-def asym_scores(rows: DataFrame) -> DataFrame:
-    """Best aligned residue per directed chain pair and score.
+def _lis_sums() -> list[Column]:
+    near = F.filter("paes", lambda x: x <= LIS_CUTOFF)
+    return [_sum(near, lambda x: (F.lit(LIS_CUTOFF) - x) / LIS_CUTOFF).alias("lis_sum"), F.size(near).alias("lis_n")]
+
+
+def asym_scores(res: DataFrame) -> DataFrame:
+    """Best residue per directed chain pair and score, and the pair's local interaction score.
 
     A score of 0 has no residue: the first residue of the complex would be meaningless.
     """
     names = ("ipsae", "ipsae_d0chn", "ipsae_d0dom", "iptm_d0chn")
     aggs = [F.max(F.struct(F.col(n), (-F.col("i")).alias("neg"), "n0res", "d0res")).alias(n) for n in names]
-    agg = rows.groupBy(*PAIR).agg(*aggs, *[F.max(c).alias(c) for c in ("n0chn", "n0dom", "d0chn", "d0dom", "touch_i", "touch_j")])
+    agg = res.groupBy(*PAIR).agg(
+        *aggs, *[F.max(c).alias(c) for c in ("n0chn", "n0dom", "d0chn", "d0dom", "touch_i", "touch_j")], _lis().alias("lis")
+    )
     cols = []
     for n in names:
         cols.append(F.col(f"{n}.{n}").alias(n))
         cols.append(F.when(F.col(f"{n}.{n}") > 0, -F.col(f"{n}.neg")).alias(f"{n}_residue"))
     return agg.select(
         *PAIR, *cols, F.col("ipsae.n0res").alias("n0res"), F.col("ipsae.d0res").alias("d0res"),
-        "n0chn", "n0dom", "d0chn", "d0dom", F.col("touch_i").alias("nres1"), F.col("touch_j").alias("nres2"),
+        "n0chn", "n0dom", "d0chn", "d0dom", F.col("touch_i").alias("nres1"), F.col("touch_j").alias("nres2"), "lis",
     )
 
 
-def iptm_d0chn(pae: DataFrame) -> DataFrame:
-    """Score over the whole partner chain, without an error cutoff.
-
-    Only sums are needed, so both levels aggregate partially before their shuffle.
-    """
-    ends = [
-        pae.groupBy(*PAIR, side).agg(F.lit(1).alias("one")).groupBy(*PAIR).agg(F.count("one").alias(f"len_{side}")) for side in ("i", "j")
-    ]
-    lengths = ends[0].join(ends[1], list(PAIR)).select(*PAIR, S.d0(F.col("len_i") + F.col("len_j")).alias("d0chn"))
-    per = pae.join(lengths, list(PAIR)).groupBy(*PAIR, "i").agg(F.avg(S.ptm_kernel(F.col("pae"), F.col("d0chn"))).alias("value"))
-    best = per.groupBy(*PAIR).agg(F.max(F.struct("value", (-F.col("i")).alias("neg"))).alias("b"))
+def iptm_d0chn(rows: DataFrame) -> DataFrame:
+    """Score over the whole partner chain, without an error cutoff: the scale follows from
+    the chains' lengths, so a residue's value is computed where its row is read."""
+    blocks = pae_blocks(rows).withColumn("d0chn", S.d0(F.col("len_i") + F.col("len_j")))
+    value = _kernel_mean(F.filter("paes", F.isnotnull), F.col("d0chn"))
+    best = blocks.select(*PAIR, "i", value.alias("value")).groupBy(*PAIR).agg(F.max(F.struct("value", (-F.col("i")).alias("neg"))).alias("b"))
     return best.select(*PAIR, F.col("b.value").alias("iptm_d0chn"), (-F.col("b.neg")).alias("residue"))
 
 
-def lis(pae: DataFrame) -> DataFrame:
+def _lis() -> Column:
+    return F.coalesce(F.try_divide(F.sum("lis_sum"), F.sum("lis_n")), F.lit(0.0))
+
+
+def lis(rows: DataFrame) -> DataFrame:
     """Directed local interaction score: mean of (12-pae)/12 up to 12, else 0."""
-    near = F.when(F.col("pae") <= LIS_CUTOFF, (F.lit(LIS_CUTOFF) - F.col("pae")) / LIS_CUTOFF)
-    return pae.groupBy(*PAIR).agg(F.coalesce(F.avg(near), F.lit(0.0)).alias("lis"))
+    return pae_blocks(rows).select(*PAIR, *_lis_sums()).groupBy(*PAIR).agg(_lis().alias("lis"))
 
 
 def symmetric_mean(df: DataFrame, value: str) -> DataFrame:
@@ -135,22 +222,18 @@ def all_pairs_of_chains(residues: DataFrame) -> DataFrame:
     return chains.withColumnRenamed("chain", "chain_i").join(other, "structure_id").filter("chain_i <> chain_j")
 
 
-def contact_scores(contacts: DataFrame, residues: DataFrame, pae: DataFrame | None = None) -> DataFrame:
-    """Contact count, interface confidence and both docking scores per directed pair.
+def docking_scores(own: DataFrame, residues: DataFrame) -> DataFrame:
+    """Both docking scores per directed pair, 0 without contacts. ``own``: a row per touched
+    residue (PAIR, i, n_near, kernel, n_kernel).
 
     Residue numbers may begin anew in each chain: every join carries the chain.
     Contacts come in both directions, so a pair's partner side is the own side of the
     reversed pair: one row per touched residue is enough for every figure.
     """
-    near = contacts.select(*PAIR, "i", "j")
-    kernel = F.lit(None).cast("double")
-    if pae is not None:
-        near = near.join(pae.select(*PAIR, "i", "j", "pae"), [*PAIR, "i", "j"], "left")
-        kernel = S.ptm_kernel(F.col("pae"), F.lit(10.0))
-    touched = near.groupBy(*PAIR, "i").agg(F.count(F.lit(1)).alias("n"), F.sum(kernel).alias("k"), F.count(kernel).alias("nk"))
     conf = residues.select("structure_id", F.col("chain").alias("chain_i"), F.col("residue").alias("i"), "plddt")
-    own = touched.join(conf, ["structure_id", "chain_i", "i"]).groupBy(*PAIR).agg(
-        F.sum("n").alias("n_pairs"), F.try_divide(F.sum("k"), F.sum("nk")).alias("mean_ptm"), F.sum("plddt").alias("p"), F.count("plddt").alias("np")
+    own = own.join(conf, ["structure_id", "chain_i", "i"]).groupBy(*PAIR).agg(
+        F.sum("n_near").alias("n_pairs"), F.try_divide(F.sum("kernel"), F.sum("n_kernel")).alias("mean_ptm"),
+        F.sum("plddt").alias("p"), F.count("plddt").alias("np"),
     )
     both = Window.partitionBy("structure_id", F.least("chain_i", "chain_j"), F.greatest("chain_i", "chain_j"))
     own = own.withColumn("mean_plddt", F.sum("p").over(both) / F.sum("np").over(both))
@@ -162,24 +245,48 @@ def contact_scores(contacts: DataFrame, residues: DataFrame, pae: DataFrame | No
     return out.na.fill({"n_pairs": 0, "pdockq": 0.0, "pdockq2": 0.0})
 
 
+def contact_scores(contacts: DataFrame, residues: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Contact count, interface confidence and both docking scores per directed pair; the
+    errors of the contacts are looked up in the matrix rows of their residues."""
+    if rows is None:
+        own = contacts.groupBy(*PAIR, "i").agg(F.count(F.lit(1)).alias("n_near"))
+        own = own.withColumn("kernel", F.lit(None).cast("double")).withColumn("n_kernel", F.lit(0))
+    else:
+        found = F.filter(F.transform("near", lambda k: F.get("paes", k)), F.isnotnull)
+        own = _near(pae_blocks(rows), contacts).filter(F.size("near") > 0).select(
+            *PAIR, "i", F.size("near").alias("n_near"), F.size(found).alias("n_kernel"),
+            _sum(found, lambda x: F.lit(1.0) / (F.lit(1.0) + (x / 10.0) * (x / 10.0))).alias("kernel"),
+        )
+    return docking_scores(own, residues)
+
+
 def pdockq(contacts: DataFrame, residues: DataFrame) -> DataFrame:
     return contact_scores(contacts, residues).select(*PAIR, "n_pairs", "pdockq")
 
 
-def pdockq2(contacts: DataFrame, pae: DataFrame, residues: DataFrame) -> DataFrame:
-    return contact_scores(contacts, residues, pae).select(*PAIR, "pdockq2")
+def pdockq2(contacts: DataFrame, rows: DataFrame, residues: DataFrame) -> DataFrame:
+    return contact_scores(contacts, residues, rows).select(*PAIR, "pdockq2")
 
 
-def interface_counts(pae: DataFrame, cutoff: float, contacts: DataFrame | None = None) -> DataFrame:
+def interface_counts(rows: DataFrame, cutoff: float, contacts: DataFrame | None = None) -> DataFrame:
     """Valid pairs and distinct residues on each side, by error and optionally by distance."""
-    valid = pae.filter(F.col("pae") < cutoff)
+    blocks = pae_blocks(rows)
+    flags = _below(cutoff)
     if contacts is not None:
-        valid = valid.join(contacts.select(*PAIR, "i", "j"), [*PAIR, "i", "j"], "left_semi")
-    return valid.groupBy(*PAIR).agg(
-        F.count(F.lit(1)).alias("pair_count"), F.count_distinct("i").alias("nres1"), F.count_distinct("j").alias("nres2")
+        blocks = _near(blocks, contacts)
+        flags = F.transform("paes", lambda x, k: F.coalesce(x < cutoff, F.lit(False)) & F.array_contains("near", k))
+    return touched(blocks, flags).filter("pair_count > 0").select(
+        *PAIR, "pair_count", F.col("touch_i").alias("nres1"), F.col("touch_j").cast("long").alias("nres2")
     )
 
 
+def full_scores(rows: DataFrame, cutoff: float, contacts: DataFrame, residues: DataFrame) -> DataFrame:
+    """Directed scores of all kinds from one evaluation of the residues' rows."""
+    res = by_residue(rows, cutoff, contacts=contacts)
+    docked = docking_scores(res.filter("n_near > 0").select(*PAIR, "i", "n_near", "kernel", "n_kernel"), residues)
+    return asym_scores(res).join(docked, list(PAIR))
+
+
 def pair_summary(asym: DataFrame) -> DataFrame:
     """One row per unordered pair: best of both directions, mean LIS, plain pDockQ."""
     a, b = F.least("chain_i", "chain_j").alias("chain_a"), F.greatest("chain_i", "chain_j").alias("chain_b")
@@ -190,24 +297,19 @@ def pair_summary(asym: DataFrame) -> DataFrame:
     )
 
 
-def scope_ipsae(pair_rows: DataFrame, asym_rows: DataFrame, roles: DataFrame) -> DataFrame:
-    """Binder-target value: the best pair row; also min and max of the directed rows."""
+def scope_ipsae(asym: DataFrame, roles: DataFrame) -> DataFrame:
+    """Binder-target value: the best pair of the directed scores, each pair counting with its
+    better direction; also min and max of the directed scores. Every score is read once."""
     side = lambda n, r: roles.select("structure_id", F.col("chain").alias(n), F.col("role").alias(r))
-
-    def scoped(df: DataFrame, x: str, y: str) -> DataFrame:
-        out = df.join(side(x, "rx"), ["structure_id", x]).join(side(y, "ry"), ["structure_id", y])
-        return out.filter("(rx = 'binder' and ry = 'target') or (rx = 'target' and ry = 'binder')")
-
-    best = scoped(pair_rows, "chain_a", "chain_b").groupBy("structure_id").agg(
-        F.min_by(F.struct("ipsae", "chain_a", "chain_b"), F.struct(-F.col("ipsae"), F.col("chain_a"), F.col("chain_b"))).alias("b"),
-        F.count(F.lit(1)).alias("pairs"),
-    )
-    span = scoped(asym_rows, "chain_i", "chain_j").groupBy("structure_id").agg(
-        F.min("ipsae").alias("ipsae_min"), F.max("ipsae").alias("ipsae_max")
+    scoped = asym.select("structure_id", "chain_i", "chain_j", "ipsae").join(side("chain_i", "rx"), ["structure_id", "chain_i"])
+    scoped = scoped.join(side("chain_j", "ry"), ["structure_id", "chain_j"]).filter(
+        "(rx = 'binder' and ry = 'target') or (rx = 'target' and ry = 'binder')"
     )
-    return best.join(span, "structure_id", "left").select(
-        "structure_id", F.col("b.ipsae").alias("value"), F.concat_ws("-", "b.chain_a", "b.chain_b").alias("best_pair"),
-        "pairs", F.coalesce("ipsae_min", "b.ipsae").alias("ipsae_min"), F.coalesce("ipsae_max", "b.ipsae").alias("ipsae_max"),
+    a, b = F.least("chain_i", "chain_j").alias("chain_a"), F.greatest("chain_i", "chain_j").alias("chain_b")
+    pairs = scoped.groupBy("structure_id", a, b).agg(F.max("ipsae").alias("ipsae"), F.min("ipsae").alias("low"))
+    return pairs.groupBy("structure_id").agg(
+        F.max("ipsae").alias("value"), F.min_by(F.concat_ws("-", "chain_a", "chain_b"), F.struct(-F.col("ipsae"), F.col("chain_a"), F.col("chain_b"))).alias("best_pair"),
+        F.count(F.lit(1)).alias("pairs"), F.min("low").alias("ipsae_min"), F.max("ipsae").alias("ipsae_max"),
     )
 
 

@@ -222,6 +222,19 @@ PAIRED: dict[str, tuple[str, str]] = {
                  (SELECT vec_id, embedding, unnest(range(0, 21)) AS i FROM {embeddings}) a) b
            WHERE (i < 11) <> (j < 11)""",
     ),
+    # The same errors as rows of the matrix; within a chain they are null.
+    "v_pae_rows": (
+        """SELECT vec_id AS structure_id, CASE WHEN i < 11 THEN 'A' ELSE 'B' END AS chain, i,
+                  transform(sequence(0L, 20L), j -> CASE WHEN (i < 11) <> (j < 11)
+                    THEN 40 * abs(cast(embedding[cast(3 * i as int)] as double) - cast(embedding[cast(3 * j + 1 as int)] as double)) END) AS errors,
+                  array(named_struct('chain', 'A', 'start', 0, 'length', 11, 'first', 0L, 'residues', 11),
+                        named_struct('chain', 'B', 'start', 11, 'length', 10, 'first', 11L, 'residues', 10)) AS spans
+           FROM {spread} LATERAL VIEW explode(sequence(0L, 20L)) t AS i""",
+        """SELECT vec_id AS structure_id, CASE WHEN i < 11 THEN 'A' ELSE 'B' END AS chain, i,
+                  list_transform(range(0, 21), lambda j: CASE WHEN (i < 11) <> (j < 11)
+                    THEN 40 * abs(cast(embedding[3 * i + 1] as double) - cast(embedding[3 * j + 2] as double)) END) AS errors
+           FROM (SELECT vec_id, embedding, unnest(range(0, 21)) AS i FROM {embeddings}) a""",
+    ),
     "v_chain_scores": (
         """SELECT vec_id AS structure_id, substr('ABCD', cast(a as int) + 1, 1) AS chain_a, substr('ABCD', cast(b as int) + 1, 1) AS chain_b,
                   CASE WHEN (vec_id + a + b) % 9 = 0 THEN NULL

@@ -115,7 +115,7 @@ def test_ipsae_three_chains(spark):
     pae[:40, 73:] = 29.0
     rows = [(1, i, j, chains[i], chains[j], float(pae[i, j])) for i in range(81) for j in range(81) if chains[i] != chains[j]]
     df = spark.createDataFrame([tuple(map(lambda v: v.item() if hasattr(v, "item") else v, r)) for r in rows], "structure_id bigint, i bigint, j bigint, chain_i string, chain_j string, pae double")
-    got = {(r.chain_i, r.chain_j): r for r in I.asym_scores(I.by_residue(df, 15.0)).collect()}
+    got = {(r.chain_i, r.chain_j): r for r in I.asym_scores(I.by_residue(I.rows_of_pairs(df), 15.0)).collect()}
     want = reference_ipsae(pae, chains, 15.0)
     assert set(got) == set(want)
     for pair, value in want.items():
@@ -125,11 +125,30 @@ def test_ipsae_three_chains(spark):
 
 
 def test_scope_takes_best_pair(spark):
-    pair_rows = spark.createDataFrame([(1, "A", "B", 0.73), (1, "B", "C", 0.2), (1, "A", "C", 0.99)], "structure_id bigint, chain_a string, chain_b string, ipsae double")
-    asym = spark.createDataFrame([(1, "A", "B", 0.45), (1, "B", "A", 0.35)], "structure_id bigint, chain_i string, chain_j string, ipsae double")
+    asym = spark.createDataFrame([(1, "A", "B", 0.73), (1, "B", "A", 0.35), (1, "B", "C", 0.2), (1, "C", "B", 0.1), (1, "A", "C", 0.99), (1, "C", "A", 0.9)], "structure_id bigint, chain_i string, chain_j string, ipsae double")
     roles = spark.createDataFrame([(1, "A", "target"), (1, "C", "target"), (1, "B", "binder")], "structure_id bigint, chain string, role string")
-    row = I.scope_ipsae(pair_rows, asym, roles).first()
-    assert (row.value, row.ipsae_min, row.ipsae_max, row.best_pair) == (0.73, 0.35, 0.45, "A-B")
+    row = I.scope_ipsae(asym, roles).first()
+    assert (row.value, row.ipsae_min, row.ipsae_max, row.best_pair, row.pairs) == (0.73, 0.1, 0.73, "A-B", 2)
+
+
+def test_matrix_rows_with_gaps_bitmaps_and_nulls(spark):
+    """Chains of 150 and 70 residues (several words of a bitmap), a gap in the numbers, a missing pair."""
+    rng = np.random.default_rng(2)
+    numbers = {"A": [n for n in range(5, 156) if n != 60], "B": list(range(70))}
+    cells = [("s", a, b, i, j, float(rng.uniform(0, 40))) for a, b in (("A", "B"), ("B", "A")) for i in numbers[a] for j in numbers[b]]
+    cells.remove(gone := cells[777])
+    rows = I.rows_of_pairs(spark.createDataFrame(cells, "structure_id string, chain_i string, chain_j string, i long, j long, pae double"))
+    got = {(r.chain_i, r.chain_j): r for r in I.interface_counts(rows, 1.0).collect()}
+    near = spark.createDataFrame([c[:5] for c in cells if c[3] % 3 == 0] + [gone[:5]], "structure_id string, chain_i string, chain_j string, i long, j long")
+    close = {(r.chain_i, r.chain_j): r for r in I.interface_counts(rows, 1.0, near).collect()}
+    for pair, row in got.items():
+        hit = [c for c in cells if c[1:3] == pair and c[5] < 1.0]
+        assert (row.pair_count, row.nres1, row.nres2) == (len(hit), len({c[3] for c in hit}), len({c[4] for c in hit}))
+        hit = [c for c in hit if c[3] % 3 == 0]
+        assert (close[pair].pair_count, close[pair].nres1, close[pair].nres2) == (len(hit), len({c[3] for c in hit}), len({c[4] for c in hit}))
+    assert {r.n0chn for r in I.by_residue(rows, 15.0).collect()} == {220}
+    want = {p: np.mean([(12 - c[5]) / 12 for c in cells if c[1:3] == p and c[5] <= 12]) for p in got}
+    assert all(abs(r.lis - want[r.chain_i, r.chain_j]) < 1e-12 for r in I.lis(rows).collect())
 
 
 def test_lowest_k_confidence(spark):
@@ -188,7 +207,7 @@ def test_docking_scores_with_numbers_per_chain(spark):
     contacts = spark.createDataFrame(rows, "structure_id string, i long, j long, chain_i string, chain_j string, distance double")
     pae = contacts.withColumnRenamed("distance", "pae")
     residues = spark.createDataFrame([("s", "A", 0, 90.0), ("s", "B", 0, 10.0)], "structure_id string, chain string, residue long, plddt double")
-    got = I.contact_scores(contacts, residues, pae).collect()
+    got = I.contact_scores(contacts, residues, I.rows_of_pairs(pae)).collect()
     assert [(r.n_pairs, round(r.pdockq, 4)) for r in got] == [(1, 0.0183)] * 2
     top, slope, mid, base = I.PDOCKQ2
     want = top / (1 + math.exp(-slope * (50 / (1 + (3 / 10) ** 2) - mid))) + base

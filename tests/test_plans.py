@@ -65,6 +65,21 @@ def test_ranked_rows_are_exchanged_once(spark, name):
     assert "Scan ExistingRDD" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+ERRORS = ["d27_iptm_d0chn", "d28_ipsae_by_residue", "d28_ipsae_asymmetric", "d31_lis", "d32_interface_counts", "d33_pair_summary", "d34_scope_ipsae"]
+
+
+@pytest.mark.parametrize("name", ERRORS)
+def test_pair_rows_are_never_exchanged(spark, name):
+    """What is exchanged of the error matrix: scores of residues, words of bitmaps, or rows of
+    the matrix. No row of one pair (i, j, error), and rows of the matrix not without need."""
+    df = load()[0][name](spark, FOLDER)
+    df.collect()
+    for node in nodes(df._jdf.queryExecution().executedPlan()):
+        if node.nodeName() == "Exchange":
+            names = {f.name() for f in (node.schema().apply(i) for i in range(node.schema().size()))}
+            assert not {"i", "j", "pae"} <= names and not ({"errors", "paes"} & names and name in ("d27_iptm_d0chn", "d31_lis"))
+
+
 @pytest.mark.parametrize("name", ["e4_validation_rank", "e9_final_rank", "f1_multi_key_order"])
 def test_ranking_never_uses_one_partition(spark, name):
     text = plan(spark, name)

@@ -2,49 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from bindscope.session import scratch
 
 ENDED = ("completed", "failed")
-OUTPUT = "task_id bigint, status string, last_seen timestamp, claims bigint, events bigint"
-STATE = "status string, last_seen timestamp, claims bigint, events bigint"
 
 
-def stream_task_state(events: DataFrame, timeout_seconds: float, lateness: str = "10 minutes") -> DataFrame:
-    """One row per task and change: running, completed, failed, or stale when no event came
-    for ``timeout_seconds`` of event time. Needs task_id, ts, kind.
+def stream_spells(events: DataFrame, timeout_seconds: float, lateness: str | None = None) -> DataFrame:
+    """One row per task and spell: a run of events none of which comes ``timeout_seconds`` or
+    more after the one before. Needs event_id, task_id, ts, kind.
 
-    Events older than the watermark are dropped; out-of-order events within it do not move
-    a task back. A task's events arrive in chunks, so a busy task is never held whole.
+    The state is Spark's own session windows, combined before the exchange, so a busy task
+    is one row per spell and input partition. With ``lateness`` (append mode) a spell is
+    written once the watermark has passed its end, and its state is dropped: ended and stale
+    tasks leave nothing behind, and a task that is claimed anew begins another spell. Rows
+    behind the watermark are not counted; ``drain_late`` keeps them. Without it (complete
+    mode) every spell is kept.
     """
-    gap = int(timeout_seconds * 1000)
-
-    def advance(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        status, seen, claims, count = state.get if state.exists else (None, None, 0, 0)
-        seen = pd.Timestamp(seen) if seen is not None else None
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({"task_id": [key[0]], "status": ["stale"], "last_seen": [seen], "claims": [claims], "events": [count]})
-            return
-        for pdf in chunks:
-            claims += int((pdf["kind"] == "claim").sum())
-            count += len(pdf)
-            last = pdf.sort_values(["ts", "event_id"]).iloc[-1]
-            if seen is None or last["ts"] >= seen:
-                seen, status = last["ts"], last["kind"] if last["kind"] in ENDED else "running"
-        state.update((status, seen.to_pydatetime(), claims, count))
-        if status == "running":
-            state.setTimeoutTimestamp(max(int(seen.timestamp() * 1000) + gap, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"task_id": [key[0]], "status": [status], "last_seen": [seen], "claims": [claims], "events": [count]})
-
-    keyed = events.select("event_id", "task_id", F.col("ts").cast("timestamp").alias("ts"), "kind").withWatermark("ts", lateness)
-    return keyed.groupBy("task_id").applyInPandasWithState(advance, OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    timed = events.select("event_id", "task_id", F.col("ts").cast("timestamp").alias("ts"), "kind")
+    if lateness is not None:
+        timed = timed.withWatermark("ts", lateness)
+    spell = F.session_window("ts", f"{int(timeout_seconds * 1000)} milliseconds")
+    return timed.groupBy("task_id", spell).agg(
+        F.max("ts").alias("last_seen"), F.max_by("kind", F.struct("ts", "event_id")).alias("last_kind"),
+        F.count_if(F.col("kind") == "claim").alias("claims"), F.count(F.lit(1)).alias("events"),
+    ).select("task_id", F.col("session_window.start").alias("started"), "last_seen", "last_kind", "claims", "events")
+
+
+def task_state(spells: DataFrame, now: Column, timeout_seconds: float) -> DataFrame:
+    """State per task from its spells: as its last event says if that ended it, else stale when
+    nothing came for ``timeout_seconds`` up to ``now``, else running. Claims and events count
+    over all spells, so those before a stale phase remain."""
+    last = F.max(F.struct("last_seen", "last_kind")).alias("l")
+    out = spells.groupBy("task_id").agg(last, F.sum("claims").alias("claims"), F.sum("events").alias("events"), F.count(F.lit(1)).alias("spells"))
+    limit = F.col("l.last_seen") + F.make_dt_interval(secs=F.lit(timeout_seconds))
+    status = F.when(F.col("l.last_kind").isin(*ENDED), F.col("l.last_kind")).when(limit <= now, "stale").otherwise("running")
+    return out.select("task_id", status.alias("status"), F.col("l.last_seen").alias("last_seen"), "claims", "events", "spells")
+
+
+def drain_late(events: DataFrame, lateness: str, name: str) -> DataFrame:
+    """The rows of a stream older than the latest time of all earlier batches less ``lateness``.
+    Every row that a watermark of that lateness drops is among them; some still count, as a
+    batch is judged by the watermark of the one before. Each batch stores its latest time, and
+    a batch that is run again writes the same folders again."""
+    spark = events.sparkSession
+    base = scratch(spark, name)
+    rows = events.withColumn("ts", F.col("ts").cast("timestamp"))
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.agg(F.max("ts").alias("latest")).write.mode("overwrite").parquet(f"{base}/marks/number={number}")
+        marks = spark.read.parquet(f"{base}/marks").filter(F.col("number") < number)
+        floor = marks.agg(F.max("latest") - F.expr(f"INTERVAL {lateness}")).scalar()
+        batch.filter(F.col("ts") < floor).write.mode("overwrite").parquet(f"{base}/late/number={number}")
+
+    run = rows.writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).foreachBatch(keep).start()
+    run.awaitTermination()
+    return spark.read.parquet(f"{base}/late").withColumnRenamed("number", "batch")
 
 
 def stream_latest(events: DataFrame) -> DataFrame:

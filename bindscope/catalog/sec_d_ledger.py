@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from bindscope.catalog.base import query
 from bindscope.catalog.fragments import METRICS, PASSED, SCORED, TASKS, completed, metric_rows, scored_rows, task_rows
 from bindscope.catalog.sec_c import REFS
+from bindscope.operators import campaign as C
 from bindscope.operators import gating as G
 from bindscope.operators import ledger as L
 from bindscope.operators import selection as X
@@ -82,27 +83,50 @@ def d6(c):
     return L.terminal_failures(L.status_counts(tables(c)))
 
 
-@query(
-    "d7_campaign_state",
-    """WITH s AS (SELECT campaign_id, shard_id, status FROM v_shards),
-       k AS (SELECT campaign_id, 'shards' AS t, status FROM s
-         UNION ALL SELECT campaign_id, 'candidates', c.status FROM v_candidates c JOIN s USING (shard_id)
-         UNION ALL SELECT campaign_id, 'validation_tasks', v.status FROM v_tasks v JOIN v_candidates c USING (candidate_id) JOIN s USING (shard_id)),
-       a AS (SELECT campaign_id, count(*) FILTER (status = 'failed' OR (t = 'shards' AND status = 'cancelled')) AS failed,
-             count(*) FILTER (status = 'running') AS running, count(*) FILTER (status = 'pending') AS pending FROM k GROUP BY 1)
-       SELECT campaign_id, failed, running, pending, CASE WHEN failed > 0 THEN 'failed' WHEN running > 0 THEN 'running' WHEN pending > 0 THEN 'pending' ELSE 'complete' END AS state FROM a""",
-)
+def _facts_sql(shards: str, shard: str, metrics: str = "") -> str:
+    """Tagged union of status rows, issues and artifacts; ``shard`` names a candidate's shard."""
+    return f"""sh AS (SELECT shard_id, campaign_id, status FROM {shards}),
+    ow AS (SELECT candidate_id, campaign_id, c.status FROM v_candidates c JOIN sh ON sh.shard_id = {shard}),
+    facts AS (SELECT campaign_id, 'shards' AS tag, status AS value FROM sh UNION ALL SELECT campaign_id, 'candidates', status FROM ow
+      UNION ALL SELECT campaign_id, 'critic_metrics', x.status FROM v_critic x JOIN ow USING (candidate_id)
+      UNION ALL SELECT campaign_id, 'validation_tasks', x.status FROM v_tasks x JOIN ow USING (candidate_id)
+      UNION ALL SELECT campaign_id, 'validation_structures', x.status FROM v_samples x JOIN ow USING (candidate_id)
+      UNION ALL SELECT campaign_id, 'validation_msa_jobs', j.status FROM (SELECT DISTINCT campaign_id, msa_job_id FROM v_deps JOIN ow USING (candidate_id)) JOIN v_jobs j USING (msa_job_id)
+      UNION ALL SELECT campaign_id, 'issues', kind FROM issues JOIN ow ON ow.candidate_id = CASE table_name WHEN 'candidates' THEN row_id
+        WHEN 'critic_metrics' THEN split_part(row_id, ':', 1) ELSE 'cand_' || split_part(row_id, '_', 2) END
+      {metrics})"""
+
+
+_STATES = f"""WITH {REFS}, {_facts_sql("v_campaign_shards", "'one_' || c.candidate_index", """UNION ALL SELECT cast(regexp_extract(path, '(\\d+)', 1) AS bigint), 'issues', kind FROM issues WHERE table_name IS NULL
+        UNION ALL SELECT campaign_id, 'artifacts', name FROM v_artifacts""")},
+    a AS (SELECT campaign_id,
+      count(*) FILTER ((tag IN ('shards', 'candidates', 'critic_metrics', 'validation_tasks', 'validation_msa_jobs') AND value = 'failed') OR (tag = 'shards' AND value = 'cancelled')) AS failed,
+      count(*) FILTER (tag NOT IN ('issues', 'artifacts') AND value = 'running') AS running, count(*) FILTER (tag NOT IN ('issues', 'artifacts') AND value = 'pending') AS pending,
+      count(*) FILTER (tag = 'issues') AS issues, count(*) FILTER (tag = 'shards') AS shards, count(*) FILTER (tag = 'shards' AND value = 'completed') AS shards_done,
+      count(*) FILTER (tag = 'artifacts' AND value LIKE 'critic%') AS designed, count(*) FILTER (tag = 'artifacts' AND value NOT LIKE 'critic%') AS validated
+      FROM facts GROUP BY 1),
+    b AS (SELECT c.*, coalesce(failed, 0) AS failed, coalesce(running, 0) AS running, coalesce(pending, 0) AS pending, coalesce(issues, 0) AS issues,
+      coalesce(shards, 0) AS shards, coalesce(shards_done, 0) AS shards_done, CASE WHEN validation_configured THEN validated = 3 ELSE designed = 2 END AS ready
+      FROM v_campaigns c LEFT JOIN a USING (campaign_id))
+    SELECT campaign_id, failed, running, pending, issues, shards, shards_done, CASE WHEN failed > 0 THEN 'failed' WHEN running > 0 THEN 'running' WHEN pending > 0 THEN 'pending'
+      WHEN shards = 0 THEN 'unplanned' WHEN issues > 0 THEN 'inconsistent' WHEN shards_done = shards AND ready THEN 'complete' ELSE 'finalizing' END AS state FROM b"""
+
+
+def facts(c, shards, candidates, strays=None, artifacts=None, metrics=None):
+    issues = L.reconcile(c.v_candidates, c.v_critic, c.v_tasks, c.v_samples, c.v_inventory, columns=("kind", "path", "candidate_id"))
+    tables = {"critic_metrics": c.v_critic, "validation_tasks": c.v_tasks, "validation_structures": c.v_samples}
+    return C.campaign_facts(
+        shards, candidates, C.candidate_facts(tables, issues, metrics), c.v_jobs, c.v_deps,
+        None if strays is None else issues.filter("candidate_id is null").select(strays.alias("campaign_id"), "kind"), artifacts,
+    )
+
+
+@query("d7_campaign_state", _STATES)
 def d7(c):
-    shards = c.v_shards.select("campaign_id", "shard_id", "status")
-    owner = shards.select("campaign_id", "shard_id")
-    cands = c.v_candidates.select("candidate_id", "shard_id", "status").join(owner, "shard_id")
-    tasks = c.v_tasks.select("candidate_id", "status").join(cands.select("candidate_id", "campaign_id"), "candidate_id")
-    parts = [(shards, "shards"), (cands, "candidates"), (tasks, "validation_tasks")]
-    counts = None
-    for df, name in parts:
-        one = df.groupBy("campaign_id", "status").agg(F.count(F.lit(1)).alias("n")).withColumn("table_name", F.lit(name))
-        counts = one if counts is None else counts.unionByName(one)
-    return L.campaign_state(counts, ["campaign_id"]).select("campaign_id", "failed", "running", "pending", "state")
+    """One campaign per order; a stray file's number names its campaign."""
+    candidates = c.v_candidates.withColumn("shard_id", F.concat(F.lit("one_"), F.col("candidate_index").cast("string")))
+    number = F.regexp_extract("path", r"(\d+)", 1).cast("bigint")
+    return C.campaign_states(c.v_campaigns, C.tally(facts(c, c.v_campaign_shards, candidates, number, c.v_artifacts)))
 
 
 @query(
@@ -143,8 +167,41 @@ def d10(c):
     return X.analysis_summary(scored_rows(c), 84)
 
 
+_SUMMARY = f"""WITH {METRICS}, {REFS}, {_facts_sql("v_shards", "c.shard_id", """UNION ALL SELECT campaign_id, t.tag, t.value FROM (SELECT candidate_id, unnest([
+        {'tag': 'metric_rows', 'value': 'all'}, {'tag': 'iptm_scope', 'value': coalesce(nullif(metrics_json, '') ->> '$.iptm_scope', 'unknown')}, {'tag': 'framework', 'value': framework},
+        {'tag': 'hotspot', 'value': CASE WHEN hd IS NOT NULL OR hc IS NOT NULL OR hotspot_satisfaction IS NOT NULL THEN 'measured' END},
+        {'tag': 'hotspot', 'value': CASE WHEN hd <= hc THEN 'passed' END}]) AS t FROM cm) JOIN ow USING (candidate_id) WHERE t.value IS NOT NULL""")},
+    k AS (SELECT campaign_id, tag, value, count(*) AS n FROM facts GROUP BY GROUPING SETS ((campaign_id, tag, value), (tag, value))),
+    s AS (SELECT campaign_id, string_agg(tag || ':' || value || '=' || n, ';' ORDER BY tag, value) AS counts,
+      cast(coalesce(sum(n) FILTER (tag = 'issues'), 0) AS bigint) AS issues, cast(coalesce(sum(n) FILTER (tag = 'issues' AND value LIKE 'missing%'), 0) AS bigint) AS missing_artifacts,
+      cast(coalesce(sum(n) FILTER (tag = 'metric_rows'), 0) AS bigint) AS completed_metric_rows, cast(coalesce(sum(n) FILTER (value = 'measured'), 0) AS bigint) AS metric_rows,
+      cast(coalesce(sum(n) FILTER (value = 'passed'), 0) AS bigint) AS pass_count FROM k GROUP BY campaign_id),
+    t AS (SELECT campaign_id, string_agg(position || ' ' || candidate_id || ' ' || critic_name, ';' ORDER BY position) AS top FROM
+      (SELECT campaign_id, candidate_id, critic_name, row_number() OVER (PARTITION BY campaign_id ORDER BY iptm DESC NULLS LAST, CASE WHEN binder_type IN ('scfv', 'vhh')
+        THEN cdr_distogram_iptm_proxy ELSE distogram_iptm_proxy END DESC NULLS LAST, distogram_iptm_proxy DESC NULLS LAST, candidate_id, critic_name) AS position
+       FROM cm JOIN ow USING (candidate_id)) WHERE position <= 10 GROUP BY 1)
+    SELECT campaign_id, counts, issues, missing_artifacts, completed_metric_rows, metric_rows, pass_count, round(pass_count / nullif(metric_rows, 0), 6) AS pass_rate, top
+    FROM s LEFT JOIN t USING (campaign_id)"""
+
+
+@query("d11_campaign_summary", _SUMMARY)
+def d11s(c):
+    rows = metric_rows(c)
+    owner = c.v_candidates.select("candidate_id", "shard_id").join(c.v_shards.select("shard_id", "campaign_id"), "shard_id")
+    tallied = C.tally(facts(c, c.v_shards, c.v_candidates, metrics=rows))
+    out = C.campaign_summary(tallied, rows.join(owner, "candidate_id"), X.selection_keys(), ["candidate_id", "critic_name"])
+    each = F.flatten(F.transform(F.map_entries("counts"), lambda t: F.transform(
+        F.map_entries(t["value"]), lambda e: F.concat(t["key"], F.lit(":"), e["key"], F.lit("="), e["value"].cast("string"))
+    )))
+    listed = F.transform("top_candidates", lambda t: F.concat_ws(" ", t["position"].cast("string"), t["candidate_id"], t["critic_name"]))
+    return out.select(
+        "campaign_id", F.array_join(each, ";").alias("counts"), "issues", "missing_artifacts", "completed_metric_rows", "metric_rows", "pass_count",
+        F.round("pass_rate", 6).alias("pass_rate"), F.array_join(listed, ";").alias("top"),
+    )
+
+
 @query(
-    "d11_campaign_summary",
+    "d11_framework_summary",
     f"""WITH {METRICS} SELECT coalesce(framework, 'unknown') AS framework, count(*) AS completed_metric_rows,
         count(*) FILTER (hd IS NOT NULL OR hc IS NOT NULL OR hotspot_satisfaction IS NOT NULL) AS metric_rows,
         count(*) FILTER (hd <= hc) AS pass_count, max(iptm) AS best_iptm FROM cm GROUP BY 1""",

@@ -129,7 +129,7 @@ def job_failures(jobs: DataFrame, deps: DataFrame) -> DataFrame:
 
 def _refs(df: DataFrame, table: str, row_id: Column, path: str, kind: str) -> DataFrame:
     return df.filter(F.col(path).isNotNull()).select(
-        F.lit(kind).alias("kind"), F.col(path).alias("path"), F.lit(table).alias("table_name"), row_id.alias("row_id")
+        F.lit(kind).alias("kind"), F.col(path).alias("path"), F.lit(table).alias("table_name"), row_id.alias("row_id"), "candidate_id"
     )
 
 
@@ -146,15 +146,17 @@ def referenced_paths(candidates: DataFrame, critics: DataFrame, tasks: DataFrame
     return out
 
 
-def reconcile(candidates: DataFrame, critics: DataFrame, tasks: DataFrame, samples: DataFrame, inventory: DataFrame, tracked_root: str = "shards/") -> DataFrame:
-    """Rows without files and files without rows, by one full join on the path."""
+def reconcile(
+    candidates: DataFrame, critics: DataFrame, tasks: DataFrame, samples: DataFrame, inventory: DataFrame, tracked_root: str = "shards/",
+    columns: Sequence[str] = ("kind", "path", "table_name", "row_id"),
+) -> DataFrame:
+    """Rows without files and files without rows, by one full join on the path. ``columns``
+    may also name candidate_id, the candidate of the row."""
     refs = referenced_paths(candidates, critics, tasks, samples)
     both = refs.join(inventory.select("path", F.lit(True).alias("__stored")), "path", "full_outer")
     missing = F.col("__stored").isNull()
     stray = F.col("kind").isNull() & F.col("path").startswith(tracked_root)
-    return both.filter(missing | stray).select(
-        F.coalesce("kind", F.lit("untracked_artifact")).alias("kind"), "path", "table_name", "row_id"
-    )
+    return both.filter(missing | stray).withColumn("kind", F.coalesce("kind", F.lit("untracked_artifact"))).select(*columns)
 
 
 def resolve_alias(df: DataFrame, name: str, aliases: DataFrame) -> DataFrame:
@@ -259,35 +261,6 @@ def terminal_failures(counts: DataFrame) -> DataFrame:
     return counts.agg(F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias("terminal_failures"))
 
 
-def campaign_state(
-    counts: DataFrame, by: Sequence[str] = (), issues: Column | None = None, artifacts_ready: Column | None = None
-) -> DataFrame:
-    """State per campaign from (campaign, table, status, n): one aggregation, then a decision."""
-    issues = F.lit(0) if issues is None else issues
-    ready = F.lit(True) if artifacts_ready is None else artifacts_ready
-    n = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
-    table, status = F.col("table_name"), F.col("status")
-    judged = table != "attempts"
-    agg = counts.groupBy(*by).agg(
-        n(judged & (table != "validation_structures") & ((status == "failed") | ((table == "shards") & (status == "cancelled")))).alias("failed"),
-        n(judged & (status == "running")).alias("running"),
-        n(judged & (status == "pending")).alias("pending"),
-        n(table == "shards").alias("shards"),
-        n((table == "shards") & (status == "completed")).alias("shards_done"),
-    )
-    state = (
-        F.when(F.col("failed") > 0, "failed")
-        .when(F.col("running") > 0, "running")
-        .when(F.col("pending") > 0, "pending")
-        .when(F.col("shards") == 0, "unplanned")
-        .when(issues > 0, "inconsistent")
-        .when(F.col("shards_done") != F.col("shards"), "finalizing")
-        .when(ready, "complete")
-        .otherwise("finalizing")
-    )
-    return agg.withColumn("state", state)
-
-
 def lifecycle_blockers(counts: DataFrame) -> DataFrame:
     """Text of every pending, running or failed count of validation tasks and jobs."""
     tables = {"validation_tasks": 0, "validation_msa_jobs": 1}

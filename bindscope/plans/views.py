@@ -178,6 +178,20 @@ SHARED: dict[str, str] = {
                CASE event_type WHEN 'signup' THEN 'claim' WHEN 'purchase' THEN 'completed'
                     WHEN 'error' THEN 'failed' ELSE 'heartbeat' END AS kind
         FROM {events}""",
+    # Small campaigns for the roll-up: one shard and one candidate each, and planned ones without.
+    "v_campaigns": """
+        SELECT o_orderkey AS campaign_id, o_orderkey % 2 = 0 AS validation_configured FROM {orders}
+        UNION ALL SELECT -s_suppkey, s_suppkey % 3 = 0 FROM {supplier}""",
+    "v_campaign_shards": """
+        SELECT 'one_' || cast(o_orderkey as string) AS shard_id, o_orderkey AS campaign_id,
+               CASE o_orderkey % 20 WHEN 0 THEN 'failed' WHEN 1 THEN 'running' WHEN 2 THEN 'pending' WHEN 3 THEN 'cancelled'
+                    WHEN 4 THEN 'skipped' ELSE 'completed' END AS status FROM {orders}""",
+    "v_artifacts": """
+        SELECT o_orderkey AS campaign_id, 'critic_metrics' AS name FROM {orders} WHERE o_orderkey % 7 <> 1
+        UNION ALL SELECT o_orderkey, 'critic_selection' FROM {orders} WHERE o_orderkey % 5 <> 2
+        UNION ALL SELECT o_orderkey, 'validation_results' FROM {orders} WHERE o_orderkey % 11 <> 3
+        UNION ALL SELECT o_orderkey, 'combined_ranking' FROM {orders} WHERE o_orderkey % 13 <> 4
+        UNION ALL SELECT o_orderkey, 'ranking_summary' FROM {orders} WHERE o_orderkey % 17 <> 5""",
     "v_aliases": """
         SELECT 'alias_' || cast(p_partkey as string) AS alias, 'fw_' || cast(p_partkey % 7 as string) AS canonical,
                cast(p_size as bigint) AS min_length, cast(p_size + 20 as bigint) AS max_length

@@ -8,6 +8,7 @@ from bindscope.catalog.base import query
 from bindscope.catalog.fragments import METRICS, SCORED, metric_rows, scored_rows
 from bindscope.catalog.sec_e import _ORDER, _POOL, FINAL
 from bindscope.functions import scalars as S
+from bindscope.operators import interface as I
 from bindscope.operators import geometry as GEO
 from bindscope.operators import selection as X
 from bindscope.operators import structure as T
@@ -124,6 +125,58 @@ def a8(c):
     return pae.select(F.col("vec_id").alias("structure_id"), "i", "j", "pae")
 
 
+def confidence_documents(c):
+    """A document per vector, of three layouts by turns. Eight tokens: residues 1..3 of chain A,
+    a ligand atom, residues 1..4 of chain B; a residue has the atoms N and CA."""
+    at = lambda k: F.abs(F.get("embedding", k).cast("double"))
+    listed = lambda n, of: F.to_json(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), of))
+    cells = listed(8, lambda i: F.transform(F.sequence(F.lit(0), F.lit(7)), lambda j: F.round(at(i * 8 + j) * 1000) / 100))
+    pair = lambda k: F.regexp_extract(F.to_json(F.array(F.round(at(F.lit(k)) * 1000) / 1000)), r"\[(.*)\]", 1)
+    percent, share = (lambda k: F.round(at(k) * 1000) / 10), (lambda k: F.round(at(k) * 1000) / 1000)
+    af3 = F.concat(F.lit('{"pae":'), cells, F.lit(',"atom_plddts":'), listed(15, percent), F.lit(',"chain_pair_iptm":[[null,'), pair(20), F.lit("],["), pair(21), F.lit(",null]]}"))
+    af2 = F.concat(F.lit('{"predicted_aligned_error":'), cells, F.lit(',"plddt":'), listed(8, percent), F.lit("}"))
+    boltz = F.concat(F.lit('{"pae":'), cells, F.lit(',"plddt":'), listed(8, share), F.lit(',"pair_chains_iptm":{"0":{"1":'), pair(20), F.lit('},"1":{"0":'), pair(21), F.lit("}}}"))
+    text = F.when(F.col("vec_id") % 3 == 0, af3).when(F.col("vec_id") % 3 == 1, af2).otherwise(boltz)
+    path = scratch(c.spark, "confidence")
+    name = F.concat(F.lit("/data/vec_id="), F.col("vec_id").cast("string"), F.lit("/confidence.json"))
+    ST.pack_files(c.embeddings.select(name.alias("path"), text.alias("text")), path)
+    return C.read_documents(with_key(ST.read_files(c.spark, path, packed=True), "vec_id"), "vec_id", "text")
+
+
+def tokens(c):
+    """Tokens that are residues, and the atoms of all."""
+    t = F.explode(F.array(*[F.struct(F.lit(k).alias("token"), F.lit("A" if k < 3 else "B").alias("chain"), F.lit(k + 1 if k < 3 else k - 3).alias("residue")) for k in range(8) if k != 3]))
+    rows = c.embeddings.select("vec_id", t.alias("t")).select("vec_id", "t.*")
+    start = F.col("token") * 2 - F.when(F.col("token") > 3, 1).otherwise(0)
+    atoms = rows.select("vec_id", "chain", "residue", F.posexplode(F.array(F.lit("N"), F.lit("CA"))).alias("k", "atom_name"), start.alias("start"))
+    return rows, atoms.select("vec_id", (F.col("start") + F.col("k")).alias("ordinal"), "chain", "residue", "atom_name")
+
+
+_TOKENS = """t AS (SELECT k AS token, CASE WHEN k < 3 THEN 'A' ELSE 'B' END AS chain, CASE WHEN k < 3 THEN k + 1 ELSE k - 3 END AS residue FROM range(0, 8) r(k) WHERE k <> 3)"""
+
+
+@query("a8_matrix_rows", f"""WITH {_TOKENS} SELECT vec_id AS structure_id, a.chain AS chain_i, b.chain AS chain_j, cast(a.residue AS bigint) AS i, cast(b.residue AS bigint) AS j,
+    round(abs(cast(embedding[a.token * 8 + b.token + 1] AS double)) * 1000) / 100 AS pae FROM embeddings, t a, t b WHERE a.chain <> b.chain""")
+def a8m(c):
+    rows = I.pae_blocks(C.matrix_rows(confidence_documents(c), tokens(c)[0], "vec_id"))
+    cells = rows.select("structure_id", "chain_i", "chain_j", "i", "first_j", F.posexplode("paes").alias("k", "pae"))
+    return cells.select("structure_id", "chain_i", "chain_j", "i", (F.col("first_j") + F.col("k")).alias("j"), "pae")
+
+
+@query("a8_residue_plddt", f"""WITH {_TOKENS} SELECT vec_id, chain, cast(residue AS int) AS residue,
+    round(round(abs(cast(embedding[CASE WHEN vec_id % 3 = 0 THEN token * 2 + CASE WHEN token > 3 THEN 0 ELSE 1 END ELSE token END + 1] AS double)) * 1000) / 10, 6) AS plddt FROM embeddings, t""")
+def a8p(c):
+    out = C.residue_plddt(confidence_documents(c), *tokens(c), "vec_id")
+    return out.select("vec_id", "chain", "residue", F.round("plddt", 6).alias("plddt"))
+
+
+@query("a8_chain_pair_iptm", """SELECT vec_id AS structure_id, unnest(['A', 'B']) AS chain_a, unnest(['B', 'A']) AS chain_b,
+    unnest([round(abs(cast(embedding[21] AS double)) * 1000) / 1000, round(abs(cast(embedding[22] AS double)) * 1000) / 1000]) AS value FROM embeddings WHERE vec_id % 3 <> 1""")
+def a8c(c):
+    chains = c.embeddings.select("vec_id", F.posexplode(F.array(F.lit("A"), F.lit("B"))).alias("ordinal", "chain"))
+    return C.chain_pair_iptm(confidence_documents(c), chains, "vec_id")
+
+
 @query("a9_pair_outputs", """SELECT l_suppkey AS seed, l_linenumber::bigint AS sample_rank, 'out/c' || l_orderkey || '/seed_' || l_suppkey || '/predictions/x_summary_confidence_sample_' || l_linenumber || '.json' AS summary,
     CASE WHEN l_linenumber % 3 <> 0 THEN 'out/c' || l_orderkey || '/seed_' || l_suppkey || '/predictions/x_full_data_sample_' || l_linenumber || '.json' END AS "full",
     'out/c' || l_orderkey || '/seed_' || l_suppkey || '/predictions/x_sample_' || l_linenumber || '.cif' AS cif FROM (SELECT DISTINCT l_orderkey, l_suppkey, l_linenumber FROM lineitem) WHERE l_linenumber % 4 <> 0""")

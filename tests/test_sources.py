@@ -151,3 +151,24 @@ def test_gap_rules(spark):
     rows = [("A", i, n) for i, n in enumerate(["1", "2", "2", "5"])] + [("B", i, n) for i, n in enumerate(["1", "x", "9"])]
     df = spark.createDataFrame(rows, "chain string, pos int, num string")
     assert [(r.chain, r.number, r.next_number) for r in Q.check_contiguous(df, ["chain"], "pos", "num").collect()] == [("A", 2, 5)]
+
+
+def test_documents_of_any_layout(spark):
+    texts = [
+        (1, '{"pae": [[0, 9, 1], [2, 0, 3], [4, 5, 0]], "atom_plddts": [10, 20, 30, 40], "chain_pair_iptm": [[null, 0.5], [0.25, null]], "iptm": 0.75}'),
+        (2, '{"predicted_aligned_error": [[0, 7], [8, 0]], "plddt": [0.5, 1.0], "ptm": 0.5}'),
+        (3, '{"pae": [[0, 7], [8, 0]], "plddt": [50, 60], "pair_chains_iptm": {"0": {"0": 0.9, "1": 0.125}, "1": {"0": 0.5, "x": 1}}}'),
+        (4, "no json"), (5, '{"pae": "text", "plddt": null}'), (6, None), (7, "[1, 2]"), (8, '{"plddt": [1, "a"]}'),
+    ]
+    docs = C.read_documents(spark.createDataFrame(texts, "id long, t string"), "id", "t")
+    assert {r.id: r.layout for r in docs.collect()} == {1: "af3", 2: "af2", 3: "boltz", 4: None, 5: "af2", 6: None, 7: None, 8: "af2"}
+    # Token 1 of the first document is a ligand, with the atom 2.
+    tokens = spark.createDataFrame([(1, 0, "A", 5), (1, 2, "B", 1), (2, 0, "A", 1), (2, 1, "B", 1), (3, 0, "A", 1), (3, 1, "B", 1)], "id long, token int, chain string, residue int")
+    atoms = spark.createDataFrame([(1, 0, "A", 5, "N"), (1, 1, "A", 5, "CA"), (1, 3, "B", 1, "CA")], "id long, ordinal int, chain string, residue int, atom_name string")
+    rows = {(r.structure_id, r.chain, r.i): (r.errors, [(s.chain, s.start, s.first) for s in r.spans]) for r in C.matrix_rows(docs, tokens, "id").collect()}
+    assert rows[1, "A", 5] == ([0.0, 1.0], [("A", 0, 5), ("B", 1, 1)]) and rows[1, "B", 1][0] == [4.0, 0.0] and len(rows) == 6
+    got = sorted((r.id, r.chain, r.plddt) for r in C.residue_plddt(docs, tokens, atoms, "id").collect())
+    assert got == [(1, "A", 20.0), (1, "B", 40.0), (2, "A", 50.0), (2, "B", 100.0), (3, "A", 50.0), (3, "B", 60.0)]
+    chains = spark.createDataFrame([(i, k, c) for i in (1, 3) for k, c in enumerate("AB")], "id long, ordinal int, chain string")
+    pairs = sorted((r.structure_id, r.chain_a, r.chain_b, r.value) for r in C.chain_pair_iptm(docs, chains, "id").collect())
+    assert pairs == [(1, "A", "B", 0.5), (1, "B", "A", 0.25), (3, "A", "B", 0.125), (3, "B", "A", 0.5)]

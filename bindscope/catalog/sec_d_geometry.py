@@ -35,6 +35,43 @@ PAIRS = """pr AS (SELECT r.structure_id // 2 AS pair_id, r.chain, r.residue, r.x
       sqrt(pow(a.rx - b.rx, 2) + pow(a.ry - b.ry, 2) + pow(a.rz - b.rz, 2)) AS dr FROM pr a JOIN pr b USING (pair_id))"""
 
 
+_PARTS = [(i, j) for i in range(4) for j in range(i, 4)]
+
+
+def fit_sql(source: str, keys: str) -> str:
+    """CTE ``fit`` (keys, n, g, lam, rot, centroids): superposition of p onto r by the quaternion
+    matrix of the nine sums, its leading eigenvector by squaring; g - lam is the residual."""
+    at = lambda m, i, j: f"{m}[{_PARTS.index((min(i, j), max(i, j))) + 1}]"
+    diagonal = ["vxx + vyy + vzz", "vxx - vyy - vzz", "vyy - vxx - vzz", "vzz - vxx - vyy"]
+    upper = {(0, 1): "vyz - vzy", (0, 2): "vzx - vxz", (0, 3): "vxy - vyx", (1, 2): "vxy + vyx", (1, 3): "vzx + vxz", (2, 3): "vyz + vzy"}
+    entries = ", ".join(diagonal[i] if i == j else upper[i, j] for i, j in _PARTS)
+    norm2 = lambda m: " + ".join(f"{1 if i == j else 2} * {at(m, i, j)} * {at(m, i, j)}" for i, j in _PARTS)
+    start = ", ".join(f"{at('k', i, j)} / f + {1 if i == j else 0}" for i, j in _PARTS)
+    square = ", ".join("(" + " + ".join(f"{at('a', i, k)} * {at('a', k, j)}" for k in range(4)) + f") / ({norm2('a')})" for i, j in _PARTS)
+    column = " ".join(
+        f"WHEN {at('p', j, j)} >= greatest({', '.join(at('p', i, i) for i in range(4))}) THEN [{', '.join(at('p', i, j) for i in range(4))}]" for j in range(4)
+    )
+    value = " + ".join(f"{1 if i == j else 2} * q[{i + 1}] * q[{j + 1}] * {at('k', i, j)}" for i, j in _PARTS)
+    w, x, y, z = (f"q[{i}]" for i in range(1, 5))
+    rot = (f"{w}*{w}+{x}*{x}-{y}*{y}-{z}*{z}, 2*({x}*{y}+{w}*{z}), 2*({x}*{z}-{w}*{y}), 2*({x}*{y}-{w}*{z}), {w}*{w}-{x}*{x}+{y}*{y}-{z}*{z}, 2*({y}*{z}+{w}*{x}), "
+           f"2*({x}*{z}+{w}*{y}), 2*({y}*{z}-{w}*{x}), {w}*{w}-{x}*{x}-{y}*{y}+{z}*{z}")
+    sums = ", ".join(f"covar_pop(p{a}, r{b}) AS v{a}{b}" for a in "xyz" for b in "xyz")
+    spread = " + ".join(f"var_pop({s}{c})" for s in "pr" for c in "xyz")
+    means = ", ".join(f"avg({s}{c}) AS {s}c{c}" for s in "pr" for c in "xyz")
+    return f"""fs AS (SELECT {keys}, count(*) AS n, {means}, {spread} AS g, {sums} FROM {source} GROUP BY {keys}),
+    fk AS (SELECT *, [{entries}] AS k FROM fs), fm AS (SELECT *, sqrt({norm2('k')}) AS f FROM fk), f0 AS (SELECT *, [{start}] AS m FROM fm),
+    fp AS (SELECT *, list_reduce(list_transform(range(0, 61), lambda i: m), lambda a, b: [{square}]) AS p FROM f0),
+    fc AS (SELECT *, CASE {column} END AS c FROM fp), fq AS (SELECT *, list_transform(c, lambda v: v / sqrt(c[1]*c[1]+c[2]*c[2]+c[3]*c[3]+c[4]*c[4])) AS q FROM fc),
+    fit AS (SELECT *, 2 * ({value}) AS lam, [{rot}] AS rot FROM fq)"""
+
+
+def _turned(c: int) -> str:
+    return " + ".join(f"(a.p{x} - f.pc{x}) * f.rot[{3 * r + c + 1}]" for r, x in enumerate("xyz")) + f" + f.rc{'xyz'[c]}"
+
+
+RMSD = "sqrt(greatest(g - lam, 0))"
+
+
 def sides(c):
     """Even structures are references, the next odd one its prediction."""
     pair = F.floor(F.col("structure_id") / 2).cast("bigint").alias("pair_id")
@@ -139,7 +176,7 @@ def d22(c):
     )
 
 
-@query("d23_aligned_rmsd")
+@query("d23_aligned_rmsd", f"WITH {PAIRS}, {fit_sql('pr', 'pair_id')} SELECT pair_id, round({RMSD}, 6) AS aligned_rmsd, n AS residue_count FROM fit")
 def d23(c):
     fit = G.aligned_rmsd(G.aligned_pairs(*sides(c), ["pair_id", "chain", "residue"]), ["pair_id"])
     return fit.select("pair_id", F.round("aligned_rmsd", 6).alias("aligned_rmsd"), "residue_count")
@@ -153,7 +190,11 @@ def d24(c):
     return out.select("pair_id", F.round("contact_recovery_8", 6).alias("contact_recovery_8"), F.round("contact_recovery_12", 6).alias("contact_recovery_12"))
 
 
-@query("d25_geometry_diagnostics")
+@query("d25_geometry_diagnostics", f"""WITH {PAIRS}, {fit_sql('pr', 'pair_id, chain')},
+    c AS (SELECT pair_id, chain_i AS chain, sqrt(avg(pow(dp - dr, 2))) AS distance_rmse FROM pd WHERE chain_i = chain_j GROUP BY 1, 2),
+    a AS (SELECT pair_id, sqrt(avg(pow(dp - dr, 2))) AS pair_distance_rmse, count(*) AS residue_pair_count FROM pd WHERE chain_i < chain_j GROUP BY 1)
+    SELECT pair_id, chain, round(distance_rmse, 6) AS distance_rmse, round({RMSD}, 6) AS aligned_rmsd, n AS residue_count,
+    round(pair_distance_rmse, 6) AS pair_distance_rmse, residue_pair_count FROM fit JOIN c USING (pair_id, chain) JOIN a USING (pair_id)""")
 def d25(c):
     chain, assembly = G.geometry_diagnostics(*sides(c), "pair_id")
     wide = assembly.groupBy("pair_id").agg(F.max("pair_distance_rmse").alias("pair_distance_rmse"), F.max("residue_pair_count").alias("residue_pair_count"))
@@ -163,7 +204,13 @@ def d25(c):
     )
 
 
-@query("d26_pose_agreement")
+@query("d26_pose_agreement", f"""WITH {PAIRS}, ta AS (SELECT * FROM pr WHERE chain = 'A'), {fit_sql('ta', 'pair_id')},
+    b AS (SELECT a.pair_id, {', '.join(f'{_turned(k)} AS t{c}, a.r{c}' for k, c in enumerate('xyz'))} FROM pr a JOIN fit f USING (pair_id) WHERE a.chain = 'B'),
+    g AS (SELECT pair_id, sqrt(avg(pow(tx - rx, 2) + pow(ty - ry, 2) + pow(tz - rz, 2))) AS d,
+      sqrt(pow(avg(tx) - avg(rx), 2) + pow(avg(ty) - avg(ry), 2) + pow(avg(tz) - avg(rz), 2)) AS s FROM b GROUP BY 1)
+    SELECT i.pair_id, round({RMSD}, 6) AS target_aligned_rmsd, round(d, 6) AS binder_ca_rmsd, round(d, 6) AS binder_backbone_rmsd, round(s, 6) AS binder_centroid_distance,
+    CASE WHEN fit.n IS NULL THEN 'could not match target chains' END AS pose_error
+    FROM (SELECT vec_id // 2 AS pair_id FROM embeddings WHERE vec_id % 2 = 0) i LEFT JOIN fit USING (pair_id) LEFT JOIN g USING (pair_id)""")
 def d26(c):
     pred, ref = sides(c)
     match = G.match_chains(sequences(c, False).filter("chain = 'A'"), sequences(c, True).filter("chain = 'A'"), "pair_id")
@@ -178,7 +225,7 @@ def d26(c):
     return out.select("pair_id", *[F.round(n, 6).alias(n) for n in ("target_aligned_rmsd", "binder_ca_rmsd", "binder_backbone_rmsd", "binder_centroid_distance")], "pose_error")
 
 
-@query("j1_kabsch_rotation")
+@query("j1_kabsch_rotation", f"WITH {PAIRS}, {fit_sql('pr', 'pair_id')} SELECT pair_id, n, round(rot[1], 6) AS r00, round(rot[5], 6) AS r11, round(rot[9], 6) AS r22 FROM fit")
 def j1(c):
     fit = G.superposition(G.aligned_pairs(*sides(c), ["pair_id", "chain", "residue"]), ["pair_id"], 3)
     return fit.select("pair_id", "n", F.round(F.get("rot", F.lit(0)), 6).alias("r00"), F.round(F.get("rot", F.lit(4)), 6).alias("r11"), F.round(F.get("rot", F.lit(8)), 6).alias("r22"))

@@ -6,13 +6,11 @@ id) and pair rows are aggregated where they are produced, never shuffled again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bindscope.functions import scalars as S
 
@@ -183,23 +181,28 @@ def hotspot_contact_metrics(atoms: DataFrame, hotspots: DataFrame, binder: Colum
 
 # ------------------------------------------------------- predicted vs reference
 def paired_distances(pred: DataFrame, ref: DataFrame, by: str, index: str = "residue") -> DataFrame:
-    """Distances of the same residue pairs in two structures, resolved residues only."""
+    """Distances of the same residue pairs in two structures, resolved residues only. Each pair
+    comes once, in the order of (chain, number), and each residue once with itself."""
     keys = [by, "chain", index]
     both = _side(pred, "p", keys).join(_side(ref, "r", keys), keys).filter("px is not null and rx is not null")
     cols = ["px", "py", "pz", "rx", "ry", "rz"]
     left = both.select(by, F.col("chain").alias("chain_i"), F.col(index).alias("i"), *[F.col(c).alias(f"a{c}") for c in cols])
     right = both.select(by, F.col("chain").alias("chain_j"), F.col(index).alias("j"), *[F.col(c).alias(f"b{c}") for c in cols])
     d = lambda k: distance([f"a{k}{c}" for c in XYZ], [f"b{k}{c}" for c in XYZ])
-    return left.join(right, by).select(by, "chain_i", "chain_j", "i", "j", d("p").alias("dp"), d("r").alias("dr"))
+    met = left.join(right, by).filter(F.struct("chain_i", "i") <= F.struct("chain_j", "j"))
+    return met.select(by, "chain_i", "chain_j", "i", "j", d("p").alias("dp"), d("r").alias("dr"))
 
 
 def rmse_of_pairs(mode: str = "full") -> Column:
-    """``full`` keeps the zero diagonal, ``upper`` uses each pair once without it. A single
-    residue has no value. Pairs are told apart by chain and number, as numbers may begin
-    anew in each chain."""
-    square = F.pow(F.col("dp") - F.col("dr"), 2)
-    used = square if mode == "full" else F.when(F.struct("chain_i", "i") < F.struct("chain_j", "j"), square)
-    return F.when(F.count(F.lit(1)) > 1, F.sqrt(F.avg(used)))
+    """``full`` counts each pair in both directions and the zero diagonal, ``upper`` each pair
+    once without it. A single residue has no value. Pairs are told apart by chain and number,
+    as numbers may begin anew in each chain."""
+    own = (F.col("chain_i") == F.col("chain_j")) & (F.col("i") == F.col("j"))
+    total = F.sum(F.pow(F.col("dp") - F.col("dr"), 2))
+    if mode == "upper":
+        return F.sqrt(F.try_divide(total, F.count_if(~own)))
+    n = F.count_if(own)
+    return F.when(n > 1, F.sqrt(F.try_divide(2.0 * total, n * n)))
 
 
 def distance_rmse(pairs: DataFrame, by: Sequence[str], mode: str = "full") -> DataFrame:
@@ -214,26 +217,83 @@ def contact_recovery(pairs: DataFrame, by: Sequence[str], cutoffs: Sequence[floa
     return pairs.groupBy(*by).agg(*aggs)
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def kabsch3(cov: pd.Series) -> pd.Series:
-    """Proper rotation, row-major, from a row-major 3x3 moving-by-fixed covariance."""
-    m = np.stack([np.asarray(v, dtype=float).reshape(3, 3) for v in cov])
-    u, _, vt = np.linalg.svd(m)
-    sign = np.sign(np.linalg.det(u @ vt))
-    u[:, :, 2] *= sign[:, None]
-    return pd.Series(list((u @ vt).reshape(-1, 9)))
+#: Squarings of the quaternion matrix: they part eigenvalues that differ in the last bits.
+SQUARINGS = 60
+_UPPER = [(i, j) for i in range(4) for j in range(i, 4)]
+
+
+def _at(m: Column, i: int, j: int) -> Column:
+    return F.get(m, F.lit(_UPPER.index((min(i, j), max(i, j)))))
+
+
+def _sum(terms: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a + b, terms)
+
+
+def _squared(m: Column) -> Column:
+    """The square of a symmetric 4x4 matrix, kept as its upper part, divided by its trace."""
+    square = [_sum([_at(m, i, k) * _at(m, k, j) for k in range(4)]) for i, j in _UPPER]
+    trace = _sum([_at(m, i, j) * _at(m, i, j) * (1.0 if i == j else 2.0) for i, j in _UPPER])
+    return F.transform(F.array(*square), lambda v: v / trace)
+
+
+def kabsch3(cov: Column) -> Column:
+    """Proper rotation, row-major, that turns moving rows onto fixed ones best, from their
+    row-major 3x3 moving-by-fixed covariance.
+
+    The best rotation's quaternion is the leading eigenvector of a symmetric 4x4 matrix of
+    the nine sums. The matrix is shifted to have no negative eigenvalue and squared again and
+    again, which leaves the projection onto the leading eigenvector; where several rotations
+    are equally good (points on a line, or in one place), onto their space, and any vector of
+    it will do. All in column expressions, one row per superposition.
+    """
+    s = lambda a, b: F.get(cov, F.lit(3 * a + b))
+    diagonal = [s(0, 0) + s(1, 1) + s(2, 2), s(0, 0) - s(1, 1) - s(2, 2), s(1, 1) - s(0, 0) - s(2, 2), s(2, 2) - s(0, 0) - s(1, 1)]
+    upper = {
+        (0, 1): s(1, 2) - s(2, 1), (0, 2): s(2, 0) - s(0, 2), (0, 3): s(0, 1) - s(1, 0),
+        (1, 2): s(0, 1) + s(1, 0), (1, 3): s(2, 0) + s(0, 2), (2, 3): s(1, 2) + s(2, 1),
+    }
+    entries = F.array(*[diagonal[i] if i == j else upper[i, j] for i, j in _UPPER])
+
+    def unit(m: Column) -> Column:
+        size = F.sqrt(_sum([_at(m, i, j) * _at(m, i, j) * (1.0 if i == j else 2.0) for i, j in _UPPER]))
+        scaled = [F.when(size > 0, _at(m, i, j) / size).otherwise(0.0) + (1.0 if i == j else 0.0) for i, j in _UPPER]
+        return F.array(*scaled)
+
+    def turn(p: Column) -> Column:
+        top = F.greatest(*[_at(p, i, i) for i in range(4)])
+        column = F.coalesce(*[F.when(_at(p, j, j) == top, F.array(*[_at(p, i, j) for i in range(4)])) for j in range(4)])
+        norm = lambda q: F.sqrt(_sum([F.get(q, F.lit(i)) * F.get(q, F.lit(i)) for i in range(4)]))
+
+        def matrix(q: Column) -> Column:
+            w, x, y, z = (F.get(q, F.lit(i)) for i in range(4))
+            return F.array(
+                w * w + x * x - y * y - z * z, 2.0 * (x * y + w * z), 2.0 * (x * z - w * y),
+                2.0 * (x * y - w * z), w * w - x * x + y * y - z * z, 2.0 * (y * z + w * x),
+                2.0 * (x * z + w * y), 2.0 * (y * z - w * x), w * w - x * x - y * y + z * z,
+            )
+
+        return _with(_with(column, lambda q: F.transform(q, lambda v: v / norm(q))), matrix)
+
+    powers = F.aggregate(F.sequence(F.lit(1), F.lit(SQUARINGS)), _with(entries, unit), lambda m, _: _squared(m))
+    return _with(powers, turn)
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.transform(F.array(value), use)[0]
 
 
 def superposition(pairs: DataFrame, by: Sequence[str], min_pairs: int) -> DataFrame:
-    """Centroids and rotation that move ``m*`` onto ``f*``. Sums are native; only the
-    3x3 decomposition leaves the JVM, once per group."""
+    """Centroids and rotation that move ``m*`` onto ``f*``, from sums alone; groups with fewer
+    points have no rotation."""
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.avg(f"{s}{c}").alias(f"{s}c{c}") for s in "mf" for c in XYZ]
     aggs += [F.covar_pop(f"m{a}", f"f{b}").alias(f"v{a}{b}") for a in XYZ for b in XYZ]
-    sums = pairs.groupBy(*by).agg(*aggs).filter(F.col("n") >= min_pairs)
+    sums = pairs.groupBy(*by).agg(*aggs)
     cov = F.array(*[F.col(f"v{a}{b}") for a in XYZ for b in XYZ])
     keep = [f"{s}c{c}" for s in "mf" for c in XYZ]
-    return sums.select(*by, "n", *keep, kabsch3(cov).alias("rot"))
+    return sums.select(*by, "n", *keep, F.when(F.col("n") >= min_pairs, kabsch3(cov)).alias("rot"))
 
 
 def apply_rotation(df: DataFrame) -> DataFrame:
@@ -247,12 +307,11 @@ def apply_rotation(df: DataFrame) -> DataFrame:
 
 
 def _rmsd() -> Column:
-    sq = sum((F.pow(F.col(f"t{c}") - F.col(f"f{c}"), 2) for c in XYZ[1:]), F.pow(F.col("tx") - F.col("fx"), 2))
-    return F.sqrt(F.avg(sq))
+    return F.sqrt(F.avg(_sum([F.pow(F.col(f"t{c}") - F.col(f"f{c}"), 2) for c in XYZ])))
 
 
 def aligned_rmsd(pairs: DataFrame, by: Sequence[str], min_pairs: int = 2) -> DataFrame:
-    moved = apply_rotation(pairs.join(superposition(pairs, by, min_pairs), list(by)))
+    moved = apply_rotation(pairs.join(superposition(pairs, by, min_pairs).filter("rot is not null"), list(by)))
     return moved.groupBy(*by).agg(_rmsd().alias("aligned_rmsd"), F.count(F.lit(1)).alias("residue_count"))
 
 
@@ -265,17 +324,15 @@ def aligned_pairs(pred: DataFrame, ref: DataFrame, keys: Sequence[str]) -> DataF
 def geometry_diagnostics(pred: DataFrame, ref: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
     """Per chain: RMSE, aligned RMSD, counts. Per chain pair: RMSE and contact recovery."""
     pairs = paired_distances(pred, ref, by)
-    same = pairs.filter("chain_i = chain_j")
-    chain = distance_rmse(same, [by, "chain_i"]).withColumnRenamed("chain_i", "chain")
-    fit = aligned_rmsd(aligned_pairs(pred, ref, [by, "chain", "residue"]), [by, "chain"])
-    cross = pairs.filter("chain_i < chain_j")
     near = lambda c: F.col("dr") <= c
-    assembly = cross.groupBy(by, "chain_i", "chain_j").agg(
-        F.sqrt(F.avg(F.pow(F.col("dp") - F.col("dr"), 2))).alias("pair_distance_rmse"),
+    each = pairs.groupBy(by, "chain_i", "chain_j").agg(
+        rmse_of_pairs("full").alias("distance_rmse"), rmse_of_pairs("upper").alias("pair_distance_rmse"),
         *[F.try_divide(F.count_if(near(c) & (F.col("dp") <= c)), F.count_if(near(c))).alias(f"contact_recovery_{c:g}") for c in (8.0, 12.0)],
         F.count(F.lit(1)).alias("residue_pair_count"),
     )
-    return chain.join(fit, [by, "chain"], "full_outer"), assembly
+    chain = each.filter("chain_i = chain_j").select(by, F.col("chain_i").alias("chain"), "distance_rmse")
+    fit = aligned_rmsd(aligned_pairs(pred, ref, [by, "chain", "residue"]), [by, "chain"])
+    return chain.join(fit, [by, "chain"], "full_outer"), each.filter("chain_i <> chain_j").drop("distance_rmse")
 
 
 def pose_agreement(target_pairs: DataFrame, binder_pairs: DataFrame, ids: DataFrame, by: str) -> DataFrame:
@@ -286,17 +343,18 @@ def pose_agreement(target_pairs: DataFrame, binder_pairs: DataFrame, ids: DataFr
     problems become text.
     """
     fit = superposition(target_pairs, [by], 3)
-    target = apply_rotation(target_pairs.join(fit, by)).groupBy(by).agg(_rmsd().alias("target_aligned_rmsd"))
-    moved = apply_rotation(binder_pairs.join(fit, by))
-    sq = sum((F.pow(F.col(f"t{c}") - F.col(f"f{c}"), 2) for c in XYZ[1:]), F.pow(F.col("tx") - F.col("fx"), 2))
-    ca = F.col("is_ca")
+    names = [by, *[f"{s}{c}" for s in "mf" for c in XYZ]]
+    part = lambda df, kind, ca: df.select(*names, F.lit(kind).alias("part"), ca.alias("is_ca"))
+    points = part(target_pairs, "target", F.lit(False)).unionByName(part(binder_pairs, "binder", F.coalesce("is_ca", F.lit(False))))
+    moved = apply_rotation(points.join(fit, by))
+    sq = _sum([F.pow(F.col(f"t{c}") - F.col(f"f{c}"), 2) for c in XYZ])
+    ca, binder = F.col("is_ca"), F.col("part") == "binder"
     mean = lambda p, c: F.avg(F.when(ca, F.col(f"{p}{c}")))
-    shift = sum((F.pow(mean("t", c) - mean("f", c), 2) for c in XYZ[1:]), F.pow(mean("t", "x") - mean("f", "x"), 2))
-    binder = moved.groupBy(by).agg(
-        F.sqrt(F.avg(F.when(ca, sq))).alias("binder_ca_rmsd"), F.sqrt(F.avg(sq)).alias("binder_backbone_rmsd"),
-        F.sqrt(shift).alias("binder_centroid_distance"),
+    root = lambda cond: F.sqrt(F.avg(F.when(cond, sq)))
+    found = moved.groupBy(by).agg(
+        root(~binder).alias("target_aligned_rmsd"), root(ca).alias("binder_ca_rmsd"), root(binder).alias("binder_backbone_rmsd"),
+        F.sqrt(_sum([F.pow(mean("t", c) - mean("f", c), 2) for c in XYZ])).alias("binder_centroid_distance"), F.max("n").alias("__n"),
     )
-    counts = target_pairs.groupBy(by).agg(F.count(F.lit(1)).alias("__n"))
-    out = ids.join(counts, by, "left").join(target, by, "left").join(binder, by, "left")
+    out = ids.join(found, by, "left")
     error = F.when(F.col("__n").isNull(), "could not match target chains").when(F.col("__n") < 3, "insufficient matched target CA atoms")
     return out.withColumn("pose_error", error).drop("__n")

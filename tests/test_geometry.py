@@ -43,6 +43,26 @@ def test_rmsd_with_reflection(spark):
     assert G.aligned_rmsd(pairs(spark, m, f), ["g"]).first().aligned_rmsd == pytest.approx(reference_rmsd(m, f), abs=1e-9)
 
 
+def test_rmsd_of_any_point_sets(spark):
+    """Random, mirrored, flat, on a line, in one place, two points, turned by half a circle; large and small scales."""
+    rng = np.random.default_rng(5)
+    half = np.diag([1.0, -1.0, -1.0])
+    sets = []
+    for scale in (1e-3, 1.0, 1e4):
+        f = rng.normal(size=(8, 3)) * scale
+        line = np.outer(np.arange(6), [1.0, 2.0, -1.0]) * scale
+        sets += [(rng.normal(size=(8, 3)) * scale, f), (f * [1, 1, -1], f), (f * [1, 1, 0], f), (line @ rotation(), line), (line[::-1] * 1.5, line),
+                 (f @ half, f), (f @ half @ rotation(), f), (f[:2], f[2:4]), (np.ones((3, 3)) * scale, np.zeros((3, 3))), (f, f), (-f, f)]
+    rows = [(g, *map(float, a), *map(float, b)) for g, (m, f) in enumerate(sets) for a, b in zip(m, f)]
+    df = spark.createDataFrame(rows, "g bigint, mx double, my double, mz double, fx double, fy double, fz double")
+    got = {r.g: r.aligned_rmsd for r in G.aligned_rmsd(df, ["g"]).collect()}
+    for g, (m, f) in enumerate(sets):
+        size = np.abs(f).max() + np.abs(m).max()
+        assert got[g] == pytest.approx(reference_rmsd(m, f), abs=1e-10 * size), g
+    turns = [np.array(r.rot).reshape(3, 3) for r in G.superposition(df, ["g"], 2).collect()]
+    assert all(np.abs(t @ t.T - np.eye(3)).max() < 1e-12 and np.linalg.det(t) > 0 for t in turns)
+
+
 def test_pose_agreement(spark):
     rng = np.random.default_rng(4)
     target, binder = rng.normal(size=(6, 3)) * 8, rng.normal(size=(5, 3)) * 4

@@ -154,6 +154,36 @@ def d20(c):
     return out.select("structure_id", *[F.round(n, 6).alias(n) for n in ("contact_fraction", "min_distance_mean", "min_distance_min")], "hotspot_count")
 
 
+def two_atoms(c):
+    """Half the residues, with a CA and a CB each where both exist, as in the next query."""
+    half = F.floor(F.col("residue") / 2).cast("bigint")
+    atoms = c.v_atoms.select(
+        "structure_id", "chain", half.alias("residue"), F.when(F.col("residue") % 2 == 0, "CA").otherwise("CB").alias("atom_name"),
+        F.when((F.col("structure_id") + half) % 4 == 0, "GLY").otherwise("LEU").alias("res_name"), "x", "y", "z",
+    )
+    chosen = G.representatives(atoms, ["structure_id", "chain", "residue"]).select("structure_id", "chain", "residue", "atom_name", F.lit(True).alias("rep"))
+    return atoms.join(chosen, ["structure_id", "chain", "residue", "atom_name"], "left")
+
+
+@query("d20_hotspot_variants", f"""WITH a AS (SELECT structure_id, chain, residue // 2 AS residue, CASE WHEN residue % 2 = 0 THEN 'CA' ELSE 'CB' END AS atom_name,
+      CASE WHEN (structure_id + residue // 2) % 4 = 0 THEN 'GLY' ELSE 'LEU' END AS res_name, x, y, z FROM v_atoms),
+    k AS (SELECT *, row_number() OVER (PARTITION BY structure_id, chain, residue ORDER BY CASE WHEN atom_name = 'CB' AND res_name <> 'GLY' THEN 0 WHEN atom_name = 'CA' THEN 1 ELSE 9 END) = 1
+      AND (atom_name = 'CA' OR res_name <> 'GLY') AS rep FROM a),
+    h AS (SELECT DISTINCT vec_id AS structure_id, 'A' AS chain, unnest([vec_id % 5, vec_id % 5 + 4, 30]) AS residue FROM embeddings),
+    p AS (SELECT a.structure_id, a.chain, a.residue, {D_AB} AS d, a.rep AND b.rep AS rep, b.residue % 3 = 0 AS cdr
+      FROM h JOIN k a USING (structure_id, chain, residue) JOIN k b ON b.structure_id = a.structure_id AND b.chain = 'B'),
+    n AS (SELECT structure_id, chain, residue, unnest(['whole', 'region', 'representative', 'region_representative']) AS variant,
+      unnest([min(d), min(d) FILTER (cdr), min(d) FILTER (rep), min(d) FILTER (rep AND cdr)]) AS d FROM p GROUP BY 1, 2, 3)
+    SELECT structure_id, chain, variant, round(avg(CASE WHEN d <= 8 THEN 1.0 ELSE 0.0 END), 6) AS contact_fraction, round(avg(d), 6) AS min_distance_mean,
+    round(min(d), 6) AS min_distance_min, count(*) AS hotspot_count, min(d) <= 8 AS hotspot_pass FROM n WHERE d IS NOT NULL
+    GROUP BY GROUPING SETS ((structure_id, variant), (structure_id, chain, variant))""")
+def d20v(c):
+    out = G.hotspot_variants(two_atoms(c), hotspots(c), binder(), F.col("residue") % 3 == 0, F.col("rep"), 8.0)
+    return out.select(
+        "structure_id", "chain", "variant", *[F.round(n, 6).alias(n) for n in ("contact_fraction", "min_distance_mean", "min_distance_min")], "hotspot_count", "hotspot_pass"
+    )
+
+
 @query("d21_representative_atoms", """WITH a AS (SELECT structure_id, residue // 2 AS residue, CASE WHEN residue % 2 = 0 THEN 'CA' ELSE 'CB' END AS atom_name,
       CASE WHEN (structure_id + residue // 2) % 4 = 0 THEN 'GLY' ELSE 'LEU' END AS res_name, x FROM v_atoms),
     k AS (SELECT *, row_number() OVER (PARTITION BY structure_id, residue ORDER BY CASE WHEN atom_name = 'CB' AND res_name <> 'GLY' THEN 0 WHEN atom_name = 'CA' THEN 1 ELSE 9 END) AS rn FROM a)

@@ -225,6 +225,39 @@ def k1(c):
     return Q.expectations(c.v_tasks, F.col("validation_id"), rules)
 
 
+_RULES = {
+    "shards": ("v_shards", "shard_id", {"budget": "attempt_count <= max_attempts", "started": "started_at >= created_at"}),
+    "candidates": ("v_candidates", "candidate_id", {"sequence": "length(designed_sequence) > 0", "chain": "binder_chain_id = 'B'"}),
+    "critic_metrics": ("v_critic", "structure_path", {"iptm": "iptm BETWEEN 0 AND 0.95", "plddt": "plddt <= 98"}),
+    "validation_tasks": ("v_tasks", "validation_id", {"budget": "attempt_count < max_attempts", "ipsae": "ipsae BETWEEN 0 AND 1"}),
+    "validation_structures": ("v_samples", "structure_id", {"iptm": "scoped_iptm BETWEEN 0 AND 1", "rank": "sample_rank >= 0"}),
+    "validation_msa_jobs": ("v_jobs", "msa_job_id", {"budget": "attempt_count < max_attempts", "message": "status <> 'failed' OR error_message IS NOT NULL"}),
+    "attempts": ("v_attempts", "attempt_id", {"ended": "status = 'running' OR ended_at IS NOT NULL", "pid": "pid BETWEEN 1000 AND 1005"}),
+}
+
+
+def _rules_sql(table: str) -> dict[str, str]:
+    return {"status": f"status IN ({', '.join(repr(v) for v in Q.STATUS_DOMAINS[table])})"} | _RULES[table][2]
+
+
+def row_rules(c):
+    return {t: (getattr(c, view), Q.domain_rule(t) | {k: F.expr(v) for k, v in rules.items()}) for t, (view, _, rules) in _RULES.items()}
+
+
+@query("k1_audit", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{rule}' AS rule, count(*) AS checked, count(*) FILTER (NOT ({text})) AS broken FROM {_RULES[t][0]}" for t in _RULES for rule, text in _rules_sql(t).items()
+))
+def k1a(c):
+    return Q.audit(row_rules(c))
+
+
+@query("k1_violations", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, {_RULES[t][1]}::varchar AS row_id, '{rule}' AS rule FROM {_RULES[t][0]} WHERE NOT ({text})" for t in _RULES for rule, text in _rules_sql(t).items()
+))
+def k1v(c):
+    return Q.violations(row_rules(c), {t: F.col(key) for t, (_, key, _) in _RULES.items()})
+
+
 @query("k2_check_unique", "SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def k2(c):
     return Q.check_unique(c.lineitem, ["l_orderkey", "l_linenumber"])

@@ -93,6 +93,45 @@ def h10(c):
     return A.extract_by_template(seqs, "A{cdr1}D{cdr2}F", {"cdr1": (2, 5), "cdr2": (1, 9)}).select("o_orderkey", "cdr1", "cdr2", "retained_length", "match_start")
 
 
+_PANEL = """s AS (SELECT o_orderkey, translate(md5(o_orderkey::varchar), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS s FROM orders),
+    t AS (SELECT 't' || s_suppkey AS template_id, substr(m, 1, 3) AS a, substr(m, 4, 1) AS b, substr(m, 5, 2) AS c FROM
+      (SELECT s_suppkey, translate(md5(s_suppkey::varchar), '0123456789abcdef', 'ACDEFGHIKLMNPQRS') AS m FROM supplier)),
+    p AS (SELECT *, a || '([A-Z]{2,9})' || b || '([A-Z]{1,12})' || c AS pattern FROM t),
+    x AS (SELECT o_orderkey, template_id, regexp_extract(s, pattern, 1) AS cdr1, regexp_extract(s, pattern, 2) AS cdr2,
+      cast(instr(s, regexp_extract(s, pattern, 0)) AS int) AS match_start FROM s JOIN p ON contains(s.s, p.a) WHERE regexp_matches(s, pattern)),
+    r AS (SELECT *, list_transform(range(0, 6), lambda k: match_start + k + CASE WHEN k > 2 THEN length(cdr1) ELSE 0 END + CASE WHEN k > 3 THEN length(cdr2) ELSE 0 END) AS kept FROM x),
+    m AS (SELECT *, len(list_filter(kept, lambda k: (o_orderkey + k) % 11 = 0)) AS missing FROM r)"""
+
+
+def panel_matches(c):
+    """Templates of three literals and two holes, one per supplier, against all chains; residue
+    numbers whose sum with the order's number divides by 11 have no atoms."""
+    letters = lambda k: F.translate(F.md5(F.col(k).cast("string")), "0123456789abcdef", "ACDEFGHIKLMNPQRS")
+    seqs = c.orders.select("o_orderkey", letters("o_orderkey").alias("sequence"))
+    part = lambda a, n: F.substring("m", a, n)
+    made = c.supplier.select("s_suppkey", letters("s_suppkey").alias("m"))
+    panel = made.select(
+        F.concat(F.lit("t"), F.col("s_suppkey").cast("string")).alias("template_id"),
+        F.concat(part(1, 3), F.lit("([A-Z]{2,9})"), part(4, 1), F.lit("([A-Z]{1,12})"), part(5, 2)).alias("pattern"),
+        F.array(F.lit("cdr1"), F.lit("cdr2")).alias("regions"), F.array(part(1, 3), part(4, 1), part(5, 2)).alias("literals"),
+    )
+    observed = seqs.select("o_orderkey", F.explode(F.sequence(F.lit(1), F.length("sequence"))).alias("number")).filter("(o_orderkey + number) % 11 <> 0")
+    return A.missing_residues(A.extract_by_panel(seqs, panel), observed, ["o_orderkey"])
+
+
+@query("h10_template_panel", f"WITH {_PANEL} SELECT o_orderkey, template_id, cdr1, cdr2, match_start, 6 AS retained_length, array_to_string(kept, ',') AS kept, missing FROM m")
+def h10p(c):
+    return panel_matches(c).select(
+        "o_orderkey", "template_id", F.col("holes.cdr1").alias("cdr1"), F.col("holes.cdr2").alias("cdr2"), "match_start", "retained_length",
+        F.array_join(F.col("retained").cast("array<string>"), ",").alias("kept"), "missing",
+    )
+
+
+@query("h10_best_source", f"WITH {_PANEL} SELECT template_id, o_orderkey, missing FROM m QUALIFY row_number() OVER (PARTITION BY template_id ORDER BY missing, o_orderkey) = 1")
+def h10b(c):
+    return A.best_source(panel_matches(c), ["template_id"], "missing", "o_orderkey").select("template_id", "o_orderkey", "missing")
+
+
 @query("h12_render_number", """SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, regexp_replace(printf('%.3f', l_extendedprice / 7), '\\.?0+$', '') AS price, regexp_replace(printf('%.3f', l_tax), '\\.?0+$', '') AS repaired, l_returnflag AS kept FROM lineitem""")
 def h12(c):
     quoted = F.concat(F.lit("'"), F.col("l_tax").cast("string"))

@@ -161,11 +161,38 @@ def score_hotspots(atoms: DataFrame, hotspots: DataFrame, binder: Column, cutoff
     )
 
 
-def hotspot_by_chain(atoms: DataFrame, hotspots: DataFrame, binder: Column, cutoff: float, by: str = "structure_id") -> DataFrame:
-    per = hotspot_distances(atoms, hotspots, binder, by)
-    return per.groupBy(by, "chain").agg(
-        F.min("distance").alias("hotspot_distance"),
-        F.coalesce(F.min("distance") <= cutoff, F.lit(False)).alias("hotspot_pass"),
+#: Bits of a pair of atoms: any, binder atom in a selected region, both representative, both of these.
+VARIANTS = {"whole": 1, "region": 2, "representative": 4, "region_representative": 8}
+
+
+def hotspot_variants(
+    atoms: DataFrame, hotspots: DataFrame, binder: Column, region: Column, representative: Column, cutoff: float, by: str = "structure_id"
+) -> DataFrame:
+    """Contact figures of all variants from one join of hotspot and binder atoms: over all heavy
+    atoms, over the binder's ``region`` (its CDRs), over representative atoms, and over both;
+    for the structure (chain null) and for each target chain.
+
+    A pair carries one bit per variant it belongs to. The nearest distance of a hotspot residue
+    is a minimum per bit, the figures of chain and structure are two grouping sets of these."""
+    spots = hotspots.select(by, "chain", "residue").distinct()
+    marked = atoms.filter(F.col("x").isNotNull()).select(
+        by, "chain", "residue", *XYZ, binder.alias("__b"), F.coalesce(region, F.lit(False)).alias("__region"), F.coalesce(representative, F.lit(False)).alias("__rep")
+    )
+    target = _side(marked.filter(~F.col("__b")).join(spots, [by, "chain", "residue"], "left_semi"), "a", [by, "chain", "residue"], ["__rep"])
+    own = _side(marked.filter("__b"), "b", [by], ["__region", "__rep"])
+    both, part = F.col("a__rep") & F.col("b__rep"), F.col("b__region")
+    bit = lambda cond, n: F.when(cond, n).otherwise(0)
+    mask = F.lit(1) + bit(part, 2) + bit(both, 4) + bit(both & part, 8)
+    pairs = target.join(own, by).select(by, "chain", "residue", mask.alias("mask"), distance().alias("d"))
+    nearest = pairs.groupBy(by, "chain", "residue").agg(
+        *[F.min(F.when(F.col("mask").bitwiseAND(n) > 0, F.col("d"))).alias(v) for v, n in VARIANTS.items()]
+    )
+    # A residue stays in if it has atoms; a variant without pairs gives no distance.
+    long = nearest.select(by, "chain", F.inline(F.array(*[F.struct(F.lit(v).alias("variant"), F.col(v).alias("d")) for v in VARIANTS])))
+    sets = long.filter("d is not null").groupingSets([[by, "variant"], [by, "chain", "variant"]], by, "chain", "variant")
+    return sets.agg(
+        F.avg((F.col("d") <= cutoff).cast("double")).alias("contact_fraction"), F.avg("d").alias("min_distance_mean"),
+        F.min("d").alias("min_distance_min"), F.count(F.lit(1)).alias("hotspot_count"), F.coalesce(F.min("d") <= cutoff, F.lit(False)).alias("hotspot_pass"),
     )
 
 

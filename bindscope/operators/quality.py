@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,38 @@ def expectations(df: DataFrame, row_id: Column, rules: Mapping[str, Column]) ->
     return df.select(row_id.alias("row_id"), F.explode(broken).alias("rule"))
 
 
+def domain_rule(table: str) -> dict[str, Column]:
+    """The status rule of a ledger table, from its declared domain."""
+    return {"status": F.col("status").isin(*STATUS_DOMAINS[table])}
+
+
+def audit(tables: Mapping[str, tuple[DataFrame, Mapping[str, Column]]]) -> DataFrame:
+    """(table_name, rule, checked, broken) of all row rules, each table read once. A rule that
+    evaluates to NULL is not broken."""
+    parts = []
+    for name, (df, rules) in tables.items():
+        counts = df.agg(F.count(F.lit(1)).alias("checked"), *[F.count_if(~rule).alias(f"r{k}") for k, rule in enumerate(rules.values())])
+        said = F.array(*[F.struct(F.lit(rule).alias("rule"), F.col(f"r{k}").alias("broken")) for k, rule in enumerate(rules)])
+        parts.append(counts.select(F.lit(name).alias("table_name"), "checked", F.inline(said)))
+    return reduce(DataFrame.unionByName, parts).select("table_name", "rule", "checked", "broken")
+
+
+def violations(tables: Mapping[str, tuple[DataFrame, Mapping[str, Column]]], row_ids: Mapping[str, Column]) -> DataFrame:
+    """(table_name, row_id, rule) of every broken rule. The audit's counts, one row per rule,
+    decide which tables are read again and for which rules."""
+    broken: dict[str, list[str]] = {}
+    for r in audit(tables).filter("broken > 0").collect():
+        broken.setdefault(r.table_name, []).append(r.rule)
+    parts = [
+        expectations(tables[t][0], row_ids[t].cast("string"), {k: v for k, v in tables[t][1].items() if k in rules}).select(F.lit(t).alias("table_name"), "row_id", "rule")
+        for t, rules in broken.items()
+    ]
+    if not parts:
+        some = next(iter(tables.values()))[0]
+        return some.limit(0).select(F.lit("").alias("table_name"), F.lit("").alias("row_id"), F.lit("").alias("rule"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def check_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
@@ -78,12 +111,12 @@ def check_pair_mask(pairs: DataFrame, spans: DataFrame, by: str = "structure_id"
     """Mismatch counts between a pair mask and the block mask implied by chain spans.
 
     ``spans`` has chain, start, end per structure; the expected mask is true inside each
-    chain's block. Pairs are compared where they are, without building the full matrix.
+    chain's block. Every pair meets the spans of its structure as one row, bounded by its chains.
     """
-    own = spans.select(by, F.col("start").alias("s"), F.col("end").alias("e"))
-    inside = pairs.join(own, by).filter("i >= s and i < e and j >= s and j < e").select(by, "i", "j").distinct()
-    marked = pairs.join(inside.withColumn("__in", F.lit(True)), [by, "i", "j"], "left")
-    expected = F.coalesce("__in", F.lit(False))
+    blocks = spans.groupBy(by).agg(F.collect_list(F.struct("start", "end")).alias("__blocks"))
+    within = lambda s: (F.col("i") >= s["start"]) & (F.col("i") < s["end"]) & (F.col("j") >= s["start"]) & (F.col("j") < s["end"])
+    marked = pairs.join(blocks, by, "left")
+    expected = F.coalesce(F.exists("__blocks", within), F.lit(False))
     wanted = spans.groupBy(by).agg(F.sum((F.col("end") - F.col("start")) * (F.col("end") - F.col("start"))).alias("expected_pairs"))
     agg = marked.groupBy(by).agg(
         F.count_if(F.col("mask") & ~expected).alias("unexpected_pairs"), F.count_if(~F.col("mask") & expected).alias("masked_out_pairs"),

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from bindscope.operators.ranking import add_rank
+
 CHAIN_ALPHABET = string.ascii_uppercase + string.ascii_lowercase + string.digits
 
 
@@ -208,18 +210,24 @@ def free_chain_id(chains: DataFrame, by: str, alphabet: str = CHAIN_ALPHABET) ->
     return ids.select(by, F.get(free, F.lit(0)).alias("free_chain"))
 
 
-def assign_round_robin(designs: DataFrame, dim: DataFrame, index: str = "design_index", name: str = "canonical", limit: int = 10_000) -> DataFrame:
-    """Framework ``index mod n`` for every design.
+def assign_round_robin(designs: DataFrame, dim: DataFrame, index: str = "design_index", name: str = "canonical") -> DataFrame:
+    """Framework ``index mod n`` for every design, for a panel of any size; null without a
+    panel or an index.
 
-    The panel becomes one array, looked up by position: a join on so few slots would pile
-    the designs up in as many tasks. A panel above ``limit`` names is refused.
+    The panel is numbered by one exchange and joined on the slot. A small panel has few slots,
+    which would pile the designs up in as many tasks, so each name is repeated until names and
+    salts fill the partitions; whether the panel is broadcast is left to its size at run time.
     """
-    listed = dim.select(name).distinct().limit(limit + 1).agg(F.array_sort(F.collect_list(name)).alias("names"))
-    too_many = F.raise_error(F.lit(f"more than {limit} frameworks")).cast("array<string>")
-    names = listed.select(F.when(F.size("names") <= limit, F.col("names")).otherwise(too_many)).scalar()
-    out = designs.withColumn("__names", names)
-    slot = F.pmod(F.col(index), F.size("__names")).cast("int")
-    return out.withColumn("framework", F.get("__names", slot)).drop("__names")
+    parts = int(designs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = dim.select(name).filter(F.col(name).isNotNull()).distinct()
+    total = names.agg(F.count(F.lit(1)).alias("n")).scalar()
+    salts = F.greatest(F.lit(1), F.ceil(F.lit(parts) / F.nullif(total, F.lit(0).cast("bigint")))).cast("int")
+    panel = add_rank(names, [F.col(name)], "__slot").select(
+        (F.col("__slot") - 1).alias("__slot"), F.col(name).alias("framework"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("__salt")
+    )
+    asked = designs.withColumn("__slot", F.pmod(F.col(index).cast("bigint"), F.nullif(total, F.lit(0).cast("bigint"))))
+    asked = asked.withColumn("__salt", F.pmod(F.hash(index), salts))
+    return asked.join(panel, ["__slot", "__salt"], "left").drop("__slot", "__salt")
 
 
 # ------------------------------------------------------------------------- runs

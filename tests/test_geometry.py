@@ -242,3 +242,18 @@ def test_distance_rmse_with_numbers_per_chain(spark):
     assert {r.id: r.distance_rmse for r in G.distance_rmse(pairs, ["id"], "upper").collect()} == {"p": 2.0, "q": None}
     full = {r.id: r.distance_rmse for r in G.distance_rmse(pairs, ["id"]).collect()}
     assert full["q"] is None and abs(full["p"] - math.sqrt(2)) < 1e-12
+
+
+def test_hotspot_variants(spark):
+    """Residue 0 of chain A is near a framework atom, residue 1 near a CDR side chain; chain C is far."""
+    rows = [("s", "A", 0, False, True, 0.0), ("s", "A", 1, False, True, 20.0), ("s", "C", 0, False, False, 100.0), ("s", "C", 5, False, True, None),
+            ("s", "B", 0, False, True, 3.0), ("s", "B", 1, True, False, 22.0), ("s", "B", 1, True, True, 27.0)]
+    df = spark.createDataFrame([(i, c, r, cdr, rep, x, 0.0 if x is not None else None, 0.0) for i, c, r, cdr, rep, x in rows],
+                               "structure_id string, chain string, residue long, cdr boolean, rep boolean, x double, y double, z double")
+    spots = spark.createDataFrame([("s", "A", 0), ("s", "A", 1), ("s", "C", 0), ("s", "C", 5), ("s", "A", 1)], "structure_id string, chain string, residue long")
+    out = {(r.chain, r.variant): r for r in G.hotspot_variants(df, spots, F.col("chain") == "B", F.col("cdr"), F.col("rep"), 5.0).collect()}
+    figures = lambda c, v: (out[c, v].contact_fraction, out[c, v].min_distance_mean, out[c, v].min_distance_min, out[c, v].hotspot_count)
+    assert figures("A", "whole") == (1.0, 2.5, 2.0, 2) and figures("C", "whole") == (0.0, 73.0, 73.0, 1)
+    assert figures(None, "whole") == (pytest.approx(2 / 3), 26.0, 2.0, 3) and not out["C", "whole"].hotspot_pass
+    assert figures("A", "region") == (0.5, 12.0, 2.0, 2) and figures("A", "representative") == (0.5, 5.0, 3.0, 2)
+    assert figures("A", "region_representative") == (0.0, 17.0, 7.0, 2) and ("C", "representative") not in out

@@ -43,7 +43,7 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch(spark, "archives")
     warc.write_archives(table(spark, folder, "pages"), path, min_bytes=0)
-    return warc.read_archives(spark, path)
+    return warc.read_archives(spark, path, payload=False).drop("url", "file", "offset")
 
 
 def op7_token_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -240,7 +240,7 @@ class Forest:
         self.roots = every.filter(f"level = {HEIGHT}").select("tree", "total", F.col("node").alias("root"))
 
     def proofs(self, above: DataFrame | None = None) -> DataFrame:
-        """(tree, id, position, leaf, proof, root, altered_root): siblings of each leaf up to the
+        """(tree, id, position, total, leaf, proof, subroot, root, altered_root): siblings of each leaf up to the
         root. With ``above``, (tree, total, position, proof, root) of each tree's root in a
         further one, proofs go on to that one's root. altered_root is folded from the altered
         leaf where there is one, else from the leaf."""
@@ -275,7 +275,7 @@ class Forest:
                     yield expanded(row)
 
         return work.mapInArrow(
-            expand, "tree string, id string, position long, leaf string, proof array<string>, subroot string, root string, altered_root string"
+            expand, "tree string, id string, position long, total long, leaf string, proof array<string>, subroot string, root string, altered_root string"
         )
 
 
@@ -331,9 +331,9 @@ def expanded(row: dict) -> pa.RecordBatch:
     n = len(nodes)
     return pa.RecordBatch.from_arrays(
         [pa.array([row["tree"]] * n), pa.array(row["ids"], pa.string()), pa.array(np.arange(run.start, run.stop), pa.int64()),
-         pa.array([x.decode() for x in nodes]), pa.array(proofs, pa.list_(pa.string())), pa.array([subroot.decode()] * n),
+         pa.array([run.total] * n, pa.int64()), pa.array([x.decode() for x in nodes]), pa.array(proofs, pa.list_(pa.string())), pa.array([subroot.decode()] * n),
          pa.array([root.decode()] * n), pa.array([x.decode() for x in results])],
-        ["tree", "id", "position", "leaf", "proof", "subroot", "root", "altered_root"],
+        ["tree", "id", "position", "total", "leaf", "proof", "subroot", "root", "altered_root"],
     )
 
 
@@ -347,8 +347,7 @@ def manifest(docs: DataFrame) -> DataFrame:
         F.unhex("root").alias("leaf"), F.lit(None).cast("binary").alias("altered"),
     )
     union = Forest(names)
-    total = union.spans.select(F.lit("=").alias("tree"), "total").distinct()
-    above = union.proofs().join(total, "tree").select(
+    above = union.proofs().select(
         F.col("id").alias("tree"), F.col("position").alias("top_at"), F.col("total").alias("top_total"), F.col("proof").alias("top")
     )
     return trees.proofs(above).select(

@@ -14,9 +14,10 @@ edges. Equal edges have equal minimizers, so paths meet by minimizer:
 An occurrence is a source coordinate (document, word). Tasks settle their own repeats before the
 exchange, so a hot path sends one row per task. Nothing is capped.
 
-Nulls and odd rows: a null, empty or short text repeats nothing; rows without id are left
-out; rows with one doc_id are one document and must be equal, each returns a row; other
-columns are ignored.
+Nulls and odd rows: a null, empty or short text repeats nothing. Rows of equal id and text are
+one document, which returns a row for each; rows of one id with different texts are documents
+in the order of their texts; rows without id come after all others, in the order of their
+texts. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 
 from bindscope.llm import shared
 from bindscope.llm.tokens import MIX_A, U, Spans, Words, mix, packed, ranges, slices, window_starts
+from bindscope.operators.ranking import add_rank
+from bindscope.session import scratch
 
 EDGE, GRAM = 20, 8
 FLUSH = 1 << 20
@@ -223,14 +226,28 @@ def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
+    """(doc_id, text, id, copies): a document per id and text, under a number of its own in the
+    order of ids. Where every row has an id and none repeats, that is the id itself; else the
+    documents are ranked by id (null last), then text, and stored, so that ranks stay."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    odd = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("id is null or n > 1")
+    if odd.isEmpty():
+        return rows.select(F.col("id").alias("doc_id"), "text", "id", F.lit(1).cast("long").alias("copies"))
+    unlike = rows.groupBy("id", "text").agg(F.count(F.lit(1)).alias("copies"))
+    last = F.struct(F.col("id").isNull(), F.coalesce("id", F.lit(0)), F.coalesce("text", F.lit("")), F.col("text").isNull())
+    path = scratch(docs.sparkSession, "documents")
+    add_rank(unlike, [last], "doc_id").write.parquet(path)
+    return docs.sparkSession.read.parquet(path).select("doc_id", "text", "id", "copies")
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """doc_id, start, n (edges; the run covers n + 19 words), source_doc, source_start: runs
-    of words that start earlier elsewhere, at the source."""
-    rows = document_rows(docs)
-    count = shared.buckets(docs.sparkSession)
+    of words that start earlier elsewhere, at the source; numbers as in ``document_rows``."""
+    return runs_of(document_rows(docs).select("doc_id", "text"))
+
+
+def runs_of(rows: DataFrame) -> DataFrame:
+    count = shared.buckets(rows.sparkSession)
     met = shared.exchange(rows.mapInArrow(scan(count, False), BLOBS)).mapInArrow(meet(True), FOUND)
     met = shared.cut_lineage(met)
     listed = rows.join(codes(met.filter(F.col("kind") == PATH)), "doc_id").select("doc_id", "text", "runs")
@@ -241,9 +258,11 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 def kept_texts(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the text left)."""
     rows = document_rows(docs)
-    runs = codes(repeated_runs(docs))
-    joined = rows.join(runs, "doc_id", "left").select("doc_id", "text", "runs")
-    return joined.mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept string")
+    runs = codes(runs_of(rows.select("doc_id", "text")))
+    joined = rows.join(runs, "doc_id", "left").select(F.struct("id", "copies").alias("doc_id"), "text", "runs")
+    left = joined.mapInArrow(remove, "doc_id struct<id:long,copies:long>, n_words long, n_removed long, kept string")
+    each = left.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("doc_id.copies"))))
+    return each.select(F.col("doc_id.id").alias("doc_id"), "n_words", "n_removed", "kept")
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:

@@ -39,11 +39,23 @@ def test_repeated_rows_and_empty(spark):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(None, text, 1), (7, text, 1), (7, text, 1), (8, text, 1), (9, None, 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, runs int")
-    got = sorted((r.doc_id, r.n_removed) for r in repeats.dedup_substrings(df).collect())
-    assert got == [(7, 0), (7, 0), (8, 30), (9, 0)]
+    got = sorted(((r.doc_id, r.n_removed) for r in repeats.dedup_substrings(df).collect()), key=str)
+    assert got == [(7, 0), (7, 0), (8, 30), (9, 0), (None, 30)]
     assert repeats.dedup_substrings(df.limit(0)).count() == 0
 
 
+def test_ids_with_several_texts_and_rows_without_id(spark):
+    """A number per id and text, in the order of ids, then texts, gives what brute force gives."""
+    rng = np.random.default_rng(8)
+    part = [" ".join(f"p{k}w{i}" for i in range(30)) for k in range(4)]
+    rows = [(int(rng.integers(0, 6)) if k % 4 else None, " ".join(part[int(i)] for i in rng.integers(0, 4, 2)) + f" x{k % 7}") for k in range(40)]
+    rows += [(3, None), (3, None), (None, None), (None, ""), rows[5], rows[5]]
+    kinds = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, (r[1] or "").encode(), r[1] is None))
+    want = {kinds[i]: tuple(x) for i, *x in brute([(i, t) for i, (_, t) in enumerate(kinds)])}
+    got = repeats.dedup_substrings(spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, id string").repartition(3)).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == sorted(((r[0], *want[r]) for r in rows), key=str)
+
+
 def test_blocks_round_trip():
     rng = np.random.default_rng(2)
     for ids in (np.array([7]), np.zeros(5, int), rng.integers(0, 2**32, 1024), np.concatenate([rng.integers(0, 50, 1000), [2**32 - 1, 49407]])):

@@ -8,6 +8,7 @@ from bindscope.catalog.base import query
 from bindscope.catalog.fragments import METRICS, SCORED, metric_rows, scored_rows
 from bindscope.catalog.sec_e import _ORDER, _POOL, FINAL
 from bindscope.functions import scalars as S
+from bindscope.operators import campaign as CAMP
 from bindscope.operators import interface as I
 from bindscope.operators import geometry as GEO
 from bindscope.operators import selection as X
@@ -44,6 +45,36 @@ def a1(c):
     )
 
 
+_LEDGER = {
+    "campaign": "(SELECT n_nationkey AS id, cast(3 AS bigint) AS schema_version, n_name AS config_hash, cast(n_regionkey AS varchar) AS resolved_config_json FROM nation)",
+    "shards": "v_shards", "candidates": "v_candidates", "critic_metrics": "v_critic", "validation_tasks": "v_tasks", "validation_structures": "v_samples",
+    "validation_msa_jobs": "v_jobs", "validation_msa_job_candidates": "v_deps", "attempts": "v_attempts",
+}
+
+
+def _filled(table: str) -> str:
+    names = ", ".join(f"'{name}'" for name in LED.column_names(table))
+    return (f"SELECT '{table}' AS table_name, n AS column_name, count(*) AS filled FROM (UNPIVOT (SELECT COLUMNS(lambda c: c IN ({names}))::varchar FROM {_LEDGER[table]}) "
+            "ON COLUMNS(*) INTO NAME n VALUE v) GROUP BY n")
+
+
+@query("a1_ledger_tables", " UNION ALL ".join(_filled(t) for t in LED.COLUMNS))
+def a1t(c):
+    """All nine tables written and read back: how many cells of each column are filled."""
+    held = {t: getattr(c, v) for t, v in _LEDGER.items() if t != "campaign"}
+    held["campaign"] = c.nation.select(
+        F.col("n_nationkey").alias("id"), F.lit(3).alias("schema_version"), F.col("n_name").alias("config_hash"), F.col("n_regionkey").cast("string").alias("resolved_config_json")
+    )
+    path = scratch(c.spark, "ledger")
+    LED.write_ledger(held, path)
+    parts = []
+    for name, df in LED.read_ledger(c.spark, path).items():
+        counts = df.agg(*[F.count(f"`{x}`").alias(x) for x in df.columns])
+        said = F.array(*[F.struct(F.lit(x).alias("column_name"), F.col(f"`{x}`").alias("filled")) for x in df.columns])
+        parts.append(counts.select(F.lit(name).alias("table_name"), F.inline(said)))
+    return CAMP.union_all(parts).filter("filled > 0")
+
+
 @query("a2_decode_metrics_strict", """SELECT candidate_id, critic_name, coalesce(len(json_keys(nullif(metrics_json, ''))), 0)::int AS keys, nullif(metrics_json, '') ->> '$.plddt' AS plddt FROM v_critic""")
 def a2(c):
     d = c.v_critic.withColumn("d", S.decode_metrics("metrics_json", F.concat_ws(":", "candidate_id", "critic_name")))
@@ -239,6 +270,37 @@ def a14(c):
     return K.report_metadata(metric_rows(c)).select("position", "key", "value")
 
 
+_CONFIG = """'{"target":{"name":' || CASE WHEN n_nationkey % 4 = 0 THEN 'null' ELSE '"T' || n_nationkey || '"' END || '},"binder":{"scaffold":' ||
+    CASE WHEN n_nationkey % 3 = 0 THEN 'null' ELSE '"vhh"' END || CASE WHEN n_nationkey % 5 = 0 THEN ',"frameworks":["fx",{"name":"fy"},3]' WHEN n_nationkey % 5 = 1 THEN ',"framework":{"name":"fz"}' ELSE '' END ||
+    '},"campaign":{"num_designs":' || (n_nationkey * 10) || CASE WHEN n_nationkey % 2 = 0 THEN ',"steps":[5,6],"critics":["k2","k1"]' ELSE ',"steps":75' END || '},"loss":{' ||
+    CASE WHEN n_nationkey % 3 = 1 THEN '"binder_target_contact_mode":"mosaic_cdr","mosaic_cdr_contact_weight":0.5,' ELSE '"binder_target_contact_mode":"all",' END ||
+    '"target_geometry_drift":{' || CASE n_nationkey % 4 WHEN 0 THEN '' WHEN 1 THEN '"enabled":false,"weight":2' WHEN 2 THEN '"enabled":true,"weight":2,"tolerance_angstrom":1.5'
+    ELSE '"enabled":true,"regions":{"B":["1-5",9],"A":"all"}' END || '}}}'"""
+_FIRST = """min(target) AS target, min(scaffold) AS scaffold, string_agg(DISTINCT m.framework, ';' ORDER BY m.framework) AS fw, string_agg(DISTINCT critic_name, ';' ORDER BY critic_name) AS critic"""
+
+
+@query("a14_campaign_metadata", f"""WITH {METRICS}, g AS (SELECT h.campaign_id, {_FIRST} FROM (SELECT candidate_id, critic_name, framework, design_metrics_json ->> '$.target_name' AS target,
+      CASE lower(trim(design_metrics_json ->> '$.binder_scaffold')) WHEN 'vhh' THEN 'vhh' ELSE lower(trim(design_metrics_json ->> '$.binder_scaffold')) END AS scaffold FROM cm) m
+      JOIN v_candidates c USING (candidate_id) JOIN v_shards h USING (shard_id) GROUP BY 1),
+    d AS (SELECT n_nationkey AS campaign_id, n_nationkey AS k, {_CONFIG} AS c FROM nation),
+    v AS (SELECT d.campaign_id, unnest([
+      {{'p': 0, 'k': 'target_name', 'v': coalesce(c ->> '$.target.name', target)}}, {{'p': 1, 'k': 'binder_scaffold', 'v': coalesce(c ->> '$.binder.scaffold', scaffold)}},
+      {{'p': 2, 'k': 'frameworks', 'v': CASE k % 5 WHEN 0 THEN 'fx;fy' WHEN 1 THEN 'fz' ELSE fw END}}, {{'p': 3, 'k': 'num_designs', 'v': c ->> '$.campaign.num_designs'}},
+      {{'p': 4, 'k': 'steps', 'v': c ->> '$.campaign.steps'}}, {{'p': 5, 'k': 'critic', 'v': CASE WHEN k % 2 = 0 THEN 'k2;k1' ELSE critic END}},
+      {{'p': 6, 'k': 'binder_target_contact_mode', 'v': CASE WHEN k % 3 = 1 THEN 'mosaic_cdr' END}}, {{'p': 7, 'k': 'mosaic_cdr_contact_weight', 'v': CASE WHEN k % 3 = 1 THEN '0.5' END}},
+      {{'p': 10, 'k': 'target_geometry_drift_enabled', 'v': c ->> '$.loss.target_geometry_drift.enabled'}},
+      {{'p': 11, 'k': 'target_geometry_drift_weight', 'v': CASE WHEN k % 4 = 2 THEN '2' END}}, {{'p': 12, 'k': 'target_geometry_drift_tolerance_angstrom', 'v': CASE WHEN k % 4 = 2 THEN '1.5' END}},
+      {{'p': 14, 'k': 'target_geometry_drift_regions', 'v': CASE k % 4 WHEN 2 THEN 'all' WHEN 3 THEN 'A:all;B:1-5+9' END}}]) AS t FROM d LEFT JOIN g USING (campaign_id))
+    SELECT campaign_id, t.p::int AS position, t.k AS key, t.v AS value FROM v WHERE t.v IS NOT NULL AND t.v <> ''""")
+def a14c(c):
+    text = c.nation.selectExpr("n_nationkey AS campaign_id", _CONFIG + " AS resolved_config_json")
+    owner = c.v_candidates.select("candidate_id", "shard_id").join(c.v_shards.select("shard_id", "campaign_id"), "shard_id")
+    raw = metric_rows(c).join(owner, "candidate_id")
+    scaffold = F.lower(F.trim(F.get_json_object("design_metrics_json", "$.binder_scaffold")))
+    named = c.v_candidates.select("candidate_id", scaffold.alias("binder_scaffold"))
+    return K.campaign_metadata(text, raw.drop("binder_scaffold").join(named, "candidate_id"), "campaign_id")
+
+
 @query("a15_summary_json", """SELECT '{"a_status":"' || status || '","n":' || count(*) || ',"z_first":"' || min(validation_id) || '"}' AS value FROM v_tasks GROUP BY status""")
 def a15(c):
     agg = c.v_tasks.groupBy(F.col("status").alias("a_status")).agg(F.min("validation_id").alias("z_first"), F.count(F.lit(1)).alias("n"))

@@ -121,10 +121,30 @@ def d47(c):
     return drift(c).select("candidate_id", *r6("drift_rmse", "drift_loss"))
 
 
-@query("d48_total_structure_score", f"""WITH {SM}, {LOSS}, {DRIFT}, {TOPK}, hh AS (SELECT candidate_id, avg(pow(greatest(0, 0.6 - score) / 0.6, 2)) AS h FROM tk GROUP BY 1)
-    SELECT candidate_id, round(0.5 * intra_contact_loss + 0.5 * inter_contact_loss + 0.2 * glob_loss + 0.1 * greatest(0, (drift_rmse - 1) / 2) + 0.3 * h, 6) AS total_loss
-    FROM intra JOIN inter USING (candidate_id) JOIN globl USING (candidate_id) JOIN dr USING (candidate_id) JOIN hh USING (candidate_id)""")
+EXTRA = f"""l10 AS (SELECT candidate_id, i, j, {XENT.format(n=10)} AS h FROM z),
+    hl AS (SELECT candidate_id, sum(v) / (count(*) + 1e-8) AS hotspot_contact_loss FROM (SELECT candidate_id, i, list_sum(l) / (len(l) + 1e-8) AS v FROM
+      (SELECT candidate_id, i, list_sort(list(h) FILTER (j >= 11))[1:3] AS l FROM l10 WHERE i IN (0, 4, 7) GROUP BY 1, 2)) GROUP BY 1),
+    cl AS (SELECT candidate_id, sum(v) / (count(*) + 1e-8) AS cdr_contact_loss FROM (SELECT candidate_id, i, list_sum(l) / (len(l) + 1e-8) AS v FROM
+      (SELECT candidate_id, i, list_sort(list(h) FILTER (j IN (0, 4, 7)))[1:2] AS l FROM l10 WHERE i IN (12, 13, 14, 17, 18) GROUP BY 1, 2)) GROUP BY 1)"""
+
+
+def all_losses(c):
+    binder_i, binder_j = F.col("i") >= T, F.col("j") >= T
+    terms = [
+        D.ContactTerm("intra_contact_loss", binder_i, binder_j, 2, 14.0, 9), D.ContactTerm("inter_contact_loss", ~binder_i, binder_j, 1, 22.0),
+        D.hotspot_term(HOT, T, 3, 16.9), D.cdr_term(CDR, T, 2, 16.9, HOT),
+    ]
+    return D.structure_losses(c.v_logits, MIDS, terms, (binder_i & binder_j, B), D.HingeTerm(F.col("i").isin(*HOT), binder_j, 3, 9.0, 0.6))
+
+
+@query("d45_hotspot_and_cdr_loss", f"WITH {SM}, {EXTRA} SELECT candidate_id, round(hotspot_contact_loss, 6) AS hotspot_contact_loss, round(cdr_contact_loss, 6) AS cdr_contact_loss FROM hl JOIN cl USING (candidate_id)")
+def d45h(c):
+    return all_losses(c).select("candidate_id", *r6("hotspot_contact_loss", "cdr_contact_loss"))
+
+
+@query("d48_total_structure_score", f"""WITH {SM}, {LOSS}, {EXTRA}, {DRIFT}, {TOPK}, hh AS (SELECT candidate_id, avg(pow(greatest(0, 0.6 - score) / 0.6, 2)) AS h FROM tk GROUP BY 1)
+    SELECT candidate_id, round(0.5 * intra_contact_loss + 0.5 * inter_contact_loss + 0.2 * glob_loss + 0.1 * greatest(0, (drift_rmse - 1) / 2) + 0.3 * h + 0.4 * cdr_contact_loss + 0.2 * hotspot_contact_loss, 6) AS total_loss
+    FROM hl JOIN cl USING (candidate_id) JOIN intra USING (candidate_id) JOIN inter USING (candidate_id) JOIN globl USING (candidate_id) JOIN dr USING (candidate_id) JOIN hh USING (candidate_id)""")
 def d48(c):
-    parts = losses(c).join(glob(c), "candidate_id", "left").join(drift(c), "candidate_id", "left")
-    parts = parts.join(D.hotspot_hinge(hotspot_scores(c), 0.6), "candidate_id", "left")
-    return D.total_structure_score(parts, D.ExtraWeights(drift=0.1, hotspot=0.3)).select("candidate_id", *r6("total_loss"))
+    parts = all_losses(c).join(drift(c), "candidate_id", "left")
+    return D.total_structure_score(parts, D.ExtraWeights(drift=0.1, hotspot=0.3, cdr=0.4, hotspot_entropy=0.2)).select("candidate_id", *r6("total_loss"))

@@ -134,16 +134,19 @@ def d15(c):
 
 
 def _matrix_json(c):
-    cell = lambda k: F.floor(F.abs(F.get("embedding", F.lit(k)).cast("double")) * 1000).cast("bigint").cast("string")
-    a, b = cell(0), cell(1)
-    listed = F.concat(F.lit('{"chain_pair_ipTM":[[0,'), a, F.lit("],["), b, F.lit(",0]]}"))
-    keyed = F.concat(F.lit('{"chain_pair_interface_iptm":null,"chain_pair_iptm":{"0":{"1":'), a, F.lit('},"1":{"0":'), b, F.lit("}}}"))
+    """All 64 numbers of a vector as an 8 x 8 matrix: a list of lists, or objects with numeric names."""
+    cell = lambda i, j: F.floor(F.abs(F.get("embedding", (i * 8 + j).cast("int")).cast("double")) * 1000).cast("bigint").cast("string")
+    eight = F.sequence(F.lit(0), F.lit(7))
+    name = lambda k: F.concat(F.lit('"'), k.cast("string"), F.lit('":'))
+    rows = F.transform(eight, lambda i: F.concat(F.lit("["), F.array_join(F.transform(eight, lambda j: cell(i, j)), ","), F.lit("]")))
+    objects = F.transform(eight, lambda i: F.concat(name(i), F.lit("{"), F.array_join(F.transform(eight, lambda j: F.concat(name(j), cell(i, j))), ","), F.lit("}")))
+    listed = F.concat(F.lit('{"chain_pair_ipTM":['), F.array_join(rows, ","), F.lit("]}"))
+    keyed = F.concat(F.lit('{"chain_pair_interface_iptm":null,"chain_pair_iptm":{'), F.array_join(objects, ","), F.lit("}}"))
     return c.embeddings.select("vec_id", F.when(F.col("vec_id") % 2 == 0, listed).otherwise(keyed).alias("payload"))
 
 
-@query("d16_normalise_matrix", """WITH e AS (SELECT vec_id, floor(abs(cast(embedding[1] AS double)) * 1000) AS a, floor(abs(cast(embedding[2] AS double)) * 1000) AS b FROM embeddings)
-    SELECT vec_id, 'chain_pair_ipTM' AS source_key, unnest([0, 0, 1, 1]) AS i, unnest([0, 1, 0, 1]) AS j, unnest([0.0::double, a, b, 0.0::double]) AS value FROM e WHERE vec_id % 2 = 0
-    UNION ALL SELECT vec_id, 'chain_pair_iptm', unnest([0, 1]), unnest([1, 0]), unnest([a, b]) FROM e WHERE vec_id % 2 = 1""")
+@query("d16_normalise_matrix", """SELECT vec_id, CASE WHEN vec_id % 2 = 0 THEN 'chain_pair_ipTM' ELSE 'chain_pair_iptm' END AS source_key, (k // 8)::int AS i, (k % 8)::int AS j,
+    floor(abs(cast(embedding[k + 1] AS double)) * 1000) AS value FROM embeddings, range(0, 64) r(k)""")
 def d16(c):
     return I.normalise_matrix(_matrix_json(c), "vec_id", "payload")
 

@@ -83,6 +83,33 @@ def d6(c):
     return L.terminal_failures(L.status_counts(tables(c)))
 
 
+_COPIED = "EXISTS (SELECT 1 FROM v_inventory i WHERE i.path = validated_structure_path)"
+_ERROR = "CASE WHEN rmsd IS NULL THEN CASE WHEN length(candidate_id) % 2 = 0 THEN 'could not match target chains' ELSE 'insufficient matched target CA atoms' END END"
+
+
+@query("d10_analysis_report", f"""WITH {SCORED}, e AS (SELECT *, {_COPIED} AS copied, {_ERROR} AS pose_error FROM sc),
+    m AS (SELECT framework, string_agg(model_name || '=' || n, ';' ORDER BY model_name) AS models FROM (SELECT framework, model_name, count(*) AS n FROM e GROUP BY 1, 2) GROUP BY 1),
+    r AS (SELECT framework, string_agg(pose_error || '=' || n, ';' ORDER BY pose_error) AS errors FROM (SELECT framework, pose_error, count(*) AS n FROM e WHERE pose_error IS NOT NULL GROUP BY 1, 2) GROUP BY 1)
+    SELECT e.framework, count(*) FILTER (ranking_eligible) AS ranked_designs, count(*) AS diagnostic_rows, count(*) FILTER (validator_passed = 'true') AS validator_pass_count,
+    count(*) FILTER (NOT ranking_eligible) AS ranking_ineligible_count, count(*) FILTER (copied AND ranking_eligible) AS copied_designs, count(rmsd) AS rows_with_binder_ca_rmsd,
+    cast(84 AS bigint) AS top_k, any_value(models) AS models, any_value(errors) AS errors
+    FROM e LEFT JOIN m ON m.framework IS NOT DISTINCT FROM e.framework LEFT JOIN r ON r.framework IS NOT DISTINCT FROM e.framework WHERE e.framework IS NOT NULL GROUP BY 1""")
+def d10r(c):
+    rows = scored_rows(c).withColumn("pose_error", F.expr(_ERROR)).filter("framework is not null")
+    copied = rows.join(c.v_inventory.select(F.col("path").alias("validated_structure_path")).distinct(), "validated_structure_path", "left_semi")
+    out = X.analysis_report(rows, copied, 84, ["framework"])
+    text = lambda m: F.array_join(F.transform(F.map_entries(m), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ";")
+    return out.select(
+        "framework", "ranked_designs", "diagnostic_rows", "validator_pass_count", "ranking_ineligible_count", "copied_designs", "rows_with_binder_ca_rmsd", "top_k",
+        text("validator_models").alias("models"), text("pose_errors").alias("errors"),
+    )
+
+
+@query("d12_error_histogram", f"""WITH {SCORED} SELECT pose_error AS error, count(*) AS n FROM (SELECT {_ERROR} AS pose_error FROM sc) WHERE pose_error IS NOT NULL GROUP BY 1""")
+def d12e(c):
+    return L.error_histogram(task_rows(c).withColumn("pose_error", F.expr(_ERROR)), "pose_error")
+
+
 def _facts_sql(shards: str, shard: str, metrics: str = "") -> str:
     """Tagged union of status rows, issues and artifacts; ``shard`` names a candidate's shard."""
     return f"""sh AS (SELECT shard_id, campaign_id, status FROM {shards}),

@@ -105,11 +105,17 @@ def distogram_proxy(
 ) -> DataFrame:
     """Proxy over all binder rows and, for antibodies, over the CDR rows."""
     cross = pair_entropy(logits.filter((F.col("i") >= target_length) & (F.col("j") < target_length)), mids)
-    out = lowest_k_confidence(cross, binder_length, "distogram_iptm_proxy")
-    if not cdr:
-        return out.withColumn("cdr_distogram_iptm_proxy", F.lit(None).cast("double"))
-    rows = cross.filter(F.col("i").isin([target_length + c for c in cdr]))
-    return out.join(lowest_k_confidence(rows, len(cdr), "cdr_distogram_iptm_proxy"), "candidate_id", "left")
+    # The smallest of a row, then of all rows: each pair's softmax is taken once for both figures.
+    least = cross.groupBy("candidate_id", "i").agg(F.slice(F.array_sort(F.collect_list("entropy")), 1, binder_length).alias("low"))
+    inside = F.col("i").isin([target_length + c for c in cdr or ()])
+    held = least.groupBy("candidate_id").agg(
+        F.flatten(F.collect_list("low")).alias("all"), F.flatten(F.collect_list(F.when(inside, F.col("low")))).alias("cdr")
+    )
+    mean = lambda c, k: _sum(F.slice(F.array_sort(c), 1, k)) / F.size(F.slice(c, 1, k))
+    own = F.when(F.size("cdr") > 0, _confidence(mean("cdr", len(cdr)))) if cdr else F.lit(None).cast("double")
+    return held.select(
+        "candidate_id", _confidence(mean("all", binder_length)).alias("distogram_iptm_proxy"), own.alias("cdr_distogram_iptm_proxy")
+    )
 
 
 def binned_cross_entropy(logits: DataFrame, mids: Sequence[float], cutoff: float) -> DataFrame:
@@ -137,6 +143,73 @@ def contact_loss(
     return per.groupBy("candidate_id").agg((F.sum("v") / (F.count(F.lit(1)) + 1e-8)).alias(name))
 
 
+@dataclass(frozen=True)
+class ContactTerm:
+    """A contact loss: which pairs are rows and columns, contacts per row, cutoff, least separation."""
+
+    name: str
+    rows: Column
+    cols: Column
+    k: int
+    cutoff: float
+    min_sep: int = 0
+
+
+def hotspot_term(hotspots: Sequence[int], target_length: int, k: int, cutoff: float, binder_contacts: Sequence[int] | None = None) -> ContactTerm:
+    """Loss of the target's hotspot rows towards the binder, or its contact residues."""
+    cols = F.col("j") >= target_length if binder_contacts is None else F.col("j").isin([target_length + c for c in binder_contacts])
+    return ContactTerm("hotspot_contact_loss", F.col("i").isin(list(hotspots)), cols, k, cutoff)
+
+
+def cdr_term(cdr: Sequence[int], target_length: int, k: int, cutoff: float, hotspots: Sequence[int] = ()) -> ContactTerm:
+    """Loss of the binder's CDR rows towards the target, or its hotspots if there are any."""
+    cols = F.col("j").isin(list(hotspots)) if hotspots else F.col("j") < target_length
+    return ContactTerm("cdr_contact_loss", F.col("i").isin([target_length + c for c in cdr]), cols, k, cutoff)
+
+
+@dataclass(frozen=True)
+class HingeTerm:
+    """Hinge on the mean of a row's ``k`` largest contact probabilities."""
+
+    rows: Column
+    cols: Column
+    k: int
+    cutoff: float
+    target: float
+
+
+def structure_losses(
+    logits: DataFrame, mids: Sequence[float], contacts: Sequence[ContactTerm], glob: tuple[Column, int] | None = None, hinge: HingeTerm | None = None
+) -> DataFrame:
+    """All losses of a structure that need its logits alone, from one softmax per pair: the named
+    contact losses, ``glob_loss`` of the (binder pairs, length) and ``hotspot_hinge``. One
+    aggregation per row of a structure, one per structure. A loss without rows is null."""
+    base = weights(logits)
+    spread = lambda n: -_sum(F.transform(
+        F.slice("logits", 1, n), lambda v: F.exp(v - F.col("__top")) * (v - F.col("__top") - F.log("z"))
+    )) / _sum(F.slice("w", 1, n))
+    rows, per = [], []
+    for t in contacts:
+        used = t.rows & t.cols if t.min_sep <= 0 else t.rows & t.cols & (F.abs(F.col("i") - F.col("j")) >= t.min_sep)
+        low = F.slice(F.array_sort(F.collect_list(F.when(used, spread(_prefix(mids, t.cutoff))))), 1, t.k)
+        rows += [low.alias(f"low_{t.name}"), F.bool_or(t.rows).alias(f"is_{t.name}")]
+        value = F.when(F.col(f"is_{t.name}"), _sum(F.col(f"low_{t.name}")) / (F.size(f"low_{t.name}") + 1e-8))
+        per.append((F.sum(value) / (F.count(value) + 1e-8)).alias(t.name))
+    if hinge is not None:
+        p = _sum(F.slice("w", 1, _prefix(mids, hinge.cutoff, True))) / F.col("z")
+        rows.append(F.slice(F.sort_array(F.collect_list(F.when(hinge.rows & hinge.cols, p)), False), 1, hinge.k).alias("top"))
+        gap = F.greatest(F.lit(0.0), F.lit(hinge.target) - _sum(F.col("top")) / F.size("top")) / hinge.target
+        per.append(F.avg(F.when(F.size("top") > 0, gap * gap)).alias("hotspot_hinge"))
+    if glob is not None:
+        binder, length = glob
+        sq = _lits([min(m, 27.0) ** 2 for m in mids])
+        e = _sum(F.zip_with("w", sq, lambda w, d: w * d)) / F.col("z")
+        rows.append(F.sum(F.when(binder & (F.col("i") > F.col("j")), e)).alias("spread"))
+        x = F.sqrt(F.sum("spread") / float(length * length)) - 2.38 * length**0.365
+        per.append(F.when(x > 0, x).otherwise(F.exp(x) - 1.0).alias("glob_loss"))
+    return base.groupBy("candidate_id", "i").agg(*rows).groupBy("candidate_id").agg(*per)
+
+
 def globularity(logits: DataFrame, mids: Sequence[float], binder: Column, length: int, cap: float = 27.0) -> DataFrame:
     """ELU of the radius of gyration over its expected value for this length."""
     sq = _lits([min(m, cap) ** 2 for m in mids])
@@ -170,6 +243,7 @@ class ExtraWeights:
     drift: float = 0.0
     hotspot: float = 0.0
     cdr: float = 0.0
+    hotspot_entropy: float = 0.0
 
 
 def total_structure_score(parts: DataFrame, extra: ExtraWeights = ExtraWeights(), include_inter: bool = True) -> DataFrame:
@@ -179,4 +253,5 @@ def total_structure_score(parts: DataFrame, extra: ExtraWeights = ExtraWeights()
     if include_inter:
         total = total + term("inter_contact_loss", WEIGHTS["inter_contact"])
     total = total + term("drift_loss", extra.drift) + term("hotspot_hinge", extra.hotspot) + term("cdr_contact_loss", extra.cdr)
+    total = total + term("hotspot_contact_loss", extra.hotspot_entropy)
     return parts.withColumn("total_loss", total)

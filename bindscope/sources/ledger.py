@@ -3,58 +3,62 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TYPES = {"s": T.StringType(), "i": T.LongType(), "d": T.DoubleType(), "t": T.TimestampNTZType()}
-
-# Ledger columns; s text, i integer, d real, t timestamp.
+#: Ledger tables and their columns.
 COLUMNS = {
-    "campaign": "id:i schema_version:i config_hash:s resolved_config_json:s software_versions_json:s created_at:t updated_at:t",
-    "shards": (
-        "shard_id:s campaign_id:i seed:i batch_index:i target_key:s binder_key:s critic_set_json:s status:s claim_worker_id:s "
-        "claim_hostname:s claim_pid:i claim_gpu_id:s claimed_at:t heartbeat_at:t attempt_count:i max_attempts:i created_at:t "
-        "started_at:t completed_at:t error_message:s"
-    ),
-    "candidates": (
-        "candidate_id:s shard_id:s candidate_index:i designed_sequence:s binder_chain_id:s status:s sequence_path:s "
-        "design_metrics_json:s created_at:t started_at:t completed_at:t error_message:s"
-    ),
-    "critic_metrics": (
-        "candidate_id:s critic_name:s status:s structure_path:s metrics_json:s iptm:d ptm:d plddt:d distogram_iptm_proxy:d "
-        "hotspot_satisfaction:d runtime_seconds:d attempt_count:i created_at:t started_at:t completed_at:t error_message:s"
-    ),
-    "validation_tasks": (
-        "validation_id:s candidate_id:s model_name:s validation_config_hash:s selection_rank:i status:s claim_worker_id:s "
-        "claim_hostname:s claim_pid:i claim_gpu_id:s claimed_at:t heartbeat_at:t attempt_count:i max_attempts:i created_at:t "
-        "started_at:t completed_at:t output_structure_path:s metrics_json:s iptm:d ipsae:d ptm:d ranking_score:d "
-        "hotspot_satisfaction:d runtime_seconds:d error_message:s"
-    ),
-    "validation_structures": (
-        "validation_id:s structure_id:s candidate_id:s model_name:s seed:i sample_rank:i status:s structure_path:s metrics_json:s "
-        "scoped_iptm:d scoped_ipsae:d ptm:d ranking_score:d hotspot_satisfaction:d created_at:t"
-    ),
-    "validation_msa_jobs": (
-        "msa_job_id:s scope:s cache_key:s msa_context_hash:s status:s claim_worker_id:s claim_hostname:s claim_pid:i claimed_at:t "
-        "heartbeat_at:t attempt_count:i max_attempts:i next_eligible_at:t representative_sequence:s member_sequences_json:s "
-        "cache_paths_json:s metadata_json:s created_at:t started_at:t completed_at:t error_message:s"
-    ),
-    "validation_msa_job_candidates": "candidate_id:s msa_job_id:s validation_config_hash:s reason:s created_at:t",
-    "attempts": (
-        "attempt_id:i shard_id:s candidate_id:s validation_id:s critic_name:s stage:s status:s worker_id:s hostname:s pid:i gpu_id:s "
-        "started_at:t ended_at:t exit_code:i log_path:s traceback_path:s error_message:s"
-    ),
+    "campaign": """
+        id BIGINT, schema_version BIGINT, config_hash STRING, resolved_config_json STRING, software_versions_json STRING,
+        created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ""",
+    "shards": """
+        shard_id STRING, campaign_id BIGINT, seed BIGINT, batch_index BIGINT, target_key STRING, binder_key STRING,
+        critic_set_json STRING, status STRING, claim_worker_id STRING, claim_hostname STRING, claim_pid BIGINT, claim_gpu_id STRING,
+        claimed_at TIMESTAMP_NTZ, heartbeat_at TIMESTAMP_NTZ, attempt_count BIGINT, max_attempts BIGINT, created_at TIMESTAMP_NTZ,
+        started_at TIMESTAMP_NTZ, completed_at TIMESTAMP_NTZ, error_message STRING""",
+    "candidates": """
+        candidate_id STRING, shard_id STRING, candidate_index BIGINT, designed_sequence STRING, binder_chain_id STRING,
+        status STRING, sequence_path STRING, design_metrics_json STRING, created_at TIMESTAMP_NTZ, started_at TIMESTAMP_NTZ,
+        completed_at TIMESTAMP_NTZ, error_message STRING""",
+    "critic_metrics": """
+        candidate_id STRING, critic_name STRING, status STRING, structure_path STRING, metrics_json STRING, iptm DOUBLE, ptm DOUBLE,
+        plddt DOUBLE, distogram_iptm_proxy DOUBLE, hotspot_satisfaction DOUBLE, runtime_seconds DOUBLE, attempt_count BIGINT,
+        created_at TIMESTAMP_NTZ, started_at TIMESTAMP_NTZ, completed_at TIMESTAMP_NTZ, error_message STRING""",
+    "validation_tasks": """
+        validation_id STRING, candidate_id STRING, model_name STRING, validation_config_hash STRING, selection_rank BIGINT,
+        status STRING, claim_worker_id STRING, claim_hostname STRING, claim_pid BIGINT, claim_gpu_id STRING,
+        claimed_at TIMESTAMP_NTZ, heartbeat_at TIMESTAMP_NTZ, attempt_count BIGINT, max_attempts BIGINT, created_at TIMESTAMP_NTZ,
+        started_at TIMESTAMP_NTZ, completed_at TIMESTAMP_NTZ, output_structure_path STRING, metrics_json STRING, iptm DOUBLE,
+        ipsae DOUBLE, ptm DOUBLE, ranking_score DOUBLE, hotspot_satisfaction DOUBLE, runtime_seconds DOUBLE, error_message STRING""",
+    "validation_structures": """
+        validation_id STRING, structure_id STRING, candidate_id STRING, model_name STRING, seed BIGINT, sample_rank BIGINT,
+        status STRING, structure_path STRING, metrics_json STRING, scoped_iptm DOUBLE, scoped_ipsae DOUBLE, ptm DOUBLE,
+        ranking_score DOUBLE, hotspot_satisfaction DOUBLE, created_at TIMESTAMP_NTZ""",
+    "validation_msa_jobs": """
+        msa_job_id STRING, scope STRING, cache_key STRING, msa_context_hash STRING, status STRING, claim_worker_id STRING,
+        claim_hostname STRING, claim_pid BIGINT, claimed_at TIMESTAMP_NTZ, heartbeat_at TIMESTAMP_NTZ, attempt_count BIGINT,
+        max_attempts BIGINT, next_eligible_at TIMESTAMP_NTZ, representative_sequence STRING, member_sequences_json STRING,
+        cache_paths_json STRING, metadata_json STRING, created_at TIMESTAMP_NTZ, started_at TIMESTAMP_NTZ,
+        completed_at TIMESTAMP_NTZ, error_message STRING""",
+    "validation_msa_job_candidates": """
+        candidate_id STRING, msa_job_id STRING, validation_config_hash STRING, reason STRING, created_at TIMESTAMP_NTZ""",
+    "attempts": """
+        attempt_id BIGINT, shard_id STRING, candidate_id STRING, validation_id STRING, critic_name STRING, stage STRING,
+        status STRING, worker_id STRING, hostname STRING, pid BIGINT, gpu_id STRING, started_at TIMESTAMP_NTZ,
+        ended_at TIMESTAMP_NTZ, exit_code BIGINT, log_path STRING, traceback_path STRING, error_message STRING""",
 }
 
 
+def column_names(table: str) -> list[str]:
+    return [column.split()[0] for column in COLUMNS[table].split(",")]
+
+
 def schema(table: str) -> T.StructType:
-    fields = [part.split(":") for part in COLUMNS[table].split()]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
+    return T.StructType.fromDDL(COLUMNS[table])
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Ledger columns in order and type; absent columns are NULL."""
-    from pyspark.sql import functions as F
-
     have = set(df.columns)
     return df.select(
         *[

@@ -41,6 +41,48 @@ def report_metadata(rows: DataFrame) -> DataFrame:
     return agg.select(F.inline(items)).filter("value is not null and value <> ''")
 
 
+# Keys of the configured metadata, in order.
+CONFIGURED_KEYS = (
+    "target_name", "binder_scaffold", "frameworks", "num_designs", "steps", "critic", "binder_target_contact_mode", "mosaic_cdr_contact_weight",
+    "mosaic_framework_contact_penalty_weight", "mosaic_framework_contact_penalty_scope", "target_geometry_drift_enabled", "target_geometry_drift_weight",
+    "target_geometry_drift_tolerance_angstrom", "target_geometry_drift_stiffness_angstrom", "target_geometry_drift_regions",
+)
+
+
+def campaign_metadata(configs: DataFrame, rows: DataFrame, by: str, text: str = "resolved_config_json") -> DataFrame:
+    """(by, position, key, value) per campaign: what its configuration says, and where it is
+    silent about target, scaffold, frameworks or critics, what its report ``rows`` show. Blanks
+    are left out; a configuration that is no JSON object says nothing."""
+    names = lambda c: F.array_join(F.array_sort(F.collect_set(F.nullif(F.col(c), F.lit("")))), ";")
+    seen = rows.groupBy(by).agg(
+        F.min("target_name").alias("target"), F.min("binder_scaffold").alias("scaffold"), names("framework").alias("fw"), names("critic_name").alias("critics")
+    )
+    doc = configs.select(by, F.try_parse_json(text).alias("v")).join(seen, by, "left")
+    get = lambda path, kind="string": F.try_variant_get("v", f"$.{path}", kind)
+    filled = lambda c: F.nullif(c, F.lit(""))
+    name = lambda v: F.coalesce(F.try_variant_get(v, "$.name", "string"), F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")))
+    listed = F.array_join(F.array_compact(F.transform(get("binder.frameworks", "array<variant>"), name)), ";")
+    frameworks = F.when(get("binder.framework", "variant").isNotNull(), name(get("binder.framework", "variant"))).otherwise(listed)
+    critics = F.array_join(get("campaign.critics", "array<string>"), ";")
+    mosaic = get("loss.binder_target_contact_mode") == "mosaic_cdr"
+    drift = "loss.target_geometry_drift"
+    on = get(f"{drift}.enabled", "boolean")
+    regions = get(f"{drift}.regions", "map<string,variant>")
+    selectors = lambda v: F.coalesce(F.array_join(F.try_variant_get(v, "$", "array<string>"), "+"), F.try_variant_get(v, "$", "string"))
+    chains = F.transform(F.array_sort(F.map_keys(regions)), lambda k: F.concat(k, F.lit(":"), selectors(F.try_element_at(regions, k))))
+    where = F.coalesce(filled(F.array_join(chains, ";")), filled(get(f"{drift}.regions")), F.lit("all"))
+    values = {
+        "target_name": F.coalesce(filled(get("target.name")), F.col("target")), "binder_scaffold": F.coalesce(filled(get("binder.scaffold")), F.col("scaffold")),
+        "frameworks": F.coalesce(filled(frameworks), F.col("fw")), "num_designs": get("campaign.num_designs"), "steps": get("campaign.steps"),
+        "critic": F.coalesce(filled(critics), F.col("critics")), "binder_target_contact_mode": F.when(mosaic, "mosaic_cdr"),
+        **{k: F.when(mosaic, get(f"loss.{k}")) for k in CONFIGURED_KEYS[7:10]}, "target_geometry_drift_enabled": get(f"{drift}.enabled"),
+        **{f"target_geometry_drift_{k}": F.when(on, get(f"{drift}.{k}")) for k in ("weight", "tolerance_angstrom", "stiffness_angstrom")},
+        "target_geometry_drift_regions": F.when(on, where),
+    }
+    items = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(k).alias("key"), values[k].alias("value")) for i, k in enumerate(CONFIGURED_KEYS)])
+    return doc.select(by, F.inline(items)).filter("value is not null and value <> ''")
+
+
 def metadata_line(pairs: DataFrame) -> DataFrame:
     text = F.concat_ws("=", "key", "value")
     cells = F.transform(F.array_sort(F.collect_list(F.struct("position", text.alias("t")))), lambda x: x["t"])

@@ -189,6 +189,25 @@ def test_contact_loss_counts_rows_without_columns(spark):
     assert out.v == pytest.approx(-(px * lp).sum() / (1 + 1e-8) / (2 + 1e-8))
 
 
+def test_structure_losses_equal_the_single_ones(spark):
+    """One pass gives what each loss gives alone; a term without rows is null, a row without columns counts 0."""
+    rng = np.random.default_rng(3)
+    cells = [(c, i, j, rng.normal(size=8).tolist()) for c in range(3) for i in range(6) for j in range(6)]
+    df = spark.createDataFrame(cells, "candidate_id bigint, i bigint, j bigint, logits array<double>")
+    mids, i, j = [float(3 * k + 1) for k in range(8)], F.col("i"), F.col("j")
+    terms = [D.ContactTerm("a", i >= 4, j >= 4, 2, 9.0, 2), D.ContactTerm("b", i < 4, j >= 4, 1, 14.0), D.hotspot_term((1, 3), 4, 2, 9.0, (1,)), D.cdr_term((0,), 4, 3, 9.0),
+             D.ContactTerm("none", i > 90, j > 0, 1, 9.0)]
+    out = {r.candidate_id: r for r in D.structure_losses(df, mids, terms, ((i >= 4) & (j >= 4), 2), D.HingeTerm(i.isin(1, 3), j >= 4, 2, 7.0, 0.9)).collect()}
+    for t in terms[:4]:
+        single = D.contact_loss(df, mids, t.rows, t.cols, t.k, t.cutoff, t.name, t.min_sep)
+        assert all(out[r.candidate_id][t.name] == pytest.approx(r[t.name], abs=1e-12) for r in single.collect())
+    assert all(out[r.candidate_id].glob_loss == pytest.approx(r.glob_loss) for r in D.globularity(df, mids, (i >= 4) & (j >= 4), 2).collect())
+    probs = D.contact_probability(df.filter(i.isin(1, 3) & (j >= 4)), mids, 7.0, inclusive=True)
+    hinge = D.hotspot_hinge(D.topk_contact(probs, 2), 0.9)
+    assert all(out[r.candidate_id].hotspot_hinge == pytest.approx(r.hotspot_hinge) for r in hinge.collect())
+    assert all(r.none is None for r in out.values())
+
+
 def test_matrix_takes_the_first_usable_key(spark):
     docs = [
         (1, '{"chain_pair_iptm": 0.5, "chain_pair_ipTM": [[0, 0.7], [0.6, null]]}'),

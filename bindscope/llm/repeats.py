@@ -225,25 +225,27 @@ def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def document_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, id, copies): a document per id and text, under a number of its own in the
-    order of ids. Where every row has an id and none repeats, that is the id itself; else the
-    documents are ranked by id (null last), then text, and stored, so that ranks stay."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    odd = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("id is null or n > 1")
+def documents(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(doc_id, text) of the documents, under numbers in the order of ids, and their names
+    (doc_id, id, copies). Where every row has an id and none repeats, the numbers are the ids
+    and there are no names; else the documents are ranked by id (null last), then text, and
+    stored, so that ranks stay."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    odd = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("doc_id is null or n > 1")
     if odd.isEmpty():
-        return rows.select(F.col("id").alias("doc_id"), "text", "id", F.lit(1).cast("long").alias("copies"))
-    unlike = rows.groupBy("id", "text").agg(F.count(F.lit(1)).alias("copies"))
-    last = F.struct(F.col("id").isNull(), F.coalesce("id", F.lit(0)), F.coalesce("text", F.lit("")), F.col("text").isNull())
+        return rows, None
+    unlike = rows.withColumnRenamed("doc_id", "id").groupBy("id", "text").agg(F.count(F.lit(1)).alias("copies"))
+    order = F.struct(F.col("id").isNull(), F.coalesce("id", F.lit(0)), F.coalesce("text", F.lit("")), F.col("text").isNull())
     path = scratch(docs.sparkSession, "documents")
-    add_rank(unlike, [last], "doc_id").write.parquet(path)
-    return docs.sparkSession.read.parquet(path).select("doc_id", "text", "id", "copies")
+    add_rank(unlike, [order], "doc_id").write.parquet(path)
+    stored = docs.sparkSession.read.parquet(path)
+    return stored.select("doc_id", "text"), stored.select("doc_id", "id", "copies")
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """doc_id, start, n (edges; the run covers n + 19 words), source_doc, source_start: runs
-    of words that start earlier elsewhere, at the source; numbers as in ``document_rows``."""
-    return runs_of(document_rows(docs).select("doc_id", "text"))
+    of words that start earlier elsewhere, at the source; numbers as in ``documents``."""
+    return runs_of(documents(docs)[0])
 
 
 def runs_of(rows: DataFrame) -> DataFrame:
@@ -257,12 +259,13 @@ def runs_of(rows: DataFrame) -> DataFrame:
 
 def kept_texts(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the text left)."""
-    rows = document_rows(docs)
-    runs = codes(runs_of(rows.select("doc_id", "text")))
-    joined = rows.join(runs, "doc_id", "left").select(F.struct("id", "copies").alias("doc_id"), "text", "runs")
-    left = joined.mapInArrow(remove, "doc_id struct<id:long,copies:long>, n_words long, n_removed long, kept string")
-    each = left.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("doc_id.copies"))))
-    return each.select(F.col("doc_id.id").alias("doc_id"), "n_words", "n_removed", "kept")
+    rows, names = documents(docs)
+    joined = rows.join(codes(runs_of(rows)), "doc_id", "left").select("doc_id", "text", "runs")
+    left = joined.mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept string")
+    if names is None:
+        return left
+    each = left.join(names, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return each.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept")
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:

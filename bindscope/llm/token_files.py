@@ -13,8 +13,10 @@ and values (32 bits). The width fits the given percentile of the block's values;
 ones are exceptions. Pages are rows of Parquet files, so Spark commits, splits and reads
 them on any store.
 
-Nulls and odd rows: a null or empty text is its end id alone; rows without id are left out;
-repeated rows are written once each; other columns are ignored; an empty table gives no page.
+Nulls and odd rows: a null or empty text is its end id alone; rows without id come last, and
+rows of equal id (or none) follow the hash of their texts; repeated rows are written once
+each; other columns are ignored; an empty table gives no page. The greatest 64-bit id stands
+for none.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from bindscope.llm.encode import Encoder
 from bindscope.llm.tokens import slices
 
 BLOCK, PAGE, PERCENTILE = 1024, 1 << 16, 90
+NO_ID = np.iinfo(np.int64).max
 HEAD = struct.Struct("<IIBH")
 PAGES = "shard long, page long, n_ids long, docs binary, counts binary, index binary, blocks binary"
 
@@ -93,7 +96,7 @@ def writer(path: str, end: int):
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 for doc, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist(), end)):
-                    docs.append(doc)
+                    docs.append(NO_ID if doc is None else doc)
                     held.append(ids)
                     size += len(ids)
                     if size >= PAGE:
@@ -107,8 +110,9 @@ def writer(path: str, end: int):
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end: int = 2) -> None:
     """Writes the ids of all documents, each followed by ``end``, to pages in ``path``."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
-    rows = rows.repartitionByRange(shared.partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    order = [F.asc_nulls_last("doc_id"), F.xxhash64("text").asc()]
+    rows = rows.repartitionByRange(shared.partitions(docs.sparkSession), *order).sortWithinPartitions(*order, "text")
     rows.mapInArrow(writer(tokenizer, end), PAGES).write.parquet(path)
 
 
@@ -120,7 +124,7 @@ def reader(with_ids: bool):
                 ids = decode_page(r["index"], r["blocks"])
                 end = np.cumsum(counts)
                 raw = [ids[a:b].astype("<u4").tobytes() for a, b in zip(end - counts, end)]
-                columns = [pa.array(docs), pa.array(end - counts + r["before"]), pa.array(counts), pa.array([zlib.crc32(x) for x in raw], pa.int64())]
+                columns = [pa.array(docs, mask=docs == NO_ID), pa.array(end - counts + r["before"]), pa.array(counts), pa.array([zlib.crc32(x) for x in raw], pa.int64())]
                 names = ["doc_id", "start", "n_tokens", "ids_crc32"]
                 if with_ids:
                     columns.append(pa.array(raw, pa.binary()))

@@ -70,7 +70,6 @@ def test_token_files(spark, prose, tmp_path):
 
     path = tokenizer_path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = [*prose, (5000, " Two  Spaces\n\tand <|endoftext|> 's o'clock  É é ́x 漢字 x ÜBER "), (-3, "word " * 3000)]
     df = spark.createDataFrame([(i, t, b"x") for i, t in [*rows, (None, "z")]], "doc_id long, text string, blocks binary")
     token_files.write_ids(df, str(tmp_path / "ids"), path)
@@ -80,6 +79,13 @@ def test_token_files(spark, prose, tmp_path):
         ids = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes()
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32, got[i].ids) == (at, len(ids) // 4, zlib.crc32(ids), ids)
         at += len(ids) // 4
-    assert len(got) == len(rows)
+    ids = np.array(tokenizer.encode("z", add_special_tokens=False).ids + [2], "<u4").tobytes()
+    assert len(got) == len(rows) + 1 and (got[None].start, got[None].ids) == (at, ids)
+    twice = spark.createDataFrame([(4, "b c"), (None, "x"), (4, "a"), (None, None), (3, "z"), (4, "a")], "doc_id long, text string").repartition(3)
+    token_files.write_ids(twice, str(tmp_path / "twice"), path)
+    back = sorted((r.start, r.doc_id, r.ids) for r in token_files.read_ids(spark, str(tmp_path / "twice")).collect())
+    want = [(i, np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes()) for i, t in [(3, "z"), (4, "a"), (4, "a"), (4, "b c"), (None, None), (None, "x")]]
+    assert [r[1] for r in back] == [3, 4, 4, 4, None, None] and sorted(map(str, (r[1:] for r in back))) == sorted(map(str, want))
+    assert [r[0] for r in back] == np.cumsum([0, *(len(r[2]) // 4 for r in back)])[:-1].tolist() and back[1][2:] != back[3][2:]
     token_files.write_ids(df.limit(0), str(tmp_path / "none"), path)
     assert token_files.read_ids(spark, str(tmp_path / "none")).count() == 0

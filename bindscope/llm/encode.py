@@ -1,10 +1,13 @@
 """Token ids of many texts with a cache of word pieces.
 
 A tokenizer splits a text into parts and encodes each part alone. Texts are cut where both
-tokenizers always split, before a single space between two visible characters; the pieces
+tokenizers always split, at a single space between two visible characters; the pieces
 repeat, so most ids come from a cache. Pieces that aren't cached are encoded by the library,
-many in one text: a mark between them, which no piece contains and both tokenizers keep
-apart, shows where the ids of each end.
+many in one text. Where a piece's ids end is told by the vocabulary itself: a byte-level
+piece has one token that begins with a space, its first; a word-level tokenizer closes each
+word with a token of its own form. Pieces of which neither is sure get a mark between them,
+which no piece contains and both tokenizers keep apart, or are encoded alone. A text that
+holds one of the tokenizer's special tokens is encoded whole, as the library does it.
 """
 
 from __future__ import annotations
@@ -17,11 +20,18 @@ import numpy as np
 #: Pieces in each of the cache's two generations; the older one goes when the newer is full.
 CACHE = 600_000
 _ENCODERS: dict[str, Encoder] = {}
-#: A space with a visible ASCII character or Latin letter on either side.
-CUT = re.compile("(?<=[\x21-\x7e\u00c0-\u024f]) (?=[\x21-\x7e\u00c0-\u024f])")
+#: A visible ASCII character or Latin letter; a Latin letter that lower-cases to one letter.
+SEEN, LETTER = "\x21-\x7eÀ-ɏ", "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+#: A space with such a character on either side; a character that may stand beside no cut.
+CUT, ODD = re.compile(f"(?<=[{SEEN}]) (?=[{SEEN}])"), re.compile(f"[^\n {SEEN}]")
+#: Begins the key of a text's first piece, which has no space before it.
+FIRST = "\x00"
+#: Keys whose piece is one token group in a byte-level tokenizer; is a word; a word and signs.
+WHOLE = re.compile(f"[{SEEN}](?:[^ ]*[{SEEN}])?")
+WORD, SIGNED = re.compile(f"[{LETTER}]+"), re.compile(f"[{LETTER}]+[!-/:-@\\[-`{{-~]+")
 #: Stands between pieces of one text. Its last character is one id and in no such piece.
 MARK = "\n~"
-PLAIN = re.compile(" [\x21-\x7d\u00c0-\u024f](?:[^~]*[\x21-\x7d\u00c0-\u024f])?")
+PLAIN = re.compile("[\x21-\x7dÀ-ɏ](?:[^~]*[\x21-\x7dÀ-ɏ])?")
 JOINED = 500
 
 
@@ -32,10 +42,15 @@ class Encoder:
         # A task has one core; the library's own threads only add to its time.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.mark = self.tokenizer.encode(" a" + MARK, add_special_tokens=False).ids[1:]
+        tokens = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens, self.closes = (np.zeros(max(tokens.values()) + 1, bool) for _ in range(2))
+        for token, number in tokens.items():
+            self.opens[number], self.closes[number] = token.startswith("Ġ"), token.endswith("</w>")
+        self.by_words = bool(self.closes.any())
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -51,41 +66,81 @@ class Encoder:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         fresh = []
-        for piece in set().union(*cut).difference(young):
+        for piece in set().union(*(c for c in cut if c is not None)).difference(young):
             if piece in old:
                 young[piece] = old[piece]
             else:
                 fresh.append(piece)
         self.learn(fresh)
-        last = np.array([end], "<u4").tobytes()
-        return [np.frombuffer(b"".join([*map(young.__getitem__, pieces), last]), "<u4") for pieces in cut]
+        last, find = np.array([end], "<u4").tobytes(), young.__getitem__
+        return [
+            np.frombuffer(b"".join([*map(find, pieces), last]) if pieces is not None else self.alone(text) + last, "<u4")
+            for text, pieces in zip(texts, cut)
+        ]
+
+    def alone(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, fresh: list[str]) -> None:
         """Puts the ids of pieces into the cache."""
-        young = self.young
-        plain = [p for p in fresh if PLAIN.fullmatch(p)]
-        other = list(set(fresh).difference(plain))
-        texts = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
-        for at in range(0, len(texts), 40):
-            some = texts[at : at + 40]
-            whole = [MARK.join([*t, ""]) for t in some]
-            for names, got in zip(some, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
-                ids = np.array(got.ids, "<u4")
-                ends = np.flatnonzero(ids == self.mark[-1]) + 1
-                raw, skip = ids.tobytes(), 4 * len(self.mark)
-                start = 0
-                for piece, stop in zip(names, (4 * ends).tolist(), strict=True):
-                    young[piece] = raw[start : stop - skip]
-                    start = stop
-        for at in range(0, len(other), 20_000):
-            some = other[at : at + 20_000]
-            for piece, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                young[piece] = np.array(got.ids, "<u4").tobytes()
-
-    @staticmethod
-    def pieces(text: str | None) -> list[str]:
+        if self.by_words:
+            sure = [p for p in fresh if WORD.fullmatch(p)]
+            signed = [p for p in fresh if SIGNED.fullmatch(p)]
+            rest = list(set(fresh).difference(sure, signed))
+            rest += self.together(sure, self.closes, 1) + self.together(signed, self.closes, 2)
+        else:
+            sure = [p for p in fresh if WHOLE.fullmatch(p)]
+            rest = list(set(fresh).difference(sure))
+            rest += self.together(sure, self.opens, 1)
+        plain = [p for p in rest if PLAIN.fullmatch(p)]
+        self.marked(plain)
+        for piece in set(rest).difference(plain):
+            self.young[piece] = self.alone(piece[1:] if piece.startswith(FIRST) else " " + piece)
+
+    def together(self, pieces: list[str], flags: np.ndarray, count: int) -> list[str]:
+        """Encodes pieces side by side, each of which has ``count`` flagged tokens: its first
+        (a space opens it) or its last ones (they close its words). Returns those that differ."""
+        young, left = self.young, []
+        for group, ids in self.batches(pieces, lambda some: " " + " ".join(some)):
+            at = np.flatnonzero(flags[ids])
+            if len(at) != count * len(group):
+                left += group
+                continue
+            cuts = 4 * (np.append(at, len(ids)) if not self.by_words else np.append(0, at[count - 1 :: count] + 1))
+            raw = ids.tobytes()
+            cuts = cuts.tolist()
+            young.update(zip(group, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+        return left
+
+    def marked(self, pieces: list[str]) -> None:
+        """Encodes pieces with a mark after each."""
+        young, skip = self.young, 4 * len(self.mark)
+        for group, ids in self.batches(pieces, lambda some: MARK.join([*(" " + p for p in some), ""])):
+            cuts = (4 * (np.flatnonzero(ids == self.mark[-1]) + 1)).tolist()
+            raw, start = ids.tobytes(), 0
+            for piece, stop in zip(group, cuts, strict=True):
+                young[piece] = raw[start : stop - skip]
+                start = stop
+
+    def batches(self, pieces: list[str], write):
+        """Groups of pieces and the ids of the text that ``write`` makes of each."""
+        groups = [pieces[at : at + JOINED] for at in range(0, len(pieces), JOINED)]
+        for at in range(0, len(groups), 40):
+            some = groups[at : at + 40]
+            for group, got in zip(some, self.tokenizer.encode_batch_fast([write(g) for g in some], add_special_tokens=False)):
+                yield group, np.array(got.ids, "<u4")
+
+    def pieces(self, text: str | None) -> list[str] | None:
+        """Keys of the pieces of a text: the piece without the space before it. None for a text
+        with a special token."""
         if not text:
             return []
-        # Splitting drops the space; it belongs to the piece after it.
-        parts = CUT.split(text)
-        return [parts[0], *(" " + p for p in parts[1:])]
+        for special in self.special:
+            if special in text:
+                return None
+        if ODD.search(text) or "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " ":
+            parts = CUT.split(text)
+        else:
+            parts = text.split(" ")
+        parts[0] = FIRST + parts[0]
+        return parts

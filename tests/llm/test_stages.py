@@ -150,7 +150,6 @@ def test_packing(spark, prose):
 
     path = tokenizer_path("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = [*prose, (5000, "  two  spaces\n\n\tand <|endoftext|> 's o'clock  é 漢字   x "), (5001, "word " * 3000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
     ids = {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for i, t in rows}

@@ -233,13 +233,14 @@ def documents(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     odd = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("doc_id is null or n > 1")
     if odd.isEmpty():
-        return rows, None
+        # No row is lost; with the filter, both joins below have the same plan of the texts.
+        return rows.filter("doc_id is not null"), None
     unlike = rows.withColumnRenamed("doc_id", "id").groupBy("id", "text").agg(F.count(F.lit(1)).alias("copies"))
     order = F.struct(F.col("id").isNull(), F.coalesce("id", F.lit(0)), F.coalesce("text", F.lit("")), F.col("text").isNull())
     path = scratch(docs.sparkSession, "documents")
     add_rank(unlike, [order], "doc_id").write.parquet(path)
     stored = docs.sparkSession.read.parquet(path)
-    return stored.select("doc_id", "text"), stored.select("doc_id", "id", "copies")
+    return stored.select("doc_id", "text").filter("doc_id is not null"), stored.select("doc_id", "id", "copies")
 
 
 def repeated_runs(docs: DataFrame) -> DataFrame:

@@ -77,13 +77,12 @@ def c7(c):
     return L.job_failures(c.v_jobs, c.v_deps).select("msa_job_id", "scope", "error_message", "candidate_id")
 
 
-REFS = """refs AS (SELECT 'missing_sequence_artifact' AS kind, sequence_path AS path, 'candidates' AS table_name, candidate_id AS row_id FROM v_candidates
+REFS = """refs AS MATERIALIZED (SELECT 'missing_sequence_artifact' AS kind, sequence_path AS path, 'candidates' AS table_name, candidate_id AS row_id FROM v_candidates
     UNION ALL SELECT 'missing_structure_artifact', structure_path, 'critic_metrics', candidate_id || ':' || critic_name FROM v_critic
     UNION ALL SELECT 'missing_validation_artifact', output_structure_path, 'validation_tasks', validation_id FROM v_tasks
     UNION ALL SELECT 'missing_validation_artifact', structure_path, 'validation_structures', validation_id || ':' || structure_id FROM v_samples),
-  issues AS (SELECT kind, path, table_name, row_id FROM refs r WHERE NOT EXISTS (SELECT 1 FROM v_inventory i WHERE i.path = r.path)
-    UNION ALL SELECT 'untracked_artifact', path, NULL, NULL FROM v_inventory i WHERE starts_with(path, 'shards/')
-      AND NOT EXISTS (SELECT 1 FROM refs r WHERE r.path = i.path))"""
+  issues AS (SELECT coalesce(r.kind, 'untracked_artifact') AS kind, coalesce(r.path, i.path) AS path, r.table_name, r.row_id FROM refs r FULL JOIN v_inventory i ON i.path = r.path
+    WHERE i.path IS NULL OR (r.path IS NULL AND starts_with(i.path, 'shards/')))"""
 
 
 @query("c8_reconcile", f"WITH {REFS} SELECT * FROM issues")

@@ -162,7 +162,9 @@ def hotspot_gate(df: DataFrame, mode: str = "auto", configured: bool = False, fl
     contact = has_hotspot_contact()
     if mode == "always" or configured:
         return df.filter(contact)
-    needed = df.agg(F.coalesce(F.bool_or(has_hotspot_metrics(flag=flag)), F.lit(False))).scalar()
+    # An existence test: each task stops at its first row that carries metrics.
+    some = df.filter(F.coalesce(has_hotspot_metrics(flag=flag), F.lit(False))).select(F.lit(True).alias("held")).limit(1)
+    needed = F.coalesce(some.scalar(), F.lit(False))
     return df.filter(contact | ~needed)
 
 

@@ -15,7 +15,7 @@ The base score is a unigram model over words and end, add-one. The ``top`` most
 are looked up in the pass over the texts; all others meet their counts by a join.
 
 Training: crc32(doc_id as text) mod 7 is not 2. Nulls and odd rows: a null or empty text is its
-end alone; rows without id are left out; repeated rows count as often as they occur and
+end alone; a row without id trains, is not held out and returns a row of its own; repeated rows count as often as they occur and
 each return a row; other columns are ignored.
 """
 
@@ -37,6 +37,8 @@ from bindscope.llm.tokens import U, Words, mix, mix1, packed, ranges, slices
 from bindscope.session import scratch
 
 DEPTH, SIZE, BITS = 5, 64, 6
+#: Bytes of text read at a time: a symbol takes about 80 bytes while it is counted or scored.
+SLICE = 1 << 20
 END, SEPARATOR = 0, 1
 WORD = DEPTH + 1  # the kind of word counts; kinds 0 to DEPTH are the orders of contexts
 END_HASH = np.uint64(mix1(0xE0D))
@@ -126,16 +128,16 @@ def summed(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarr
     return keys[start], np.add.reduceat(counts, start) if len(keys) else counts
 
 
-def trains(ids: np.ndarray) -> np.ndarray:
-    return np.array([zlib.crc32(b"%d" % i) % 7 != 2 for i in ids.tolist()], bool)
+def trains(ids: pa.Array) -> np.ndarray:
+    return np.array([i is None or zlib.crc32(b"%d" % i) % 7 != 2 for i in ids.to_pylist()], bool)
 
 
 def count(buckets: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, unigrams = Tally(), Tally()
         for batch in batches:
-            for part in slices(batch, "text"):
-                use = trains(part.column(0).to_numpy())
+            for part in slices(batch, "text", SLICE):
+                use = trains(part.column(0))
                 part = part.filter(pa.array(use))
                 if not part.num_rows:
                     continue
@@ -276,8 +278,7 @@ def scorer(tree, frequent, total: int, distinct: int):
         low = math.log10(total + distinct + 1)
         number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = part.column(0).to_numpy().astype(np.int64)
+            for part in slices(batch, "text", SLICE):
                 words = Words(part.column(1), lower=True)
                 key = np.append(words.hashes(), np.full(words.rows, END_HASH))
                 row = np.append(words.row, np.arange(words.rows))
@@ -292,7 +293,7 @@ def scorer(tree, frequent, total: int, distinct: int):
                 own = number + np.arange(words.rows)
                 number += words.rows
                 nothing = pa.nulls(words.rows, pa.int64())
-                yield output(own, pa.array(ids), pa.array(words.count + 1), pa.array(known), pa.array(base), pa.array(score), nothing)
+                yield output(own, part.column(0), pa.array(words.count + 1), pa.array(known), pa.array(base), pa.array(score), nothing)
                 rare = np.flatnonzero(~hit)
                 if len(rare):
                     none, blank = pa.nulls(len(rare), pa.int64()), pa.nulls(len(rare), pa.float64())
@@ -312,7 +313,7 @@ def output(row, *columns) -> pa.RecordBatch:
 def suffix_tree_scores(docs: DataFrame, min_share: float = 2e-5, top: int = 1 << 19) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     path = scratch(spark, "suffix-counts")
     buckets = shared.buckets(spark)
     shared.exchange(rows.mapInArrow(count(buckets), BLOBS)).mapInArrow(gather, COUNTS).write.parquet(path)
@@ -345,7 +346,7 @@ def suffix_tree_scores(docs: DataFrame, min_share: float = 2e-5, top: int = 1 <<
     )
     whole = scored.filter("word is null").join(met, "row", "left")
     return whole.select(
-        "doc_id", (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"), "n_tokens",
+        "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False)).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )

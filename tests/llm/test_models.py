@@ -100,8 +100,8 @@ def test_scores_on_documents(spark):
 def test_scores_of_odd_rows(spark):
     df = spark.createDataFrame([(None, "a"), (1, None), (1, None), (3, "A a")], "doc_id long, text string")
     got = suffix_tree.suffix_tree_scores(df).collect()
-    assert sorted(((r.doc_id, r.n_tokens, r.n_known, r.held_out) for r in got), key=str) == [(1, 1, 1, False), (1, 1, 1, False), (3, 3, 3, False), (None, 2, 2, False)]
-    assert {r.train_tokens for r in got} == {7}
+    assert sorted(((r.doc_id, r.n_tokens, r.n_known, r.held_out) for r in got), key=str) == [(1, 1, 1, True), (1, 1, 1, True), (3, 3, 3, False), (None, 2, 2, False)]
+    assert {r.train_tokens for r in got} == {5}
     assert suffix_tree.suffix_tree_scores(df.limit(0)).count() == 0
 
 

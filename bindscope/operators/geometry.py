@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -107,22 +108,26 @@ def distogram(residues: DataFrame, by: str = "structure_id", index: str = "resid
 def contact_pairs(atoms: DataFrame, cutoff: float, by: str = "structure_id", index: str = "residue") -> DataFrame:
     """Directed inter-chain pairs within ``cutoff``.
 
-    Atoms are hashed to cubes of edge ``cutoff``; only the 27 neighbouring cubes are
-    joined, so work follows the number of near pairs and not the square of the length.
+    Atoms are hashed to cubes of edge ``cutoff``; only neighbouring cubes are joined, so work
+    follows the number of near pairs and not the square of the length. Of two neighbours one
+    looks at the other: an atom goes to its own cube and to 13 of the 26 around it, and a pair
+    found there counts in both directions. The copies are rows that Spark's estimates do not
+    see, so the join is always shuffled; broadcast, they would all pass through the driver.
     """
     cell = lambda c: F.floor(F.col(c) / cutoff).cast("int")
     base = atoms.filter(F.col("x").isNotNull()).select(by, index, "chain", *XYZ, *[cell(c).alias(f"c{c}") for c in XYZ])
-    steps = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-    near = base
-    for c in XYZ:
-        near = near.withColumn("__s", F.explode(steps)).withColumn(f"c{c}", F.col(f"c{c}") + F.col("__s")).drop("__s")
+    ahead = [s for s in product((-1, 0, 1), repeat=3) if s >= (0, 0, 0)]
+    steps = F.array(*[F.struct(*[F.lit(k).alias(f"s{c}") for c, k in zip(XYZ, s, strict=True)]) for s in ahead])
+    near = base.withColumn("__s", F.explode(steps)).withColumn("__own", F.expr("__s.sx = 0 and __s.sy = 0 and __s.sz = 0"))
+    near = near.withColumns({f"c{c}": F.col(f"c{c}") + F.col(f"__s.s{c}") for c in XYZ})
     keys = [by, "cx", "cy", "cz"]
-    left, right = _side(near, "a", keys, [index, "chain"]), _side(base, "b", keys, [index, "chain"])
-    pairs = left.join(right, keys).filter(F.col("achain") != F.col("bchain")).withColumn("distance", distance())
-    return pairs.filter(F.col("distance") <= cutoff).select(
-        by, F.col(f"a{index}").alias("i"), F.col(f"b{index}").alias("j"), F.col("achain").alias("chain_i"),
-        F.col("bchain").alias("chain_j"), "distance",
+    left, right = _side(near, "a", [*keys, "__own"], [index, "chain"]), _side(base, "b", keys, [index, "chain"])
+    pairs = left.hint("merge").join(right, keys).filter(F.col("achain") != F.col("bchain")).withColumn("distance", distance())
+    one = lambda a, b: F.struct(
+        F.col(f"{a}{index}").alias("i"), F.col(f"{b}{index}").alias("j"), F.col(f"{a}chain").alias("chain_i"), F.col(f"{b}chain").alias("chain_j")
     )
+    found = F.when(F.col("__own"), F.array(one("a", "b"))).otherwise(F.array(one("a", "b"), one("b", "a")))
+    return pairs.filter(F.col("distance") <= cutoff).select(by, F.inline(found), "distance")
 
 
 def hotspot_distances(atoms: DataFrame, hotspots: DataFrame, binder: Column, by: str = "structure_id") -> DataFrame:

@@ -125,7 +125,7 @@ def _below(cutoff: float) -> Column:
 def _near(blocks: DataFrame, contacts: DataFrame) -> DataFrame:
     """Adds ``near``: offsets in ``paes`` of the residues in contact."""
     near = contacts.groupBy(*PAIR, "i").agg(F.array_sort(F.collect_list("j")).alias("js"))
-    out = blocks.join(near, [*PAIR, "i"], "left")
+    out = blocks.join(near.hint("merge"), [*PAIR, "i"], "left")  # a row per residue: never through the driver
     at = F.transform("js", lambda j: (j - F.col("first_j")).cast("int"))
     return out.withColumn("near", F.coalesce(at, F.array().cast("array<int>"))).drop("js")
 
@@ -231,7 +231,7 @@ def docking_scores(own: DataFrame, residues: DataFrame) -> DataFrame:
     reversed pair: one row per touched residue is enough for every figure.
     """
     conf = residues.select("structure_id", F.col("chain").alias("chain_i"), F.col("residue").alias("i"), "plddt")
-    own = own.join(conf, ["structure_id", "chain_i", "i"]).groupBy(*PAIR).agg(
+    own = own.join(conf.hint("merge"), ["structure_id", "chain_i", "i"]).groupBy(*PAIR).agg(
         F.sum("n_near").alias("n_pairs"), F.try_divide(F.sum("kernel"), F.sum("n_kernel")).alias("mean_ptm"),
         F.sum("plddt").alias("p"), F.count("plddt").alias("np"),
     )

@@ -85,3 +85,21 @@ def test_ranking_never_uses_one_partition(spark, name):
     text = plan(spark, name)
     head = text.split("Subquery")[0]
     assert "Exchange SinglePartition" not in head
+
+
+@pytest.mark.parametrize("name", ["d29_pdockq", "d30_pdockq2", "d32_interface_counts", "d33_pair_summary"])
+def test_copies_of_atoms_are_never_broadcast(spark, name):
+    """Exploded copies look small to the planner; with Spark's own threshold they went through the driver."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    held = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "10MB")
+        df = load()[0][name](spark, FOLDER)
+        df.collect()
+        all_nodes = list(nodes(df._jdf.queryExecution().executedPlan()))
+        copies = [n.simpleString(200) for n in all_nodes if "Join" in n.nodeName() and "cx#" in n.simpleString(200)]
+        assert copies and all(n.startswith("SortMergeJoin") for n in copies)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)

@@ -103,3 +103,10 @@ def test_copies_of_atoms_are_never_broadcast(spark, name):
     finally:
         for k, v in held.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["h10_template_panel", "h10_best_source"])
+def test_panel_is_matched_once(spark, name):
+    """Matches are found once, by tasks dealt from few files, and patterns run behind the order of their literals."""
+    text = plan(spark, name)
+    assert text.count("supplier.parquet") == 1 and text.count("locate") >= 1 and "RoundRobinPartitioning" in text

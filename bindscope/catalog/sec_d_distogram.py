@@ -113,7 +113,8 @@ DRIFT = f"""rf AS (SELECT a.structure_id AS candidate_id, a.residue AS i, b.resi
 
 def drift(c):
     ref = G.distogram(c.v_atoms, chains=("A", "A")).select(F.col("structure_id").alias("candidate_id"), "i", "j", "distance", "mask")
-    return D.geometry_drift(c.v_logits, ref, MIDS, 1.0, 2.0)
+    own = c.v_logits.filter((F.col("i") < T) & (F.col("j") < T))  # the pairs that have a reference
+    return D.geometry_drift(own, ref, MIDS, 1.0, 2.0)
 
 
 @query("d47_geometry_drift", f"WITH {SM}, {DRIFT} SELECT candidate_id, round(drift_rmse, 6) AS drift_rmse, round(greatest(0, (drift_rmse - 1) / 2), 6) AS drift_loss FROM dr")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,11 @@ def weights(df: DataFrame, logits: str = "logits") -> DataFrame:
     return raised.withColumn("z", _sum(F.col("w")))
 
 
+def _only(df: DataFrame, used: Column) -> DataFrame:
+    """Logits are null, and cost nothing, where no figure uses the pair; the row itself remains."""
+    return df.withColumn("logits", F.when(used, F.col("logits")))
+
+
 def contact_probability(logits: DataFrame, mids: Sequence[float], cutoff: float, inclusive: bool = False) -> DataFrame:
     """Softmax mass of the bins below the cutoff (``inclusive``: at the cutoff too)."""
     n = _prefix(mids, cutoff, inclusive)
@@ -118,12 +124,16 @@ def distogram_proxy(
     )
 
 
+def _cross_entropy(n: int) -> Column:
+    """Of the first ``n`` bins: the sum of ``-w (v - top - log z)`` over the sum of ``w``, with the
+    terms that all bins share taken out."""
+    w = F.slice("w", 1, n)
+    return F.col("__top") + F.log("z") - _sum(F.zip_with(w, F.slice("logits", 1, n), lambda w, v: w * v)) / _sum(w)
+
+
 def binned_cross_entropy(logits: DataFrame, mids: Sequence[float], cutoff: float) -> DataFrame:
     """Cross-entropy of the in-cutoff distribution against the full one."""
-    n = _prefix(mids, cutoff)
-    base = weights(logits).withColumn("__s", _sum(F.slice("w", 1, n)))
-    spread = _sum(F.transform(F.slice("logits", 1, n), lambda v: F.exp(v - F.col("__top")) * (v - F.col("__top") - F.log("z"))))
-    return base.select("candidate_id", "i", "j", (-spread / F.col("__s")).alias("loss"))
+    return weights(logits).select("candidate_id", "i", "j", _cross_entropy(_prefix(mids, cutoff)).alias("loss"))
 
 
 def contact_loss(
@@ -135,10 +145,8 @@ def contact_loss(
     divisions is part of the definition.
     """
     used = cols if min_sep <= 0 else cols & (F.abs(F.col("i") - F.col("j")) >= min_sep)
-    pair = binned_cross_entropy(logits.filter(rows), mids, cutoff)
-    low = pair.groupBy("candidate_id", "i").agg(
-        F.slice(F.array_sort(F.collect_list(F.when(used, F.col("loss")))), 1, k).alias("low")
-    )
+    pair = binned_cross_entropy(_only(logits.filter(rows), used), mids, cutoff)
+    low = pair.groupBy("candidate_id", "i").agg(F.slice(F.array_sort(F.collect_list("loss")), 1, k).alias("low"))
     per = low.select("candidate_id", (_sum(F.col("low")) / (F.size("low") + 1e-8)).alias("v"))
     return per.groupBy("candidate_id").agg((F.sum("v") / (F.count(F.lit(1)) + 1e-8)).alias(name))
 
@@ -184,14 +192,17 @@ def structure_losses(
     """All losses of a structure that need its logits alone, from one softmax per pair: the named
     contact losses, ``glob_loss`` of the (binder pairs, length) and ``hotspot_hinge``. One
     aggregation per row of a structure, one per structure. A loss without rows is null."""
-    base = weights(logits)
-    spread = lambda n: -_sum(F.transform(
-        F.slice("logits", 1, n), lambda v: F.exp(v - F.col("__top")) * (v - F.col("__top") - F.log("z"))
-    )) / _sum(F.slice("w", 1, n))
+    def masked(t: ContactTerm) -> Column:
+        both = t.rows & t.cols
+        return both if t.min_sep <= 0 else both & (F.abs(F.col("i") - F.col("j")) >= t.min_sep)
+
+    parts = [masked(t) for t in contacts]
+    parts += [] if hinge is None else [hinge.rows & hinge.cols]
+    parts += [] if glob is None else [glob[0] & (F.col("i") > F.col("j"))]
+    base = weights(_only(logits, reduce(lambda a, b: a | b, parts, F.lit(False))))
     rows, per = [], []
     for t in contacts:
-        used = t.rows & t.cols if t.min_sep <= 0 else t.rows & t.cols & (F.abs(F.col("i") - F.col("j")) >= t.min_sep)
-        low = F.slice(F.array_sort(F.collect_list(F.when(used, spread(_prefix(mids, t.cutoff))))), 1, t.k)
+        low = F.slice(F.array_sort(F.collect_list(F.when(masked(t), _cross_entropy(_prefix(mids, t.cutoff))))), 1, t.k)
         rows += [low.alias(f"low_{t.name}"), F.bool_or(t.rows).alias(f"is_{t.name}")]
         value = F.when(F.col(f"is_{t.name}"), _sum(F.col(f"low_{t.name}")) / (F.size(f"low_{t.name}") + 1e-8))
         per.append((F.sum(value) / (F.count(value) + 1e-8)).alias(t.name))
@@ -231,9 +242,10 @@ def geometry_drift(
     if tolerance <= 0 or stiffness <= 0:
         raise ValueError("tolerance and stiffness must be positive")
     ref = reference.filter("mask").select("candidate_id", "i", "j", F.least("distance", F.lit(float(mids[-1]))).alias("ref"))
-    pairs = weights(logits.join(ref, ["candidate_id", "i", "j"]))
+    # The expected distance is one number, the logits are many: it is taken before the join.
     e = _sum(F.zip_with("w", _lits(mids), lambda w, d: w * d)) / F.col("z")
-    delta = pairs.select("candidate_id", F.pow(e - F.col("ref"), 2).alias("sq"))
+    pairs = weights(logits).select("candidate_id", "i", "j", e.alias("e")).join(ref, ["candidate_id", "i", "j"])
+    delta = pairs.select("candidate_id", F.pow(F.col("e") - F.col("ref"), 2).alias("sq"))
     rmse = delta.groupBy("candidate_id").agg(F.sqrt(F.avg("sq") + 1e-8).alias("drift_rmse"))
     return rmse.withColumn("drift_loss", F.greatest(F.lit(0.0), (F.col("drift_rmse") - tolerance) / stiffness))
 

@@ -181,6 +181,15 @@ def test_default_midpoints():
     assert len(mids) == 128 and mids[0] == 1.5 and mids[-1] == 54.5
 
 
+def test_unused_pairs_have_no_logits_raised(spark):
+    """A pair that no figure uses takes no softmax: the plan raises logits behind the condition only."""
+    df = spark.range(1).selectExpr("id AS candidate_id", "0L AS i", "id AS j", "array(1D, 2D) AS logits")
+    term = D.ContactTerm("v", F.col("i") == 0, F.col("j") == 7, 1, 5.0)
+    for out in (D.contact_loss(df, [1.0, 9.0], term.rows, term.cols, 1, 5.0, "v"), D.structure_losses(df, [1.0, 9.0], [term])):
+        text = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "END AS logits" in text and out.first().v == 0.0
+
+
 def test_contact_loss_counts_rows_without_columns(spark):
     logits = spark.createDataFrame([(1, i, j, [float(i), float(j), 1.0]) for i in range(2) for j in range(2)], "candidate_id bigint, i bigint, j bigint, logits array<double>")
     out = D.contact_loss(logits, [1.0, 2.0, 9.0], F.lit(True), F.col("j") > F.col("i"), 1, 5.0, "v").first()

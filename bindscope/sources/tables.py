@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bindscope.functions import scalars as S
 from bindscope.functions.scalars import nonblank, normalize_sequence
 from bindscope.operators.ledger import alias_conflicts
 
@@ -87,18 +88,22 @@ def read_inventory(spark: SparkSession, root: str) -> DataFrame:
 def pair_outputs(inventory: DataFrame) -> DataFrame:
     """Summary files with their structure and full-data siblings by folder, seed and
     sample; a summary without a structure is dropped."""
-    folder = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+    folder = F.left("path", F.length("path") - F.length("name") - 1)
     seed = F.regexp_extract("path", r"/seed_(\d+)/", 1).try_cast("bigint")
-    name = F.regexp_extract("path", r"([^/]*)$", 1)
-    base = inventory.select("path", folder.alias("folder"), seed.alias("seed"), name.alias("name"))
-
-    def kind(pattern: str, out: str) -> DataFrame:
-        stem, sample = F.regexp_extract("name", pattern, 1), F.regexp_extract("name", pattern, 2)
-        hit = base.filter(F.col("name").rlike(pattern))
-        return hit.select("folder", "seed", stem.alias("stem"), sample.try_cast("bigint").alias("sample_rank"), F.col("path").alias(out))
-
-    keys = ["folder", "stem", "sample_rank"]
-    summary = kind(r"^(.*)_summary_confidence_sample_(\d+)\.json$", "summary")
-    full = kind(r"^(.*)_full_data_sample_(\d+)\.json$", "full").drop("seed")
-    cif = kind(r"^(.*)_sample_(\d+)\.cif$", "cif").drop("seed")
-    return summary.join(cif, keys).join(full, keys, "left").select("seed", "sample_rank", "stem", "summary", "full", "cif")
+    patterns = {
+        "summary": r"^(.*)_summary_confidence_sample_(\d+)\.json$", "full": r"^(.*)_full_data_sample_(\d+)\.json$", "cif": r"^(.*)_sample_(\d+)\.cif$",
+    }
+    # A name is of one kind at most, so one exchange of the files brings all siblings together;
+    # each text is cut once.
+    named = S.once(inventory.select("path"), "name", F.substring_index("path", "/", -1))
+    kind = F.coalesce(*[F.when(F.col("name").rlike(p), F.lit(n)) for n, p in patterns.items()])
+    found = S.once(named, "kind", kind).filter("kind is not null")
+    of = lambda k: F.coalesce(*[F.when(F.col("kind") == n, F.regexp_extract("name", p, k)) for n, p in patterns.items()])
+    cut = S.once(found, "c", F.struct(folder.alias("folder"), seed.alias("seed"), of(1).alias("stem"), of(2).try_cast("bigint").alias("sample_rank")))
+    files = cut.select("path", "kind", "c.*")
+    held = files.filter("kind is not null and sample_rank is not null").groupBy("folder", "stem", "sample_rank").agg(
+        F.collect_list(F.when(F.col("kind") == "summary", F.struct("seed", F.col("path").alias("summary")))).alias("s"),
+        *[F.collect_list(F.when(F.col("kind") == n, F.col("path"))).alias(n) for n in ("full", "cif")],
+    )
+    whole = held.select("stem", "sample_rank", "full", "cif", F.inline("s")).withColumn("cif", F.explode("cif"))
+    return whole.withColumn("full", F.explode_outer("full")).select("seed", "sample_rank", "stem", "summary", "full", "cif")

@@ -110,3 +110,15 @@ def test_panel_is_matched_once(spark, name):
     """Matches are found once, by tasks dealt from few files, and patterns run behind the order of their literals."""
     text = plan(spark, name)
     assert text.count("supplier.parquet") == 1 and text.count("locate") >= 1 and "RoundRobinPartitioning" in text
+
+
+def test_siblings_meet_in_one_exchange(spark):
+    from bindscope.sources import tables
+
+    names = ["x_summary_confidence_sample_1.json", "x_full_data_sample_01.json", "x_sample_1.cif", "y_summary_confidence_sample_1.json", "z_sample_2.cif"]
+    paths = [(f"out/seed_7/p/{n}",) for n in names] + [("w_summary_confidence_sample_3.json",), ("w_sample_3.cif",), (None,)]
+    out = tables.pair_outputs(spark.createDataFrame(paths, "path string"))
+    got = sorted((r.seed or 0, r.sample_rank, r.stem, r.full, r.cif) for r in out.collect())
+    assert got == [(0, 3, "w", None, "w_sample_3.cif"), (7, 1, "x", "out/seed_7/p/x_full_data_sample_01.json", "out/seed_7/p/x_sample_1.cif")]
+    text = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert text.count("Exchange hashpartitioning") == 1

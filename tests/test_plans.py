@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from bindscope.catalog import load
@@ -122,3 +124,7 @@ def test_siblings_meet_in_one_exchange(spark):
     assert got == [(0, 3, "w", None, "w_sample_3.cif"), (7, 1, "x", "out/seed_7/p/x_full_data_sample_01.json", "out/seed_7/p/x_sample_1.cif")]
     text = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_campaign_state_works_out_issues_once(spark):
+    assert len(re.findall(r"Join \[path#\d+\], \[path#\d+\]", plan(spark, "d7_campaign_state"))) == 1

@@ -128,3 +128,7 @@ def test_siblings_meet_in_one_exchange(spark):
 
 def test_campaign_state_works_out_issues_once(spark):
     assert len(re.findall(r"Join \[path#\d+\], \[path#\d+\]", plan(spark, "d7_campaign_state"))) == 1
+
+
+def test_source_critic_packs_only_what_a_report_uses(spark):
+    assert "metrics_json" not in plan(spark, "c3_task_report")

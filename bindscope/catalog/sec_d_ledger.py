@@ -96,8 +96,9 @@ _ERROR = "CASE WHEN rmsd IS NULL THEN CASE WHEN length(candidate_id) % 2 = 0 THE
     FROM e LEFT JOIN m ON m.framework IS NOT DISTINCT FROM e.framework LEFT JOIN r ON r.framework IS NOT DISTINCT FROM e.framework WHERE e.framework IS NOT NULL GROUP BY 1""")
 def d10r(c):
     rows = scored_rows(c).withColumn("pose_error", F.expr(_ERROR)).filter("framework is not null")
-    copied = rows.join(c.v_inventory.select(F.col("path").alias("validated_structure_path")).distinct(), "validated_structure_path", "left_semi")
-    out = X.analysis_report(rows, copied, 84, ["framework"])
+    # A flag of the rows: they are worked out once.
+    copied = c.v_inventory.filter(F.col("path") == F.col("validated_structure_path").outer()).exists()
+    out = X.analysis_report(rows.withColumn("copied", copied), F.col("copied"), 84, ["framework"])
     text = lambda m: F.array_join(F.transform(F.map_entries(m), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ";")
     return out.select(
         "framework", "ranked_designs", "diagnostic_rows", "validator_pass_count", "ranking_ineligible_count", "copied_designs", "rows_with_binder_ca_rmsd", "top_k",

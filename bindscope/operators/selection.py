@@ -176,31 +176,42 @@ def selected_manifest(ranked: DataFrame, n: int | None) -> DataFrame:
     )
 
 
-def analysis_report(scored: DataFrame, copied: DataFrame, top_k: int, by: Sequence[str] = (), error: str = "pose_error") -> DataFrame:
+def analysis_report(scored: DataFrame, copied: DataFrame | Column, top_k: int, by: Sequence[str] = (), error: str = "pose_error") -> DataFrame:
     """Counts of an analysis, in one row (or one per ``by``): as ``analysis_summary``, with the
-    designs whose files were ``copied`` (validation_id), rows per validator model and per pose
-    error, and how many rows have a pose. One pass over the rows, tagged by model and error."""
-    held = copied.select("validation_id").distinct().withColumn("__copied", F.lit(True))
-    rows = scored.join(held, "validation_id", "left")
+    designs whose files were ``copied`` (their validation_id, or a flag of the rows), rows per
+    validator model and per pose error, and how many rows have a pose. One pass over the rows,
+    tagged by model and error."""
+    if isinstance(copied, DataFrame):
+        held = copied.select("validation_id").distinct().withColumn("__copied", F.lit(True))
+        rows = scored.join(held, "validation_id", "left")
+    else:
+        rows = scored.withColumn("__copied", copied)
     passed = F.coalesce(S.opt_bool("validator_passed"), F.lit(False))
     n = lambda cond: F.count_if(F.coalesce(cond, F.lit(False)))
     parts = rows.groupBy(*by, F.coalesce(F.nullif("model_name", F.lit("")), F.lit("unknown")).alias("__m"), F.nullif(F.col(error), F.lit("")).alias("__e")).agg(
         F.count(F.lit(1)).alias("rows"), n(F.col("ranking_eligible")).alias("eligible"), n(passed).alias("passed"),
         n(F.col("__copied") & F.col("ranking_eligible")).alias("copied"), F.count("rmsd").alias("posed"),
     )
-    folded = lambda key: F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, "n"))))
-    total = lambda c, name: F.sum(c).alias(name)
-    models = parts.groupBy(*by, "__m").agg(F.sum("rows").alias("n")).groupBy(*by).agg(folded("__m").alias("validator_models"))
-    errors = parts.filter("__e is not null").groupBy(*by, "__e").agg(F.sum("rows").alias("n")).groupBy(*by).agg(folded("__e").alias("pose_errors"))
-    counts = parts.groupBy(*by).agg(
-        total("eligible", "ranked_designs"), total("rows", "diagnostic_rows"), total("passed", "validator_pass_count"),
-        F.sum(F.col("rows") - F.col("passed")).alias("validator_reject_or_failed_count"), F.sum(F.col("rows") - F.col("eligible")).alias("ranking_ineligible_count"),
-        total("copied", "copied_designs"), total("posed", "rows_with_binder_ca_rmsd"), F.sum(F.col("rows") - F.col("posed")).alias("rows_missing_binder_ca_rmsd"),
-    ).withColumn("top_k", F.lit(top_k).cast("bigint"))
-    if by:
-        return counts.join(models, list(by), "left").join(errors, list(by), "left")
-    one = lambda df: df.withColumn("__one", F.lit(1))
-    return one(counts).join(one(models), "__one", "left").join(one(errors), "__one", "left").drop("__one")
+    # The few rows of ``parts`` are read once: per model, per error and over both.
+    kinds = [F.col(c) for c in by]
+    sums = [F.sum(c).alias(c) for c in ("rows", "eligible", "passed", "copied", "posed")]
+    sets = parts.groupingSets([[*kinds, F.col("__m")], [*kinds, F.col("__e")], kinds], *kinds, F.col("__m"), F.col("__e")).agg(
+        (F.grouping("__m") == 0).alias("__by_model"), (F.grouping("__e") == 0).alias("__by_error"), *sums
+    )
+    listed = lambda cond, key: F.array_sort(F.collect_list(F.when(cond, F.struct(key, F.col("rows").alias("n")))))
+    whole = ~F.col("__by_model") & ~F.col("__by_error")
+    of = lambda c: F.max(F.when(whole, c))
+    out = sets.groupBy(*by).agg(
+        of(F.col("eligible")).alias("ranked_designs"), of(F.col("rows")).alias("diagnostic_rows"), of(F.col("passed")).alias("validator_pass_count"),
+        of(F.col("rows") - F.col("passed")).alias("validator_reject_or_failed_count"), of(F.col("rows") - F.col("eligible")).alias("ranking_ineligible_count"),
+        of(F.col("copied")).alias("copied_designs"), of(F.col("posed")).alias("rows_with_binder_ca_rmsd"),
+        of(F.col("rows") - F.col("posed")).alias("rows_missing_binder_ca_rmsd"),
+        listed(F.col("__by_model"), "__m").alias("__models"), listed(F.col("__by_error") & F.col("__e").isNotNull(), "__e").alias("__errors"),
+    )
+    mapped = lambda c: F.when((F.size(c) > 0) | F.lit(not by), F.map_from_entries(c))
+    return out.withColumn("top_k", F.lit(top_k).cast("bigint")).withColumn("validator_models", mapped("__models")).withColumn(
+        "pose_errors", mapped("__errors")
+    ).drop("__models", "__errors")
 
 
 def analysis_summary(scored: DataFrame, copied: int) -> DataFrame:

@@ -197,3 +197,19 @@ def test_correlation_is_null_without_spread(spark):
     df = spark.createDataFrame([("a", 0.5, 0.1), ("b", 0.5, 0.2)], "id string, x double, y double")
     row = X.score_correlation(df, "x", "y", "id").first()
     assert (row.n, row.pearson, row.spearman) == (2, None, None)
+
+
+def test_analysis_report_takes_copied_designs_as_flag(spark):
+    said = [("a", "f", "m", "bad", True, 1.0, True), ("b", "f", "", None, True, None, False), ("c", "f", "m", "", False, 2.0, True), ("d", None, "n", "bad", True, None, None)]
+    rows = spark.createDataFrame(
+        [(*r[:5], r[5], "true" if r[0] == "a" else "no", r[6]) for r in said],
+        "validation_id string, framework string, model_name string, pose_error string, ranking_eligible boolean, rmsd double, validator_passed string, flag boolean",
+    )
+    listed = X.analysis_report(rows, rows.filter("flag").select("validation_id"), 84, ["framework"])
+    got = {r.framework: r for r in X.analysis_report(rows, F.col("flag"), 84, ["framework"]).collect()}
+    assert got == {r.framework: r for r in listed.collect()}
+    f, none = got["f"], got[None]
+    assert (f.ranked_designs, f.diagnostic_rows, f.validator_pass_count, f.copied_designs, f.rows_with_binder_ca_rmsd, f.top_k) == (2, 3, 1, 1, 2, 84)
+    assert (f.validator_models, f.pose_errors, none.validator_models, none.pose_errors) == ({"m": 2, "unknown": 1}, {"bad": 1}, {"n": 1}, {"bad": 1})
+    (every,) = X.analysis_report(rows, F.col("flag"), 84).collect()
+    assert (every.diagnostic_rows, every.copied_designs, every.validator_models, every.pose_errors) == (4, 1, {"m": 2, "n": 1, "unknown": 1}, {"bad": 2})

@@ -331,7 +331,9 @@ def a18(c):
     SELECT final_rank, candidate_id, 'critic/rank' || lpad(final_rank::varchar, 4, '0') || '_' || candidate_id || '_critic.pdb' AS critic_copy,
     model_name || '/rank' || lpad(final_rank::varchar, 4, '0') || '_' || candidate_id || '_' || model_name || '.cif' AS validator_copy FROM e WHERE rn <= 84""")
 def a19(c):
-    ranked = X.final_rank(scored_rows(c))
+    # Only eligible rows are numbered, with the columns that the manifest needs.
+    eligible = scored_rows(c).filter("ranking_eligible")
+    ranked = X.final_rank(eligible, ["candidate_id", "model_name", "ranking_eligible", "source_structure_path", "validated_structure_path"])
     return X.paired_topk_manifest(ranked, c.v_inventory, 84).select("final_rank", "candidate_id", "critic_copy", "validator_copy")
 
 

@@ -153,10 +153,12 @@ def top_summaries(df: DataFrame, keys: list[Column], fields: list[str], n: int =
 
 def paired_topk_manifest(ranked: DataFrame, inventory: DataFrame, k: int) -> DataFrame:
     """The first ``k`` eligible designs whose two structure files both exist."""
-    paths = inventory.select("path").distinct()
-    eligible = ranked.filter(F.col("ranking_eligible"))
-    held = eligible.join(paths, eligible["source_structure_path"] == paths["path"], "left_semi")
-    both = held.join(paths, held["validated_structure_path"] == paths["path"], "left_semi")
+    names = ["final_rank", "candidate_id", "model_name", "source_structure_path", "validated_structure_path"]
+    eligible = ranked.filter(F.col("ranking_eligible")).select(*names)
+    # Both files of a design are looked for by one join, so the inventory is sorted once.
+    asked = eligible.withColumn("path", F.explode(F.array("source_structure_path", "validated_structure_path")))
+    found = asked.join(inventory.select("path"), "path", "left_semi")
+    both = found.groupBy(*names).agg(F.count(F.lit(1)).alias("files")).filter("files = 2")
     head = both.orderBy("final_rank").limit(k)
     stem = F.concat(F.lit("rank"), S.zero_pad("final_rank", 4), F.lit("_"), S.safe_token("candidate_id"))
     model = S.slug("model_name", "validator")

@@ -132,3 +132,8 @@ def test_campaign_state_works_out_issues_once(spark):
 
 def test_source_critic_packs_only_what_a_report_uses(spark):
     assert "metrics_json" not in plan(spark, "c3_task_report")
+
+
+def test_files_of_a_design_are_looked_for_by_one_join(spark):
+    text = load()[0]["a19_paired_topk_manifest"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join LeftSemi") == 1

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import threading
+
 from bindscope.operators import gating, ledger, selection
+from bindscope.sources import ledger as LED
 from bindscope.sources.ledger import COLUMNS, conform, schema
 
 
@@ -31,3 +34,17 @@ def test_declared_schema(spark):
     assert ledger.pose_summary(ledger.task_rows(*tables)).first().rows_missing_binder_ca_rmsd == 1
     issues = spark.createDataFrame([], "kind string")
     assert ledger.validation_summary(t["validation_tasks"], t["validation_structures"], issues).first().completed_task_pass_count == 1
+
+
+def test_tables_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    meet, plain = threading.Barrier(2), LED.conform
+
+    def conform(df, name):
+        meet.wait(20)
+        return plain(df, name)
+
+    monkeypatch.setattr(LED, "conform", conform)
+    held = {"candidates": spark.createDataFrame([("x",)], "candidate_id string"), "shards": spark.createDataFrame([("a",), ("b",)], "shard_id string")}
+    LED.write_ledger(held, str(tmp_path))
+    assert {t: df.count() for t, df in LED.read_ledger(spark, str(tmp_path), list(held)).items()} == {"candidates": 1, "shards": 2}
+    LED.write_ledger({}, str(tmp_path))

@@ -9,16 +9,21 @@ holds all overlaps. It is never formed whole:
    linked pair agrees in a whole non-empty block. Pairs that agree in none are discarded
    unmultiplied. Sizes are grouped in levels, and a row is cut for each level in which a
    partner may lie. Where a row leaves too many blocks empty to prove the agreement, it is
-   cut again, finer (``Cuts``). Block hashes travel packed, one shuffle for all of them.
+   cut again, finer (``Cuts``). Block hashes travel packed, one shuffle for all of them. Up to
+   ``FEW`` rows of equal block are listed as pairs.
 2. *Rarest columns.* Short blocks may lie in a passage that many documents share. So the rows
-   left are ordered by column weight (a sketch of ``SKETCH`` counters, whatever the input), and
-   only their first |A| - need + 1 columns count: a linked pair has one of them in common.
-   The order may be any; a coarse sketch costs time, not links. Columns of one row are left out.
-3. *Row blocks.* Documents that share such a column form a group; a group's rows are cut into
+   of larger blocks are ordered by column weight (a sketch of ``SKETCH`` counters, whatever the
+   input), and only their first |A| - need + 1 columns count: a linked pair has one of them in
+   common. The order may be any; a coarse sketch costs time, not links. Columns of one row are
+   left out; up to ``FEW`` rows of one column are pairs again, more are linked unseen.
+3. *Parities.* A listed pair stays if the parities of its columns, counted in as many cells as
+   the row has n-grams, differ in no more cells than the bound lets n-grams differ. So what is
+   joined by chance falls out before any text moves, and can't chain groups together.
+4. *Row blocks.* The pairs left form groups; a group's rows are cut into
    blocks of bounded size, and one task multiplies two row blocks. It adds up overlaps over
    column tiles and drops a pair as soon as its overlap and what is left of its rows can't
    reach the bound. It returns a spanning forest of the links, not the pairs.
-4. Groups of several row blocks first meet pivots (a few rows of the group) only; then the
+5. Groups of several row blocks first meet pivots (a few rows of the group) only; then the
    rows that did not join the largest component meet all rows.
 
 Rows with equal sets collapse before the product. Every linked pair is found or joined by
@@ -48,10 +53,15 @@ BLOCK_GRAMS = 1 << 20
 TILE = 2048
 FLUSH = 1 << 20
 SKETCH = 1 << 22
+#: Most rows of equal block or column that are listed pair by pair.
+FEW = 16
+#: Bits of the sieve that keeps documents without candidates in place; those of one bitmap.
+SIEVE, BITMAP = 1 << 25, 1 << 15
 #: Kinds of exchanged and returned rows.
-SIZE, SAME, CANDIDATE = 0, 1, 2
+SIZE, SAME, CANDIDATE, MANY = 0, 1, 2, 3
 KEY = "__key"
 BLOBS = "bucket int, kind int, keys binary, ids binary"
+MET = "kind int, a long, b long, cells binary"
 
 
 def gram_sets(column: pa.Array, n: int) -> tuple[list[np.ndarray], Words]:
@@ -66,6 +76,39 @@ def gram_sets(column: pa.Array, n: int) -> tuple[list[np.ndarray], Words]:
     return [np.unique(hashes[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], words
 
 
+def cells(size: int) -> int:
+    """Parity cells of a row: a power of two, 64 or more, at least one for each n-gram."""
+    return 1 << max(6, (size - 1).bit_length())
+
+
+def parities(grams: np.ndarray) -> bytes:
+    """Whether each cell holds an odd number of the row's n-grams, packed."""
+    n = cells(len(grams))
+    odd = np.bincount((grams & U(n - 1)).astype(np.int64), minlength=n) & 1
+    return packed(np.packbits(odd.astype(np.uint8), bitorder="little"))
+
+
+def may_link(threshold: int):
+    """Candidate pairs (a, b, sizes m and n, parities p and q) that can still link."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m, n = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in "mn")
+            need = -(-threshold * (m + n) // (100 + threshold))
+            kept = np.minimum(m, n) >= need
+            differ = m + n - 2 * need
+            p, q = (batch.column(batch.schema.get_field_index(c)) for c in "pq")
+            for i in np.flatnonzero(kept):
+                x, y = (np.frombuffer(c[i].as_buffer(), np.uint8) for c in (p, q))
+                # An n-gram of both rows changes no cell, one of a single row changes one.
+                width = min(len(x), len(y))
+                x, y = (np.bitwise_xor.reduce(c.reshape(-1, width), axis=0) for c in (x, y))
+                kept[i] = int(np.bitwise_count(x ^ y).sum()) <= differ[i]
+            yield batch.select(["a", "b"]).filter(pa.array(kept))
+
+    return rows
+
+
 class Cuts:
     """Column blocks of a row, by its size."""
 
@@ -131,7 +174,7 @@ def scan(n: int, threshold: int, count: int):
             for part in slices(batch, "text"):
                 ids = part.column(0).to_numpy().astype(np.int64)
                 sets, _ = gram_sets(part.column(1), n)
-                held[SIZE].append((ids.view(np.uint64), np.array([len(g) for g in sets], np.int64)))
+                held[SIZE].append((ids, np.array([len(g) for g in sets], np.int64), b"".join(map(parities, sets))))
                 for i, grams in zip(ids, sets):
                     if not len(grams):
                         continue
@@ -154,10 +197,10 @@ def scan(n: int, threshold: int, count: int):
 def blobs(held: dict[int, list], count: int) -> Iterator[pa.RecordBatch]:
     out: list[tuple[int, int, bytes, bytes]] = []
     if held[SIZE]:
-        ids = np.concatenate([a for a, _ in held[SIZE]])
-        sizes = np.concatenate([b for _, b in held[SIZE]])
+        ids = np.concatenate([a for a, _, _ in held[SIZE]])
+        sizes = np.concatenate([b for _, b, _ in held[SIZE]])
         if len(ids):
-            out.append((int(mix1(int(ids[0])) % count), SIZE, packed(ids), packed(sizes)))
+            out.append((int(mix1(int(ids[0])) % count), SIZE, packed(ids), packed(sizes) + b"".join(c for _, _, c in held[SIZE])))
     if held[SAME]:
         keys = np.stack([k for k, _ in held[SAME]])
         ids = np.array([i for _, i in held[SAME]], np.int64)
@@ -199,28 +242,54 @@ def stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pair[0], pair[1]
 
 
+def some_pairs(keys: np.ndarray, ids: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """All pairs of the ids of a key that has up to ``FEW``, and the stars of larger ones."""
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
+    few = np.repeat(np.diff(at) <= FEW, np.diff(at))
+    many = stars(keys[~few], ids[~few]) if not few.all() else (ids[:0], ids[:0])
+    keys, ids = keys[few], ids[few]
+    found = [np.zeros((2, 0), np.int64)]
+    for step in range(1, FEW):
+        hit = np.flatnonzero((keys[step:] == keys[:-step]) & (ids[step:] != ids[:-step]))
+        if not len(hit):
+            break
+        found.append(np.stack([ids[hit + step], ids[hit]]))
+    pair = np.unique(np.concatenate(found, axis=1), axis=1)
+    return (pair[0], pair[1]), many
+
+
+def met_rows(kind: int, a: np.ndarray, b: np.ndarray, held: list[bytes] | None = None) -> pa.RecordBatch:
+    columns = [pa.array(np.full(len(a), kind, np.int32)), pa.array(a, pa.int64()), pa.array(b, pa.int64())]
+    columns.append(pa.array(held, pa.binary()) if held is not None else pa.nulls(len(a), pa.binary()))
+    return pa.record_batch(columns, names=["kind", "a", "b", "cells"])
+
+
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per bucket: sizes as they are, and stars of rows with equal sets or equal blocks."""
+    """Per bucket: sizes and parities as they are, stars of rows with equal sets, pairs or
+    stars of rows with equal blocks."""
     for _, rows in shared.grouped_rows(batches, "bucket"):
         kinds = rows.column("kind").to_numpy()
         for kind in np.unique(kinds):
             part = rows.filter(pa.array(kinds == kind))
-            if kind == CANDIDATE:
+            if kind == SIZE:
+                for own, rest in zip(part.column("keys").to_pylist(), part.column("ids").to_pylist()):
+                    ids = np.frombuffer(own, np.int64)
+                    sizes = np.frombuffer(rest, np.int64, len(ids))
+                    end = len(own) + np.cumsum([cells(int(x)) // 8 for x in sizes])
+                    yield met_rows(SIZE, ids, sizes, [rest[a:b] for a, b in zip([len(own), *end[:-1]], end)])
+            elif kind == SAME:
+                ids, keys = shared.joined(part.column("ids"), np.int64), shared.joined(part.column("keys"), np.uint64)
+                yield met_rows(SAME, *stars(keys.reshape(len(ids), -1), ids))
+            else:
                 keys = shared.joined(part.column("keys"), np.uint32)
                 ids = np.concatenate([
                     (np.frombuffer(x, np.int64, 1)[0] << 31) + np.frombuffer(x, np.uint32, offset=8).astype(np.int64) for x in part.column("ids").to_pylist()
                 ])
-            else:
-                ids, keys = shared.joined(part.column("ids"), np.int64), shared.joined(part.column("keys"), np.uint64)
-            if kind == SIZE:
-                a, b = keys.view(np.int64), ids
-            else:
-                a, b = stars(keys.reshape(len(ids), -1) if kind == SAME else keys, ids)
-            if len(a):
-                yield pa.record_batch(
-                    [pa.array(np.full(len(a), kind, np.int32)), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
-                    names=["kind", "a", "b"],
-                )
+                few, many = some_pairs(keys, ids)
+                yield met_rows(CANDIDATE, *few)
+                yield met_rows(MANY, *many)
 
 
 def multiply(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: int) -> np.ndarray:
@@ -305,14 +374,14 @@ def jaccard_components(docs: DataFrame, n: int = 3, threshold: int = 90, doc: st
     count = shared.buckets(spark)
     input_rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).filter("doc_id is not null")
     met = shared.cut_lineage(
-        shared.exchange(input_rows.mapInArrow(scan(n, threshold, count), BLOBS)).mapInArrow(meet, "kind int, a long, b long")
+        shared.exchange(input_rows.mapInArrow(scan(n, threshold, count), BLOBS)).mapInArrow(meet, MET)
     )
-    sizes = met.filter(F.col("kind") == SIZE).select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"))
+    sizes = met.filter(F.col("kind") == SIZE).select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "cells")
     same = met.filter(F.col("kind") == SAME).select("a", "b")
-    pairs = met.filter(F.col("kind") == CANDIDATE).select("a", "b")
+    agreed = met.filter(F.col("kind").isin(CANDIDATE, MANY)).select("kind", "a", "b")
     links = same
-    if not pairs.isEmpty():
-        links = same.unionAll(block_links(input_rows, pairs, same, sizes, n, threshold))
+    if not agreed.isEmpty():
+        links = same.unionAll(block_links(input_rows, agreed, same, sizes, n, threshold))
     reached = shared.components(links).select(F.col("node").alias("doc_id"), "component")
     return sizes.join(reached, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
@@ -368,7 +437,7 @@ def rarest(n: int, threshold: int, count: int, weight):
 
 
 def shared_columns(rows: DataFrame, n: int, threshold: int) -> DataFrame:
-    """Stars (a, b) of the rows that share one of their rarest columns."""
+    """Pairs and stars (kind, a, b) of the rows that share one of their rarest columns."""
     spark = rows.sparkSession
     count = shared.buckets(spark)
     weight = np.zeros(SKETCH, np.uint8)
@@ -377,18 +446,53 @@ def shared_columns(rows: DataFrame, n: int, threshold: int) -> DataFrame:
         part = np.frombuffer(r.weights, np.uint8)
         weight[r.low : r.low + len(part)] = part
     found = rows.mapInArrow(rarest(n, threshold, count, spark.sparkContext.broadcast(weight)), BLOBS)
-    return shared.cut_lineage(shared.exchange(found).mapInArrow(meet, "kind int, a long, b long").select("a", "b"))
+    return shared.cut_lineage(shared.exchange(found).mapInArrow(meet, MET).select("kind", "a", "b"))
+
+
+def bounded(pairs: DataFrame, sizes: DataFrame, threshold: int) -> DataFrame:
+    """The distinct pairs that sizes and parities don't rule out."""
+    left, right = (sizes.select(F.col("doc_id").alias(i), F.col("n_shingles").alias(s), F.col("cells").alias(c)) for i, s, c in ("amp", "bnq"))
+    sized = pairs.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().join(left, "a").join(right, "b")
+    return shared.cut_lineage(sized.mapInArrow(may_link(threshold), "a long, b long").distinct())
+
+
+def sifted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``ids`` names. Most others stay where they are: one bitmap
+    of ``SIEVE`` bits, whatever the input, tells them apart before the join."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE))
+    at, bit = F.floor(place / BITMAP).alias("__at"), place % BITMAP
+    maps = ids.groupBy(at).agg(F.bitmap_construct_agg(bit).alias("__bits"))
+    cell = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    # At most SIEVE / BITMAP rows of 4 kB: the bound that lets it be broadcast.
+    likely = docs.withColumn("__at", at).join(F.broadcast(maps), "__at").filter(F.getbit(cell, (bit % 8).cast("int")) == 1)
+    return likely.drop("__at", "__bits").join(ids, "doc_id")
 
 
-def block_links(docs: DataFrame, pairs: DataFrame, same: DataFrame, sizes: DataFrame, n: int, threshold: int) -> DataFrame:
+def block_links(docs: DataFrame, agreed: DataFrame, same: DataFrame, sizes: DataFrame, n: int, threshold: int) -> DataFrame:
     """Links among the documents that agree with another in a block."""
     spark = docs.sparkSession
-    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    chosen = nodes.join(same.select(F.col("a").alias("node"), "b").distinct(), "node", "left").select(F.coalesce("b", "node").alias("doc_id")).distinct()
+    first_of = same.select("a", F.col("b").alias("first")).distinct()
+
+    def lead(frame: DataFrame, col: str) -> DataFrame:
+        """``col`` becomes the first of the rows of equal set."""
+        return frame.join(first_of.withColumnRenamed("a", col), col, "left").withColumn(col, F.coalesce("first", col)).drop("first")
+
+    pairs = bounded(lead(lead(agreed.filter(F.col("kind") == CANDIDATE).select("a", "b").distinct(), "a"), "b"), sizes, threshold)
+    many = agreed.filter(F.col("kind") == MANY)
+    many = lead(many.select(F.col("a").alias("doc_id")).unionAll(many.select("b")).distinct(), "doc_id")
+    nodes = pairs.select(F.col("a").alias("doc_id"), F.lit(False).alias("many")).unionAll(pairs.select("b", F.lit(False)))
+    chosen = shared.cut_lineage(nodes.unionAll(many.select("doc_id", F.lit(True))).groupBy("doc_id").agg(F.max("many").alias("many")))
+    if chosen.isEmpty():
+        return pairs
     texts = scratch(spark, "ngram-rows")
-    chosen.join(docs, "doc_id").select("doc_id", "text").write.parquet(texts)
+    sifted(docs, chosen).select("doc_id", "text", "many").write.parquet(texts)
     docs = spark.read.parquet(texts)
-    groups = shared.components(shared_columns(docs, n, threshold))
+    edges = pairs
+    if not many.isEmpty():
+        columns = shared_columns(docs.filter("many").select("doc_id", "text"), n, threshold)
+        listed = columns.filter(F.col("kind") == CANDIDATE).select("a", "b")
+        edges = edges.unionAll(bounded(listed, sizes, threshold)).unionAll(columns.filter(F.col("kind") == MANY).select("a", "b"))
+    groups = shared.components(edges)
     members = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
     volume = members.join(sizes, "doc_id").groupBy("group").agg(
         F.count(F.lit(1)).alias("rows"),

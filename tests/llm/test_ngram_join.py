@@ -4,6 +4,7 @@ import itertools
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from bindscope.llm import ngram_join
@@ -56,6 +57,36 @@ def test_large_group_goes_through_pivots_and_strips(spark, monkeypatch):
     assert got == brute(rows, 3, 90)
 
 
+def test_unlike_rows_do_not_chain(spark, monkeypatch):
+    """Overlapping texts agree in blocks with the next ones, but no two link: none is multiplied."""
+    rng = np.random.default_rng(4)
+    line = [f"w{x}" for x in rng.integers(0, 10**6, 4000)]
+    rows = [(i, " ".join(line[40 * i : 40 * i + 200])) for i in range(45)]
+    seen = []
+    real = ngram_join.multiplied
+    monkeypatch.setattr(ngram_join, "multiplied", lambda rows, *a: seen.append(rows.count()) or real(rows, *a))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {tuple(r) for r in ngram_join.jaccard_components(df, 3, 90).collect()}
+    assert got == brute(rows, 3, 90)
+    assert sum(seen) == 0
+
+
+def test_parities_keep_linked_pairs(spark):
+    """Pairs of any sizes at the bound pass; unlike ones of equal size don't."""
+    rng = np.random.default_rng(6)
+    for size in (1, 3, 60, 64, 65, 130, 1000, 5000):
+        grams = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        fewer, other = grams[: -(-90 * len(grams) // 100)], np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        pairs = [(1, 2, fewer), (1, 3, other)]
+        batch = pa.record_batch(
+            [pa.array([a for a, _, _ in pairs]), pa.array([b for _, b, _ in pairs]), pa.array([len(grams)] * 2), pa.array([len(x) for *_, x in pairs]),
+             pa.array([ngram_join.parities(grams)] * 2), pa.array([ngram_join.parities(x) for *_, x in pairs])],
+            names=["a", "b", "m", "n", "p", "q"],
+        )
+        kept = [b for r in ngram_join.may_link(90)([batch]) for b in r.column("b").to_pylist()]
+        assert kept == [2] if size > 1 else 2 in kept
+
+
 def test_empty_nulls_and_repeats(spark):
     schema = "doc_id long, text string, kind string, component_id string"
     assert ngram_join.jaccard_components(spark.createDataFrame([], schema)).count() == 0

@@ -21,8 +21,9 @@ def heavy_atoms(atoms: DataFrame, element: str = "element", name: str = "atom_na
 
 # ----------------------------------------------------------------- selections
 def _matches(residues: DataFrame, selectors: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Residue hits per selector under both numberings. Exact texts and ranges are two
-    joins on the structure keys; a range compares numbers only inside its own chain."""
+    """Residues that a selector hits under either numbering (``auth``, ``label``), by one join
+    on the structure keys; a range compares numbers only inside its own chain. The join is
+    always shuffled: selectors that were made by an explode look small to the planner."""
     text = F.trim("selector")
     ranged = text.contains("-") & ~text.startswith("-")
     bounds = F.split(text, "-", 2)
@@ -36,14 +37,13 @@ def _matches(residues: DataFrame, selectors: DataFrame, by: Sequence[str]) -> Da
         F.col("auth_seq_id").try_cast("int").alias("__auth_n"), F.col("label_seq_id").alias("__label"),
         F.col("label_seq_id").try_cast("int").alias("__label_n"),
     )
-    names = [*by, "selector_id", "index", "numbering"]
-    pick = lambda df, kind: df.withColumn("numbering", F.lit(kind)).select(*names)
-    exact, span = sel.filter(~F.col("__ranged")), sel.filter("__ranged")
-    out = pick(exact.join(res, [*by]).filter(F.col("__auth") == F.col("__text")), "auth")
-    out = out.unionByName(pick(exact.join(res, [*by]).filter(F.col("__label") == F.col("__text")), "label"))
-    inside = span.join(res, [*by])
-    out = out.unionByName(pick(inside.filter("__auth_n between __lo and __hi"), "auth"))
-    return out.unionByName(pick(inside.filter("__label_n between __lo and __hi"), "label"))
+
+    def hit(name: str) -> Column:
+        inside = F.col(f"{name}_n").between(F.col("__lo"), F.col("__hi"))
+        return F.coalesce(F.when(F.col("__ranged"), inside).when(~F.col("__ranged"), F.col(name) == F.col("__text")), F.lit(False))
+
+    both = sel.hint("merge").join(res, [*by]).select(*by, "selector_id", "index", hit("__auth").alias("auth"), hit("__label").alias("label"))
+    return both.filter("auth or label")
 
 
 def select_residues(residues: DataFrame, selectors: DataFrame, indexing: str = "auto", by: Sequence[str] = ("structure_id", "chain")) -> DataFrame:
@@ -57,15 +57,16 @@ def select_residues(residues: DataFrame, selectors: DataFrame, indexing: str = "
         raise ValueError("indexing must be auto, auth_seq_id or label_seq_id")
     hits = _matches(residues, selectors, by)
     if indexing != "auto":
-        hits = hits.filter(F.col("numbering") == indexing.split("_")[0])
+        kept = indexing.split("_")[0]
+        hits = hits.filter(kept).withColumn("label" if kept == "auth" else "auth", F.lit(False))
     keys = [*by, "selector_id"]
     sets = hits.groupBy(*keys).agg(
-        F.array_sort(F.collect_set(F.when(F.col("numbering") == "auth", F.col("index")))).alias("a"),
-        F.array_sort(F.collect_set(F.when(F.col("numbering") == "label", F.col("index")))).alias("l"),
+        F.array_sort(F.collect_set(F.when(F.col("auth"), F.col("index")))).alias("a"),
+        F.array_sort(F.collect_set(F.when(F.col("label"), F.col("index")))).alias("l"),
     )
     both = (F.size("a") > 0) & (F.size("l") > 0) & (F.col("a") != F.col("l"))
     chosen = F.when(F.size("a") > 0, F.col("a")).otherwise(F.col("l"))
-    verdict = selectors.select(*keys).join(sets, keys, "left").select(
+    verdict = selectors.select(*keys).hint("merge").join(sets.hint("merge"), keys, "left").select(
         *keys, F.when(F.col("a").isNull(), "unmatched").when(both, "ambiguous").otherwise("ok").alias("status"),
         F.when(F.col("a").isNotNull() & ~both, chosen).alias("indices"),
     )

@@ -89,6 +89,22 @@ def test_ranking_never_uses_one_partition(spark, name):
     assert "Exchange SinglePartition" not in head
 
 
+def test_selectors_are_never_broadcast(spark):
+    """Exploded selectors look small to the planner; residues meet them in one shuffled join."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    held = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "10MB")
+        df = load()[0]["b17_select_residues"](spark, FOLDER)
+        df.collect()
+        names = [n.nodeName() for n in nodes(df._jdf.queryExecution().executedPlan())]
+        assert names.count("SortMergeJoin") == 2 and not any("Broadcast" in x for x in names)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("name", ["d29_pdockq", "d30_pdockq2", "d32_interface_counts", "d33_pair_summary"])
 def test_copies_of_atoms_are_never_broadcast(spark, name):
     """Exploded copies look small to the planner; with Spark's own threshold they went through the driver."""

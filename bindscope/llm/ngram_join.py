@@ -456,16 +456,21 @@ def bounded(pairs: DataFrame, sizes: DataFrame, threshold: int) -> DataFrame:
     return shared.cut_lineage(sized.mapInArrow(may_link(threshold), "a long, b long").distinct())
 
 
-def sifted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``ids`` names. Most others stay where they are: one bitmap
-    of ``SIEVE`` bits, whatever the input, tells them apart before the join."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(SIEVE))
+def marked(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` with ``__likely``: false for most rows that ``ids`` doesn't name, true for all
+    that it names, by one bitmap of ``SIEVE`` bits, whatever the input."""
+    place = F.pmod(F.xxhash64(key), F.lit(SIEVE))
     at, bit = F.floor(place / BITMAP).alias("__at"), place % BITMAP
     maps = ids.groupBy(at).agg(F.bitmap_construct_agg(bit).alias("__bits"))
     cell = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     # At most SIEVE / BITMAP rows of 4 kB: the bound that lets it be broadcast.
-    likely = docs.withColumn("__at", at).join(F.broadcast(maps), "__at").filter(F.getbit(cell, (bit % 8).cast("int")) == 1)
-    return likely.drop("__at", "__bits").join(ids, "doc_id")
+    found = docs.withColumn("__at", at).join(F.broadcast(maps), "__at", "left")
+    return found.withColumn("__likely", F.coalesce(F.getbit(cell, (bit % 8).cast("int")) == 1, F.lit(False))).drop("__at", "__bits")
+
+
+def sifted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``ids`` names; most others stay where they are."""
+    return marked(docs, ids).filter("__likely").drop("__likely").join(ids, "doc_id")
 
 
 def block_links(docs: DataFrame, agreed: DataFrame, same: DataFrame, sizes: DataFrame, n: int, threshold: int) -> DataFrame:
@@ -539,7 +544,12 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
     text, own = F.col("text").cast("string"), F.col("doc_id").cast("long")
     place = F.struct(own.isNull().alias("none"), own.alias("id"), F.col(KEY).alias("key"))
     grouped = found.filter("n_shingles > 0").join(rows.select(KEY, "doc_id"), KEY)
-    one = grouped.groupBy("component_id").agg(F.min(place).alias("first")).select(F.col("first.key").alias(KEY))
+    first = grouped.groupBy("component_id").agg(F.min(place)["key"].alias("__first"))
+    copies = grouped.join(first, "component_id").filter(F.col(KEY) != F.col("__first")).select(KEY)
     wordless = rows.filter(~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
     alone = wordless.groupBy("doc_id", text.alias("text")).agg(F.min(KEY).alias(KEY)).select(KEY)
-    return rows.join(one.unionByName(alone), KEY, "left_semi").select(docs.columns)
+    dropped = shared.cut_lineage(copies.unionAll(wordless.select(KEY).join(alone, KEY, "left_anti")))
+    # Only rows that may be dropped are exchanged.
+    told = marked(rows, dropped, KEY)
+    kept = told.filter("not __likely").unionByName(told.filter("__likely").join(dropped, KEY, "left_anti"))
+    return kept.select(docs.columns)

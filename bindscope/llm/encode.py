@@ -8,12 +8,19 @@ piece has one token that begins with a space, its first; a word-level tokenizer
 word with a token of its own form. Pieces of which neither is sure get a mark between them,
 which no piece contains and both tokenizers keep apart, or are encoded alone. A text that
 holds one of the tokenizer's special tokens is encoded whole, as the library does it.
+
+A tokenizer of known rules (``WORD_RULES``: lower case, runs of letters, nothing made of white
+space) is cut finer: plain texts are lowered, and letters are parted from signs, so far fewer
+pieces differ. Its words need none of these rules any more: they are learned by its
+vocabulary and byte alphabet alone.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -33,11 +40,24 @@ WORD, SIGNED = re.compile(f"[{LETTER}]+"), re.compile(f"[{LETTER}]+[!-/:-@\\[-`{
 MARK = "\n~"
 PLAIN = re.compile("[\x21-\x7dÀ-ɏ](?:[^~]*[\x21-\x7dÀ-ɏ])?")
 JOINED = 500
+#: Rules by which white space only parts, case is lost, and letters never join signs but after "'".
+WORD_RULES = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
+#: Runs of letters, and of all else but white space; where a text has "'", what it stands in stays whole.
+RUNS = re.compile(f"[{LETTER}]+|[^ \n{LETTER}]+")
+QUOTED = re.compile(f"(?<![^ \n])[^ \n']*'[^ \n]*|[{LETTER}]+|[^ \n{LETTER}]+")
 
 
 class Encoder:
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         # A task has one core; the library's own threads only add to its time.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,6 +71,15 @@ class Encoder:
         for token, number in tokens.items():
             self.opens[number], self.closes[number] = token.startswith("Ġ"), token.endswith("</w>")
         self.by_words = bool(self.closes.any())
+        rules = json.loads(self.tokenizer.to_str())
+        self.parted = self.by_words and all(rules[k] == v for k, v in WORD_RULES.items())
+        self.bare = self.tokenizer
+        if self.parted:
+            self.bare = Tokenizer.from_file(path)
+            self.bare.normalizer = normalizers.Sequence([])
+            self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+            ])
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -65,18 +94,27 @@ class Encoder:
         if len(self.young) > CACHE:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
+        flat = list(chain.from_iterable(c for c in cut if c is not None))
+        found = list(map(young.get, flat))
+        holes = [i for i, ids in enumerate(found) if ids is None]
         fresh = []
-        for piece in set().union(*(c for c in cut if c is not None)).difference(young):
+        for piece in {flat[i] for i in holes}:
             if piece in old:
                 young[piece] = old[piece]
             else:
                 fresh.append(piece)
         self.learn(fresh)
-        last, find = np.array([end], "<u4").tobytes(), young.__getitem__
-        return [
-            np.frombuffer(b"".join([*map(find, pieces), last]) if pieces is not None else self.alone(text) + last, "<u4")
-            for text, pieces in zip(texts, cut)
-        ]
+        for i in holes:
+            found[i] = young[flat[i]]
+        last, at, out = np.array([end], "<u4").tobytes(), 0, []
+        for text, pieces in zip(texts, cut):
+            if pieces is None:
+                raw = self.alone(text)
+            else:
+                raw = b"".join(found[at : at + len(pieces)])
+                at += len(pieces)
+            out.append(np.frombuffer(raw + last, "<u4"))
+        return out
 
     def alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -84,10 +122,10 @@ class Encoder:
     def learn(self, fresh: list[str]) -> None:
         """Puts the ids of pieces into the cache."""
         if self.by_words:
-            sure = [p for p in fresh if WORD.fullmatch(p)]
+            sure = [p for p in fresh if WORD.fullmatch(p) and (not self.parted or p.islower())]
             signed = [p for p in fresh if SIGNED.fullmatch(p)]
             rest = list(set(fresh).difference(sure, signed))
-            rest += self.together(sure, self.closes, 1) + self.together(signed, self.closes, 2)
+            rest += self.together(sure, self.closes, 1, self.bare) + self.together(signed, self.closes, 2)
         else:
             sure = [p for p in fresh if WHOLE.fullmatch(p)]
             rest = list(set(fresh).difference(sure))
@@ -97,11 +135,11 @@ class Encoder:
         for piece in set(rest).difference(plain):
             self.young[piece] = self.alone(piece[1:] if piece.startswith(FIRST) else " " + piece)
 
-    def together(self, pieces: list[str], flags: np.ndarray, count: int) -> list[str]:
+    def together(self, pieces: list[str], flags: np.ndarray, count: int, tokenizer=None) -> list[str]:
         """Encodes pieces side by side, each of which has ``count`` flagged tokens: its first
         (a space opens it) or its last ones (they close its words). Returns those that differ."""
         young, left = self.young, []
-        for group, ids in self.batches(pieces, lambda some: " " + " ".join(some)):
+        for group, ids in self.batches(pieces, lambda some: " " + " ".join(some), tokenizer):
             at = np.flatnonzero(flags[ids])
             if len(at) != count * len(group):
                 left += group
@@ -122,12 +160,12 @@ class Encoder:
                 young[piece] = raw[start : stop - skip]
                 start = stop
 
-    def batches(self, pieces: list[str], write):
+    def batches(self, pieces: list[str], write, tokenizer=None):
         """Groups of pieces and the ids of the text that ``write`` makes of each."""
         groups = [pieces[at : at + JOINED] for at in range(0, len(pieces), JOINED)]
         for at in range(0, len(groups), 40):
             some = groups[at : at + 40]
-            for group, got in zip(some, self.tokenizer.encode_batch_fast([write(g) for g in some], add_special_tokens=False)):
+            for group, got in zip(some, (tokenizer or self.tokenizer).encode_batch_fast([write(g) for g in some], add_special_tokens=False)):
                 yield group, np.array(got.ids, "<u4")
 
     def pieces(self, text: str | None) -> list[str] | None:
@@ -138,6 +176,10 @@ class Encoder:
         for special in self.special:
             if special in text:
                 return None
+        if self.parted:
+            low = text.lower()
+            if not ODD.search(low) and not any(special in low for special in self.special):
+                return (QUOTED if "'" in low else RUNS).findall(low)
         if ODD.search(text) or "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " ":
             parts = CUT.split(text)
         else:

@@ -47,9 +47,9 @@ def encode_block(ids: np.ndarray, percentile: int = PERCENTILE) -> bytes:
     typical = int(np.partition(rest, k := (len(rest) - 1) * percentile // 100)[k])
     width = typical.bit_length()
     odd = np.flatnonzero(rest >> width)
-    body = rest.copy()
+    body = rest.astype("<u2" if width <= 16 else "<u4")
     body[odd] = 0
-    bits = ((body[:, None] >> np.arange(width)) & 1).astype(np.uint8)
+    bits = np.unpackbits(body.view(np.uint8), bitorder="little").reshape(len(body), -1)[:, :width]
     return b"".join([
         HEAD.pack(len(ids), low, width, len(odd)), np.packbits(bits, bitorder="little").tobytes(),
         odd.astype("<u2").tobytes(), rest[odd].astype("<u4").tobytes(),
@@ -61,7 +61,9 @@ def decode_block(data: bytes, at: int) -> np.ndarray:
     at += HEAD.size
     size = (n * width + 7) // 8
     bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n * width, bitorder="little")
-    ids = bits.reshape(n, width).astype(np.int64) @ (1 << np.arange(width, dtype=np.int64))
+    whole = np.zeros((n, 16 if width <= 16 else 32), np.uint8)
+    whole[:, :width] = bits.reshape(n, width)
+    ids = np.packbits(whole, bitorder="little").view("<u2" if width <= 16 else "<u4").astype(np.int64)
     place = np.frombuffer(data, "<u2", odd, at + size)
     ids[place] = np.frombuffer(data, "<u4", odd, at + size + 2 * odd)
     return (ids + low).astype(np.uint32)

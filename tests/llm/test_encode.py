@@ -26,3 +26,18 @@ def test_ids_are_those_of_the_library(prose, name, end):
     for part in (texts[:40], texts[40:], texts[::-1]):
         for text, ids in zip(part, encoder.encode(part, end)):
             assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids + [end], text
+
+
+def test_letters_are_parted_from_signs_and_case():
+    """A word is learned once, whatever its case and the signs and breaks beside it; contractions stay whole."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), Encoder(path)
+    encoder.encode(["Sunflower sunflower. SUNFLOWER,\nsunflower!", "(sunflower) sunflower's"], 2)
+    assert {k for k in encoder.young if "sunflower" in k} == {"sunflower", "sunflower's"}
+    rng = random.Random(3)
+    signs = ["a", "B", "É", "ɏ", "Ⱥ", "ƻ", "ǅ", "×", "÷", "9", ",", "'", "s", "Ll", "~", "$", " ", " ", "\n"]
+    texts = ["".join(rng.choices(signs, k=rng.randint(1, 40))) for _ in range(2000)]
+    for text, ids in zip(texts, encoder.encode(texts, 2)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids + [2], text

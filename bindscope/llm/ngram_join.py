@@ -52,6 +52,8 @@ ROW_BLOCK = 256
 BLOCK_GRAMS = 1 << 20
 TILE = 2048
 FLUSH = 1 << 20
+#: Text bytes that are hashed at once: a worker's arrays take some 60 times as many.
+SLICE = 1 << 20
 SKETCH = 1 << 22
 #: Most rows of equal block or column that are listed pair by pair.
 FEW = 16
@@ -171,7 +173,7 @@ def scan(n: int, threshold: int, count: int):
             held: dict[int, list] = {SIZE: [], SAME: [], CANDIDATE: []}
             seen: set[tuple[int, int, int]] = set()
             entries = 0
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 ids = part.column(0).to_numpy().astype(np.int64)
                 sets, _ = gram_sets(part.column(1), n)
                 held[SIZE].append((ids, np.array([len(g) for g in sets], np.int64), b"".join(map(parities, sets))))
@@ -346,7 +348,7 @@ def product(n: int, threshold: int):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, part in shared.grouped_rows(batches, "task"):
-            sets, _ = gram_sets(part.column("text"), n)
+            sets = [g for some in slices(part, "text", SLICE) for g in gram_sets(some.column("text"), n)[0]]
             ids, side = part.column("doc_id").to_numpy(), part.column("side").to_numpy()
             left, right = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
             if len(left) and len(right):
@@ -394,7 +396,7 @@ def weigh(n: int, count: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = np.zeros(SKETCH, np.uint32)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 for grams in gram_sets(part.column(1), n)[0]:
                     np.add.at(weight, (grams & U(SKETCH - 1)).astype(np.int64), 1)
         used = np.flatnonzero(weight)
@@ -425,7 +427,7 @@ def rarest(n: int, threshold: int, count: int, weight):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: dict[int, list] = {SIZE: [], SAME: [], CANDIDATE: []}
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 for i, grams in zip(part.column(0).to_numpy(), gram_sets(part.column(1), n)[0]):
                     w = weight.value[(grams & U(SKETCH - 1)).astype(np.int64)]
                     first = np.lexsort((grams, w))[: len(grams) + threshold * len(grams) // -100 + 1]

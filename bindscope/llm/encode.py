@@ -25,7 +25,7 @@ from itertools import chain
 import numpy as np
 
 #: Pieces in each of the cache's two generations; the older one goes when the newer is full.
-CACHE = 600_000
+CACHE = 250_000
 _ENCODERS: dict[str, Encoder] = {}
 #: A visible ASCII character or Latin letter; a Latin letter that lower-cases to one letter.
 SEEN, LETTER = "\x21-\x7eÀ-ɏ", "A-Za-zÀ-ÖØ-öø-įı-ɏ"

@@ -41,3 +41,12 @@ def test_letters_are_parted_from_signs_and_case():
     texts = ["".join(rng.choices(signs, k=rng.randint(1, 40))) for _ in range(2000)]
     for text, ids in zip(texts, encoder.encode(texts, 2)):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids + [2], text
+
+
+def test_the_cache_stays_small():
+    """Idle workers of the pipeline keep it: two generations of at most 250,000 pieces and one batch."""
+    encoder = Encoder(tokenizer_path("word_bpe_49k.json"))
+    letters = str.maketrans("0123456789", "abcdefghij")
+    for start in range(0, 700_000, 20_000):
+        encoder.encode([" ".join(map(str, range(start, start + 20_000))).translate(letters)], 2)
+        assert len(encoder.young) + len(encoder.old) < 600_000

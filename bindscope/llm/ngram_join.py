@@ -9,8 +9,8 @@ holds all overlaps. It is never formed whole:
    linked pair agrees in a whole non-empty block. Pairs that agree in none are discarded
    unmultiplied. Sizes are grouped in levels, and a row is cut for each level in which a
    partner may lie. Where a row leaves too many blocks empty to prove the agreement, it is
-   cut again, finer (``Cuts``). Block hashes travel packed, one shuffle for all of them. Up to
-   ``FEW`` rows of equal block are listed as pairs.
+   cut again, finer (``Cuts``). Block hashes travel packed, one shuffle for all of them. Of rows
+   with equal sets only one is cut. Up to ``FEW`` rows of equal block are listed as pairs.
 2. *Rarest columns.* Short blocks may lie in a passage that many documents share. So the rows
    of larger blocks are ordered by column weight (a sketch of ``SKETCH`` counters, whatever the
    input), and only their first |A| - need + 1 columns count: a linked pair has one of them in
@@ -166,7 +166,30 @@ class Cuts:
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def set_key(grams: np.ndarray) -> tuple[int, int, int]:
+    """Size and two hashes of a row's set."""
+    return len(grams), int(np.sum(mix(grams + U(MIX_B)))), int(np.sum(grams * grams))
+
+
+def measure(n: int, count: int):
+    """Sizes and parities of the rows, and the keys of their sets."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: dict[int, list] = {SIZE: [], SAME: [], CANDIDATE: []}
+            for part in slices(batch, "text", SLICE):
+                ids = part.column(0).to_numpy().astype(np.int64)
+                sets, _ = gram_sets(part.column(1), n)
+                held[SIZE].append((ids, np.array([len(g) for g in sets], np.int64), b"".join(map(parities, sets))))
+                held[SAME] += [(np.array(set_key(g), np.uint64), i) for i, g in zip(ids, sets) if len(g)]
+            yield from blobs(held, count)
+
+    return rows
+
+
 def scan(n: int, threshold: int, count: int):
+    """The column blocks of the rows, once for each set of a batch."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = Cuts(threshold)
         for batch in batches:
@@ -175,13 +198,10 @@ def scan(n: int, threshold: int, count: int):
             entries = 0
             for part in slices(batch, "text", SLICE):
                 ids = part.column(0).to_numpy().astype(np.int64)
-                sets, _ = gram_sets(part.column(1), n)
-                held[SIZE].append((ids, np.array([len(g) for g in sets], np.int64), b"".join(map(parities, sets))))
-                for i, grams in zip(ids, sets):
+                for i, grams in zip(ids, gram_sets(part.column(1), n)[0]):
                     if not len(grams):
                         continue
-                    key = (len(grams), int(np.sum(mix(grams + U(MIX_B)))), int(np.sum(grams * grams)))
-                    held[SAME].append((np.array(key, np.uint64), i))
+                    key = set_key(grams)
                     if key not in seen:
                         seen.add(key)
                         keys = cuts.keys(grams)
@@ -375,12 +395,14 @@ def jaccard_components(docs: DataFrame, n: int = 3, threshold: int = 90, doc: st
     spark = docs.sparkSession
     count = shared.buckets(spark)
     input_rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).filter("doc_id is not null")
-    met = shared.cut_lineage(
-        shared.exchange(input_rows.mapInArrow(scan(n, threshold, count), BLOBS)).mapInArrow(meet, MET)
-    )
+    met = shared.cut_lineage(shared.exchange(input_rows.mapInArrow(measure(n, count), BLOBS)).mapInArrow(meet, MET))
     sizes = met.filter(F.col("kind") == SIZE).select(F.col("a").alias("doc_id"), F.col("b").alias("n_shingles"), "cells")
     same = met.filter(F.col("kind") == SAME).select("a", "b")
-    agreed = met.filter(F.col("kind").isin(CANDIDATE, MANY)).select("kind", "a", "b")
+    # Copies agree in all blocks: only one row of a set is cut.
+    lone = marked(input_rows, first_rows(sizes, same)).filter("__likely").select("doc_id", "text")
+    found = shared.exchange(lone.mapInArrow(scan(n, threshold, count), BLOBS)).mapInArrow(meet, MET)
+    # A pair that agrees in blocks of many buckets is kept once.
+    agreed = shared.cut_lineage(found.select("kind", "a", "b").distinct())
     links = same
     if not agreed.isEmpty():
         links = same.unionAll(block_links(input_rows, agreed, same, sizes, n, threshold))
@@ -390,6 +412,14 @@ def jaccard_components(docs: DataFrame, n: int = 3, threshold: int = 90, doc: st
     )
 
 
+def first_rows(sizes: DataFrame, same: DataFrame) -> DataFrame:
+    """doc_id of the rows with n-grams that are the first of their set, and of all rows whose
+    id repeats, as their sets may differ."""
+    told = sizes.filter("n_shingles > 0").select("doc_id", F.lit(1).alias("rows"), F.lit(0).alias("copy"))
+    told = told.unionAll(same.select("a", F.lit(0), F.lit(1)))
+    return told.groupBy("doc_id").agg(F.sum("rows").alias("rows"), F.max("copy").alias("copy")).filter("rows > 1 or copy = 0").select("doc_id")
+
+
 def weigh(n: int, count: int):
     """A task's column weights, packed by counter range: counter numbers and counts."""
 
@@ -458,8 +488,8 @@ def bounded(pairs: DataFrame, sizes: DataFrame, threshold: int) -> DataFrame:
     return shared.cut_lineage(sized.mapInArrow(may_link(threshold), "a long, b long").distinct())
 
 
-def marked(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` with ``__likely``: false for most rows that ``ids`` doesn't name, true for all
+def marked(docs: DataFrame, ids: DataFrame, key: str = "doc_id", flag: str = "__likely") -> DataFrame:
+    """``docs`` with ``flag``: false for most rows that ``ids`` doesn't name, true for all
     that it names, by one bitmap of ``SIEVE`` bits, whatever the input."""
     place = F.pmod(F.xxhash64(key), F.lit(SIEVE))
     at, bit = F.floor(place / BITMAP).alias("__at"), place % BITMAP
@@ -467,7 +497,7 @@ def marked(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     cell = F.conv(F.hex(F.substring("__bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     # At most SIEVE / BITMAP rows of 4 kB: the bound that lets it be broadcast.
     found = docs.withColumn("__at", at).join(F.broadcast(maps), "__at", "left")
-    return found.withColumn("__likely", F.coalesce(F.getbit(cell, (bit % 8).cast("int")) == 1, F.lit(False))).drop("__at", "__bits")
+    return found.withColumn(flag, F.coalesce(F.getbit(cell, (bit % 8).cast("int")) == 1, F.lit(False))).drop("__at", "__bits")
 
 
 def sifted(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -484,7 +514,7 @@ def block_links(docs: DataFrame, agreed: DataFrame, same: DataFrame, sizes: Data
         """``col`` becomes the first of the rows of equal set."""
         return frame.join(first_of.withColumnRenamed("a", col), col, "left").withColumn(col, F.coalesce("first", col)).drop("first")
 
-    pairs = bounded(lead(lead(agreed.filter(F.col("kind") == CANDIDATE).select("a", "b").distinct(), "a"), "b"), sizes, threshold)
+    pairs = bounded(lead(lead(agreed.filter(F.col("kind") == CANDIDATE).select("a", "b"), "a"), "b"), sizes, threshold)
     many = agreed.filter(F.col("kind") == MANY)
     many = lead(many.select(F.col("a").alias("doc_id")).unionAll(many.select("b")).distinct(), "doc_id")
     nodes = pairs.select(F.col("a").alias("doc_id"), F.lit(False).alias("many")).unionAll(pairs.select("b", F.lit(False)))
@@ -551,7 +581,13 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: int = 80) -> DataFrame:
     wordless = rows.filter(~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
     alone = wordless.groupBy("doc_id", text.alias("text")).agg(F.min(KEY).alias(KEY)).select(KEY)
     dropped = shared.cut_lineage(copies.unionAll(wordless.select(KEY).join(alone, KEY, "left_anti")))
-    # Only rows that may be dropped are exchanged.
-    told = marked(rows, dropped, KEY)
-    kept = told.filter("not __likely").unionByName(told.filter("__likely").join(dropped, KEY, "left_anti"))
-    return kept.select(docs.columns)
+    return without(rows, dropped, KEY).select(docs.columns)
+
+
+def without(rows: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key``, not null, is not in ``dropped``. A row is dropped or it stays, so
+    a bitmap of each decides most rows in place; only those in both are exchanged."""
+    stays = rows.select(key).join(dropped, key, "left_anti")
+    told = marked(marked(rows, dropped, key), stays, key, "__stays")
+    kept = told.filter("__stays and not __likely").unionByName(told.filter("__stays and __likely").join(dropped, key, "left_anti"))
+    return kept.drop("__likely", "__stays")

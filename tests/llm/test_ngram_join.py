@@ -98,3 +98,32 @@ def test_empty_nulls_and_repeats(spark):
 def test_keep_one(documents, prose):
     kept = {r.doc_id for r in ngram_join.keep_one(documents).collect()}
     assert kept == {c for _, _, c in brute(prose, 5, 80)}
+
+
+def test_copies_are_cut_once(spark, monkeypatch):
+    """Twelve copies of a text were 66 pairs in every bucket of blocks; now one row of a set is cut."""
+    rng = np.random.default_rng(8)
+    base = [[f"w{i}" for i in rng.integers(0, 10**6, 80)] for _ in range(20)]
+    rows = [(100 * k + i, " ".join(w)) for i, w in enumerate(base) for k in range(12)]
+    rows += [(5000 + i, " ".join(["new", *w[1:]])) for i, w in enumerate(base)]
+    seen = []
+    real = ngram_join.bounded
+    monkeypatch.setattr(ngram_join, "bounded", lambda pairs, *a: seen.append(pairs.count()) or real(pairs, *a))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6, "doc_id")
+    got = {tuple(r) for r in ngram_join.jaccard_components(df, 3, 90).collect()}
+    assert got == brute(rows, 3, 90)
+    assert seen == [20]
+
+
+def test_first_rows(spark):
+    """Copies are left out, rows without n-grams too; an id that repeats stays, as its sets may differ."""
+    sizes = spark.createDataFrame([(1, 3), (4, 3), (5, 3), (5, 8), (9, 0)], "doc_id long, n_shingles long")
+    same = spark.createDataFrame([(4, 1), (5, 1)], "a long, b long")
+    assert sorted(r.doc_id for r in ngram_join.first_rows(sizes, same).collect()) == [1, 5]
+
+
+def test_without_decides_most_rows_in_place(spark):
+    rows = spark.range(3000).selectExpr("id * 7 AS k", "cast(id AS string) AS text")
+    dropped = rows.filter("k % 6 <> 0").select("k")
+    kept = ngram_join.without(rows, dropped, "k")
+    assert sorted(r.k for r in kept.collect()) == [7 * i for i in range(3000) if 7 * i % 6 == 0]

@@ -60,3 +60,29 @@ def test_rules_of_many_tables(spark):
     assert sorted(map(tuple, Q.violations(tables, ids).collect())) == [("validation_tasks", "b", "n"), ("validation_tasks", "b", "status")]
     sound = {"validation_msa_jobs": tables["validation_msa_jobs"]}
     assert Q.violations(sound, ids).count() == 0
+
+
+def test_each_way_to_meet_a_panel_finds_the_same(spark):
+    """Anchors alone, with last letters, or in a shuffled join; odd chains and templates included."""
+    rng = random.Random(5)
+    panel = [(f"t{k}", "".join(rng.choices("ACD", k=rng.randint(0, 4))) + "{x}" + rng.choice("CD") + "{y}" + "".join(rng.choices("AC", k=rng.randint(0, 3))),
+              {"x": (1, 3), "y": (0, 4)}) for k in range(30)] + [("plain", "ACDA", {}), ("one", "A", {}), ("empty", "", {})]
+    texts = ["".join(rng.choices("ACD", k=rng.randint(0, 25))) for _ in range(50)] + ["", "A", "AC", "\x1fACDA", "\x1fXX", "X\nACDA\n", None]
+    chains = spark.createDataFrame(list(enumerate(texts)), "id long, sequence string")
+    found = []
+    for sent, many in ((100, 100), (100, 1), (1, 1)):
+        out = A.extract_by_panel(chains, A.template_panel(spark, panel), sent=sent, many=many).collect()
+        found.append(sorted((r.id, r.template_id, r.match_start, tuple(r.holes.values()), tuple(r.retained)) for r in out))
+    want = {(k, name): m for name, t, lengths in panel for k, text in enumerate(texts) if text is not None and (m := re.compile(A.template_regex(t, lengths)).search(text))}
+    assert [(a, b, c - 1, d) for a, b, c, d, _ in found[0]] == [(*key, m.start(), m.groups()) for key, m in sorted(want.items())]
+    assert found[0] == found[1] == found[2]
+
+
+def test_matches_are_not_exchanged(spark, tmp_path):
+    """Matches grow with the product of chains and templates; they were exchanged to meet the observed numbers."""
+    from bindscope.catalog import load
+
+    df = load()[0]["h10_template_panel"](spark, "/root/testdata/sf0.001")
+    text = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    above = text[: text.index("locate")]
+    assert "Exchange" not in above and "SortMergeJoin" not in above

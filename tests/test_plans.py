@@ -153,3 +153,9 @@ def test_source_critic_packs_only_what_a_report_uses(spark):
 def test_files_of_a_design_are_looked_for_by_one_join(spark):
     text = load()[0]["a19_paired_topk_manifest"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Join LeftSemi") == 1
+
+
+def test_campaign_summary_works_out_metric_rows_once(spark):
+    """They were worked out for the counts and for the top rows; both now read the stored rows."""
+    text = plan(spark, "d11_campaign_summary")
+    assert "metrics_json" not in text and "__k0:double" in text
